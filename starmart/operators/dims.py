@@ -29,8 +29,11 @@ def dim_date_from_facts(facts: DataFrame, date_id_column: str = "date_id") -> Da
     number of calendar days, whatever the fact size.
     """
     ids = facts.select(F.col(date_id_column).alias("_id")).distinct()
-    d = ids.select(date_from_id("_id").alias("_d"))
-    return d.select(*[c.alias(n) for n, c in date_attributes("_d").items()])
+    d = ids.select("_id", date_from_id("_id").alias("_d"))
+    attrs = date_attributes("_d")
+    # the fact's key is the dimension key as is (no round trip through the date)
+    attrs["date_id"] = F.col("_id")
+    return d.select(*[c.alias(n) for n, c in attrs.items()])
 
 
 def calendar(bounds: DataFrame, start: str = "start_date", end: str = "end_date") -> DataFrame:
