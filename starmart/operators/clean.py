@@ -119,14 +119,15 @@ def clean(bronze: DataFrame, formats: list[str] | None = None) -> DataFrame:
 
 
 def clean_observed(bronze: DataFrame, formats: list[str] | None = None
-                   ) -> tuple[DataFrame, Observation]:
+                   ) -> tuple[DataFrame, "CleaningMetrics"]:
     """Like :func:`clean`, with the step row counts attached as observed metrics.
 
     The counts are collected by the same job that materialises the result; no extra
     ``count()`` passes over the data.
     """
+    seen = Observation("bronze")
     obs = Observation("cleaning")
-    d = dedup_exact(bronze)
+    d = dedup_exact(bronze.observe(seen, F.count(F.lit(1)).alias("bronze_rows")))
     # one observation at the point where every needed count is visible
     counted = d.observe(
         obs,
@@ -142,7 +143,21 @@ def clean_observed(bronze: DataFrame, formats: list[str] | None = None
     s = require(counted)
     s = fill_blank(fill_sentinel(s))
     s = with_date_id(parse_dates(strip_strings(s), formats=formats))
-    return with_total_value(valid_price(s)), obs
+    return with_total_value(valid_price(s)), CleaningMetrics(seen, obs)
+
+
+class CleaningMetrics:
+    """Step counts observed while the cleaned rows are materialised."""
+
+    def __init__(self, seen: Observation, steps: Observation):
+        self._seen, self._steps = seen, steps
+
+    @property
+    def get(self) -> dict:
+        m = {**self._seen.get, **self._steps.get}
+        m["duplicates_dropped"] = m["bronze_rows"] - m["after_dedup"]
+        m["silver_rows"] = m["after_dedup"] - m["null_mandatory_dropped"] - m["bad_price_dropped"]
+        return m
 
 
 def silver_transactions(cleaned: DataFrame) -> DataFrame:

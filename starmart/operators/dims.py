@@ -53,7 +53,7 @@ def dim_time(spark: SparkSession, start_date: str = "2024-01-01",
 
 def assign_keys(members: DataFrame, natural: str | list[str], key: str,
                 existing: DataFrame | None = None, num_partitions: int | None = None,
-                start: int | None = None) -> DataFrame:
+                start: int | None = None, include_existing: bool = True) -> DataFrame:
     """K1: give every member a surrogate key.
 
     Existing members keep theirs; members not yet in ``existing`` get ``max(key)+1, ...``
@@ -87,6 +87,6 @@ def assign_keys(members: DataFrame, natural: str | list[str], key: str,
     local = F.col("_rid") - F.shiftleft(F.col("_pid").cast("long"), 33)
     keyed = ranged.select((F.lit(base).cast("long") + offset + local + 1).alias(key),
                           *[c for c in members.columns])
-    if existing is None:
+    if existing is None or not include_existing:
         return keyed
     return existing.unionByName(keyed, allowMissingColumns=True)
