@@ -160,7 +160,310 @@ FROM fact_sales""")
     return q
 
 
+def _date_attrs(d: str, date_id: str | None = None) -> str:
+    did = date_id or f"CAST(year({d}) * 10000 + month({d}) * 100 + day({d}) AS INTEGER)"
+    return (f"{did} AS date_id, {d} AS full_date, CAST(year({d}) AS INTEGER) AS year, "
+            f"CAST(quarter({d}) AS INTEGER) AS quarter, CAST(month({d}) AS INTEGER) AS month, "
+            f"monthname({d}) AS month_name, CAST(weekofyear({d}) AS INTEGER) AS week, "
+            f"CAST(isodow({d}) AS INTEGER) AS day_of_week, dayname({d}) AS day_name, "
+            f"isodow({d}) >= 6 AS is_weekend")
+
+
+STALE = """
+early AS (SELECT * FROM cleaned WHERE date_id < 19980101),
+early_products AS (
+  SELECT stock_code, description FROM (
+    SELECT stock_code, description, row_number() OVER (PARTITION BY stock_code
+      ORDER BY invoice_ts, invoice_no, stock_code, country, description) AS rn FROM early) WHERE rn = 1
+),
+early_customers AS (
+  SELECT customer_id AS raw_customer_id, country FROM (
+    SELECT customer_id, country, row_number() OVER (PARTITION BY customer_id
+      ORDER BY invoice_ts, invoice_no, stock_code, country) AS rn FROM early) WHERE rn = 1
+),
+stale_products AS (
+  SELECT CAST(row_number() OVER (ORDER BY stock_code) AS BIGINT) AS product_id, stock_code, description
+  FROM early_products
+),
+stale_customers AS (
+  SELECT CAST(row_number() OVER (ORDER BY raw_customer_id) AS BIGINT) AS customer_id, raw_customer_id, country
+  FROM early_customers
+)"""
+
+SUPPLY = f"""
+sfact AS (
+  SELECT CAST(row_number() OVER (ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity,
+           l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS BIGINT) AS shipment_id,
+    l_partkey AS product_id, l_suppkey AS supplier_id, l_orderkey % 25 AS warehouse_id, l_orderkey AS order_id,
+    CAST(year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate) AS INTEGER) AS date_id,
+    CAST(l_shipdate AS DATE) AS shipment_date, CAST(l_quantity AS INTEGER) AS quantity,
+    CAST(l_extendedprice AS DECIMAL(12,2)) AS shipment_value,
+    CAST(12 + (l_orderkey * 7 + l_linenumber * 13) % 108 AS INTEGER) AS shipping_time_hours
+  FROM lineitem
+),
+sproducts AS (
+  SELECT p_partkey AS product_id, p_name AS product_name, p_type AS product_category,
+         'SKU-' || CAST(p_partkey AS VARCHAR) AS sku, CAST(p_retailprice AS DECIMAL(10,2)) AS unit_price
+  FROM part
+),
+ssuppliers AS (
+  SELECT s_suppkey AS supplier_id, s_name AS supplier_name, n_name AS supplier_country
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey
+),
+swarehouses AS (SELECT CAST(n_nationkey AS BIGINT) AS warehouse_id, n_name AS warehouse_name FROM nation),
+sorders AS (SELECT o_orderkey AS order_id FROM orders),
+stime AS (
+  SELECT {_date_attrs("d")} FROM (
+    SELECT CAST(unnest(generate_series(CAST(min(l_shipdate) AS TIMESTAMP), CAST(max(l_shipdate) AS TIMESTAMP),
+                                       INTERVAL 1 DAY)) AS DATE) AS d FROM lineitem)
+)"""
+
+CHANGES = """
+adjust AS (
+  SELECT shipment_id, 24 AS added_hours, s.seq FROM sfact, (VALUES (1), (2)) s(seq)
+  WHERE shipment_id % 50 = 0 AND (s.seq = 1 OR shipment_id % 500 = 0)
+),
+f1 AS (
+  SELECT f.shipment_id, product_id, supplier_id, warehouse_id, order_id, date_id, shipment_date, quantity,
+         shipment_value, CAST(shipping_time_hours + COALESCE(a.added, 0) AS INTEGER) AS shipping_time_hours
+  FROM sfact f LEFT JOIN (SELECT shipment_id, SUM(added_hours) AS added FROM adjust GROUP BY shipment_id) a
+    ON f.shipment_id = a.shipment_id
+),
+upd AS (
+  SELECT shipment_id, CAST(shipment_value + s.seq * 100 AS DECIMAL(12,2)) AS new_value, s.seq
+  FROM f1, (VALUES (1), (2)) s(seq)
+  WHERE shipment_id % 70 = 0 AND (s.seq = 1 OR shipment_id % 700 = 0)
+),
+f2 AS (
+  SELECT f.shipment_id, product_id, supplier_id, warehouse_id, order_id, date_id, shipment_date, quantity,
+         CASE WHEN u.shipment_id IS NOT NULL THEN u.nv ELSE f.shipment_value END AS shipment_value,
+         shipping_time_hours
+  FROM f1 f LEFT JOIN (SELECT shipment_id, arg_max(new_value, seq) AS nv FROM upd GROUP BY shipment_id) u
+    ON f.shipment_id = u.shipment_id
+),
+dele AS (SELECT shipment_id, 1 AS seq FROM f2 WHERE shipment_id % 90 = 0),
+f3 AS (SELECT * FROM f2 WHERE shipment_id NOT IN (SELECT shipment_id FROM dele)),
+audit AS (
+  SELECT a.shipment_id, 'UPDATE' AS operation, f.shipment_value AS old_value, f.shipment_value AS new_value,
+         a.seq, 1 AS step
+  FROM adjust a JOIN sfact f ON a.shipment_id = f.shipment_id
+  UNION ALL
+  SELECT u.shipment_id, 'UPDATE',
+         CASE WHEN u.seq = min(u.seq) OVER (PARTITION BY u.shipment_id) THEN f.shipment_value
+              ELSE lag(u.new_value) OVER (PARTITION BY u.shipment_id ORDER BY u.seq) END,
+         u.new_value, u.seq, 2
+  FROM upd u JOIN f1 f ON u.shipment_id = f.shipment_id
+  UNION ALL
+  SELECT d.shipment_id, 'DELETE', f.shipment_value, CAST(NULL AS DECIMAL(12,2)), d.seq, 3
+  FROM dele d JOIN f2 f ON d.shipment_id = f.shipment_id
+)"""
+
+FACT_COLS = ("shipment_id, product_id, supplier_id, warehouse_id, order_id, date_id, shipment_date, quantity, "
+             "CAST(shipment_value AS DOUBLE) AS shipment_value, shipping_time_hours")
+AUDIT_COLS = ("shipment_id, operation, CAST(old_value AS DOUBLE) AS old_value, "
+              "CAST(new_value AS DOUBLE) AS new_value, seq, step")
+
+
+def _rules_sql() -> str:
+    from starmart import schemas
+    parts = []
+    for c, n in schemas.VARCHAR_LIMITS["bronze.raw_transactions"].items():
+        parts.append(f"SELECT 'raw_transactions' AS table_name, '{c} length <= {n}' AS rule, "
+                     f"CAST(SUM(CASE WHEN {c} IS NOT NULL AND length({c}) > {n} THEN 1 ELSE 0 END) AS BIGINT) "
+                     f"AS violations FROM bronze")
+    for c in ["product_id", "supplier_id", "warehouse_id", "order_id", "date_id", "shipment_date",
+              "quantity", "shipment_value", "shipping_time_hours"]:
+        parts.append(f"SELECT 'fact_shipments', '{c} not null', "
+                     f"CAST(SUM(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) FROM sfact")
+    for name, expr in schemas.SHIPMENT_CHECKS.items():
+        parts.append(f"SELECT 'fact_shipments', '{name}', "
+                     f"CAST(SUM(CASE WHEN NOT COALESCE({expr}, TRUE) THEN 1 ELSE 0 END) AS BIGINT) FROM sfact")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _profile_sql() -> str:
+    cols = ["invoice_no", "stock_code", "description", "quantity", "invoice_date", "unit_price",
+            "customer_id", "country"]
+    return "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, COUNT(*) AS row_count, "
+        f"CAST(SUM(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_count, "
+        f"COUNT(DISTINCT {c}) AS distinct_count FROM bronze" for c in cols)
+
+
+def more_queries() -> dict[str, str]:
+    q = {}
+    rc = (RAW, CLEAN)
+    full = (RAW, CLEAN, STAR)
+    q["raw_standardised"] = _with(RAW, body=f"SELECT {BRONZE_COLS.replace('unit_price', 'CAST(unit_price AS DOUBLE) AS unit_price')} FROM bronze")
+    stages = {"exact_dedup": "s_dedup", "mandatory_fields": "s_required", "customer_sentinel": "s_customer",
+              "description_sentinel": "s_description", "stripped_strings": "s_stripped"}
+    for k, cte in stages.items():
+        q[k] = _stage(cte)
+    q["parsed_dates"] = _stage("s_parsed", ", invoice_ts")
+    q["date_id"] = _stage("s_dated", ", invoice_ts, date_id")
+    q["valid_price"] = _stage("s_priced", ", invoice_ts, date_id")
+    q["line_value"] = _stage("cleaned", ", invoice_ts, date_id, CAST(total_value AS DOUBLE) AS total_value")
+    q["cleaning_report"] = _with(RAW, body="""
+, g AS (SELECT invoice_no, stock_code, description, quantity, invoice_date, unit_price, customer_id, country,
+               COUNT(*) AS n FROM bronze
+        GROUP BY invoice_no, stock_code, description, quantity, invoice_date, unit_price, customer_id, country),
+ok AS (SELECT *, invoice_no IS NOT NULL AND stock_code IS NOT NULL AND unit_price IS NOT NULL AS good FROM g)
+SELECT CAST(SUM(n) AS BIGINT) AS bronze_rows, CAST(SUM(n) - COUNT(*) AS BIGINT) AS duplicates_dropped,
+  CAST(SUM(CASE WHEN NOT good THEN 1 ELSE 0 END) AS BIGINT) AS null_mandatory_dropped,
+  CAST(SUM(CASE WHEN good AND customer_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS customers_filled,
+  CAST(SUM(CASE WHEN good AND (description IS NULL OR trim(description) = '') THEN 1 ELSE 0 END) AS BIGINT) AS descriptions_filled,
+  CAST(SUM(CASE WHEN good AND unit_price <= 0 THEN 1 ELSE 0 END) AS BIGINT) AS bad_price_dropped,
+  CAST(SUM(CASE WHEN good AND unit_price > 0 THEN 1 ELSE 0 END) AS BIGINT) AS silver_rows
+FROM ok""")
+    q["silver_products"] = _with(*rc, body="SELECT * FROM silver_products")
+    q["silver_customers"] = _with(*rc, body="SELECT * FROM silver_customers")
+    q["dim_date"] = _with(*full, body="SELECT * FROM dim_date")
+    q["surrogate_keys"] = _with(*full, body="SELECT * FROM dim_products")
+    q["resolve_keys"] = _with(*full, body="""
+SELECT invoice_no, customer_id, product_id, date_id, quantity, CAST(unit_price AS DOUBLE) AS unit_price,
+       CAST(total_value AS DOUBLE) AS total_value FROM fact_sales""")
+    q["unresolved_keys"] = _with(*rc, STALE, body="""
+, r AS (
+  SELECT t.*, p.product_id, c.customer_id FROM silver_tx t
+  LEFT JOIN stale_products p ON t.stock_code = p.stock_code
+  LEFT JOIN stale_customers c ON t.raw_customer_id = c.raw_customer_id)
+SELECT 'dim_products' AS dimension, CAST(SUM(CASE WHEN product_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS unresolved_rows,
+       COUNT(DISTINCT CASE WHEN product_id IS NULL THEN stock_code END) AS unresolved_keys FROM r
+UNION ALL
+SELECT 'dim_customers', CAST(SUM(CASE WHEN customer_id IS NULL THEN 1 ELSE 0 END) AS BIGINT),
+       COUNT(DISTINCT CASE WHEN customer_id IS NULL THEN raw_customer_id END) FROM r""")
+    q["upsert_ignore"] = _with(*full, body="SELECT * FROM dim_date")
+    q["upsert_update"] = _with(*rc, STALE, body="""
+, master AS (SELECT 'P' || CAST(p_partkey AS VARCHAR) AS stock_code, p_name AS description FROM part)
+SELECT s.product_id, s.stock_code, COALESCE(m.description, s.description) AS description
+FROM stale_products s LEFT JOIN master m ON s.stock_code = m.stock_code
+UNION ALL
+SELECT CAST((SELECT max(product_id) FROM stale_products) + row_number() OVER (ORDER BY m.stock_code) AS BIGINT),
+       m.stock_code, m.description
+FROM master m WHERE m.stock_code NOT IN (SELECT stock_code FROM stale_products)""")
+    q["fk_orphans"] = _with(*full, SUPPLY, body="""
+SELECT 'fact_sales.customer_id' AS foreign_key, COUNT(*) AS orphan_rows FROM fact_sales f
+  WHERE f.customer_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_customers d WHERE d.customer_id = f.customer_id)
+UNION ALL SELECT 'fact_sales.product_id', COUNT(*) FROM fact_sales f
+  WHERE f.product_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_products d WHERE d.product_id = f.product_id)
+UNION ALL SELECT 'fact_sales.date_id', COUNT(*) FROM fact_sales f
+  WHERE f.date_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_date d WHERE d.date_id = f.date_id)
+UNION ALL SELECT 'fact_shipments.product_id', COUNT(*) FROM sfact f
+  WHERE NOT EXISTS (SELECT 1 FROM sproducts d WHERE d.product_id = f.product_id)
+UNION ALL SELECT 'fact_shipments.supplier_id', COUNT(*) FROM sfact f
+  WHERE NOT EXISTS (SELECT 1 FROM ssuppliers d WHERE d.supplier_id = f.supplier_id)
+UNION ALL SELECT 'fact_shipments.warehouse_id', COUNT(*) FROM sfact f
+  WHERE NOT EXISTS (SELECT 1 FROM swarehouses d WHERE d.warehouse_id = f.warehouse_id)
+UNION ALL SELECT 'fact_shipments.order_id', COUNT(*) FROM sfact f
+  WHERE NOT EXISTS (SELECT 1 FROM sorders d WHERE d.order_id = f.order_id)
+UNION ALL SELECT 'fact_shipments.date_id', COUNT(*) FROM sfact f
+  WHERE NOT EXISTS (SELECT 1 FROM stime d WHERE d.date_id = f.date_id)""")
+    q["duplicate_keys"] = _with(*rc, body="""
+SELECT invoice_no, stock_code, COUNT(*) AS row_count FROM silver_tx GROUP BY invoice_no, stock_code HAVING COUNT(*) > 1""")
+    q["row_rule_violations"] = _with(RAW, SUPPLY, body=_rules_sql())
+    layers = """
+, lc AS (
+  SELECT 'bronze' AS layer, COUNT(*) AS row_count FROM bronze
+  UNION ALL SELECT 'silver', COUNT(*) FROM silver_tx
+  UNION ALL SELECT 'gold', COUNT(*) FROM fact_sales)"""
+    q["layer_counts"] = _with(*full, body=layers + "\nSELECT * FROM lc")
+    q["layer_audit"] = _with(*full, body=layers + """
+, w AS (SELECT max(CASE WHEN layer = 'bronze' THEN row_count END) AS b,
+               max(CASE WHEN layer = 'silver' THEN row_count END) AS s,
+               max(CASE WHEN layer = 'gold' THEN row_count END) AS g FROM lc),
+rows AS (
+  SELECT 'bronze_rows' AS check_name, b AS value, CASE WHEN b < 500000 THEN 'ERROR' ELSE 'OK' END AS status FROM w
+  UNION ALL SELECT 'gold_rows', g, CASE WHEN g = 0 THEN 'ERROR' ELSE 'OK' END FROM w
+  UNION ALL SELECT 'bronze_to_silver_loss', b - s, CASE WHEN b - s < 0 THEN 'ERROR' ELSE 'OK' END FROM w
+  UNION ALL SELECT 'silver_to_gold_loss', s - g,
+    CASE WHEN s - g > 1000 THEN 'WARNING' WHEN s - g < 0 THEN 'ERROR' ELSE 'OK' END FROM w)
+SELECT check_name, CAST(value AS BIGINT) AS value, status FROM rows
+UNION ALL
+SELECT 'overall', CAST(NULL AS BIGINT),
+  CASE max(CASE status WHEN 'ERROR' THEN 2 WHEN 'WARNING' THEN 1 ELSE 0 END) WHEN 2 THEN 'ERROR' WHEN 1 THEN 'WARNING' ELSE 'OK' END
+FROM rows""")
+    q["table_profile"] = _with(RAW, body=_profile_sql())
+    q["snapshot_roundtrip"] = _with(RAW, body="""
+SELECT DATE '2026-02-22' AS snapshot_date, COUNT(*) AS row_count FROM bronze
+UNION ALL SELECT DATE '2026-02-23', COUNT(*) FROM bronze""")
+    q["snapshot_as_of"] = _with(RAW, body=f"SELECT {BRONZE_COLS.replace('unit_price', 'CAST(unit_price AS DOUBLE) AS unit_price')}, DATE '2026-02-22' AS snapshot_date FROM bronze")
+    q["fact_date_range"] = _with(*full, body="""
+SELECT invoice_no, customer_id, product_id, date_id, quantity, CAST(unit_price AS DOUBLE) AS unit_price,
+       CAST(total_value AS DOUBLE) AS total_value FROM fact_sales WHERE date_id BETWEEN 19970101 AND 19981231""")
+    # supply star
+    q["dim_time"] = _with(SUPPLY, body="SELECT * FROM stime")
+    q["quantity_by_category"] = _with(SUPPLY, body="""
+SELECT dp.product_category, CAST(SUM(fs.quantity) AS BIGINT) AS total_quantity
+FROM sfact fs JOIN sproducts dp ON fs.product_id = dp.product_id
+GROUP BY dp.product_category ORDER BY total_quantity DESC""")
+    q["warehouse_efficiency"] = _with(SUPPLY, body="""
+SELECT dw.warehouse_name, ROUND(CAST(SUM(fs.shipping_time_hours) AS DOUBLE) / COUNT(fs.shipping_time_hours), 2) AS avg_shipping_time_hours
+FROM sfact fs JOIN swarehouses dw ON fs.warehouse_id = dw.warehouse_id
+GROUP BY dw.warehouse_name ORDER BY avg_shipping_time_hours""")
+    q["value_by_supplier"] = _with(SUPPLY, body="""
+SELECT ds.supplier_name, CAST(ROUND(SUM(fs.shipment_value), 2) AS DOUBLE) AS total_shipment_value
+FROM sfact fs JOIN ssuppliers ds ON fs.supplier_id = ds.supplier_id
+GROUP BY ds.supplier_name ORDER BY total_shipment_value DESC""")
+    q["top_shipped_products"] = _with(SUPPLY, body="""
+SELECT dp.product_name, CAST(SUM(fs.quantity) AS BIGINT) AS total_quantity
+FROM sfact fs JOIN sproducts dp ON fs.product_id = dp.product_id
+GROUP BY dp.product_name ORDER BY total_quantity DESC, dp.product_name LIMIT 5""")
+    q["value_distribution"] = _with(SUPPLY, body="""
+SELECT dp.product_category,
+  CAST(MIN(fs.shipment_value) AS DOUBLE) AS min_shipment_value,
+  CAST(MAX(fs.shipment_value) AS DOUBLE) AS max_shipment_value,
+  ROUND(CAST(SUM(fs.shipment_value) AS DOUBLE) / COUNT(fs.shipment_value), 2) AS avg_shipment_value,
+  CAST(ROUND(SUM(fs.shipment_value), 2) AS DOUBLE) AS total_shipment_value,
+  COUNT(fs.shipment_id) AS shipment_count
+FROM sfact fs JOIN sproducts dp ON fs.product_id = dp.product_id
+GROUP BY dp.product_category ORDER BY total_shipment_value DESC""")
+    q["shipment_summary"] = _with(SUPPLY, body="""
+SELECT dp.product_category, CAST(SUM(fs.quantity) AS BIGINT) AS total_quantity,
+  ROUND(CAST(SUM(fs.shipping_time_hours) AS DOUBLE) / COUNT(fs.shipping_time_hours), 2) AS avg_shipping_time_hours,
+  CAST(ROUND(SUM(fs.shipment_value), 2) AS DOUBLE) AS total_shipment_value,
+  COUNT(fs.shipment_id) AS shipment_count
+FROM sfact fs JOIN sproducts dp ON fs.product_id = dp.product_id
+GROUP BY dp.product_category""")
+    yoy = """
+, annual AS (
+  SELECT ds.supplier_name, dt.year, SUM(fs.shipment_value) AS annual_value
+  FROM sfact fs JOIN ssuppliers ds ON fs.supplier_id = ds.supplier_id JOIN stime dt ON fs.date_id = dt.date_id
+  GROUP BY ds.supplier_name, dt.year),
+yoy AS (
+SELECT supplier_name, year,
+  CAST(ROUND(annual_value, 2) AS DOUBLE) AS current_year_value,
+  CAST(ROUND(LAG(annual_value) OVER w, 2) AS DOUBLE) AS previous_year_value,
+  CAST(ROUND(annual_value - LAG(annual_value) OVER w, 2) AS DOUBLE) AS net_change,
+  ROUND(CAST(annual_value - LAG(annual_value) OVER w AS DOUBLE)
+        / CAST(NULLIF(LAG(annual_value) OVER w, 0) AS DOUBLE) * 100, 2) AS percentage_change
+FROM annual WINDOW w AS (PARTITION BY supplier_name ORDER BY year))"""
+    q["supplier_yoy"] = _with(SUPPLY, body=yoy + "\nSELECT * FROM yoy ORDER BY supplier_name, year")
+    q["supplier_yoy_significant"] = _with(SUPPLY, body=yoy + """
+SELECT * FROM yoy WHERE abs(percentage_change) >= 10.0 ORDER BY supplier_name, year""")
+    q["shipment_value"] = _with(SUPPLY, body="""
+SELECT f.order_id, f.product_id, f.supplier_id, f.quantity, CAST(p.unit_price AS DOUBLE) AS unit_price,
+       CAST(CAST(ROUND(f.quantity * p.unit_price, 2) AS DECIMAL(12,2)) AS DOUBLE) AS shipment_value
+FROM sfact f JOIN sproducts p ON f.product_id = p.product_id""")
+    q["value_mismatch"] = _with(SUPPLY, body="""
+SELECT f.order_id, f.product_id, f.supplier_id, f.quantity, CAST(p.unit_price AS DOUBLE) AS unit_price,
+       CAST(f.shipment_value AS DOUBLE) AS shipment_value,
+       CAST(CAST(ROUND(f.quantity * p.unit_price, 2) AS DECIMAL(12,2)) AS DOUBLE) AS expected_value
+FROM sfact f JOIN sproducts p ON f.product_id = p.product_id
+WHERE abs(f.shipment_value - CAST(ROUND(f.quantity * p.unit_price, 2) AS DECIMAL(12,2))) >= 0.01""")
+    q["apply_delays"] = _with(SUPPLY, CHANGES, body=f"SELECT {FACT_COLS} FROM f1")
+    q["apply_values"] = _with(SUPPLY, CHANGES, body=f"SELECT {FACT_COLS} FROM f2")
+    q["delete_keys"] = _with(SUPPLY, CHANGES, body=f"SELECT {FACT_COLS} FROM f3")
+    q["audit_update"] = _with(SUPPLY, CHANGES, body=f"SELECT {AUDIT_COLS} FROM audit WHERE operation = 'UPDATE'")
+    q["audit_delete"] = _with(SUPPLY, CHANGES, body=f"SELECT {AUDIT_COLS} FROM audit WHERE operation = 'DELETE'")
+    q["latest_audit"] = _with(SUPPLY, CHANGES, body=f"""
+SELECT {AUDIT_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY shipment_id ORDER BY step DESC, seq DESC) AS rn FROM audit)
+WHERE rn = 1""")
+    return q
+
+
 def oracle_queries() -> dict[str, str]:
     q = {}
     q.update(retail_queries())
+    q.update(more_queries())
     return q

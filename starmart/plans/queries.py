@@ -13,10 +13,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from datetime import date
+
+from starmart.operators import changes as U
 from starmart.operators import clean as C
+from starmart.operators import dims as D
+from starmart.operators import joins as J
+from starmart.operators import quality as QC
 from starmart.plans import retail as R
+from starmart.plans import supply as SR
+from starmart.plans import supply_pipeline as SP
+from starmart.session import scratch_path
+from starmart.sources import files, layout, snapshots
 from starmart.sources import testbed as TB
 
+# Fixed values of the registered scenarios.
+STALE_BEFORE = 19980101          # dims "as of" an earlier load: rows before this date key
+SNAPSHOT_DAY = "2026-02-22"
+SNAPSHOT_NEXT_DAY = "2026-02-23"
+RANGE_LO, RANGE_HI = 19970101, 19981231
+SIGNIFICANT_PCT = 10.0
+
 
 def as_double(df: DataFrame) -> DataFrame:
     """Cast decimal columns to double for comparison with the SQL oracle."""
@@ -60,10 +77,309 @@ def q_sales_vs_returns(spark, sf_dir):
     return as_double(R.sales_vs_returns(s.fact_sales))
 
 
+
+# --- retail: cleaning steps ---------------------------------------------------------------
+
+def _stage(name):
+    def q(spark, sf_dir):
+        return as_double(C.clean_stages(TB.bronze(spark, sf_dir))[name])
+    q.__name__ = f"q_{name}"
+    return q
+
+
+def q_raw_standardised(spark, sf_dir):
+    """S1+S2: the feed written as a latin-1 CSV, read back with the pandas NA tokens,
+    names standardised, Bronze types applied."""
+    path = scratch_path(spark, "landing-csv")
+    files.write_csv(TB.raw_source(spark, sf_dir), path)
+    raw = files.read_raw_csv(spark, path)
+    return as_double(files.to_bronze_types(files.standardise_columns(raw)))
+
+
+def q_cleaning_report(spark, sf_dir):
+    return C.cleaning_report(TB.bronze(spark, sf_dir))
+
+
+def q_silver_products(spark, sf_dir):
+    return C.silver_products(C.clean(TB.bronze(spark, sf_dir)))
+
+
+def q_silver_customers(spark, sf_dir):
+    return C.silver_customers(C.clean(TB.bronze(spark, sf_dir)))
+
+
+def q_dim_date(spark, sf_dir):
+    tx, _, _ = retail_silver(spark, sf_dir)
+    return D.dim_date_from_facts(tx)
+
+
+def q_surrogate_keys(spark, sf_dir):
+    _, products, _ = retail_silver(spark, sf_dir)
+    return R.dim_products(products)
+
+
+def q_resolve_keys(spark, sf_dir):
+    return as_double(retail_star(spark, sf_dir).fact_sales)
+
+
+def _stale_silver(spark, sf_dir):
+    cleaned = C.clean(TB.bronze(spark, sf_dir))
+    early = cleaned.filter(F.col("date_id") < STALE_BEFORE)
+    return cleaned, C.silver_products(early), C.silver_customers(early)
+
+
+def q_unresolved_keys(spark, sf_dir):
+    """today's facts resolved against dimensions from an earlier load."""
+    cleaned, sp, sc = _stale_silver(spark, sf_dir)
+    resolved = (C.silver_transactions(cleaned)
+                .transform(lambda t: J.resolve_keys(t, R.dim_products(sp), "stock_code", "product_id"))
+                .transform(lambda t: J.resolve_keys(t, R.dim_customers(sc), "raw_customer_id",
+                                                    "customer_id", hot_values=[C.CUSTOMER_SENTINEL])))
+    return J.unresolved_keys(resolved, {"dim_products": ("product_id", "stock_code"),
+                                        "dim_customers": ("customer_id", "raw_customer_id")})
+
+
+def q_upsert_ignore(spark, sf_dir):
+    """Dates of an earlier load, then insert-if-absent of all dates."""
+    tx, _, _ = retail_silver(spark, sf_dir)
+    existing = D.dim_date_from_facts(tx.filter(F.col("date_id") < STALE_BEFORE))
+    return U.upsert_ignore(existing, D.dim_date_from_facts(tx), "date_id")
+
+
+def q_upsert_update(spark, sf_dir):
+    """The product dimension of an earlier load merged with the product master
+    (descriptions updated, keys kept, new products keyed after the current maximum)."""
+    _, sp, _ = _stale_silver(spark, sf_dir)
+    existing = R.dim_products(sp)
+    master = TB.table(spark, sf_dir, "part", ["p_partkey", "p_name"]).select(
+        F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("stock_code"),
+        F.col("p_name").alias("description"))
+    return U.upsert_update(existing, master, "stock_code", "product_id", ["description"])
+
+
+def q_fk_orphans(spark, sf_dir):
+    r = retail_star(spark, sf_dir)
+    s = SP.build_star(spark, sf_dir, with_ids=False)
+    f = s.fact_shipments
+    return J.fk_report([
+        ("fact_sales.customer_id", r.fact_sales, "customer_id", r.dim_customers, "customer_id"),
+        ("fact_sales.product_id", r.fact_sales, "product_id", r.dim_products, "product_id"),
+        ("fact_sales.date_id", r.fact_sales, "date_id", r.dim_date, "date_id"),
+        ("fact_shipments.product_id", f, "product_id", s.dim_products, "product_id"),
+        ("fact_shipments.supplier_id", f, "supplier_id", s.dim_suppliers, "supplier_id"),
+        ("fact_shipments.warehouse_id", f, "warehouse_id", s.dim_warehouses, "warehouse_id"),
+        ("fact_shipments.order_id", f, "order_id", s.dim_orders, "order_id"),
+        ("fact_shipments.date_id", f, "date_id", s.dim_time, "date_id"),
+    ])
+
+
+def q_duplicate_keys(spark, sf_dir):
+    """Q2 on the catalog's stated grain (invoice, product), which is not a key."""
+    tx, _, _ = retail_silver(spark, sf_dir)
+    return QC.check_unique(tx, ["invoice_no", "stock_code"])
+
+
+def q_row_rule_violations(spark, sf_dir):
+    b = QC.check_rows(TB.bronze(spark, sf_dir), QC.retail_bronze_rules(), "raw_transactions")
+    f = QC.check_rows(TB.supply_fact_shipments(spark, sf_dir), QC.shipment_rules(), "fact_shipments")
+    return b.unionByName(f)
+
+
+def _layers(spark, sf_dir):
+    bronze = TB.bronze(spark, sf_dir)
+    cleaned = C.clean(bronze)
+    tx = C.silver_transactions(cleaned)
+    fact = R.fact_sales(tx, R.dim_products(C.silver_products(cleaned)),
+                        R.dim_customers(C.silver_customers(cleaned)))
+    return QC.layer_counts(bronze, tx, fact)
+
+
+def q_layer_counts(spark, sf_dir):
+    return _layers(spark, sf_dir)
+
+
+def q_layer_audit(spark, sf_dir):
+    return QC.audit_layers(_layers(spark, sf_dir))
+
+
+def q_table_profile(spark, sf_dir):
+    return QC.profile(TB.bronze(spark, sf_dir))
+
+
+def q_snapshot_roundtrip(spark, sf_dir):
+    """Two runs on one day and one on the next leave one copy per day."""
+    path = scratch_path(spark, "archive")
+    bronze = TB.bronze(spark, sf_dir)
+    snapshots.snapshot(bronze, path, SNAPSHOT_DAY)
+    snapshots.snapshot(bronze, path, SNAPSHOT_DAY)
+    snapshots.snapshot(bronze, path, SNAPSHOT_NEXT_DAY)
+    return (spark.read.parquet(path).groupBy("snapshot_date")
+            .agg(F.count(F.lit(1)).alias("row_count")))
+
+
+def q_snapshot_as_of(spark, sf_dir):
+    path = scratch_path(spark, "archive")
+    bronze = TB.bronze(spark, sf_dir)
+    snapshots.snapshot(bronze, path, SNAPSHOT_DAY)
+    snapshots.snapshot(bronze.filter(F.col("quantity") > 0), path, SNAPSHOT_NEXT_DAY)
+    out = snapshots.read_snapshot(spark, path, SNAPSHOT_DAY).drop("snapshot_id")
+    return as_double(out)
+
+
+def q_fact_date_range(spark, sf_dir):
+    path = scratch_path(spark, "fact-by-year")
+    layout.write_fact_by_year(retail_star(spark, sf_dir).fact_sales, path)
+    return as_double(layout.scan_date_range(spark, path, RANGE_LO, RANGE_HI).drop("sale_year"))
+
+
+# --- supply -------------------------------------------------------------------------------
+
+def _supply(spark, sf_dir):
+    return SP.build_star(spark, sf_dir, with_ids=False)
+
+
+def q_quantity_by_category(spark, sf_dir):
+    s = _supply(spark, sf_dir)
+    return SR.quantity_by_category(s.fact_shipments, s.dim_products)
+
+
+def q_warehouse_efficiency(spark, sf_dir):
+    s = _supply(spark, sf_dir)
+    return SR.warehouse_efficiency(s.fact_shipments, s.dim_warehouses)
+
+
+def q_value_by_supplier(spark, sf_dir):
+    s = _supply(spark, sf_dir)
+    return as_double(SR.value_by_supplier(s.fact_shipments, s.dim_suppliers))
+
+
+def q_top_shipped_products(spark, sf_dir):
+    s = _supply(spark, sf_dir)
+    return SR.top_shipped_products(s.fact_shipments, s.dim_products)
+
+
+def q_value_distribution(spark, sf_dir):
+    s = _supply(spark, sf_dir)
+    return as_double(SR.value_distribution(s.fact_shipments, s.dim_products))
+
+
+def q_shipment_summary(spark, sf_dir):
+    s = _supply(spark, sf_dir)
+    return as_double(SR.shipment_summary(s.fact_shipments, s.dim_products))
+
+
+def q_supplier_yoy(spark, sf_dir):
+    s = _supply(spark, sf_dir)
+    return as_double(SR.supplier_yoy(s.fact_shipments, s.dim_suppliers, s.dim_time))
+
+
+def q_supplier_yoy_significant(spark, sf_dir):
+    s = _supply(spark, sf_dir)
+    return as_double(SR.supplier_yoy(s.fact_shipments, s.dim_suppliers, s.dim_time,
+                                     min_abs_pct=SIGNIFICANT_PCT))
+
+
+def q_dim_time(spark, sf_dir):
+    return _supply(spark, sf_dir).dim_time
+
+
+def q_shipment_value(spark, sf_dir):
+    """P10: the consistent measure, round(quantity * unit price, 2), for every shipment."""
+    s = _supply(spark, sf_dir)
+    p = s.dim_products.select("product_id", "unit_price")
+    from starmart.functions.money import shipment_value
+    out = s.fact_shipments.join(p, "product_id").select(
+        "order_id", "product_id", "supplier_id", "quantity", "unit_price",
+        shipment_value("quantity", "unit_price").alias("shipment_value"))
+    return as_double(out)
+
+
+def q_value_mismatch(spark, sf_dir):
+    s = _supply(spark, sf_dir)
+    out = J.value_mismatch(s.fact_shipments, s.dim_products).select(
+        "order_id", "product_id", "supplier_id", "quantity", "unit_price", "shipment_value",
+        "expected_value")
+    return as_double(out)
+
+
+def _batch(spark, sf_dir):
+    return SP.apply_change_batch(SP.fact_with_ids(spark, sf_dir))
+
+
+def q_apply_delays(spark, sf_dir):
+    return as_double(_batch(spark, sf_dir).after_delays)
+
+
+def q_apply_values(spark, sf_dir):
+    return as_double(_batch(spark, sf_dir).after_values)
+
+
+def q_delete_keys(spark, sf_dir):
+    return as_double(_batch(spark, sf_dir).after_deletes)
+
+
+def q_audit_update(spark, sf_dir):
+    return as_double(_batch(spark, sf_dir).audit.filter(F.col("operation") == "UPDATE"))
+
+
+def q_audit_delete(spark, sf_dir):
+    return as_double(_batch(spark, sf_dir).audit.filter(F.col("operation") == "DELETE"))
+
+
+def q_latest_audit(spark, sf_dir):
+    return as_double(U.latest_change(_batch(spark, sf_dir).audit))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    # retail reports
     "top_products": q_top_products,
     "monthly_revenue": q_monthly_revenue,
     "revenue_by_country": q_revenue_by_country,
     "top_customers": q_top_customers,
     "sales_vs_returns": q_sales_vs_returns,
+    # retail ingest and cleaning
+    "raw_standardised": q_raw_standardised,
+    **{n: _stage(n) for n in ["exact_dedup", "mandatory_fields", "customer_sentinel",
+                              "description_sentinel", "stripped_strings", "parsed_dates",
+                              "date_id", "valid_price", "line_value"]},
+    "cleaning_report": q_cleaning_report,
+    "silver_products": q_silver_products,
+    "silver_customers": q_silver_customers,
+    # dims, keys, joins, upserts
+    "dim_date": q_dim_date,
+    "surrogate_keys": q_surrogate_keys,
+    "resolve_keys": q_resolve_keys,
+    "unresolved_keys": q_unresolved_keys,
+    "upsert_ignore": q_upsert_ignore,
+    "upsert_update": q_upsert_update,
+    # quality
+    "fk_orphans": q_fk_orphans,
+    "duplicate_keys": q_duplicate_keys,
+    "row_rule_violations": q_row_rule_violations,
+    "layer_counts": q_layer_counts,
+    "layer_audit": q_layer_audit,
+    "table_profile": q_table_profile,
+    # storage layouts
+    "snapshot_roundtrip": q_snapshot_roundtrip,
+    "snapshot_as_of": q_snapshot_as_of,
+    "fact_date_range": q_fact_date_range,
+    # supply star
+    "dim_time": q_dim_time,
+    "quantity_by_category": q_quantity_by_category,
+    "warehouse_efficiency": q_warehouse_efficiency,
+    "value_by_supplier": q_value_by_supplier,
+    "top_shipped_products": q_top_shipped_products,
+    "value_distribution": q_value_distribution,
+    "shipment_summary": q_shipment_summary,
+    "supplier_yoy": q_supplier_yoy,
+    "supplier_yoy_significant": q_supplier_yoy_significant,
+    "shipment_value": q_shipment_value,
+    "value_mismatch": q_value_mismatch,
+    # changes and audit
+    "apply_delays": q_apply_delays,
+    "apply_values": q_apply_values,
+    "delete_keys": q_delete_keys,
+    "audit_update": q_audit_update,
+    "audit_delete": q_audit_delete,
+    "latest_audit": q_latest_audit,
 }

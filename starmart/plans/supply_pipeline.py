@@ -1,0 +1,111 @@
+"""R2: supply-chain star load, reports, keyed changes and their audit log.
+
+The change scenario used by the registered queries is derived from the fact itself:
+delays for every 50th shipment id (every 500th twice), value corrections for every 70th
+(every 700th twice, chained), deletions for every 90th. Every shipment row is read and
+rewritten by each step; nothing is sampled.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from starmart.operators import changes as U
+from starmart.operators.dims import assign_keys, calendar
+from starmart.sources import testbed as TB
+from starmart.sources import versions
+
+# Fixed values of the change scenario.
+DELAY_EVERY, DELAY_TWICE_EVERY, DELAY_HOURS = 50, 500, 24
+VALUE_EVERY, VALUE_TWICE_EVERY, VALUE_STEP = 70, 700, 100
+DELETE_EVERY = 90
+
+
+@dataclass
+class SupplyStar:
+    dim_time: DataFrame
+    dim_products: DataFrame
+    dim_suppliers: DataFrame
+    dim_warehouses: DataFrame
+    dim_orders: DataFrame
+    fact_shipments: DataFrame
+
+
+def fact_with_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shipment fact with surrogate ids (K1 over the full order-line row)."""
+    lines = TB.shipment_lines(spark, sf_dir)
+    keyed = assign_keys(lines, TB.LINEITEM_COLUMNS, "shipment_id")
+    return TB.shipments_from_lines(keyed, keep=["shipment_id"])
+
+
+def build_star(spark: SparkSession, sf_dir: str, with_ids: bool = True) -> SupplyStar:
+    fact = fact_with_ids(spark, sf_dir) if with_ids else TB.supply_fact_shipments(spark, sf_dir)
+    return SupplyStar(
+        dim_time=calendar(TB.shipment_date_bounds(spark, sf_dir)),
+        dim_products=TB.supply_dim_products(spark, sf_dir),
+        dim_suppliers=TB.supply_dim_suppliers(spark, sf_dir),
+        dim_warehouses=TB.supply_dim_warehouses(spark, sf_dir),
+        dim_orders=TB.supply_dim_orders(spark, sf_dir),
+        fact_shipments=fact,
+    )
+
+
+def delay_adjustments(fact: DataFrame) -> DataFrame:
+    sid = F.col("shipment_id")
+    return fact.filter(sid % DELAY_EVERY == 0).select(
+        "shipment_id", F.lit(DELAY_HOURS).alias("added_hours"),
+        F.explode(F.sequence(F.lit(1), F.when(sid % DELAY_TWICE_EVERY == 0, 2).otherwise(1))).alias("seq"))
+
+
+def value_updates(fact: DataFrame) -> DataFrame:
+    sid = F.col("shipment_id")
+    steps = F.sequence(F.lit(1), F.when(sid % VALUE_TWICE_EVERY == 0, 2).otherwise(1))
+    return (fact.filter(sid % VALUE_EVERY == 0)
+            .select("shipment_id", "shipment_value", F.explode(steps).alias("seq"))
+            .select("shipment_id", (F.col("shipment_value") + F.col("seq") * VALUE_STEP)
+                    .cast("decimal(12,2)").alias("new_value"), "seq"))
+
+
+def deletions(fact: DataFrame) -> DataFrame:
+    return fact.filter(F.col("shipment_id") % DELETE_EVERY == 0).select(
+        "shipment_id", F.lit(1).alias("seq"))
+
+
+@dataclass
+class ChangeBatch:
+    after_delays: DataFrame
+    after_values: DataFrame
+    after_deletes: DataFrame
+    audit: DataFrame  # shipment_id, operation, old_value, new_value, seq, step
+
+
+def apply_change_batch(fact: DataFrame) -> ChangeBatch:
+    adj = delay_adjustments(fact)
+    f1 = U.apply_delays(fact, adj)
+    upd = value_updates(f1)
+    f2 = U.apply_values(f1, upd)
+    dele = deletions(f2)
+    f3 = U.delete_keys(f2, dele)
+    a1 = U.audit_updates(fact, adj.select("shipment_id", "seq")).withColumn("step", F.lit(1))
+    a2 = U.audit_updates(f1, upd, new="new_value").withColumn("step", F.lit(2))
+    a3 = U.audit_deletes(f2, dele).withColumn("step", F.lit(3))
+    return ChangeBatch(f1, f2, f3, a1.unionByName(a2).unionByName(a3))
+
+
+def run_supply(spark: SparkSession, sf_dir: str, root: str,
+               changed_at: datetime | None = None, changed_by: str | None = None) -> dict:
+    """Load the star, apply one change batch, append its audit rows."""
+    star = build_star(spark, sf_dir)
+    for name in ("dim_time", "dim_products", "dim_suppliers", "dim_warehouses", "dim_orders"):
+        getattr(star, name).write.mode("overwrite").parquet(f"{root}/{name}")
+    versions.write_version(star.fact_shipments, f"{root}/fact_shipments")
+    before = versions.read_current(spark, f"{root}/fact_shipments")
+    batch = apply_change_batch(before)
+    versions.write_version(batch.after_deletes, f"{root}/fact_shipments")
+    U.stamp_audit(batch.audit, changed_at, changed_by).write.mode("append") \
+        .parquet(f"{root}/shipment_audit_log")
+    return {"fact_version": versions.current_version(spark, f"{root}/fact_shipments")}

@@ -134,9 +134,10 @@ def shipment_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem", LINEITEM_COLUMNS)
 
 
-def shipments_from_lines(lines: DataFrame) -> DataFrame:
-    """Shipment measures of the fact, without the surrogate ``shipment_id``."""
+def shipments_from_lines(lines: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Shipment columns of the fact (``keep`` passes e.g. ``shipment_id`` through)."""
     return lines.select(
+        *(keep or []),
         F.col("l_partkey").alias("product_id"),
         F.col("l_suppkey").alias("supplier_id"),
         (F.col("l_orderkey") % WAREHOUSES).alias("warehouse_id"),
