@@ -82,7 +82,6 @@ def shared_root(spark: SparkSession) -> str:
         # Spark appends a per-application folder; keep our tables next to it.
         return os.path.dirname(current.rstrip("/")).replace("file:", "", 1) or current
     local = tempfile.mkdtemp(prefix="starmart-")
-    spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
     return local
 
