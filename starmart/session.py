@@ -72,17 +72,21 @@ def shared_root(spark: SparkSession) -> str:
     created and registered as the checkpoint directory.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session: the server owns the checkpoint dir
+        sc = None
     if configured:
-        if not sc.getCheckpointDir():
+        if sc is not None and not sc.getCheckpointDir():
             sc.setCheckpointDir(configured)
         return configured.rstrip("/")
-    current = sc.getCheckpointDir()
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         # Spark appends a per-application folder; keep our tables next to it.
         return os.path.dirname(current.rstrip("/")).replace("file:", "", 1) or current
     local = tempfile.mkdtemp(prefix="starmart-")
-    sc.setCheckpointDir(local)
+    if sc is not None:
+        sc.setCheckpointDir(local)
     return local
 
 
