@@ -64,7 +64,7 @@ def transform(spark: SparkSession, root: str) -> dict:
     return obs.get
 
 
-def load(spark: SparkSession, root: str) -> None:
+def load(spark: SparkSession, root: str, batch_id: str | None = None) -> None:
     """Silver -> Gold: merge dims (type 1, stable keys), insert new dates, rebuild fact."""
     p = paths(root)
     tx = files.read_table(spark, p["silver_tx"], "silver.transactions")
@@ -88,7 +88,10 @@ def load(spark: SparkSession, root: str) -> None:
                                                new_dates, "date_id"), p["dim_date"])
     dp = versions.read_current(spark, p["dim_products"])
     dc = versions.read_current(spark, p["dim_customers"])
-    fact = R.fact_sales(tx, dp, dc)
+    # sales_id: unique and increasing (gaps allowed, like SERIAL), assigned inside the
+    # write job without a global ordering; load columns are one literal per batch.
+    fact = files.stamp_batch(R.fact_sales(tx, dp, dc), batch_id=batch_id)
+    fact = fact.select(F.monotonically_increasing_id().alias("sales_id"), *fact.columns)
     v = (versions.current_version(spark, p["fact_sales"]) or 0) + 1
     layout.write_fact_by_year(fact, f"{p['fact_sales']}/v={v}")
     spark.range(1).select(F.lit(v).alias("version")).coalesce(1) \
@@ -105,8 +108,9 @@ def monitor(spark: SparkSession, root: str) -> list[dict]:
 def run_retail(spark: SparkSession, csv_path: str, root: str, run_date: date | None = None,
                batch_id: str | None = None) -> dict:
     run_date = run_date or date.today()
-    ingest(spark, csv_path, root, batch_id or str(uuid.uuid4()))
+    batch_id = batch_id or str(uuid.uuid4())
+    ingest(spark, csv_path, root, batch_id)
     take_snapshot(spark, root, run_date)
     metrics = transform(spark, root)
-    load(spark, root)
+    load(spark, root, batch_id)
     return {"cleaning": metrics, "audit": monitor(spark, root)}

@@ -2,6 +2,8 @@
 
 from datetime import date
 
+from pyspark.sql import functions as F
+
 from starmart.plans import retail_pipeline as RP
 from starmart.plans import supply_pipeline as SP
 from starmart.sources import files, versions
@@ -23,6 +25,9 @@ def test_retail_job_rerun_is_idempotent(spark, tmp_root):
     assert checks["gold_rows"]["value"] == m["silver_rows"]
     p = RP.paths(f"{tmp_root}/wh")
     assert spark.read.parquet(p["archive"]).count() == m["bronze_rows"]  # one snapshot copy
+    fact = versions.read_current(spark, p["fact_sales"])
+    assert fact.select("sales_id").distinct().count() == fact.count()
+    assert fact.select("batch_id").distinct().count() == 1
     # keys stay stable across runs
     dp1 = spark.read.parquet(f"{p['dim_products']}/v=1")
     dp2 = versions.read_current(spark, p["dim_products"])
@@ -37,3 +42,13 @@ def test_supply_job(spark, tmp_root):
     deleted = before.count() - after.count()
     assert deleted == log.filter("operation = 'DELETE'").count() > 0
     assert log.filter("changed_by is null or changed_at is null").count() == 0
+
+
+def test_append_mode_rerun_replaces_the_day(spark, tmp_root):
+    df = spark.range(5).withColumn("v", F.lit(1))
+    path = f"{tmp_root}/fact"
+    files.write_fact(df, path, "append", run_date="2026-02-22")
+    files.write_fact(df, path, "append", run_date="2026-02-22")
+    files.write_fact(df.limit(2), path, "append", run_date="2026-02-23")
+    counts = {str(r["run_date"]): r["count"] for r in spark.read.parquet(path).groupBy("run_date").count().collect()}
+    assert counts == {"2026-02-22": 5, "2026-02-23": 2}
