@@ -79,12 +79,13 @@ def shipment_summary(fact: DataFrame, products: DataFrame) -> DataFrame:
 def supplier_annual_values(fact: DataFrame, suppliers: DataFrame, dim_time: DataFrame) -> DataFrame:
     """The CTE: shipment value per supplier name and calendar year (J2: two dims).
 
-    The fact is first reduced to one row per (supplier, day); the calendar is bounded
-    by the number of days, so it is broadcast; the supplier join then sees one row per
-    supplier and year."""
-    per = fact.groupBy("supplier_id", "date_id").agg(F.sum("shipment_value").alias("_v"))
+    The calendar is bounded by the number of days, so it is broadcast: the join is a
+    narrow map-side lookup and the partial aggregate per (supplier, year) follows it in
+    the same stage, so the fact crosses one exchange only, already reduced. The supplier
+    join then sees one row per supplier and year."""
     t = F.broadcast(dim_time.select("date_id", "year"))
-    per_year = per.join(t, "date_id").groupBy("supplier_id", "year").agg(F.sum("_v").alias("_v"))
+    per_year = (fact.select("supplier_id", "date_id", "shipment_value").join(t, "date_id")
+                .groupBy("supplier_id", "year").agg(F.sum("shipment_value").alias("_v")))
     j = per_year.join(suppliers.select("supplier_id", "supplier_name"), "supplier_id")
     return j.groupBy("supplier_name", "year").agg(F.sum("_v").alias("annual_value"))
 

@@ -71,7 +71,7 @@ def main():
     args = sys.argv[1:]
     sf_dir = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     names = [a for a in args if not a.startswith("/")]
-    spark = build_session("local[8]", 8)
+    spark = build_session("local[8]", 8, extra={"spark.driver.memory": "8g"})
     con = duckdb.connect()
     for t in TABLES:
         p = f"{sf_dir}/{t}.parquet"

@@ -128,3 +128,12 @@ def test_salted_lookup_matches_plain_join(spark):
     plain = J.resolve_keys(facts, dim, "nk", "sk")
     assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, plain.collect()))
     assert salted.filter("sk is null").count() == 2000 // 3 * 0 + plain.filter("sk is null").count()
+
+
+def test_missing_dimension_key_is_kept_and_reported(spark):
+    facts = spark.createDataFrame([("A", 1), ("Z", 2)], "stock_code string, q int")
+    dim = spark.createDataFrame([("A", 10)], "stock_code string, product_id long")
+    resolved = J.resolve_keys(facts, dim, "stock_code", "product_id")
+    assert resolved.count() == 2 and resolved.filter("product_id is null").count() == 1
+    rep = J.unresolved_keys(resolved, {"dim_products": ("product_id", "stock_code")}).first()
+    assert (rep["unresolved_rows"], rep["unresolved_keys"]) == (1, 1)
