@@ -22,7 +22,7 @@ from starmart.operators import joins as J
 from starmart.operators import quality as QC
 from starmart.plans import retail as R
 from starmart.plans import supply as SR
-from starmart.plans import supply_pipeline as SP
+from starmart.plans import supply_job as SP
 from starmart.session import scratch_path
 from starmart.sources import files, layout, snapshots
 from starmart.sources import testbed as TB

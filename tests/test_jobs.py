@@ -4,8 +4,8 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from starmart.plans import retail_pipeline as RP
-from starmart.plans import supply_pipeline as SP
+from starmart.plans import retail_job as RP
+from starmart.plans import supply_job as SP
 from starmart.sources import files, versions
 from starmart.sources import testbed as TB
 

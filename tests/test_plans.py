@@ -49,7 +49,7 @@ def test_reports_aggregate_before_the_dimension_join(spark):
 
 
 def test_calendar_is_broadcast_in_year_over_year(spark):
-    from starmart.plans import supply_pipeline as SP
+    from starmart.plans import supply_job as SP
     s = SP.build_star(spark, SF, with_ids=False)
     df = SR.supplier_yoy(s.fact_shipments, s.dim_suppliers, s.dim_time)
     df.collect()
