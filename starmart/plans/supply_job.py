@@ -75,6 +75,11 @@ def deletions(fact: DataFrame) -> DataFrame:
         "shipment_id", F.lit(1).alias("seq"))
 
 
+def apply_change_batch_one_pass(fact: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The same batch as :func:`apply_change_batch`, rewriting the fact once."""
+    return U.apply_batch(fact, delay_adjustments(fact), value_updates(fact), deletions(fact))
+
+
 @dataclass
 class ChangeBatch:
     after_delays: DataFrame
@@ -104,8 +109,8 @@ def run_supply(spark: SparkSession, sf_dir: str, root: str,
         getattr(star, name).write.mode("overwrite").parquet(f"{root}/{name}")
     versions.write_version(star.fact_shipments, f"{root}/fact_shipments")
     before = versions.read_current(spark, f"{root}/fact_shipments")
-    batch = apply_change_batch(before)
-    versions.write_version(batch.after_deletes, f"{root}/fact_shipments")
-    U.stamp_audit(batch.audit, changed_at, changed_by).write.mode("append") \
+    after, audit = apply_change_batch_one_pass(before)
+    versions.write_version(after, f"{root}/fact_shipments")
+    U.stamp_audit(audit, changed_at, changed_by).write.mode("append") \
         .parquet(f"{root}/shipment_audit_log")
     return {"fact_version": versions.current_version(spark, f"{root}/fact_shipments")}

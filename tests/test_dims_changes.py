@@ -117,3 +117,14 @@ def test_latest_change(spark):
     a = spark.createDataFrame([(1, "UPDATE", 1, 1), (1, "UPDATE", 2, 2), (1, "DELETE", 1, 3)],
                               "shipment_id long, operation string, seq int, step int")
     assert U.latest_change(a).first()["operation"] == "DELETE"
+
+
+def test_one_pass_batch_equals_sequential(spark):
+    from starmart.plans import supply_job as SP
+    fact = SP.fact_with_ids(spark, "/root/testdata/sf0.001")
+    seq = SP.apply_change_batch(fact)
+    after, audit = SP.apply_change_batch_one_pass(fact)
+    assert sorted(map(tuple, after.collect())) == sorted(map(tuple, seq.after_deletes.select(*after.columns).collect()))
+    cols = ["shipment_id", "operation", "old_value", "new_value", "seq", "step"]
+    assert sorted(map(tuple, audit.select(*cols).collect())) == sorted(map(tuple, seq.audit.select(*cols).collect()))
+    assert audit.filter("step = 2").count() > 0 and audit.filter("step = 3").count() > 0
