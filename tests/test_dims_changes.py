@@ -128,3 +128,15 @@ def test_one_pass_batch_equals_sequential(spark):
     cols = ["shipment_id", "operation", "old_value", "new_value", "seq", "step"]
     assert sorted(map(tuple, audit.select(*cols).collect())) == sorted(map(tuple, seq.audit.select(*cols).collect()))
     assert audit.filter("step = 2").count() > 0 and audit.filter("step = 3").count() > 0
+
+
+def test_assign_keys_edge_cases(spark):
+    empty = spark.createDataFrame([], "nk string")
+    assert D.assign_keys(empty, "nk", "sk").count() == 0
+    existing = spark.createDataFrame([(5, "a")], "sk long, nk string")
+    same = spark.createDataFrame([("a",)], "nk string")
+    out = D.assign_keys(same, "nk", "sk", existing).collect()
+    assert [(r["sk"], r["nk"]) for r in out] == [(5, "a")]
+    none_yet = spark.createDataFrame([], "sk long, nk string")
+    out = sorted((r["sk"], r["nk"]) for r in D.assign_keys(same, "nk", "sk", none_yet).collect())
+    assert out == [(1, "a")]
