@@ -90,3 +90,11 @@ def assign_keys(members: DataFrame, natural: str | list[str], key: str,
     if existing is None or not include_existing:
         return keyed
     return existing.unionByName(keyed, allowMissingColumns=True)
+
+
+def with_serial(df: DataFrame, column: str, start: int = 1) -> DataFrame:
+    """A SERIAL-like id for rows appended to a log: unique and increasing from ``start``,
+    gaps allowed. Assigned inside the writing job (no ordering, no shuffle); the ids of a
+    recomputed task are the same because its input order is."""
+    return df.select((F.lit(start).cast("long") + F.monotonically_increasing_id()).alias(column),
+                     *df.columns)

@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.operators import changes as U
-from starmart.operators.dims import assign_keys, calendar
+from starmart.operators.dims import assign_keys, calendar, with_serial
 from starmart.sources import testbed as TB
-from starmart.sources import versions
+from starmart.sources import files, versions
 
 # Fixed values of the change scenario.
 DELAY_EVERY, DELAY_TWICE_EVERY, DELAY_HOURS = 50, 500, 24
@@ -111,6 +111,10 @@ def run_supply(spark: SparkSession, sf_dir: str, root: str,
     before = versions.read_current(spark, f"{root}/fact_shipments")
     after, audit = apply_change_batch_one_pass(before)
     versions.write_version(after, f"{root}/fact_shipments")
-    U.stamp_audit(audit, changed_at, changed_by).write.mode("append") \
-        .parquet(f"{root}/shipment_audit_log")
+    log = f"{root}/shipment_audit_log"
+    start = 1
+    if files.table_exists(spark, log):
+        start = (spark.read.parquet(log).agg(F.max("audit_id")).first()[0] or 0) + 1
+    with_serial(U.stamp_audit(audit, changed_at, changed_by), "audit_id", start) \
+        .write.mode("append").parquet(log)
     return {"fact_version": versions.current_version(spark, f"{root}/fact_shipments")}

@@ -42,6 +42,11 @@ def test_supply_job(spark, tmp_root):
     deleted = before.count() - after.count()
     assert deleted == log.filter("operation = 'DELETE'").count() > 0
     assert log.filter("changed_by is null or changed_at is null").count() == 0
+    # a second batch appends with ids after the first batch's
+    n1 = log.count()
+    SP.run_supply(spark, SF, tmp_root)
+    log = spark.read.parquet(f"{tmp_root}/shipment_audit_log")
+    assert log.count() > n1 and log.select("audit_id").distinct().count() == log.count()
 
 
 def test_append_mode_rerun_replaces_the_day(spark, tmp_root):
