@@ -104,9 +104,10 @@ def lag_within_key(df: DataFrame, key: str, order: str, value: str, out: str,
     the same key. The per-partition last rows are one row per partition (a bounded,
     broadcast lookup). Adds ``out`` and ``{out}_is_first`` (first row of its key)."""
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     shared_root(spark)
-    r = (df.repartitionByRange(n, key, order).sortWithinPartitions(key, order)
+    r = df.repartitionByRange(num_partitions, key, order) if num_partitions \
+        else df.repartitionByRange(key, order)  # AQE sizes the ranges from the data
+    r = (r.sortWithinPartitions(key, order)
          .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
     ends = (r.groupBy("_pid")
             .agg(F.max_by(F.struct(F.col(key).alias("_k"), F.col(value).alias("_v")),

@@ -69,10 +69,13 @@ def assign_keys(members: DataFrame, natural: str | list[str], key: str,
         new = members
         base = start or 0
 
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     shared_root(spark)  # make sure a (shared) checkpoint folder is set
-    ranged = (new.repartitionByRange(n, *nat)
-              .sortWithinPartitions(*nat)
+    # Without an explicit count AQE sizes the range partitions from the data; partition
+    # ids and positions are taken after that (coalesced) read and checkpointed together,
+    # so the offsets below always match the rows they were counted from.
+    ranged = (new.repartitionByRange(num_partitions, *nat) if num_partitions
+              else new.repartitionByRange(*nat))
+    ranged = (ranged.sortWithinPartitions(*nat)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_rid", F.monotonically_increasing_id())
               .checkpoint(eager=True))

@@ -96,6 +96,8 @@ def load(spark: SparkSession, root: str, batch_id: str | None = None) -> None:
     layout.write_fact_by_year(fact, f"{p['fact_sales']}/v={v}")
     spark.range(1).select(F.lit(v).alias("version")).coalesce(1) \
         .write.mode("overwrite").json(f"{p['fact_sales']}/_current")
+    for name in ("dim_products", "dim_customers", "dim_date", "fact_sales"):
+        versions.vacuum(spark, p[name], keep=2)
 
 
 def monitor(spark: SparkSession, root: str) -> list[dict]:

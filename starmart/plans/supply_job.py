@@ -111,6 +111,7 @@ def run_supply(spark: SparkSession, sf_dir: str, root: str,
     before = versions.read_current(spark, f"{root}/fact_shipments")
     after, audit = apply_change_batch_one_pass(before)
     versions.write_version(after, f"{root}/fact_shipments")
+    versions.vacuum(spark, f"{root}/fact_shipments", keep=2)
     log = f"{root}/shipment_audit_log"
     start = 1
     if files.table_exists(spark, log):

@@ -86,6 +86,9 @@ def test_versions_pointer(spark, tmp_root):
     v = versions.read_current(spark, root)
     versions.write_version(v.filter("id > 0"), root)  # rewrite from the current version
     assert versions.current_version(spark, root) == 2 and versions.read_current(spark, root).count() == 2
+    versions.write_version(versions.read_current(spark, root).filter("id > 1"), root)
+    assert versions.vacuum(spark, root, keep=2) == [1]
+    assert versions.read_current(spark, root).count() == 1
 
 
 def test_tables_exist_and_reset(spark, tmp_root):
