@@ -17,14 +17,17 @@ def with_sale_year(df: DataFrame, date_id_column: str = "date_id") -> DataFrame:
     return df.withColumn("sale_year", (F.col(date_id_column) / 10000).cast("int"))
 
 
-def write_fact_by_year(df: DataFrame, path: str, date_id_column: str = "date_id") -> None:
-    """Write the fact partitioned by year; each year folder is rewritten as a whole."""
+def write_fact_by_year(df: DataFrame, path: str, date_id_column: str = "date_id",
+                       dynamic: bool = True) -> None:
+    """Write the fact partitioned by year. ``dynamic``: only the years present in ``df``
+    are replaced (reloading some years of a live table); otherwise the folder is replaced
+    as a whole (a fresh version folder, where a failed attempt's files must not stay)."""
     # no shuffle: each task sorts its own rows by (year, date) and writes one file per
     # year it holds, sorted by date_id for row-group skipping. With tasks of a few GB and
     # a handful of years the files stay large; a hot year costs nothing extra.
     (with_sale_year(df, date_id_column)
      .sortWithinPartitions("sale_year", date_id_column)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if dynamic else "static")
      .partitionBy("sale_year").parquet(path))
 
 

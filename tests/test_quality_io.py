@@ -140,3 +140,12 @@ def test_missing_dimension_key_is_kept_and_reported(spark):
     assert resolved.count() == 2 and resolved.filter("product_id is null").count() == 1
     rep = J.unresolved_keys(resolved, {"dim_products": ("product_id", "stock_code")}).first()
     assert (rep["unresolved_rows"], rep["unresolved_keys"]) == (1, 1)
+
+
+def test_version_write_replaces_a_dead_attempt(spark, tmp_root):
+    root = f"{tmp_root}/t"
+    versions.write_version(spark.range(3), root)
+    spark.range(100).write.parquet(f"{root}/v=2")  # left by an attempt that died before the pointer moved
+    assert versions.read_current(spark, root).count() == 3
+    versions.write_version(spark.range(5), root)
+    assert versions.current_version(spark, root) == 2 and versions.read_current(spark, root).count() == 5
