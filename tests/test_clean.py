@@ -143,3 +143,13 @@ def test_observed_metrics_match_report(spark):
     for k in ("bronze_rows", "duplicates_dropped", "null_mandatory_dropped", "customers_filled",
               "descriptions_filled", "bad_price_dropped", "silver_rows"):
         assert m[k] == rep[k], k
+
+
+def test_net_equals_gross_minus_returns(spark):
+    from starmart.plans import retail as R
+    from starmart.plans.queries import retail_star
+    s = retail_star(spark, "/root/testdata/sf0.01")
+    r = R.sales_vs_returns(s.fact_sales).first()
+    assert r["net_revenue"] == r["gross_sales"] - r["total_returns"]
+    assert (float(r["gross_sales"]), float(r["total_returns"]), float(r["net_revenue"])) == \
+        (893633964.00, 447097597.30, 446536366.70)
