@@ -153,3 +153,16 @@ def test_net_equals_gross_minus_returns(spark):
     assert r["net_revenue"] == r["gross_sales"] - r["total_returns"]
     assert (float(r["gross_sales"]), float(r["total_returns"]), float(r["net_revenue"])) == \
         (893633964.00, 447097597.30, 446536366.70)
+
+
+def test_known_answers_sf001(spark):
+    from starmart.plans import queries as Q
+    d = "/root/testdata/sf0.01"
+    top = Q.q_top_products(spark, d).first()
+    assert (top["stock_code"], top["description"], top["total_revenue"]) == ("P982", "cold anvil", 806545.60)
+    cust = Q.q_top_customers(spark, d).first()
+    assert (cust["raw_customer_id"], cust["total_spend"]) == ("219", 1115268.50)
+    shipped = Q.q_top_shipped_products(spark, d).first()
+    assert (shipped["product_name"], shipped["total_quantity"]) == ("red plate", 34823)
+    assert Q.q_silver_customers(spark, d).count() == 1126
+    assert Q.q_supplier_yoy(spark, d).count() == 700
