@@ -192,11 +192,25 @@ def apply_batch(fact: DataFrame, adjustments: DataFrame, updates: DataFrame, del
     Returns ``(after, audit)``; audit rows carry ``step`` 1/2/3 like the sequential run.
     """
     dtype = dict(fact.dtypes)[value]
-    add = adjustments.groupBy(key).agg(F.sum("added_hours").alias("_add"))
-    last = updates.groupBy(key).agg(F.max_by(F.col("new_value"), F.col("seq")).alias("_new"),
-                                    F.lit(True).alias("_hit"))
-    gone = deletes.select(key).distinct().withColumn("_del", F.lit(True))
-    changes = add.join(last, key, "full").join(gone, key, "full")
+    nul = F.lit(None)
+    # one row per id from the union of the three change sets: one exchange, with the
+    # map-side partial aggregate in front of it (no full outer joins)
+    tagged = (adjustments.select(key, F.col("added_hours").cast("long").alias("_add"),
+                                 nul.cast(dtype).alias("_val"), nul.cast("long").alias("_seq"),
+                                 F.lit(False).alias("_upd"), F.lit(False).alias("_gone"))
+              .unionByName(updates.select(key, nul.cast("long").alias("_add"),
+                                          F.col("new_value").cast(dtype).alias("_val"),
+                                          F.col("seq").cast("long").alias("_seq"),
+                                          F.lit(True).alias("_upd"), F.lit(False).alias("_gone")))
+              .unionByName(deletes.select(key, nul.cast("long").alias("_add"), nul.cast(dtype).alias("_val"),
+                                          nul.cast("long").alias("_seq"), F.lit(False).alias("_upd"),
+                                          F.lit(True).alias("_gone"))))
+    changes = tagged.groupBy(key).agg(
+        F.sum("_add").alias("_add"),
+        F.max_by(F.col("_val"), F.when(F.col("_upd"), F.col("_seq"))).alias("_new"),
+        F.when(F.max(F.col("_upd").cast("int")) == 1, F.lit(True)).alias("_hit"),
+        F.when(F.max(F.col("_gone").cast("int")) == 1, F.lit(True)).alias("_del"))
+    last = changes.filter(F.col("_hit")).select(key, "_new", "_hit")
     after = (fact.join(changes, key, "left")
              .filter(F.col("_del").isNull())
              .withColumn(hours, (F.col(hours) + F.coalesce(F.col("_add"), F.lit(0))).cast("int"))
