@@ -36,6 +36,9 @@ def test_retail_job_rerun_is_idempotent(spark, tmp_root):
 
 def test_supply_job(spark, tmp_root):
     SP.run_supply(spark, SF, tmp_root)
+    files.assert_tables(spark, tmp_root, ["dim_products", "dim_suppliers", "dim_warehouses", "dim_orders",
+                                          "dim_time", "fact_shipments"])
+    assert versions.read_current(spark, f"{tmp_root}/fact_shipments").count() > 0
     before = spark.read.parquet(f"{tmp_root}/fact_shipments/v=1")
     after = versions.read_current(spark, f"{tmp_root}/fact_shipments")
     log = spark.read.parquet(f"{tmp_root}/shipment_audit_log")
