@@ -35,15 +35,23 @@ class SupplyStar:
     fact_shipments: DataFrame
 
 
-def fact_with_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The shipment fact with surrogate ids (K1 over the full order-line row)."""
+def fact_with_ids(spark: SparkSession, sf_dir: str, dense: bool = True) -> DataFrame:
+    """The shipment fact with surrogate ids.
+
+    ``dense``: ids 1..n in the order of the full order-line row (K1: one range shuffle
+    and a checkpoint of the fact), reproducible by any engine, so the registered queries
+    use it. Otherwise SERIAL semantics (unique, increasing, gaps allowed) assigned inside
+    the load job without any shuffle, the choice for loading a very large fact."""
     lines = TB.shipment_lines(spark, sf_dir)
+    if not dense:
+        return with_serial(TB.shipments_from_lines(lines), "shipment_id")
     keyed = assign_keys(lines, TB.LINEITEM_COLUMNS, "shipment_id")
     return TB.shipments_from_lines(keyed, keep=["shipment_id"])
 
 
-def build_star(spark: SparkSession, sf_dir: str, with_ids: bool = True) -> SupplyStar:
-    fact = fact_with_ids(spark, sf_dir) if with_ids else TB.supply_fact_shipments(spark, sf_dir)
+def build_star(spark: SparkSession, sf_dir: str, with_ids: bool = True,
+               dense_ids: bool = True) -> SupplyStar:
+    fact = fact_with_ids(spark, sf_dir, dense_ids) if with_ids else TB.supply_fact_shipments(spark, sf_dir)
     return SupplyStar(
         dim_time=calendar(TB.shipment_date_bounds(spark, sf_dir)),
         dim_products=TB.supply_dim_products(spark, sf_dir),
@@ -102,9 +110,10 @@ def apply_change_batch(fact: DataFrame) -> ChangeBatch:
 
 
 def run_supply(spark: SparkSession, sf_dir: str, root: str,
-               changed_at: datetime | None = None, changed_by: str | None = None) -> dict:
+               changed_at: datetime | None = None, changed_by: str | None = None,
+               dense_ids: bool = False) -> dict:
     """Load the star, apply one change batch, append its audit rows."""
-    star = build_star(spark, sf_dir)
+    star = build_star(spark, sf_dir, dense_ids=dense_ids)
     for name in ("dim_time", "dim_products", "dim_suppliers", "dim_warehouses", "dim_orders"):
         getattr(star, name).write.mode("overwrite").parquet(f"{root}/{name}")
     versions.write_version(star.fact_shipments, f"{root}/fact_shipments")

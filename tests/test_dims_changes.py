@@ -140,3 +140,12 @@ def test_assign_keys_edge_cases(spark):
     none_yet = spark.createDataFrame([], "sk long, nk string")
     out = sorted((r["sk"], r["nk"]) for r in D.assign_keys(same, "nk", "sk", none_yet).collect())
     assert out == [(1, "a")]
+
+
+def test_serial_shipment_ids_are_unique_without_shuffle(spark):
+    from starmart.plans import supply_job as SP
+    f = SP.fact_with_ids(spark, "/root/testdata/sf0.001", dense=False)
+    f.write.format("noop").mode("overwrite").save()
+    plan = f._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert f.select("shipment_id").distinct().count() == f.count() == 6000
