@@ -37,25 +37,46 @@ def paths(root: str) -> dict[str, str]:
 
 
 def ingest(spark: SparkSession, csv_path: str, root: str, batch_id: str | None = None,
-           load_timestamp: datetime | None = None) -> None:
-    """CSV -> Bronze (truncate and reload)."""
+           load_timestamp: datetime | None = None, run_date: date | None = None,
+           in_place: bool = False) -> None:
+    """CSV -> Bronze (truncate and reload).
+
+    ``in_place``: the batch is written once, straight into its day of the snapshot
+    archive, and that partition is the current Bronze (see :func:`bronze`). A rerun of
+    the day replaces the partition, so reruns stay idempotent. Otherwise Bronze is its
+    own table and :func:`take_snapshot` copies it into the archive."""
     raw = files.read_raw_csv(spark, csv_path)
-    bronze = files.stamp_batch(files.to_bronze_types(files.standardise_columns(raw)),
-                               load_timestamp, batch_id)
-    files.write_replace(bronze, paths(root)["bronze"])
+    rows = files.stamp_batch(files.to_bronze_types(files.standardise_columns(raw)),
+                             load_timestamp, batch_id)
+    p = paths(root)
+    if in_place:
+        snapshots.snapshot(rows, p["archive"], run_date or date.today(), snapshot_id=batch_id)
+    else:
+        files.write_replace(rows, p["bronze"])
+
+
+def bronze(spark: SparkSession, root: str, run_date: date | None = None,
+           in_place: bool = False):
+    """The current Bronze rows (the run day's archive partition when written in place)."""
+    p = paths(root)
+    if in_place:
+        day = snapshots.read_snapshot(spark, p["archive"], run_date or date.today())
+        return day.drop("snapshot_id", "snapshot_date")
+    return files.read_table(spark, p["bronze"], "bronze.raw_transactions")
 
 
 def take_snapshot(spark: SparkSession, root: str, run_date: date) -> None:
+    """Copy the current Bronze table into the archive under ``run_date``."""
     p = paths(root)
     snapshots.snapshot(files.read_table(spark, p["bronze"], "bronze.raw_transactions"),
                        p["archive"], run_date)
 
 
-def transform(spark: SparkSession, root: str) -> dict:
+def transform(spark: SparkSession, root: str, run_date: date | None = None,
+              in_place: bool = False) -> dict:
     """Bronze -> three Silver tables; returns the cleaning counts (observed metrics)."""
     p = paths(root)
-    bronze = files.read_table(spark, p["bronze"], "bronze.raw_transactions")
-    cleaned, obs = C.clean_observed(bronze)
+    cleaned, obs = C.clean_observed(bronze(spark, root, run_date, in_place))
     # one materialisation of the cleaned rows feeds all three Silver tables
     cleaned = cleaned.checkpoint(eager=True)
     files.write_replace(C.silver_transactions(cleaned), p["silver_tx"])
@@ -100,19 +121,23 @@ def load(spark: SparkSession, root: str, batch_id: str | None = None) -> None:
         versions.vacuum(spark, p[name], keep=2)
 
 
-def monitor(spark: SparkSession, root: str) -> list[dict]:
+def monitor(spark: SparkSession, root: str, run_date: date | None = None,
+            in_place: bool = False) -> list[dict]:
     p = paths(root)
-    counts = Q.layer_counts(spark.read.parquet(p["bronze"]), spark.read.parquet(p["silver_tx"]),
+    counts = Q.layer_counts(bronze(spark, root, run_date, in_place), spark.read.parquet(p["silver_tx"]),
                             versions.read_current(spark, p["fact_sales"]))
     return [r.asDict() for r in Q.audit_layers(counts).collect()]  # five summary rows
 
 
 def run_retail(spark: SparkSession, csv_path: str, root: str, run_date: date | None = None,
-               batch_id: str | None = None) -> dict:
+               batch_id: str | None = None, snapshot_in_place: bool = True) -> dict:
+    """The daily job. With ``snapshot_in_place`` (default) the raw batch is written once,
+    into its day of the archive, instead of a Bronze write plus a full copy."""
     run_date = run_date or date.today()
     batch_id = batch_id or str(uuid.uuid4())
-    ingest(spark, csv_path, root, batch_id)
-    take_snapshot(spark, root, run_date)
-    metrics = transform(spark, root)
+    ingest(spark, csv_path, root, batch_id, run_date=run_date, in_place=snapshot_in_place)
+    if not snapshot_in_place:
+        take_snapshot(spark, root, run_date)
+    metrics = transform(spark, root, run_date, snapshot_in_place)
     load(spark, root, batch_id)
-    return {"cleaning": metrics, "audit": monitor(spark, root)}
+    return {"cleaning": metrics, "audit": monitor(spark, root, run_date, snapshot_in_place)}

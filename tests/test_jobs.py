@@ -2,6 +2,8 @@
 
 from datetime import date
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from starmart.plans import retail_job as RP
@@ -12,11 +14,12 @@ from starmart.sources import testbed as TB
 SF = "/root/testdata/sf0.001"
 
 
-def test_retail_job_rerun_is_idempotent(spark, tmp_root):
+@pytest.mark.parametrize("in_place", [True, False])
+def test_retail_job_rerun_is_idempotent(spark, tmp_root, in_place):
     csv = f"{tmp_root}/landing"
     files.write_csv(TB.raw_source(spark, SF), csv)
-    first = RP.run_retail(spark, csv, f"{tmp_root}/wh", date(2026, 2, 22))
-    second = RP.run_retail(spark, csv, f"{tmp_root}/wh", date(2026, 2, 22))
+    first = RP.run_retail(spark, csv, f"{tmp_root}/wh", date(2026, 2, 22), snapshot_in_place=in_place)
+    second = RP.run_retail(spark, csv, f"{tmp_root}/wh", date(2026, 2, 22), snapshot_in_place=in_place)
     m = first["cleaning"]
     assert m["bronze_rows"] - m["duplicates_dropped"] - m["null_mandatory_dropped"] \
         - m["bad_price_dropped"] == m["silver_rows"]
@@ -32,6 +35,11 @@ def test_retail_job_rerun_is_idempotent(spark, tmp_root):
     dp1 = spark.read.parquet(f"{p['dim_products']}/v=1")
     dp2 = versions.read_current(spark, p["dim_products"])
     assert dp1.join(dp2, ["product_id", "stock_code"]).count() == dp1.count() == dp2.count()
+    # the next day adds a second snapshot and leaves the first untouched
+    third = RP.run_retail(spark, csv, f"{tmp_root}/wh", date(2026, 2, 23), snapshot_in_place=in_place)
+    days = spark.read.parquet(p["archive"]).groupBy("snapshot_date").count().collect()
+    assert sorted(r["count"] for r in days) == [m["bronze_rows"]] * 2
+    assert third["cleaning"]["silver_rows"] == m["silver_rows"]
 
 
 def test_supply_job(spark, tmp_root):

@@ -49,7 +49,7 @@ def main():
     RP.run_retail(spark, csv, f"{work}/wh", date(2026, 2, 22))
     SP.run_supply(spark, sf_dir, f"{work}/supply")
     p = RP.paths(f"{work}/wh")
-    bronze = spark.read.parquet(p["bronze"])
+    bronze = RP.bronze(spark, f"{work}/wh", date(2026, 2, 22), in_place=True)
     tx = spark.read.parquet(p["silver_tx"])
     dp = versions.read_current(spark, p["dim_products"])
     dc = versions.read_current(spark, p["dim_customers"])
