@@ -113,10 +113,8 @@ def load(spark: SparkSession, root: str, batch_id: str | None = None) -> None:
     # write job without a global ordering; load columns are one literal per batch.
     fact = files.stamp_batch(R.fact_sales(tx, dp, dc), batch_id=batch_id)
     fact = fact.select(F.monotonically_increasing_id().alias("sales_id"), *fact.columns)
-    v = (versions.current_version(spark, p["fact_sales"]) or 0) + 1
-    layout.write_fact_by_year(fact, f"{p['fact_sales']}/v={v}", dynamic=False)
-    spark.range(1).select(F.lit(v).alias("version")).coalesce(1) \
-        .write.mode("overwrite").json(f"{p['fact_sales']}/_current")
+    _, path = versions.next_version_path(spark, p["fact_sales"])
+    layout.write_fact_by_year(fact, path, dynamic=False)
     for name in ("dim_products", "dim_customers", "dim_date", "fact_sales"):
         versions.vacuum(spark, p[name], keep=2)
 

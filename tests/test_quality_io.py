@@ -1,5 +1,6 @@
 """Quality checks, I/O (CSV, snapshots, year layout, versions) and the supply reports."""
 
+import os
 from datetime import date
 from decimal import Decimal
 
@@ -145,7 +146,9 @@ def test_missing_dimension_key_is_kept_and_reported(spark):
 def test_version_write_replaces_a_dead_attempt(spark, tmp_root):
     root = f"{tmp_root}/t"
     versions.write_version(spark.range(3), root)
-    spark.range(100).write.parquet(f"{root}/v=2")  # left by an attempt that died before the pointer moved
+    spark.range(100).write.parquet(f"{root}/v=2")
+    os.remove(f"{root}/v=2/_SUCCESS")  # as left by an attempt that died before committing
+    assert versions.current_version(spark, root) == 1
     assert versions.read_current(spark, root).count() == 3
     versions.write_version(spark.range(5), root)
     assert versions.current_version(spark, root) == 2 and versions.read_current(spark, root).count() == 5
