@@ -11,7 +11,6 @@ import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from starmart import schemas
 from starmart.functions.text import na_to_null

@@ -3,7 +3,6 @@
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from starmart.operators import clean as C
 from starmart.sources import files

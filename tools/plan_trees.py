@@ -30,7 +30,6 @@ def tree(df) -> str:
 
 
 def main():
-    from starmart.operators import changes as U
     from starmart.operators import clean as C
     from starmart.plans import retail as R
     from starmart.plans import retail_job as RP
