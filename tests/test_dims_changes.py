@@ -149,3 +149,14 @@ def test_serial_shipment_ids_are_unique_without_shuffle(spark):
     plan = f._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
     assert f.select("shipment_id").distinct().count() == f.count() == 6000
+
+
+def test_empty_change_sets(spark):
+    f = fact(spark)
+    adj = spark.createDataFrame([], "shipment_id long, added_hours int, seq int")
+    upd = spark.createDataFrame([], "shipment_id long, new_value decimal(12,2), seq int")
+    dele = spark.createDataFrame([], "shipment_id long, seq int")
+    after, audit = U.apply_batch(f, adj, upd, dele)
+    assert sorted(map(tuple, after.collect())) == sorted(map(tuple, f.collect()))
+    assert audit.count() == 0
+    assert U.audit_updates(f, upd, new="new_value").count() == 0
