@@ -19,6 +19,7 @@ from starmart.operators import clean as C
 from starmart.operators import quality as Q
 from starmart.operators.dims import dim_date_from_facts
 from starmart.plans import retail as R
+from starmart.session import scratch_path
 from starmart.sources import files, layout, snapshots, versions
 
 
@@ -77,12 +78,18 @@ def transform(spark: SparkSession, root: str, run_date: date | None = None,
     """Bronze -> three Silver tables; returns the cleaning counts (observed metrics)."""
     p = paths(root)
     cleaned, obs = C.clean_observed(bronze(spark, root, run_date, in_place))
-    # one materialisation of the cleaned rows feeds all three Silver tables
-    cleaned = cleaned.checkpoint(eager=True)
-    files.write_replace(C.silver_transactions(cleaned), p["silver_tx"])
-    files.write_replace(C.silver_products(cleaned), p["silver_products"])
-    files.write_replace(C.silver_customers(cleaned), p["silver_customers"])
-    return obs.get
+    # One materialisation of the cleaned rows feeds all three Silver tables: a staged
+    # Parquet table in the shared folder (compressed and columnar, so each Silver scan
+    # reads only its columns), removed once the Silver tables are written.
+    staged = scratch_path(spark, "cleaned")
+    cleaned.write.mode("overwrite").parquet(staged)
+    metrics = obs.get
+    rows = spark.read.parquet(staged)
+    files.write_replace(C.silver_transactions(rows), p["silver_tx"])
+    files.write_replace(C.silver_products(rows), p["silver_products"])
+    files.write_replace(C.silver_customers(rows), p["silver_customers"])
+    versions.drop_path(spark, staged)
+    return metrics
 
 
 def load(spark: SparkSession, root: str, batch_id: str | None = None) -> None:
