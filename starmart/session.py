@@ -34,7 +34,9 @@ SCALE_CONFIGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
-    # checkpoints of key assignment / audit chains are removed once unreferenced
+    # checkpoints of key assignment / audit chains are compressed and removed once
+    # unreferenced
+    "spark.checkpoint.compress": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
