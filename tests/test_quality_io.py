@@ -152,3 +152,24 @@ def test_version_write_replaces_a_dead_attempt(spark, tmp_root):
     assert versions.read_current(spark, root).count() == 3
     versions.write_version(spark.range(5), root)
     assert versions.current_version(spark, root) == 2 and versions.read_current(spark, root).count() == 5
+
+
+def test_profile_approximate_close_to_exact(spark):
+    df = spark.range(0, 5000).select((F.col("id") % 700).alias("k"), F.lit(None).cast("string").alias("n"))
+    approx = {r["column_name"]: r for r in Q.profile(df, exact=False).collect()}
+    assert abs(approx["k"]["distinct_count"] - 700) <= 35 and approx["n"]["null_count"] == 5000
+
+
+def test_year_layout_dynamic_overwrite_replaces_only_given_years(spark, tmp_root):
+    path = f"{tmp_root}/fact"
+    first = spark.createDataFrame([(20100105, 1), (20110105, 2)], "date_id int, v int")
+    layout.write_fact_by_year(first, path)
+    layout.write_fact_by_year(spark.createDataFrame([(20110106, 3)], "date_id int, v int"), path)
+    assert sorted(r["v"] for r in spark.read.parquet(path).collect()) == [1, 3]
+
+
+def test_audit_stamp_defaults(spark):
+    from starmart.operators import changes as U
+    a = spark.createDataFrame([(1, "UPDATE")], "shipment_id long, operation string")
+    row = U.stamp_audit(a).first()
+    assert row["changed_by"] and row["changed_at"] is not None
