@@ -136,6 +136,18 @@ def assert_tables(spark: SparkSession, root: str, names: list[str]) -> None:
         raise AssertionError(f"missing tables: {missing}")
 
 
+def create_tables(spark: SparkSession, root: str, names: list[str] | None = None) -> list[str]:
+    """Create every registered table that does not exist yet, empty, with its
+    declared schema; existing tables are left as they are (safe to run on every start).
+    Returns the tables created."""
+    created = []
+    for n in names or list(schemas.SCHEMAS):
+        if not table_exists(spark, f"{root}/{n}"):
+            schemas.empty(spark, n).write.mode("errorifexists").parquet(f"{root}/{n}")
+            created.append(n)
+    return created
+
+
 def reset_tables(spark: SparkSession, root: str, names: list[str]) -> None:
     """Empty every named table, keeping its schema (S14). Children should be listed
     before parents; the audit log is deliberately not among the supply tables."""

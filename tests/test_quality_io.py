@@ -173,3 +173,12 @@ def test_audit_stamp_defaults(spark):
     a = spark.createDataFrame([(1, "UPDATE")], "shipment_id long, operation string")
     row = U.stamp_audit(a).first()
     assert row["changed_by"] and row["changed_at"] is not None
+
+
+def test_create_tables_is_idempotent(spark, tmp_root):
+    from starmart import schemas
+    created = files.create_tables(spark, tmp_root)
+    assert sorted(created) == sorted(schemas.SCHEMAS)
+    assert files.create_tables(spark, tmp_root) == []
+    t = spark.read.parquet(f"{tmp_root}/supply.fact_shipments")
+    assert t.count() == 0 and t.columns == schemas.FACT_SHIPMENTS.fieldNames()
