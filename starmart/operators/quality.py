@@ -6,7 +6,7 @@ then reshaped with ``stack``; nothing is pulled to the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from starmart import schemas
@@ -49,6 +49,15 @@ def check_unique(df: DataFrame, key: str | list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count")).filter("row_count > 1")
 
 
+def observed(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, Observation]:
+    """Attach a row count (and any extra aggregate ``metrics``) to ``df``; the values
+    are filled in by whichever action runs the plan, with no extra pass. Read them with
+    ``observation.get`` after that action."""
+    obs = Observation(name)
+    extra = [c.alias(k) for k, c in metrics.items()]
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"), *extra), obs
+
+
 def layer_counts(bronze: DataFrame, silver: DataFrame, gold: DataFrame) -> DataFrame:
     """Row count of each layer in one job: three global counts (each a partial count
     per task and a one-row merge) unioned. An empty layer reports 0."""

@@ -182,3 +182,9 @@ def test_create_tables_is_idempotent(spark, tmp_root):
     assert files.create_tables(spark, tmp_root) == []
     t = spark.read.parquet(f"{tmp_root}/supply.fact_shipments")
     assert t.count() == 0 and t.columns == schemas.FACT_SHIPMENTS.fieldNames()
+
+
+def test_observed_counts_come_with_the_action(spark, tmp_root):
+    df, obs = Q.observed(spark.range(10), "ten", evens=F.sum((F.col("id") % 2 == 0).cast("int")))
+    df.write.parquet(f"{tmp_root}/x")
+    assert obs.get == {"rows": 10, "evens": 5}
