@@ -192,19 +192,18 @@ def apply_batch(fact: DataFrame, adjustments: DataFrame, updates: DataFrame, del
     Returns ``(after, audit)``; audit rows carry ``step`` 1/2/3 like the sequential run.
     """
     dtype = dict(fact.dtypes)[value]
-    nul = F.lit(None)
+    def tag(df, add=None, val=None, seq=None, upd=False, gone=False):
+        nul = F.lit(None)
+        return df.select(key, (add if add is not None else nul).cast("long").alias("_add"),
+                         (val if val is not None else nul).cast(dtype).alias("_val"),
+                         (seq if seq is not None else nul).cast("long").alias("_seq"),
+                         F.lit(upd).alias("_upd"), F.lit(gone).alias("_gone"))
+
     # one row per id from the union of the three change sets: one exchange, with the
     # map-side partial aggregate in front of it (no full outer joins)
-    tagged = (adjustments.select(key, F.col("added_hours").cast("long").alias("_add"),
-                                 nul.cast(dtype).alias("_val"), nul.cast("long").alias("_seq"),
-                                 F.lit(False).alias("_upd"), F.lit(False).alias("_gone"))
-              .unionByName(updates.select(key, nul.cast("long").alias("_add"),
-                                          F.col("new_value").cast(dtype).alias("_val"),
-                                          F.col("seq").cast("long").alias("_seq"),
-                                          F.lit(True).alias("_upd"), F.lit(False).alias("_gone")))
-              .unionByName(deletes.select(key, nul.cast("long").alias("_add"), nul.cast(dtype).alias("_val"),
-                                          nul.cast("long").alias("_seq"), F.lit(False).alias("_upd"),
-                                          F.lit(True).alias("_gone"))))
+    tagged = (tag(adjustments, add=F.col("added_hours"))
+              .unionByName(tag(updates, val=F.col("new_value"), seq=F.col("seq"), upd=True))
+              .unionByName(tag(deletes, gone=True)))
     changes = tagged.groupBy(key).agg(
         F.sum("_add").alias("_add"),
         F.max_by(F.col("_val"), F.when(F.col("_upd"), F.col("_seq"))).alias("_new"),
