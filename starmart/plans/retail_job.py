@@ -9,6 +9,7 @@ version).
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 
 from pyspark.sql import SparkSession
@@ -23,6 +24,14 @@ from starmart.session import scratch_path
 from starmart.sources import files, layout, snapshots, versions
 
 
+def run_concurrently(actions) -> None:
+    """Run independent Spark actions as concurrent jobs (one driver thread each) and
+    re-raise the first failure."""
+    with ThreadPoolExecutor(max_workers=len(actions)) as pool:
+        for f in [pool.submit(a) for a in actions]:
+            f.result()
+
+
 def paths(root: str) -> dict[str, str]:
     return {
         "bronze": f"{root}/bronze/raw_transactions",
@@ -85,9 +94,13 @@ def transform(spark: SparkSession, root: str, run_date: date | None = None,
     cleaned.write.mode("overwrite").parquet(staged)
     metrics = obs.get
     rows = spark.read.parquet(staged)
-    files.write_replace(C.silver_transactions(rows), p["silver_tx"])
-    files.write_replace(C.silver_products(rows), p["silver_products"])
-    files.write_replace(C.silver_customers(rows), p["silver_customers"])
+    # the three writes are independent jobs; submitted together, the two small dimension
+    # writes fill the gaps the large transactions write leaves on the cluster
+    run_concurrently([
+        lambda: files.write_replace(C.silver_transactions(rows), p["silver_tx"]),
+        lambda: files.write_replace(C.silver_products(rows), p["silver_products"]),
+        lambda: files.write_replace(C.silver_customers(rows), p["silver_customers"]),
+    ])
     versions.drop_path(spark, staged)
     return metrics
 
@@ -104,16 +117,21 @@ def load(spark: SparkSession, root: str, batch_id: str | None = None) -> None:
             return R.assign_keys(src, natural, key)
         return U.upsert_update(versions.read_current(spark, path), src, natural, key, cols)
 
-    versions.write_version(merged(p["dim_products"], sp, "stock_code", "product_id", ["description"]),
-                           p["dim_products"])
-    versions.write_version(merged(p["dim_customers"], sc, "raw_customer_id", "customer_id", ["country"]),
-                           p["dim_customers"])
-    new_dates = dim_date_from_facts(tx)
-    if versions.current_version(spark, p["dim_date"]) is None:
-        versions.write_version(new_dates, p["dim_date"])
-    else:
-        versions.write_version(U.upsert_ignore(versions.read_current(spark, p["dim_date"]),
-                                               new_dates, "date_id"), p["dim_date"])
+    def dates():
+        new_dates = dim_date_from_facts(tx)
+        if versions.current_version(spark, p["dim_date"]) is None:
+            return new_dates
+        return U.upsert_ignore(versions.read_current(spark, p["dim_date"]), new_dates, "date_id")
+
+    # the three dimensions are independent of each other: build and write them as
+    # concurrent jobs; the fact needs all three and follows
+    run_concurrently([
+        lambda: versions.write_version(
+            merged(p["dim_products"], sp, "stock_code", "product_id", ["description"]), p["dim_products"]),
+        lambda: versions.write_version(
+            merged(p["dim_customers"], sc, "raw_customer_id", "customer_id", ["country"]), p["dim_customers"]),
+        lambda: versions.write_version(dates(), p["dim_date"]),
+    ])
     dp = versions.read_current(spark, p["dim_products"])
     dc = versions.read_current(spark, p["dim_customers"])
     # sales_id: unique and increasing (gaps allowed, like SERIAL), assigned inside the
