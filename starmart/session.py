@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
@@ -41,6 +42,9 @@ SCALE_CONFIGS = {
 }
 
 
+_ROOT_LOCK = threading.Lock()
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "starmart", extra: dict | None = None) -> SparkSession:
     """Create (or get) a session with the scale settings above and the UI off."""
@@ -88,10 +92,14 @@ def shared_root(spark: SparkSession) -> str:
     if current:
         # Spark appends a per-application folder; keep our tables next to it.
         return os.path.dirname(current.rstrip("/")).replace("file:", "", 1) or current
-    local = tempfile.mkdtemp(prefix="starmart-")
-    if sc is not None:
-        sc.setCheckpointDir(local)
-    return local
+    with _ROOT_LOCK:  # concurrent jobs of one run must agree on a single folder
+        current = sc.getCheckpointDir() if sc is not None else None
+        if current:
+            return os.path.dirname(current.rstrip("/")).replace("file:", "", 1) or current
+        local = tempfile.mkdtemp(prefix="starmart-")
+        if sc is not None:
+            sc.setCheckpointDir(local)
+        return local
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
