@@ -9,7 +9,6 @@ version).
 from __future__ import annotations
 
 import uuid
-from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 
 from pyspark.sql import SparkSession
@@ -20,18 +19,10 @@ from starmart.operators import clean as C
 from starmart.operators import quality as Q
 from starmart.operators.dims import dim_date_from_facts
 from starmart.plans import retail as R
-from starmart.session import scratch_path
+from starmart.session import run_concurrently, scratch_path
 from starmart.sources import files, layout, snapshots, versions
 
 
-def run_concurrently(actions) -> None:
-    """Run independent Spark actions as concurrent jobs (one driver thread each) and
-    re-raise the first failure."""
-    with ThreadPoolExecutor(max_workers=len(actions)) as pool:
-        for f in [pool.submit(a) for a in actions]:
-            f.result()
-
-
 def paths(root: str) -> dict[str, str]:
     return {
         "bronze": f"{root}/bronze/raw_transactions",

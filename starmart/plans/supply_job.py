@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from starmart.operators import changes as U
 from starmart.operators.dims import assign_keys, calendar, with_serial
 from starmart.sources import testbed as TB
+from starmart.session import run_concurrently
 from starmart.sources import files, versions
 
 # Fixed values of the change scenario.
@@ -114,9 +115,10 @@ def run_supply(spark: SparkSession, sf_dir: str, root: str,
                dense_ids: bool = False) -> dict:
     """Load the star, apply one change batch, append its audit rows."""
     star = build_star(spark, sf_dir, dense_ids=dense_ids)
-    for name in ("dim_time", "dim_products", "dim_suppliers", "dim_warehouses", "dim_orders"):
-        getattr(star, name).write.mode("overwrite").parquet(f"{root}/{name}")
-    versions.write_version(star.fact_shipments, f"{root}/fact_shipments")
+    run_concurrently(
+        [lambda n=name: getattr(star, n).write.mode("overwrite").parquet(f"{root}/{n}")
+         for name in ("dim_time", "dim_products", "dim_suppliers", "dim_warehouses", "dim_orders")]
+        + [lambda: versions.write_version(star.fact_shipments, f"{root}/fact_shipments")])
     before = versions.read_current(spark, f"{root}/fact_shipments")
     after, audit = apply_change_batch_one_pass(before)
     versions.write_version(after, f"{root}/fact_shipments")

@@ -18,6 +18,7 @@ from __future__ import annotations
 import os
 import tempfile
 import threading
+from concurrent.futures import ThreadPoolExecutor
 import uuid
 
 from pyspark.sql import SparkSession
@@ -105,3 +106,11 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared root for one written intermediate."""
     return f"{shared_root(spark)}/starmart/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def run_concurrently(actions) -> None:
+    """Run independent Spark actions as concurrent jobs (one driver thread each) and
+    re-raise the first failure. Small jobs then fill the gaps large ones leave."""
+    with ThreadPoolExecutor(max_workers=max(1, len(actions))) as pool:
+        for f in [pool.submit(a) for a in actions]:
+            f.result()
