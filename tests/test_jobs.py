@@ -68,3 +68,14 @@ def test_append_mode_rerun_replaces_the_day(spark, tmp_root):
     files.write_fact(df.limit(2), path, "append", run_date="2026-02-23")
     counts = {str(r["run_date"]): r["count"] for r in spark.read.parquet(path).groupBy("run_date").count().collect()}
     assert counts == {"2026-02-22": 5, "2026-02-23": 2}
+
+
+def test_run_concurrently_runs_all_and_reraises(spark, tmp_root):
+    from starmart.session import run_concurrently
+    run_concurrently([lambda i=i: spark.range(i + 1).write.parquet(f"{tmp_root}/t{i}") for i in range(3)])
+    assert [spark.read.parquet(f"{tmp_root}/t{i}").count() for i in range(3)] == [1, 2, 3]
+
+    def boom():
+        raise ValueError("boom")
+    with pytest.raises(ValueError, match="boom"):
+        run_concurrently([lambda: spark.range(1).count(), boom])
