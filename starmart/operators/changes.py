@@ -155,6 +155,27 @@ def audit_deletes(before: DataFrame, keys: DataFrame, key: str = "shipment_id",
                     F.lit(None).cast(dict(before.dtypes)[value]).alias("new_value"), seq))
 
 
+def audit_changes(before: DataFrame, after: DataFrame, touched: DataFrame,
+                  key: str = "shipment_id", value: str = "shipment_value", seq: str = "seq",
+                  changed_at: datetime | None = None, changed_by: str | None = None) -> DataFrame:
+    """U6 from two table versions and the keys a statement touched (with multiplicity).
+
+    A touched key still present in ``after`` logs an UPDATE (old = before, new = after
+    value, even when equal); one gone from ``after`` logs a DELETE (new null); a key not
+    in ``before`` (an insert or an unknown id) logs nothing. For value updates that must
+    chain within one batch, use :func:`audit_updates` with the new values instead."""
+    b = before.select(key, F.col(value).alias("old_value"))
+    a = after.select(key, F.col(value).alias("_after"), F.lit(True).alias("_present"))
+    rows = touched.select(key, seq).join(b, key).join(a, key, "left")
+    out = rows.select(
+        key,
+        F.when(F.col("_present"), F.lit("UPDATE")).otherwise(F.lit("DELETE")).alias("operation"),
+        "old_value",
+        F.when(F.col("_present"), F.col("_after")).alias("new_value"),
+        seq)
+    return stamp_audit(out, changed_at, changed_by)
+
+
 def stamp_audit(audit: DataFrame, changed_at: datetime | None = None,
                 changed_by: str | None = None) -> DataFrame:
     """Add the change time and user (one value per batch, like the column defaults)."""

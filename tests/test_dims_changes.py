@@ -160,3 +160,15 @@ def test_empty_change_sets(spark):
     assert sorted(map(tuple, after.collect())) == sorted(map(tuple, f.collect()))
     assert audit.count() == 0
     assert U.audit_updates(f, upd, new="new_value").count() == 0
+
+
+def test_audit_changes_from_two_versions(spark):
+    before = fact(spark)
+    after = before.filter("shipment_id != 3").withColumn(
+        "shipment_value", F.when(F.col("shipment_id") == 1, F.lit(Decimal("99.00"))).otherwise(F.col("shipment_value")))
+    touched = spark.createDataFrame([(1, 1), (2, 1), (3, 1), (42, 1)], "shipment_id long, seq int")
+    rows = sorted((r["shipment_id"], r["operation"], r["old_value"], r["new_value"])
+                  for r in U.audit_changes(before, after, touched).collect())
+    assert rows == [(1, "UPDATE", Decimal("10.00"), Decimal("99.00")),
+                    (2, "UPDATE", Decimal("5.00"), Decimal("5.00")),
+                    (3, "DELETE", Decimal("7.00"), None)]
