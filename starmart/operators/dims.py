@@ -59,6 +59,9 @@ def assign_keys(members: DataFrame, natural: str | list[str], key: str,
     Existing members keep theirs; members not yet in ``existing`` get ``max(key)+1, ...``
     in natural-key order (gaps are allowed, duplicates never). The result has ``key``
     followed by the columns of ``members`` (and of ``existing`` for kept rows).
+    ``members`` must be unique on the natural key (a dimension, e.g. the output of
+    ``first_per_key``); ``num_partitions`` fixes the range partition count, otherwise
+    AQE sizes it from the data.
     """
     spark = members.sparkSession
     nat = [natural] if isinstance(natural, str) else list(natural)
