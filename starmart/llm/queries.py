@@ -6,8 +6,10 @@ contract asks for are derived from the operator's output here.
 
 from __future__ import annotations
 
-from starmart.llm import forced_bpe, pii
-from starmart.llm.textkit import documents
+from pyspark.sql import functions as F
+
+from starmart.llm import bloomlm, crossparse, forced_bpe, nbsvm, pii
+from starmart.llm.textkit import crc_mod, documents
 
 
 def op2_pii(spark, sf_dir):
@@ -20,7 +22,32 @@ def op4_bpe(spark, sf_dir):
     return forced_bpe.digests(documents(spark, sf_dir, "doc_id", "text"))
 
 
+def op5_quality(spark, sf_dir):
+    """Quality score of every document, learned from labelled rows outside the held-out fold."""
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    model = nbsvm.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return nbsvm.score(docs, model).select(
+        F.col("doc_id").cast("long").alias("doc_id"), (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= nbsvm.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op9_lm(spark, sf_dir):
+    """Base and model log10 probability of every document."""
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    model, counts = bloomlm.train(docs)
+    return bloomlm.score(docs, model, counts)
+
+
+def op10_language(spark, sf_dir):
+    """Predicted language of every document."""
+    docs = documents(spark, sf_dir, "doc_id", "lang", "text")
+    return crossparse.predict(docs, crossparse.train(docs))
+
+
 LLM_QUERIES = {
     "op2_pii": op2_pii,
     "op4_bpe": op4_bpe,
+    "op5_quality": op5_quality,
+    "op9_lm": op9_lm,
+    "op10_language": op10_language,
 }

@@ -159,7 +159,7 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     m = len(words) - n + 1
     if m <= 0:
         return np.zeros(0, np.uint64)
-    h = np.full(m, _U(n) * MULT[63], np.uint64)
+    h = np.full(m, n * int(MULT[63]) % 2**64, np.uint64)
     for k in range(n):
         h += words[k:k + m] * MULT[k]
     return mix(h)
