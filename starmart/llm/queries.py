@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from starmart.llm import bloomlm, crossparse, forced_bpe, nbsvm, pii
+from starmart.llm import bloomlm, crossparse, forced_bpe, imatch, nbsvm, pii
 from starmart.llm.textkit import crc_mod, documents
 
 
@@ -17,6 +17,11 @@ def op2_pii(spark, sf_dir):
     return pii.detect(documents(spark, sf_dir, "doc_id", "text"))
 
 
+def op3_imatch(spark, sf_dir):
+    """Fingerprints of every document and of its edited text, with likenesses."""
+    return imatch.fingerprint_documents(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op4_bpe(spark, sf_dir):
     """Token ids of every document, digested, and the digest of their decoding."""
     return forced_bpe.digests(documents(spark, sf_dir, "doc_id", "text"))
@@ -46,6 +51,7 @@ def op10_language(spark, sf_dir):
 
 LLM_QUERIES = {
     "op2_pii": op2_pii,
+    "op3_imatch": op3_imatch,
     "op4_bpe": op4_bpe,
     "op5_quality": op5_quality,
     "op9_lm": op9_lm,
