@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from starmart.llm import bloomlm, crossparse, forced_bpe, imatch, nbsvm, pii
+from starmart.llm import bloomlm, crossparse, forced_bpe, imatch, int8_near, nbsvm, pii
 from starmart.llm.textkit import crc_mod, documents
 
 
@@ -36,6 +36,11 @@ def op5_quality(spark, sf_dir):
         (F.col("score") >= nbsvm.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op7_int8(spark, sf_dir):
+    """Near-duplicate links, components and kept flags of every vector."""
+    return int8_near.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op9_lm(spark, sf_dir):
     """Base and model log10 probability of every document."""
     docs = documents(spark, sf_dir, "doc_id", "text")
@@ -54,6 +59,7 @@ LLM_QUERIES = {
     "op3_imatch": op3_imatch,
     "op4_bpe": op4_bpe,
     "op5_quality": op5_quality,
+    "op7_int8": op7_int8,
     "op9_lm": op9_lm,
     "op10_language": op10_language,
 }
