@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from starmart.llm import bloomlm, crossparse, forced_bpe, imatch, int8_near, nbsvm, pii
+from starmart.llm import bloomlm, crossparse, forced_bpe, imatch, int8_near, nbsvm, pii, tgm_join
 from starmart.llm.textkit import crc_mod, documents
 
 
@@ -41,6 +41,11 @@ def op7_int8(spark, sf_dir):
     return int8_near.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op8_jaccard(spark, sf_dir):
+    """Shingle-set size and component of every document."""
+    return tgm_join.join_documents(documents(spark, sf_dir, "doc_id", "text")).select("doc_id", "n_shingles", "component_id")
+
+
 def op9_lm(spark, sf_dir):
     """Base and model log10 probability of every document."""
     docs = documents(spark, sf_dir, "doc_id", "text")
@@ -60,6 +65,7 @@ LLM_QUERIES = {
     "op4_bpe": op4_bpe,
     "op5_quality": op5_quality,
     "op7_int8": op7_int8,
+    "op8_jaccard": op8_jaccard,
     "op9_lm": op9_lm,
     "op10_language": op10_language,
 }
