@@ -1,33 +1,60 @@
 """The training-corpus pipeline: five stages over ``documents``, each one of the operators
-of ``starmart.llm``. Every stage works on all rows its predecessor kept."""
+of ``starmart.llm``. Every stage works on all rows its predecessor kept and takes effect
+on the rows or texts it hands on; all but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
-from starmart.llm import forced_bpe, pii
+from pyspark.sql import functions as F
+
+from starmart.llm import forced_bpe, nbsvm, pii, raking, tgm_join
+
+
+def quality_stage(spark, docs, sf_dir):
+    """Operator 5: documents that the classifier rejects (score under its threshold) go."""
+    model = nbsvm.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return nbsvm.score(docs, model).where(F.col("score") >= nbsvm.THRESHOLD).select(*docs.columns)
+
+
+def near_duplicate_stage(spark, docs, sf_dir):
+    """Operator 8: of each group of linked documents the one with the smallest id stays,
+    once if its row is repeated. A null id stays while no document with an id is linked."""
+    kept = (tgm_join.join_documents(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+            .select(F.col("doc_id").alias("kept_id")).distinct())
+    return (docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+            .dropDuplicates(["doc_id", "text"]).select(*docs.columns))
 
 
 def pii_stage(spark, docs, sf_dir):
-    """Personal data in ``text`` is replaced by the name of its kind."""
+    """Operator 2: personal data in ``text`` is replaced by the name of its kind."""
     return pii.redacted(docs)
 
 
+def mixing_stage(spark, docs, sf_dir):
+    """Operator 1: documents are drawn by their calibrated probabilities."""
+    return raking.sample(docs)
+
+
 def bpe_stage(spark, docs, sf_dir):
-    """Adds the token ids of every kept document."""
+    """Operator 4: adds token_ids and n_tokens to every document."""
     return forced_bpe.encode_documents(docs)
 
 
-STAGES = [("pii", pii_stage), ("bpe", bpe_stage)]
+STAGES = [("quality", quality_stage), ("near_duplicates", near_duplicate_stage), ("pii", pii_stage),
+          ("mixing", mixing_stage), ("bpe", bpe_stage)]
 
-#: SQL cannot express the stages; tests hold run() against a brute-force version.
+#: SQL cannot express the classifier, the redaction or the encoding; tests hold run()
+#: against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    """All stages over the documents of ``sf_dir``."""
+    """All stages over the documents of ``sf_dir``, each result written and read again."""
+    from starmart.llm.components import stored
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
 
 
 PIPELINE_QUERIES = {"pipeline": run}

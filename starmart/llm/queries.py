@@ -8,10 +8,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from starmart.llm import bloomlm, crossparse, forced_bpe, imatch, int8_near, nbsvm, pii, tgm_join
+from starmart.llm import bloomlm, chunkdedup, crossparse, forced_bpe, imatch, int8_near, nbsvm, pii, raking, tgm_join
 from starmart.llm.textkit import crc_mod, documents
 
 
+def op1_raking(spark, sf_dir):
+    """Raked token weight, calibrated probability and draw of every document."""
+    return raking.mix(documents(spark, sf_dir, "doc_id", "text", "lang", "source")).select(
+        "doc_id", "mix_source", "mix_lang", "mix_topic", "mix_tokens", "token_weight", "probability", "sample_weight", "sampled")
+
+
 def op2_pii(spark, sf_dir):
     """Personal-data spans of every document."""
     return pii.detect(documents(spark, sf_dir, "doc_id", "text"))
@@ -36,6 +42,12 @@ def op5_quality(spark, sf_dir):
         (F.col("score") >= nbsvm.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op6_chunks(spark, sf_dir):
+    """Repeated passages of every document, found by content-defined chunks."""
+    return (chunkdedup.repeats(documents(spark, sf_dir, "doc_id", "text"))
+            .withColumn("first_docs", F.concat_ws(",", F.transform("first_docs", lambda x: x.cast("string")))))
+
+
 def op7_int8(spark, sf_dir):
     """Near-duplicate links, components and kept flags of every vector."""
     return int8_near.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
@@ -60,10 +72,12 @@ def op10_language(spark, sf_dir):
 
 
 LLM_QUERIES = {
+    "op1_raking": op1_raking,
     "op2_pii": op2_pii,
     "op3_imatch": op3_imatch,
     "op4_bpe": op4_bpe,
     "op5_quality": op5_quality,
+    "op6_chunks": op6_chunks,
     "op7_int8": op7_int8,
     "op8_jaccard": op8_jaccard,
     "op9_lm": op9_lm,
