@@ -21,7 +21,7 @@ def near_duplicate_stage(spark, docs, sf_dir):
     once if its row is repeated. A null id stays while no document with an id is linked."""
     kept = (tgm_join.join_documents(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
             .select(F.col("doc_id").alias("kept_id")).distinct())
-    return (docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    return (docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
             .dropDuplicates(["doc_id", "text"]).select(*docs.columns))
 
 

@@ -140,13 +140,16 @@ def mix(docs: DataFrame, targets: dict | None = None, budget: float = BUDGET, ro
     c = draw_rate(table, weight, budget)
     rows = [(*cell, w, p := (min(1.0, c * w) if w else 0.0), (c * w / p if 0 < p < 1 or p == 1 and c < float("inf") else float(p > 0)))
             for cell, w in sorted(weight.items())]
-    shares = spark.createDataFrame(rows, "p_source string, p_lang string, p_topic string, token_weight double, probability double, sample_weight double")
+    shares = spark.createDataFrame(rows, "p0 string, p1 string, p2 string, token_weight double, probability double, sample_weight double")
     d = named.drop("token_weight", "probability", "sample_weight", "sampled")
-    on = [pool(m, k) == F.col(f"p_{m}") for m, k in zip(MARGINS, kept)]
-    return (d.join(F.broadcast(shares), on, "left").drop("p_source", "p_lang", "p_topic")
+    on = [pool(m, k) == shares[f"p{i}"] for i, (m, k) in enumerate(zip(MARGINS, kept))]
+    own = [d[c] for c in d.columns]
+    return (d.join(F.broadcast(shares), on, "left")
+            .select(*own, shares["token_weight"], shares["probability"], shares["sample_weight"])
             .withColumn("sampled", uniform(F.col("doc_id"), F.col("text")) < F.col("probability")))
 
 
 def sample(docs: DataFrame, **options) -> DataFrame:
-    """The drawn documents with their own columns only."""
-    return mix(docs, **options).where("sampled").select(*docs.columns)
+    """The drawn documents with their own columns only, whatever their names."""
+    row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), "doc_id", "text", "lang", "source")
+    return mix(row, **options).where("sampled").select("row.*")

@@ -1,3 +1,106 @@
-"""DuckDB SQL for the queries of this package that SQL can express."""
+"""DuckDB SQL for the queries of this package that SQL can express, over whole tables.
 
-LLM_SQL: dict[str, str] = {}
+The others have a part SQL cannot state (a trained model, a tokenizer's merges, rolling
+hashes, spans with scores); ``tests/llm`` holds them against brute-force versions.
+"""
+
+from __future__ import annotations
+
+from starmart.llm import raking
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+
+
+def _rounds() -> str:
+    """The raking rounds, one table of cell weights a factor."""
+    out, last = [], "w0"
+    n = 0
+    for _ in range(raking.ROUNDS):
+        for m in raking.MARGINS:
+            n += 1
+            out.append(f"""f{n} AS MATERIALIZED (SELECT mix_{m}, sum(t * w) AS n FROM {last} GROUP BY 1),
+w{n} AS MATERIALIZED (SELECT c.mix_source, c.mix_lang, c.mix_topic, c.t,
+  CASE WHEN f.n > 0 THEN c.w * g.goal / f.n ELSE 0 END AS w
+  FROM {last} c JOIN f{n} f USING (mix_{m}) JOIN goal_{m} g USING (mix_{m}))""")
+            last = f"w{n}"
+    return ",\n".join(out), last
+
+
+def _raking_sql() -> str:
+    rounds, last = _rounds()
+    goals = ",\n".join(
+        f"""goal_{m} AS MATERIALIZED (
+  SELECT mix_{m}, (SELECT sum(t) FROM cells) * raw / sum(raw) OVER () AS goal FROM (
+    SELECT mix_{m}, CASE WHEN sum(t) > 0 THEN power(sum(t)::DOUBLE / (SELECT sum(t) FROM cells), {raking.TARGETS[m]}) ELSE 0 END AS raw
+    FROM cells GROUP BY 1))""" for m in raking.MARGINS)
+    kept = ",\n".join(
+        f"""kept_{m} AS MATERIALIZED (SELECT mix_{m} AS v FROM named GROUP BY 1
+  HAVING sum(mix_tokens) * {raking.MAX_VALUES} >= (SELECT sum(mix_tokens) FROM named))""" for m in raking.MARGINS)
+    pooled = ", ".join(f"CASE WHEN mix_{m} IN (SELECT v FROM kept_{m}) THEN mix_{m} ELSE '(rest)' END AS p_{m}" for m in raking.MARGINS)
+    return rf"""
+WITH counted AS MATERIALIZED (
+  SELECT *, len({_WORDS.format("coalesce(text, '')")})::BIGINT AS mix_tokens FROM documents),
+named AS MATERIALIZED (
+  SELECT doc_id, text, mix_tokens, coalesce(source, '(none)') AS mix_source, coalesce(lang, '(none)') AS mix_lang,
+    CASE WHEN contains(coalesce(text, ''), ' | ') THEN 'table' WHEN regexp_matches(coalesce(text, ''), '[0-9]') THEN 'figures'
+         WHEN mix_tokens < 100 THEN 'note' ELSE 'prose' END AS mix_topic
+  FROM counted),
+{kept},
+pooled AS MATERIALIZED (SELECT *, {pooled} FROM named),
+cells AS MATERIALIZED (
+  SELECT p_source AS mix_source, p_lang AS mix_lang, p_topic AS mix_topic, sum(mix_tokens)::BIGINT AS t FROM pooled GROUP BY 1, 2, 3),
+{goals},
+w0 AS MATERIALIZED (SELECT *, 1.0::DOUBLE AS w FROM cells),
+{rounds},
+ranked AS MATERIALIZED (
+  SELECT *, (SELECT sum(t) FROM cells) * {raking.BUDGET} - coalesce(sum(t) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS left_,
+    sum(t * w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest,
+    row_number() OVER o AS k
+  FROM {last} WHERE w > 0 WINDOW o AS (ORDER BY w DESC, mix_source, mix_lang, mix_topic)),
+rate AS MATERIALIZED (
+  SELECT left_ / rest AS c FROM ranked WHERE rest > 0 AND left_ / rest * w <= 1 ORDER BY k LIMIT 1),
+shares AS MATERIALIZED (
+  SELECT mix_source, mix_lang, mix_topic, w, least(1.0, c * w) AS p, c FROM {last}, rate)
+SELECT d.doc_id, d.mix_source, d.mix_lang, d.mix_topic, d.mix_tokens, s.w AS token_weight, s.p AS probability,
+  CASE WHEN s.p > 0 THEN s.c * s.w / s.p ELSE 0 END AS sample_weight,
+  ('0x' || substr(md5('mix:' || coalesce(d.doc_id::VARCHAR, md5(coalesce(d.text, '')))), 1, 12))::BIGINT / 16.0**12 < s.p AS sampled
+FROM pooled d JOIN shares s ON d.p_source = s.mix_source AND d.p_lang = s.mix_lang AND d.p_topic = s.mix_topic
+"""
+
+
+OP7 = """
+WITH RECURSIVE usable AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS MATERIALIZED (
+  SELECT a.r AS a, b.r AS b, a.vec_id AS ida, b.vec_id AS idb FROM usable a JOIN usable b
+  ON a.label = b.label AND a.r <> b.r AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.93),
+reach(id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT l.ida, r.other FROM links l JOIN reach r ON r.id = l.idb),
+named AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id),
+counts AS (SELECT ida, count(*) AS n FROM links GROUP BY ida)
+SELECT e.vec_id, coalesce(c.n, 0)::BIGINT AS n_links, n.component_id, e.vec_id = n.component_id AS kept
+FROM embeddings e JOIN named n ON n.id = e.vec_id LEFT JOIN counts c ON c.ida = e.vec_id
+"""
+
+OP8 = rf"""
+WITH RECURSIVE w AS MATERIALIZED (
+  SELECT doc_id, {_WORDS.format(f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')")} AS w FROM documents),
+s AS MATERIALIZED (
+  SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+                      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM w),
+t AS MATERIALIZED (SELECT doc_id, unnest(s) AS sh FROM s),
+common AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM t a JOIN t b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS MATERIALIZED (
+  SELECT c.a, c.b FROM common c JOIN s x ON x.doc_id = c.a JOIN s y ON y.doc_id = c.b
+  WHERE 100 * c.n >= 80 * (len(x.s) + len(y.s) - c.n)),
+reach(id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT l.a, r.other FROM links l JOIN reach r ON r.id = l.b),
+named AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, n.component_id FROM s JOIN named n ON n.id = s.doc_id
+"""
+
+LLM_SQL: dict[str, str] = {"op1_raking": _raking_sql(), "op7_int8": OP7, "op8_jaccard": OP8}
