@@ -126,20 +126,20 @@ class Model:
         lo, size, owner = lo[order], size[order], owner[order]
         roots = np.array(self.roots, np.int32)[:, None]
         state = np.repeat(roots, len(lo), 1)
-        got = np.ones((len(self.langs), len(lo)), np.int32)      # the phrase under way
+        got = np.zeros((len(self.langs), len(lo)), np.int32)     # phrases begun
         live = np.searchsorted(-size, -np.arange(WINDOW), "left")   # windows longer than step
         for step in range(int(size[0])):
             n = int(live[step])
             if n == 0:
                 break
             c = codes[lo[:n] + step]
-            nxt = self.table.take(state[:, :n] * ALPHABET + c)
+            now = state[:, :n]
+            nxt = self.table.take(now * ALPHABET + c)
             cut = nxt < 0
+            got[:, :n] += cut | (now == roots)                     # no phrase is under way at a root
             if cut.any():
                 again = self.table.take(roots * ALPHABET + c)      # the phrase starts anew here
-                lone = again < 0                                   # a character never seen
-                nxt = np.where(cut, np.where(lone, roots, again), nxt)
-                got[:, :n] += cut
+                nxt = np.where(cut, np.where(again < 0, roots, again), nxt)   # a letter never seen stands alone
             state[:, :n] = nxt
         for k in range(len(self.langs)):
             count[:, k] = np.bincount(owner, got[k], len(texts)).astype(np.int64)

@@ -1,0 +1,81 @@
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from starmart.llm import raking as R
+from tests.llm.conftest import CLASH_NAMES, SF
+
+
+def test_raking_meets_every_marginal():
+    table = {(s, g, t): 100 + 37 * i + 11 * j * k for i, s in enumerate("abc") for j, g in enumerate(("en", "de")) for k, t in enumerate("xy")}
+    targets = {"source": {"a": 0.5, "b": 0.3, "c": 0.2}, "lang": {"en": 0.4, "de": 0.6}, "topic": 1.0}
+    w, worst = R.rake(table, targets, 30)
+    assert worst < 1e-9
+    total = sum(table.values())
+    for axis, m in enumerate(R.MARGINS):
+        if isinstance(targets[m], dict):
+            for v, share in targets[m].items():
+                assert abs(sum(table[c] * w[c] for c in table if c[axis] == v) / total - share) < 1e-9
+    # raking changes odds by factors of the marginals only: cross ratios stay
+    ratio = lambda x, f: x[f("a", "en")] * x[f("b", "de")] / (x[f("a", "de")] * x[f("b", "en")])
+    f = lambda s, g: (s, g, "x")
+    raked = {c: table[c] * w[c] for c in table}
+    assert abs(ratio(raked, f) / ratio(table, f) - 1) < 1e-9
+
+
+def test_values_without_target_or_document():
+    table = {("a", "en", "x"): 10, ("b", "en", "x"): 30}
+    w, _ = R.rake(table, {"source": {"a": 1.0, "zz": 3.0}, "lang": 1.0, "topic": 1.0})
+    assert w[("b", "en", "x")] == 0 and w[("a", "en", "x")] == 4.0
+
+
+def test_draw_rate_spends_the_budget():
+    table = {("a", "", ""): 100, ("b", "", ""): 900}
+    w = {("a", "", ""): 5.0, ("b", "", ""): 0.5}
+    for budget in (0.05, 0.3, 0.9):
+        c = R.draw_rate(table, w, budget)
+        assert abs(sum(t * min(1, c * w[k]) for k, t in table.items()) - budget * 1000) < 1e-9
+    assert R.draw_rate(table, w, 1.5) == float("inf") and R.draw_rate({}, {}, 0.5) == 0.0
+
+
+def test_sample_follows_the_targets(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    out = R.mix(docs, {"source": 1.0, "lang": {"en": 0.25, "de": 0.25, "fr": 0.25, "es": 0.25}, "topic": 1.0}, budget=0.3)
+    got = {r.mix_lang: r.t for r in out.where("sampled").groupBy("mix_lang").agg(F.sum(F.col("mix_tokens") * F.col("sample_weight")).alias("t")).collect()}
+    total = sum(got.values())
+    assert all(abs(t / total - 0.25) < 0.04 for t in got.values())
+    size, kept = out.agg(F.sum("mix_tokens"), F.sum(F.when(F.col("sampled"), F.col("mix_tokens")))).first()
+    assert abs(kept / size - 0.3) < 0.03
+
+
+def test_small_values_are_pooled_not_dropped(spark):
+    rows = [(i, "word " * 50, "en", "big" if i < 90 else f"tiny{i}", 250) for i in range(100)]
+    out = R.mix(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), max_values=20).collect()
+    assert len(out) == 100 and all(r.probability > 0 for r in out)
+    assert len({r.token_weight for r in out if r.mix_source != "big"}) == 1
+
+
+def test_edges(clashing, empty, edge):
+    out = R.mix(clashing)
+    rows = out.collect()
+    assert len(rows) == clashing.count() and all(0 <= r.probability <= 1 for r in rows)
+    assert {r.mix_source for r in rows} >= {"(none)", "s0"} and all(r[c] is not None for r in rows for c in CLASH_NAMES)
+    assert len({r.sampled for r in rows if r.doc_id == 1}) == 1
+    kept = R.sample(clashing, budget=2.0)
+    assert kept.columns == clashing.columns and kept.count() == clashing.count()
+    assert R.mix(empty).count() == 0 and R.sample(empty).count() == 0
+    named = edge.withColumn("mix_tokens", F.lit("mine"))
+    assert {r.mix_tokens for r in R.sample(named, budget=2.0).collect()} == {"mine"}
+
+
+@pytest.mark.parametrize("name", ["op1_raking", "op7_int8", "op8_jaccard"])
+def test_queries_against_sql(spark, name):
+    from starmart.llm.queries import LLM_QUERIES
+    from starmart.llm.sql import LLM_SQL
+    from tests.oracle_check import compare
+    con = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    df = LLM_QUERIES[name](spark, SF)
+    cur = con.execute(LLM_SQL[name])
+    assert compare(name, df.columns, [tuple(r) for r in df.collect()], [d[0] for d in cur.description], cur.fetchall()) is None

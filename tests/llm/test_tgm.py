@@ -1,0 +1,123 @@
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from starmart.llm import textkit as K
+from starmart.llm import tgm_join as J
+from tests.llm.test_helpers import plain_words
+
+
+def shingles(text):
+    w = plain_words(text)
+    return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+
+
+def brute(rows):
+    s = [shingles(t) for _, t in rows]
+    n = len(rows)
+    par = list(range(n))
+
+    def find(x):
+        while par[x] != x:
+            x = par[x]
+        return x
+    for i in range(n):
+        for j in range(i):
+            if s[i] and s[j] and 100 * len(s[i] & s[j]) >= 80 * len(s[i] | s[j]):
+                a, b = find(i), find(j)
+                par[max(a, b)] = min(a, b)
+    low = {}
+    for i in range(n):
+        if rows[i][0] is not None:
+            low[find(i)] = min(low.get(find(i), rows[i][0]), rows[i][0])
+    return sorted(((rows[i][0], len(s[i]), low.get(find(i))) for i in range(n)), key=repr)
+
+
+def made_rows():
+    """Chains of edits, groups of exact and near copies larger than a chunk, a passage
+    that unrelated documents share, and borderline pairs."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 5)))
+    text = lambda n: [word() for _ in range(n)]
+    rows, k = [], 0
+
+    def add(words):
+        nonlocal k
+        rows.append((k * 3 % 1009, " ".join(words)))
+        k += 1
+    base = text(120)
+    for _ in range(150):                      # near copies: a word changed here and there
+        t = list(base)
+        for _ in range(rng.randint(0, 2)):
+            t[rng.randrange(len(t))] = word()
+        add(t)
+    for _ in range(40):
+        add(base)
+    passage = text(60)
+    for _ in range(60):
+        add(text(rng.randint(20, 90)) + passage + text(10))
+    chain = text(80)
+    for _ in range(25):                       # neighbours link, ends do not
+        chain = chain[rng.randint(1, 6):] + text(rng.randint(1, 6))
+        add(chain)
+    for n in range(1, 30):
+        t = text(n)
+        add(t)
+        add(t + [word()])
+        add([w.upper() for w in t])
+    for _ in range(40):                       # around the threshold
+        t = text(50)
+        add(t)
+        add(t[:50 - rng.randint(3, 8)] + text(rng.randint(0, 3)))
+    return rows
+
+
+def test_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(J, "CHUNK", 16)
+    rows = made_rows()
+    out = J.join_documents(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in out.collect()), key=repr) == brute(rows)
+
+
+def test_edges(clashing, empty):
+    rows = [(r.doc_id, r.text) for r in clashing.select("doc_id", "text").collect()]
+    out = J.join_documents(clashing)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in out.collect()), key=repr)
+    ref = brute(rows)
+    # rows of one id that do not link are components of their own under one name
+    assert got == ref
+    assert J.join_documents(empty).count() == 0
+
+
+def test_linked_sets_share_a_prefix_token():
+    rng = np.random.default_rng(0)
+    for _ in range(400):
+        a = set(rng.integers(0, 60, rng.integers(1, 50)).tolist())
+        b = set(a)
+        for x in rng.integers(0, 60, rng.integers(0, 8)).tolist():
+            b ^= {x}
+        if a and b and 100 * len(a & b) >= 80 * len(a | b):
+            assert set(sorted(a)[:J.prefix_size(len(a))]) & set(sorted(b)[:J.prefix_size(len(b))])
+
+
+def test_token_order_is_the_same_in_every_document():
+    texts = pa.array(["the cat sat on the mat today", "x the cat sat on the mat today y", "a b", None], pa.string())
+    words = np.unique(K.word_hashes(texts)[0])
+    counts = np.arange(1, len(words) + 1) ** 3
+    a, b, c, d = J.ordered_sets(texts, words, counts)
+    assert set(a.tolist()) <= set(b.tolist()) and len(c) == 1 and len(d) == 0 and (np.diff(b.view(np.uint64)) > 0).all()
+
+
+def test_filter_has_no_false_negatives(spark, monkeypatch):
+    ids = list(range(0, 5000, 7)) + [2**60, -5]
+    f = J.id_filter(spark.createDataFrame([(i,) for i in ids], "rep long"))
+    assert f.has(np.array(ids, np.int64)).all() and f.has(np.arange(10_000, 40_000)).mean() < 0.05
+    monkeypatch.setattr(J, "BLOOM_BITS", 1 << 12)
+    assert J.id_filter(spark.createDataFrame([(i,) for i in ids], "rep long")).has(np.array(ids, np.int64)).all()
+
+
+@pytest.mark.parametrize("n", range(1, 40))
+def test_prefix_size(n):
+    assert 1 <= J.prefix_size(n) <= n
