@@ -29,7 +29,6 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -123,16 +122,23 @@ def edit_batches(batches, shared):
 
     def emit():
         ids, texts, nexts = zip(*held)
-        own, new, after = (pa.array(x, pa.string()) for x in (texts, [edited(t, x) for t, x in zip(texts, nexts)], nexts))
-        f, g, h = (fingerprints(x, lexicon) for x in (own, new, after))
+        new = pa.array([edited(t, x) for t, x in zip(texts, nexts)], pa.string())
+        # the next text mostly is the next row: its fingerprint is taken once
+        own, after = list(texts), np.arange(1, len(texts) + 1)
+        for i, x in enumerate(nexts):
+            if i + 1 == len(texts) or x is not texts[i + 1]:
+                after[i] = len(own)
+                own.append(x)
+        f, g = fingerprints(pa.array(own, pa.string()), lexicon), fingerprints(new, lexicon)
+        f, h = f[:len(texts)], f[after]
         return pa.record_batch(
             [pa.array(ids, pa.int64()), pa.array([len(t) for t in texts], pa.int64()),
              pa.array([hashlib.sha256(x.as_py().encode()).hexdigest() for x in new]), pa.array(as_text(f)), pa.array(as_text(g)),
              pa.array(likeness(f, g)), pa.array(likeness(f, h))],
             names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
-    for b in batches:
-        for bucket, guest, doc_id, text in zip(*(b.column(n).to_pylist() for n in ("bucket", "guest", "doc_id", "text"))):
+    for part in (b.slice(lo, 256) for b in batches for lo in range(0, b.num_rows, 256)):
+        for bucket, guest, doc_id, text in zip(*(part.column(n).to_pylist() for n in ("bucket", "guest", "doc_id", "text"))):
             text = text or ""
             if tail is not None and tail[0] == bucket:
                 held.append((tail[1], tail[2], text))
@@ -156,11 +162,11 @@ def cut_points(ids: DataFrame, ranges: int) -> np.ndarray:
 
 def range_of(cuts: np.ndarray):
     """Column function of a long: 2 * its range, + 1 if it is itself a cut point."""
-    @F.pandas_udf("int")
-    def at(k: pd.Series) -> pd.Series:
-        v = k.to_numpy()
+    @F.arrow_udf("int")
+    def at(k: pa.Array) -> pa.Array:
+        v = k.to_numpy(zero_copy_only=False)
         i = np.searchsorted(cuts, v, "right") - 1
-        return pd.Series(2 * i + (cuts[i] == v), dtype="int32")
+        return pa.array((2 * i + (cuts[i] == v)).astype(np.int32))
     return at
 
 

@@ -17,8 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-SLICE_BYTES = 4 << 20          # documents handled by one round of NumPy calls
-MERGE_ROWS = 2_000_000         # distinct keys a counting task holds before it emits them
+SLICE_BYTES = 1 << 20          # documents handled by one round of NumPy calls
+MERGE_ROWS = 1_000_000         # distinct keys a counting task holds before it emits them
 
 _U = np.uint64
 _rng = np.random.default_rng(20240229)
