@@ -17,7 +17,8 @@ raw AS (
     'P' || CAST(l.l_partkey AS VARCHAR) AS stock_code,
     CASE WHEN l.l_partkey % 29 = 0 THEN NULL
          WHEN l.l_partkey % 31 = 0 THEN '   '
-         ELSE '  ' || p.p_name || ' ' END AS description,
+         ELSE '  ' || p.p_name || CASE WHEN l.l_partkey % 5 = 0 AND l.l_shipdate >= DATE '1998-01-01' THEN ' (revised)' ELSE '' END
+              || ' ' END AS description,
     CASE WHEN l.l_returnflag = 'R' THEN -CAST(l.l_quantity AS INTEGER)
          ELSE CAST(l.l_quantity AS INTEGER) END AS quantity,
     CAST(CAST(l.l_shipdate AS DATE) AS VARCHAR) AS invoice_date,
@@ -192,8 +193,10 @@ stale_customers AS (
 
 SUPPLY = f"""
 sfact AS (
-  SELECT CAST(row_number() OVER (ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity,
-           l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS BIGINT) AS shipment_id,
+  SELECT CAST('0x' || substr(md5(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber,
+           CAST(round(l_quantity * 100) AS BIGINT), CAST(round(l_extendedprice * 100) AS BIGINT),
+           CAST(round(l_discount * 100) AS BIGINT), CAST(round(l_tax * 100) AS BIGINT),
+           l_returnflag, l_linestatus, CAST(CAST(l_shipdate AS DATE) AS VARCHAR))), 1, 15) AS BIGINT) AS shipment_id,
     l_partkey AS product_id, l_suppkey AS supplier_id, l_orderkey % 25 AS warehouse_id, l_orderkey AS order_id,
     CAST(year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate) AS INTEGER) AS date_id,
     CAST(l_shipdate AS DATE) AS shipment_date, CAST(l_quantity AS INTEGER) AS quantity,
@@ -203,15 +206,20 @@ sfact AS (
 ),
 sproducts AS (
   SELECT p_partkey AS product_id, p_name AS product_name, p_type AS product_category,
-         'SKU-' || CAST(p_partkey AS VARCHAR) AS sku, CAST(p_retailprice AS DECIMAL(10,2)) AS unit_price
+         'SKU-' || CAST(p_partkey AS VARCHAR) AS sku, CAST(p_retailprice AS DECIMAL(10,2)) AS unit_price,
+         CAST(NULL AS VARCHAR) AS description
   FROM part
 ),
 ssuppliers AS (
-  SELECT s_suppkey AS supplier_id, s_name AS supplier_name, n_name AS supplier_country
+  SELECT s_suppkey AS supplier_id, s_name AS supplier_name, n_name AS supplier_country,
+         CAST(NULL AS VARCHAR) AS contact_email, CAST(NULL AS VARCHAR) AS phone
   FROM supplier JOIN nation ON s_nationkey = n_nationkey
 ),
-swarehouses AS (SELECT CAST(n_nationkey AS BIGINT) AS warehouse_id, n_name AS warehouse_name FROM nation),
-sorders AS (SELECT o_orderkey AS order_id FROM orders),
+swarehouses AS (SELECT CAST(n_nationkey AS BIGINT) AS warehouse_id, n_name AS warehouse_name,
+  r_name AS warehouse_location, n_name AS warehouse_country, CAST(NULL AS VARCHAR) AS manager_name
+  FROM nation JOIN region ON n_regionkey = r_regionkey),
+sorders AS (SELECT o_orderkey AS order_id, CAST(o_orderdate AS DATE) AS order_date, CAST(o_custkey AS VARCHAR) AS customer_id,
+  o_orderstatus AS order_status, o_orderpriority AS order_priority FROM orders),
 stime AS (
   SELECT {_date_attrs("d")} FROM (
     SELECT CAST(unnest(generate_series(CAST(min(l_shipdate) AS TIMESTAMP), CAST(max(l_shipdate) AS TIMESTAMP),
@@ -264,20 +272,66 @@ AUDIT_COLS = ("shipment_id, operation, CAST(old_value AS DOUBLE) AS old_value, "
               "CAST(new_value AS DOUBLE) AS new_value, seq, step")
 
 
+PLANTED = """
+bronze_planted AS (
+  SELECT invoice_no, CASE WHEN abs(quantity) % 11 = 0 THEN rpad(stock_code, 24, 'x') ELSE stock_code END AS stock_code,
+    CASE WHEN length(description) % 7 = 0 THEN rpad(description, 300, 'y') ELSE description END AS description,
+    quantity, invoice_date, unit_price, customer_id,
+    CASE WHEN abs(quantity) % 23 = 0 THEN rpad(country, 120, 'z') ELSE country END AS country
+  FROM bronze
+),
+sfact_planted AS (
+  SELECT shipment_id, product_id, CASE WHEN order_id % 101 = 0 THEN NULL ELSE supplier_id END AS supplier_id, warehouse_id,
+    order_id, date_id, shipment_date, CASE WHEN order_id % 103 = 0 THEN 0 ELSE quantity END AS quantity,
+    CASE WHEN order_id % 107 = 0 THEN -shipment_value ELSE shipment_value END AS shipment_value,
+    CASE WHEN order_id % 109 = 0 THEN -1 ELSE shipping_time_hours END AS shipping_time_hours
+  FROM sfact
+)"""
+
+# Tables with declared rules and the oracle's name for each.
+RULED = {
+    "bronze.raw_transactions": "bronze_planted", "silver.products": "silver_products", "silver.customers": "silver_customers",
+    "silver.transactions": "silver_tx", "gold.dim_customers": "dim_customers", "gold.dim_products": "dim_products",
+    "gold.dim_date": "dim_date", "gold.fact_sales": "fact_sales", "supply.dim_time": "stime", "supply.dim_products": "sproducts",
+    "supply.dim_suppliers": "ssuppliers", "supply.dim_warehouses": "swarehouses", "supply.dim_orders": "sorders",
+    "supply.fact_shipments": "sfact_planted",
+}
+
+
 def _rules_sql() -> str:
     from starmart import schemas
     parts = []
-    for c, n in schemas.VARCHAR_LIMITS["bronze.raw_transactions"].items():
-        parts.append(f"SELECT 'raw_transactions' AS table_name, '{c} length <= {n}' AS rule, "
-                     f"CAST(SUM(CASE WHEN {c} IS NOT NULL AND length({c}) > {n} THEN 1 ELSE 0 END) AS BIGINT) "
-                     f"AS violations FROM bronze")
-    for c in ["product_id", "supplier_id", "warehouse_id", "order_id", "date_id", "shipment_date",
-              "quantity", "shipment_value", "shipping_time_hours"]:
-        parts.append(f"SELECT 'fact_shipments', '{c} not null', "
-                     f"CAST(SUM(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) FROM sfact")
-    for name, expr in schemas.SHIPMENT_CHECKS.items():
-        parts.append(f"SELECT 'fact_shipments', '{name}', "
-                     f"CAST(SUM(CASE WHEN NOT COALESCE({expr}, TRUE) THEN 1 ELSE 0 END) AS BIGINT) FROM sfact")
+
+    def rule(table, name, bad):
+        parts.append(f"SELECT '{table}' AS table_name, '{name}' AS rule, "
+                     f"CAST(COALESCE(SUM(CASE WHEN {bad} THEN 1 ELSE 0 END), 0) AS BIGINT) AS violations FROM {RULED[table]}")
+    for table in RULED:
+        for f in schemas.SCHEMAS[table].fields:
+            if not f.nullable and f.name != "sales_id":
+                rule(table, f"{f.name} not null", f"{f.name} IS NULL")
+        for c, n in schemas.VARCHAR_LIMITS.get(table, {}).items():
+            rule(table, f"{c} length <= {n}", f"{c} IS NOT NULL AND length({c}) > {n}")
+        for name, expr in schemas.CHECKS.get(table, {}).items():
+            rule(table, name, f"NOT COALESCE({expr}, TRUE)")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _keys_sql() -> str:
+    from starmart import schemas
+    twice = {"supply.dim_products": ("product_id", 31), "gold.dim_date": ("date_id", 17),
+             "supply.fact_shipments": ("shipment_id", 40), "gold.dim_products": ("product_id", 53)}
+    parts = []
+    for table, keys in schemas.KEYS.items():
+        if table not in RULED or table == "gold.fact_sales":
+            continue
+        for key in keys:
+            c, rows = ", ".join(key), f"SELECT * FROM {RULED[table]}"
+            if table in twice:
+                k, n = twice[table]
+                rows += f" UNION ALL SELECT * FROM {RULED[table]} WHERE {k} % {n} = 0"
+            parts.append(f"SELECT '{table}' AS table_name, '{c}' AS key_columns, COUNT(*) AS duplicated_keys, "
+                         f"CAST(COALESCE(SUM(n), 0) AS BIGINT) AS rows_involved FROM (SELECT {c}, COUNT(*) AS n FROM ({rows}) "
+                         f"WHERE {' AND '.join(f'{x} IS NOT NULL' for x in key)} GROUP BY {c} HAVING COUNT(*) > 1)")
     return "\nUNION ALL\n".join(parts)
 
 
@@ -322,7 +376,7 @@ FROM ok""")
     q["resolve_keys"] = _with(*full, body="""
 SELECT invoice_no, customer_id, product_id, date_id, quantity, CAST(unit_price AS DOUBLE) AS unit_price,
        CAST(total_value AS DOUBLE) AS total_value FROM fact_sales""")
-    q["unresolved_keys"] = _with(*rc, STALE, body="""
+    q["unresolved_keys"] = _with(*rc, STALE.replace('19980101', '19950301'), body="""
 , r AS (
   SELECT t.*, p.product_id, c.customer_id FROM silver_tx t
   LEFT JOIN stale_products p ON t.stock_code = p.stock_code
@@ -341,26 +395,18 @@ UNION ALL
 SELECT CAST((SELECT max(product_id) FROM stale_products) + row_number() OVER (ORDER BY m.stock_code) AS BIGINT),
        m.stock_code, m.description
 FROM master m WHERE m.stock_code NOT IN (SELECT stock_code FROM stale_products)""")
-    q["fk_orphans"] = _with(*full, SUPPLY, body="""
-SELECT 'fact_sales.customer_id' AS foreign_key, COUNT(*) AS orphan_rows FROM fact_sales f
-  WHERE f.customer_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_customers d WHERE d.customer_id = f.customer_id)
-UNION ALL SELECT 'fact_sales.product_id', COUNT(*) FROM fact_sales f
-  WHERE f.product_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_products d WHERE d.product_id = f.product_id)
-UNION ALL SELECT 'fact_sales.date_id', COUNT(*) FROM fact_sales f
-  WHERE f.date_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_date d WHERE d.date_id = f.date_id)
-UNION ALL SELECT 'fact_shipments.product_id', COUNT(*) FROM sfact f
-  WHERE NOT EXISTS (SELECT 1 FROM sproducts d WHERE d.product_id = f.product_id)
-UNION ALL SELECT 'fact_shipments.supplier_id', COUNT(*) FROM sfact f
-  WHERE NOT EXISTS (SELECT 1 FROM ssuppliers d WHERE d.supplier_id = f.supplier_id)
-UNION ALL SELECT 'fact_shipments.warehouse_id', COUNT(*) FROM sfact f
-  WHERE NOT EXISTS (SELECT 1 FROM swarehouses d WHERE d.warehouse_id = f.warehouse_id)
-UNION ALL SELECT 'fact_shipments.order_id', COUNT(*) FROM sfact f
-  WHERE NOT EXISTS (SELECT 1 FROM sorders d WHERE d.order_id = f.order_id)
-UNION ALL SELECT 'fact_shipments.date_id', COUNT(*) FROM sfact f
-  WHERE NOT EXISTS (SELECT 1 FROM stime d WHERE d.date_id = f.date_id)""")
+    retired = {"customer_id": 23, "product_id": 19, "date_id": 29, "supplier_id": 7, "warehouse_id": 11, "order_id": 31}
+    fks = [("fact_sales", "fact_sales", "customer_id", "dim_customers"), ("fact_sales", "fact_sales", "product_id", "dim_products"),
+           ("fact_sales", "fact_sales", "date_id", "dim_date"), ("fact_shipments", "sfact", "product_id", "sproducts"),
+           ("fact_shipments", "sfact", "supplier_id", "ssuppliers"), ("fact_shipments", "sfact", "warehouse_id", "swarehouses"),
+           ("fact_shipments", "sfact", "order_id", "sorders"), ("fact_shipments", "sfact", "date_id", "stime")]
+    q["fk_orphans"] = _with(*full, SUPPLY, body="\nUNION ALL\n".join(
+        f"SELECT '{t}.{k}' AS foreign_key, COUNT(*) AS orphan_rows FROM {f} f WHERE f.{k} IS NOT NULL AND NOT EXISTS "
+        f"(SELECT 1 FROM {d} d WHERE d.{k} = f.{k} AND d.{k} % {retired[k]} <> 0)" for t, f, k, d in fks))
     q["duplicate_keys"] = _with(*rc, body="""
 SELECT invoice_no, stock_code, COUNT(*) AS row_count FROM silver_tx GROUP BY invoice_no, stock_code HAVING COUNT(*) > 1""")
-    q["row_rule_violations"] = _with(RAW, SUPPLY, body=_rules_sql())
+    q["row_rule_violations"] = _with(*full, SUPPLY, PLANTED, body=_rules_sql())
+    q["declared_keys"] = _with(*full, SUPPLY, PLANTED, body=_keys_sql())
     layers = """
 , lc AS (
   SELECT 'bronze' AS layer, COUNT(*) AS row_count FROM bronze
@@ -383,6 +429,32 @@ SELECT 'overall', CAST(NULL AS BIGINT),
   CASE max(CASE status WHEN 'ERROR' THEN 2 WHEN 'WARNING' THEN 1 ELSE 0 END) WHEN 2 THEN 'ERROR' WHEN 1 THEN 'WARNING' ELSE 'OK' END
 FROM rows""")
     q["table_profile"] = _with(RAW, body=_profile_sql())
+    bronze_double = BRONZE_COLS.replace("unit_price", "CAST(unit_price AS DOUBLE) AS unit_price")
+    quoted = "description || '\"BIG\", size ' || quantity || ',\"x\"' AS description"
+    q["csv_quoted_reordered"] = _with(RAW, body=f"SELECT {bronze_double.replace('description', quoted)} FROM bronze")
+    q["batch_stamp"] = _with(RAW, body=f"""
+SELECT {bronze_double}, TIMESTAMP '2026-02-22 03:04:05' AS load_timestamp, '7b0c6c1e-9f0e-4b63-9d1c-2f8d51a3c001' AS batch_id FROM bronze""")
+    tx_cols = "invoice_no, stock_code, raw_customer_id, date_id, quantity, CAST(unit_price AS DOUBLE) AS unit_price, CAST(total_value AS DOUBLE) AS total_value"
+    q["fact_append"] = _with(*rc, body=f"""
+SELECT {tx_cols}, DATE '2026-02-22' AS run_date FROM silver_tx WHERE quantity > 5
+UNION ALL SELECT {tx_cols}, DATE '2026-02-23' FROM silver_tx WHERE quantity > 10""")
+    q["retail_job_fact"] = _with(*full, body="""
+SELECT invoice_no, customer_id, product_id, date_id, quantity, CAST(unit_price AS DOUBLE) AS unit_price,
+       CAST(total_value AS DOUBLE) AS total_value, 'batch-2026-02-22' AS batch_id FROM fact_sales""")
+    q["retail_job_counts"] = (q["cleaning_report"].replace("AS silver_rows\nFROM ok", """AS silver_rows,
+  CAST(0 AS BIGINT) AS overlong_rows, CAST(0 AS BIGINT) AS bad_dates
+FROM ok"""))
+    q["retail_job_dims"] = _with(*full, STALE.replace("19980101", "19950601"), body="""
+, p AS (
+  SELECT s.product_id, n.stock_code, n.description, n.stock_code AS k FROM silver_products n LEFT JOIN stale_products s ON s.stock_code = n.stock_code),
+c AS (
+  SELECT s.customer_id, n.raw_customer_id, n.country FROM silver_customers n LEFT JOIN stale_customers s ON s.raw_customer_id = n.raw_customer_id)
+SELECT 'product' AS dimension, CAST(COALESCE(product_id, (SELECT max(product_id) FROM stale_products)
+    + row_number() OVER (PARTITION BY product_id IS NULL ORDER BY stock_code)) AS BIGINT) AS key,
+  stock_code AS natural_key, description AS attribute FROM p
+UNION ALL
+SELECT 'customer', CAST(COALESCE(customer_id, (SELECT max(customer_id) FROM stale_customers)
+    + row_number() OVER (PARTITION BY customer_id IS NULL ORDER BY raw_customer_id)) AS BIGINT), raw_customer_id, country FROM c""")
     q["snapshot_roundtrip"] = _with(RAW, body="""
 SELECT DATE '2026-02-22' AS snapshot_date, COUNT(*) AS row_count FROM bronze
 UNION ALL SELECT DATE '2026-02-23', COUNT(*) FROM bronze""")
@@ -397,7 +469,7 @@ SELECT dp.product_category, CAST(SUM(fs.quantity) AS BIGINT) AS total_quantity
 FROM sfact fs JOIN sproducts dp ON fs.product_id = dp.product_id
 GROUP BY dp.product_category ORDER BY total_quantity DESC""")
     q["warehouse_efficiency"] = _with(SUPPLY, body="""
-SELECT dw.warehouse_name, ROUND(CAST(SUM(fs.shipping_time_hours) AS DOUBLE) / COUNT(fs.shipping_time_hours), 2) AS avg_shipping_time_hours
+SELECT dw.warehouse_name, (SUM(fs.shipping_time_hours) * 200 + COUNT(fs.shipping_time_hours)) // (2 * COUNT(fs.shipping_time_hours)) / 100.0 AS avg_shipping_time_hours
 FROM sfact fs JOIN swarehouses dw ON fs.warehouse_id = dw.warehouse_id
 GROUP BY dw.warehouse_name ORDER BY avg_shipping_time_hours""")
     q["value_by_supplier"] = _with(SUPPLY, body="""
@@ -412,21 +484,22 @@ GROUP BY dp.product_name ORDER BY total_quantity DESC, dp.product_name LIMIT 5""
 SELECT dp.product_category,
   CAST(MIN(fs.shipment_value) AS DOUBLE) AS min_shipment_value,
   CAST(MAX(fs.shipment_value) AS DOUBLE) AS max_shipment_value,
-  ROUND(CAST(SUM(fs.shipment_value) AS DOUBLE) / COUNT(fs.shipment_value), 2) AS avg_shipment_value,
+  (CAST(SUM(fs.shipment_value) * 100 AS HUGEINT) * 2 + COUNT(*)) // (2 * COUNT(*)) / 100.0 AS avg_shipment_value,
   CAST(ROUND(SUM(fs.shipment_value), 2) AS DOUBLE) AS total_shipment_value,
   COUNT(fs.shipment_id) AS shipment_count
 FROM sfact fs JOIN sproducts dp ON fs.product_id = dp.product_id
 GROUP BY dp.product_category ORDER BY total_shipment_value DESC""")
     q["shipment_summary"] = _with(SUPPLY, body="""
 SELECT dp.product_category, CAST(SUM(fs.quantity) AS BIGINT) AS total_quantity,
-  ROUND(CAST(SUM(fs.shipping_time_hours) AS DOUBLE) / COUNT(fs.shipping_time_hours), 2) AS avg_shipping_time_hours,
+  (SUM(fs.shipping_time_hours) * 200 + COUNT(fs.shipping_time_hours)) // (2 * COUNT(fs.shipping_time_hours)) / 100.0 AS avg_shipping_time_hours,
   CAST(ROUND(SUM(fs.shipment_value), 2) AS DOUBLE) AS total_shipment_value,
   COUNT(fs.shipment_id) AS shipment_count
 FROM sfact fs JOIN sproducts dp ON fs.product_id = dp.product_id
 GROUP BY dp.product_category""")
     yoy = """
 , annual AS (
-  SELECT ds.supplier_name, dt.year, SUM(fs.shipment_value) AS annual_value
+  SELECT ds.supplier_name, dt.year,
+    SUM(CASE WHEN fs.supplier_id % 7 = 3 AND dt.year = 1997 THEN 0 ELSE fs.shipment_value END) AS annual_value
   FROM sfact fs JOIN ssuppliers ds ON fs.supplier_id = ds.supplier_id JOIN stime dt ON fs.date_id = dt.date_id
   GROUP BY ds.supplier_name, dt.year),
 yoy AS (
@@ -434,8 +507,9 @@ SELECT supplier_name, year,
   CAST(ROUND(annual_value, 2) AS DOUBLE) AS current_year_value,
   CAST(ROUND(LAG(annual_value) OVER w, 2) AS DOUBLE) AS previous_year_value,
   CAST(ROUND(annual_value - LAG(annual_value) OVER w, 2) AS DOUBLE) AS net_change,
-  ROUND(CAST(annual_value - LAG(annual_value) OVER w AS DOUBLE)
-        / CAST(NULLIF(LAG(annual_value) OVER w, 0) AS DOUBLE) * 100, 2) AS percentage_change
+  CAST(sign(annual_value - LAG(annual_value) OVER w) AS BIGINT)
+    * ((CAST(abs(annual_value - LAG(annual_value) OVER w) * 100 AS HUGEINT) * 20000 + CAST(LAG(annual_value) OVER w * 100 AS HUGEINT))
+       // (2 * CAST(NULLIF(LAG(annual_value) OVER w, 0) * 100 AS HUGEINT))) / 100.0 AS percentage_change
 FROM annual WINDOW w AS (PARTITION BY supplier_name ORDER BY year))"""
     q["supplier_yoy"] = _with(SUPPLY, body=yoy + "\nSELECT * FROM yoy ORDER BY supplier_name, year")
     q["supplier_yoy_significant"] = _with(SUPPLY, body=yoy + """
@@ -449,9 +523,12 @@ SELECT f.order_id, f.product_id, f.supplier_id, f.quantity, CAST(p.unit_price AS
        CAST(f.shipment_value AS DOUBLE) AS shipment_value,
        CAST(CAST(ROUND(f.quantity * p.unit_price, 2) AS DECIMAL(12,2)) AS DOUBLE) AS expected_value
 FROM sfact f JOIN sproducts p ON f.product_id = p.product_id
-WHERE abs(f.shipment_value - CAST(ROUND(f.quantity * p.unit_price, 2) AS DECIMAL(12,2))) >= 0.01""")
+WHERE f.order_id % 3 <> 0 AND abs(f.shipment_value - CAST(ROUND(f.quantity * p.unit_price, 2) AS DECIMAL(12,2))) >= 0.01""")
     q["apply_delays"] = _with(SUPPLY, CHANGES, body=f"SELECT {FACT_COLS} FROM f1")
     q["apply_values"] = _with(SUPPLY, CHANGES, body=f"SELECT {FACT_COLS} FROM f2")
+    q["apply_batch"] = q["supply_job_fact"] = _with(SUPPLY, CHANGES, body=f"SELECT {FACT_COLS} FROM f3")
+    q["supply_job_audit"] = _with(SUPPLY, CHANGES, body=f"""SELECT {AUDIT_COLS}, TIMESTAMP '2026-02-22 03:04:05' AS changed_at,
+  'tester' AS changed_by, 'batch-1' AS batch_id FROM audit""")
     q["delete_keys"] = _with(SUPPLY, CHANGES, body=f"SELECT {FACT_COLS} FROM f3")
     q["audit_update"] = _with(SUPPLY, CHANGES, body=f"SELECT {AUDIT_COLS} FROM audit WHERE operation = 'UPDATE'")
     q["audit_delete"] = _with(SUPPLY, CHANGES, body=f"SELECT {AUDIT_COLS} FROM audit WHERE operation = 'DELETE'")

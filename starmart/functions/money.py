@@ -1,4 +1,4 @@
-"""Decimal measure expressions (P9, P10) and the rounded average of the reports."""
+"""Decimal measure expressions."""
 
 from __future__ import annotations
 
@@ -19,11 +19,3 @@ def shipment_value(quantity: Column | str = "quantity",
                    price: Column | str = "unit_price") -> Column:
     """``round(quantity * unit_price, 2)`` as NUMERIC(12,2) (P10)."""
     return F.round(_c(quantity) * _c(price), 2).cast("decimal(12,2)")
-
-
-def round_avg(col: Column | str, scale: int = 2) -> Column:
-    """``ROUND(AVG(x), 2)`` computed as an exact sum over a non-null count, then a double
-    division. Sums stay exact (integer or decimal) until the single final division, so
-    the partial/final aggregation split does not change the result."""
-    c = _c(col)
-    return F.round(F.sum(c).cast("double") / F.count(c), scale)

@@ -41,13 +41,24 @@ def upsert_ignore(target: DataFrame, src: DataFrame, key: str | list[str]) -> Da
     return target.unionByName(new.select(*target.columns))
 
 
+def unique_source(src: DataFrame, key: str) -> DataFrame:
+    """The source rows, one a key; a repeated key fails the job from inside the plan (one
+    grouped pass, which the join on the key needs anyway)."""
+    cols = [c for c in src.columns if c != key]
+    once = src.groupBy(key).agg(F.count(F.lit(1)).alias("_times"), *[F.first(c).alias(c) for c in cols])
+    rule = F.when(F.col("_times") == 1, F.lit(True)).otherwise(
+        F.raise_error(F.concat(F.lit(f"source repeats {key} "), F.col(key).cast("string"))).cast("boolean"))
+    return once.filter(rule).select(*src.columns)
+
+
 def upsert_update(target: DataFrame, src: DataFrame, natural: str, key: str,
                   columns: list[str]) -> DataFrame:
     """U2 (insert ... on conflict do update): a type-1 dimension merge.
 
     Matched members take the source attributes (even a null), keep their surrogate key;
     target-only members are unchanged; new members get keys after the current maximum
-    (K1). The source must be unique on ``natural``."""
+    (K1). A natural key repeated in the source fails the job, as the statement would."""
+    src = unique_source(src, natural)
     s = src.select(natural, *[F.col(c).alias(f"_src_{c}") for c in columns]).withColumn("_hit", F.lit(True))
     merged = target.join(s, natural, "left").select(
         key, natural,
@@ -59,31 +70,55 @@ def upsert_update(target: DataFrame, src: DataFrame, natural: str, key: str,
 
 # --- U3 / U4 / U5 --------------------------------------------------------------------------
 
+def lowest_running_sum(changes: DataFrame, key: str, order: str, value: str,
+                       num_partitions: int | None = None) -> DataFrame:
+    """(key, ``_add``, ``_low``): the sum of a key's changes and the lowest value their
+    running sum takes in ``order``. Rows are range partitioned on (key, order), so a hot
+    key is cut into slices; a slice is one row (its sum, its lowest point), and the slices
+    of a key, at most one a partition, are combined after that."""
+    r = (changes.repartitionByRange(num_partitions, key, order) if num_partitions
+         else changes.repartitionByRange(key, order))
+    r = r.select(key, order, F.col(value).cast("long").alias("_v")).withColumn("_pid", F.spark_partition_id())
+    run = F.sum("_v").over(Window.partitionBy("_pid", key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+    slices = (r.withColumn("_run", run).groupBy("_pid", key)
+              .agg(F.min(order).alias("_at"), F.sum("_v").alias("_sum"), F.min("_run").alias("_min")))
+    before = F.sum("_sum").over(Window.partitionBy(key).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1))
+    return (slices.withColumn("_low", F.coalesce(before, F.lit(0)) + F.col("_min"))
+            .groupBy(key).agg(F.sum("_sum").alias("_add"), F.min("_low").alias("_low")))
+
+
 def apply_delays(fact: DataFrame, adjustments: DataFrame, key: str = "shipment_id",
-                 hours: str = "shipping_time_hours", added: str = "added_hours") -> DataFrame:
-    """Add hours to the given shipments. Repeated ids add up (the procedure called
-    twice); the adjustments are pre-summed per id before the join, so the join input is
-    one row per touched id. Negative results fail the job (CHECK hours >= 0)."""
-    adj = adjustments.groupBy(key).agg(F.sum(added).alias("_add"))
-    out = (fact.join(adj, key, "left")
-           .withColumn(hours, (F.col(hours) + F.coalesce(F.col("_add"), F.lit(0))).cast("int"))
-           .drop("_add"))
-    return enforce(out, {f"{hours} >= 0": F.col(hours) >= 0}, "shipment")
+                 hours: str = "shipping_time_hours", added: str = "added_hours",
+                 seq: str = "seq") -> DataFrame:
+    """Add hours to the given shipments. Repeated ids add up in the order of ``seq``
+    (the procedure called again), reduced to one row per id before the join. Hours that
+    turn negative after any of the calls fail the job (CHECK hours >= 0), even if a later
+    call would lift them again."""
+    adj = lowest_running_sum(adjustments, key, seq, added)
+    out = fact.join(adj, key, "left")
+    out = enforce(out, {f"{hours} >= 0": F.col(hours) + F.least(F.coalesce("_low", F.lit(0)), F.lit(0)) >= 0}, "shipment")
+    return (out.withColumn(hours, (F.col(hours) + F.coalesce(F.col("_add"), F.lit(0))).cast("int"))
+            .drop("_add", "_low"))
+
+
+def _bad_value(value: Column, dtype: str) -> Column:
+    v = value.cast(dtype)
+    return F.coalesce((v < 0).cast("int"), F.lit(1))
 
 
 def apply_values(fact: DataFrame, updates: DataFrame, key: str = "shipment_id",
                  value: str = "shipment_value", new: str = "new_value",
                  seq: str = "seq") -> DataFrame:
-    """U4: set a new value for the given shipments; the last ``seq`` per id wins, and a
-    matched row takes the new value even when it is null (then NOT NULL fails the job)."""
-    last = (updates.groupBy(key).agg(F.max_by(F.col(new), F.col(seq)).alias("_new"))
-            .withColumn("_hit", F.lit(True)))
+    """U4: set a new value for the given shipments; the last ``seq`` per id wins. Each
+    update is a statement of its own: a null or negative value fails the job (NOT NULL,
+    CHECK value >= 0), even if a later update replaces it."""
     dtype = dict(fact.dtypes)[value]
-    out = (fact.join(last, key, "left")
-           .withColumn(value, F.when(F.col("_hit"), F.col("_new").cast(dtype)).otherwise(F.col(value)))
-           .drop("_new", "_hit"))
-    return enforce(out, {f"{value} not null": F.col(value).isNotNull(),
-                         f"{value} >= 0": F.col(value) >= 0}, "shipment")
+    last = (updates.groupBy(key).agg(F.max_by(F.col(new), F.col(seq)).alias("_new"),
+                                     F.max(_bad_value(F.col(new), dtype)).alias("_bad"))
+            .withColumn("_hit", F.lit(True)))
+    out = enforce(fact.join(last, key, "left"), {f"{value} not null and >= 0": F.coalesce("_bad", F.lit(0)) == 0}, "shipment")
+    return (out.withColumn(value, F.when(F.col("_hit"), F.col("_new").cast(dtype)).otherwise(F.col(value)))
+            .drop("_new", "_hit", "_bad"))
 
 
 def delete_keys(fact: DataFrame, keys: DataFrame, key: str = "shipment_id") -> DataFrame:
@@ -188,7 +223,8 @@ def stamp_audit(audit: DataFrame, changed_at: datetime | None = None,
 def latest_change(audit: DataFrame, key: str = "shipment_id",
                   order: list[str] | None = None) -> DataFrame:
     """T5: the newest audit row per key (``order by changed_at desc limit 1`` per key).
-    ``max_by`` is an aggregate with a partial step, so a hot key stays bounded."""
+    ``max_by`` is an aggregate with a partial step (a sort aggregate, as its struct buffer
+    has no fixed width), so a hot key stays bounded."""
     cols = [c for c in audit.columns if c != key]
     ordering = order or ["step", "seq"]
     picked = audit.groupBy(key).agg(
@@ -209,36 +245,39 @@ def apply_batch(fact: DataFrame, adjustments: DataFrame, updates: DataFrame, del
     are first reduced to one row per id (all small, pre-aggregated). The fact is rewritten
     with one left join to that table (a broadcast when small). The audit needs the
     current value of the touched ids only, which one semi-join fetches. The result equals
-    applying :func:`apply_delays`, :func:`apply_values` and :func:`delete_keys` in turn.
+    applying :func:`apply_delays`, :func:`apply_values` and :func:`delete_keys` in turn,
+    and it fails where one of those would: hours and values are checked after every
+    statement, also of rows that are deleted in the end.
     Returns ``(after, audit)``; audit rows carry ``step`` 1/2/3 like the sequential run.
     """
     dtype = dict(fact.dtypes)[value]
-    def tag(df, add=None, val=None, seq=None, upd=False, gone=False):
+    def tag(df, add=None, low=None, val=None, seq=None, upd=False, gone=False):
         nul = F.lit(None)
         return df.select(key, (add if add is not None else nul).cast("long").alias("_add"),
+                         (low if low is not None else nul).cast("long").alias("_low"),
                          (val if val is not None else nul).cast(dtype).alias("_val"),
                          (seq if seq is not None else nul).cast("long").alias("_seq"),
                          F.lit(upd).alias("_upd"), F.lit(gone).alias("_gone"))
 
     # one row per id from the union of the three change sets: one exchange, with the
     # map-side partial aggregate in front of it (no full outer joins)
-    tagged = (tag(adjustments, add=F.col("added_hours"))
+    tagged = (tag(lowest_running_sum(adjustments, key, "seq", "added_hours"), add=F.col("_add"), low=F.col("_low"))
               .unionByName(tag(updates, val=F.col("new_value"), seq=F.col("seq"), upd=True))
               .unionByName(tag(deletes, gone=True)))
     changes = tagged.groupBy(key).agg(
-        F.sum("_add").alias("_add"),
+        F.sum("_add").alias("_add"), F.min("_low").alias("_low"),
+        F.max(F.when(F.col("_upd"), _bad_value(F.col("_val"), dtype))).alias("_bad"),
         F.max_by(F.col("_val"), F.when(F.col("_upd"), F.col("_seq"))).alias("_new"),
         F.when(F.max(F.col("_upd").cast("int")) == 1, F.lit(True)).alias("_hit"),
         F.when(F.max(F.col("_gone").cast("int")) == 1, F.lit(True)).alias("_del"))
     last = changes.filter(F.col("_hit")).select(key, "_new", "_hit")
-    after = (fact.join(changes, key, "left")
-             .filter(F.col("_del").isNull())
+    checked = enforce(fact.join(changes, key, "left"), {
+        f"{hours} >= 0": F.col(hours) + F.least(F.coalesce("_low", F.lit(0)), F.lit(0)) >= 0,
+        f"{value} not null and >= 0": F.coalesce("_bad", F.lit(0)) == 0}, "shipment")
+    after = (checked.filter(F.col("_del").isNull())
              .withColumn(hours, (F.col(hours) + F.coalesce(F.col("_add"), F.lit(0))).cast("int"))
              .withColumn(value, F.when(F.col("_hit"), F.col("_new").cast(dtype)).otherwise(F.col(value)))
-             .drop("_add", "_new", "_hit", "_del"))
-    after = enforce(after, {f"{hours} >= 0": F.col(hours) >= 0,
-                            f"{value} not null": F.col(value).isNotNull(),
-                            f"{value} >= 0": F.col(value) >= 0}, "shipment")
+             .select(*fact.columns))
 
     touched = changes.select(key)
     current = fact.select(key, value).join(touched, key, "left_semi")

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from starmart.functions.dates import date_id, parse_timestamp
 from starmart.functions.money import line_value
 from starmart.functions.text import strip_unicode
-from starmart.schemas import BUSINESS_COLUMNS
+from starmart.schemas import BUSINESS_COLUMNS, VARCHAR_LIMITS
 
 # Fixed values of the reference cleaning rules.
 MANDATORY = ["invoice_no", "stock_code", "unit_price"]
@@ -30,10 +30,11 @@ FIRST_ROW_ORDER = ["invoice_ts", "invoice_no", "stock_code", "country"]
 
 
 def dedup_exact(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Drop exact copies over the business columns (null-safe). Batch columns are
-    constant within a batch, so leaving them out keeps the shuffle narrower."""
+    """Drop exact copies over the business columns (null-safe); the result has just
+    these. Batch columns are constant within a batch: carried along they would cross the
+    exchange and, as strings to keep one of, turn the hash aggregate into a sort."""
     cols = columns or [c for c in BUSINESS_COLUMNS if c in df.columns]
-    return df.dropDuplicates(cols)
+    return df.select(*cols).distinct()
 
 
 def _any_null(cols: list[str]) -> Column:
@@ -114,7 +115,10 @@ def clean_stages(bronze: DataFrame, formats: list[str] | None = None) -> dict[st
 
 
 def clean(bronze: DataFrame, formats: list[str] | None = None) -> DataFrame:
-    """Bronze -> cleaned rows (all columns needed by the three Silver tables)."""
+    """Bronze -> cleaned rows (all columns needed by the three Silver tables).
+
+    The price filter is pushed into the scan, so the strict date parse sees the rows kept
+    by it; :func:`clean_observed`, which the job runs, checks the dates of all rows."""
     return clean_stages(bronze, formats)["line_value"]
 
 
@@ -123,26 +127,33 @@ def clean_observed(bronze: DataFrame, formats: list[str] | None = None
     """Like :func:`clean`, with the step row counts attached as observed metrics.
 
     The counts are collected by the same job that materialises the result; no extra
-    ``count()`` passes over the data.
+    ``count()`` passes over the data. Dates that do not parse are counted over all rows
+    with their mandatory fields, also those the price filter drops after it; the caller
+    must not publish rows when ``bad_dates`` is not 0 (:meth:`CleaningMetrics.check`).
     """
     seen = Observation("bronze")
     obs = Observation("cleaning")
-    d = dedup_exact(bronze.observe(seen, F.count(F.lit(1)).alias("bronze_rows")))
+    limits = VARCHAR_LIMITS["bronze.raw_transactions"]
+    long = F.lit(False)
+    for c, n in limits.items():
+        long = long | F.coalesce(F.length(c) > n, F.lit(False))
+    d = dedup_exact(bronze.observe(seen, F.count(F.lit(1)).alias("bronze_rows"),
+                                   F.coalesce(F.sum(long.cast("long")), F.lit(0)).alias("overlong_rows")))
+    ok = ~_any_null(MANDATORY)
+    d = d.withColumn("_ts", parse_timestamp(strip_unicode("invoice_date"), formats, strict=False))
+    count = lambda cond: F.coalesce(F.sum(cond.cast("long")), F.lit(0))
     # one observation at the point where every needed count is visible
     counted = d.observe(
         obs,
         F.count(F.lit(1)).alias("after_dedup"),
-        F.sum(_any_null(MANDATORY).cast("long")).alias("null_mandatory_dropped"),
-        F.sum((~_any_null(MANDATORY) & F.col("customer_id").isNull()).cast("long"))
-        .alias("customers_filled"),
-        F.sum((~_any_null(MANDATORY) & _blank("description")).cast("long"))
-        .alias("descriptions_filled"),
-        F.sum((~_any_null(MANDATORY) & (F.col("unit_price") <= 0)).cast("long"))
-        .alias("bad_price_dropped"),
+        count(~ok).alias("null_mandatory_dropped"),
+        count(ok & F.col("customer_id").isNull()).alias("customers_filled"),
+        count(ok & _blank("description")).alias("descriptions_filled"),
+        count(ok & (F.col("unit_price") <= 0)).alias("bad_price_dropped"),
+        count(ok & F.col("_ts").isNull()).alias("bad_dates"),
     )
-    s = require(counted)
-    s = fill_blank(fill_sentinel(s))
-    s = with_date_id(parse_dates(strip_strings(s), formats=formats))
+    s = fill_blank(fill_sentinel(require(counted)))
+    s = with_date_id(strip_strings(s).withColumnRenamed("_ts", "invoice_ts"))
     return with_total_value(valid_price(s)), CleaningMetrics(seen, obs)
 
 
@@ -159,6 +170,17 @@ class CleaningMetrics:
         m["silver_rows"] = m["after_dedup"] - m["null_mandatory_dropped"] - m["bad_price_dropped"]
         return m
 
+    def check(self) -> dict:
+        """The counts; raises when the batch must not be published."""
+        m = self.get
+        if m["bronze_rows"] == 0:
+            raise ValueError("the batch has no Bronze rows")
+        if m["overlong_rows"]:
+            raise ValueError(f"{m['overlong_rows']} Bronze rows hold text longer than declared")
+        if m["bad_dates"]:
+            raise ValueError(f"{m['bad_dates']} rows have an unparsable or missing invoice_date")
+        return m
+
 
 def silver_transactions(cleaned: DataFrame) -> DataFrame:
     """Fact rows with natural keys."""
@@ -171,9 +193,10 @@ def first_per_key(df: DataFrame, key: str, value_columns: list[str],
                   order_columns: list[str] | None = None) -> DataFrame:
     """One row per key, taken from the first row in a stated order.
 
-    Implemented as ``min(struct(order..., values...))`` per key: an ordinary hash
-    aggregate with a map-side partial step, so a key holding a third of all rows is
-    reduced inside each map task before the shuffle and never lands whole in one task.
+    Implemented as ``min(struct(order..., values...))`` per key: an aggregate with a
+    map-side partial step (a sort aggregate, as a struct of strings has no fixed-width
+    buffer), so a key holding a third of all rows is reduced inside each map task before
+    the shuffle and never lands whole in one task.
     """
     order = [c for c in (order_columns or FIRST_ROW_ORDER) if c in df.columns]
     fields = order + [c for c in value_columns if c not in order]

@@ -12,7 +12,7 @@ existing key.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starmart.functions.dates import date_attributes, date_from_id
@@ -82,17 +82,14 @@ def assign_keys(members: DataFrame, natural: str | list[str], key: str,
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_rid", F.monotonically_increasing_id())
               .checkpoint(eager=True))
-    counts = {r["_pid"]: r["n"] for r in ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect()}
-    offsets, acc = [], 0
-    for pid in range(max(counts, default=-1) + 1):
-        offsets.append(acc)
-        acc += counts.get(pid, 0)
-    if not offsets:
-        offsets = [0]
-    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col("_pid") + 1)
+    # one row per partition: a running sum over them is tiny, and it is broadcast
+    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     local = F.col("_rid") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    keyed = ranged.select((F.lit(base).cast("long") + offset + local + 1).alias(key),
-                          *[c for c in members.columns])
+    keyed = (ranged.join(F.broadcast(offsets), "_pid")
+             .select((F.lit(base).cast("long") + F.col("_offset") + local + 1).alias(key),
+                     *[F.col(c) for c in members.columns]))
     if existing is None or not include_existing:
         return keyed
     return existing.unionByName(keyed, allowMissingColumns=True)
@@ -100,7 +97,8 @@ def assign_keys(members: DataFrame, natural: str | list[str], key: str,
 
 def with_serial(df: DataFrame, column: str, start: int = 1) -> DataFrame:
     """A SERIAL-like id for rows appended to a log: unique and increasing from ``start``,
-    gaps allowed. Assigned inside the writing job (no ordering, no shuffle); the ids of a
-    recomputed task are the same because its input order is."""
+    gaps allowed. Assigned inside the writing job (no ordering, no shuffle). A recomputed
+    task may deal its ids to its rows in another order; they stay unique, and only the
+    attempt that commits is ever read."""
     return df.select((F.lit(start).cast("long") + F.monotonically_increasing_id()).alias(column),
                      *df.columns)

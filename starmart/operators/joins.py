@@ -58,30 +58,46 @@ def unresolved_keys(resolved: DataFrame, checks: dict[str, tuple[str, str]]) ->
     """Per dimension, fact rows whose key stayed null and how many natural keys miss.
 
     ``checks`` maps a dimension name to ``(surrogate_key_column, natural_key_column)``.
-    One aggregate pass (count distinct runs with a partial step).
+    One scan: only missing rows become (dimension, natural key) pairs, which are counted
+    by key with a partial step, then by dimension.
     """
-    aggs = []
-    for name, (key, nat) in checks.items():
-        miss = F.col(key).isNull()
-        aggs += [F.sum(miss.cast("long")).alias(f"{name}__rows"),
-                 F.count_distinct(F.when(miss, F.col(nat))).alias(f"{name}__keys")]
-    wide = resolved.agg(*aggs)
-    stack = ", ".join(f"'{n}', `{n}__rows`, `{n}__keys`" for n in checks)
-    return wide.selectExpr(
-        f"stack({len(checks)}, {stack}) as (dimension, unresolved_rows, unresolved_keys)")
+    miss = F.array_compact(F.array(*[
+        F.when(F.col(key).isNull(), F.struct(F.lit(name).alias("dimension"), F.col(nat).cast("string").alias("nk")))
+        for name, (key, nat) in checks.items()]))
+    keys = (resolved.select(F.explode(miss).alias("m")).groupBy("m.dimension", "m.nk")
+            .agg(F.count(F.lit(1)).alias("n")))
+    found = keys.groupBy("dimension").agg(F.sum("n").alias("unresolved_rows"), F.count("nk").alias("unresolved_keys"))
+    names = resolved.sparkSession.createDataFrame([(n,) for n in checks], "dimension string")
+    return (names.join(F.broadcast(found), "dimension", "left")
+            .select("dimension", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("unresolved_rows", "unresolved_keys")]))
 
 
 def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Child rows whose non-null foreign key has no parent row."""
-    p = parent.select(F.col(pk).alias("_pk")).distinct()
+    p = parent.select(F.col(pk).alias("_pk"))
     return child.filter(F.col(fk).isNotNull()).join(p, F.col(fk) == F.col("_pk"), "left_anti")
 
 
 def fk_report(checks: list[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
-    """One row per foreign key with the number of orphan child rows."""
-    parts = [orphans(c, fk, p, pk).agg(F.count(F.lit(1)).alias("orphan_rows"))
-             .select(F.lit(name).alias("foreign_key"), "orphan_rows")
-             for name, c, fk, p, pk in checks]
+    """One row per foreign key with the number of orphan child rows.
+
+    The keys of one child frame are checked in a single pass over it: one left join to the
+    key column of each parent (unique, as a primary key is; a small one is broadcast by its
+    size) and one summed flag per key."""
+    children: dict[int, list] = {}
+    for check in checks:
+        children.setdefault(id(check[1]), []).append(check)
+    parts = []
+    for group in children.values():
+        child = group[0][1]
+        j = child.select(*dict.fromkeys(fk for _, _, fk, _, _ in group))
+        flags = []
+        for i, (_, _, fk, parent, pk) in enumerate(group):
+            p = parent.select(F.col(pk).alias(f"_pk{i}"))
+            j = j.join(p, F.col(fk) == F.col(f"_pk{i}"), "left")
+            flags.append(F.coalesce(F.sum((F.col(fk).isNotNull() & F.col(f"_pk{i}").isNull()).cast("long")), F.lit(0)).alias(f"_n{i}"))
+        pairs = ", ".join(f"'{name}', _n{i}" for i, (name, *_) in enumerate(group))
+        parts.append(j.agg(*flags).selectExpr(f"stack({len(group)}, {pairs}) as (foreign_key, orphan_rows)"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

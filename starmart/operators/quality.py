@@ -36,7 +36,7 @@ def check_rows(df: DataFrame, rules: dict[str, Column], table: str = "table") ->
     """Q1: number of rows breaking each rule (a rule is a Column that is true for a good
     row), as (table_name, rule, violations); all rules in one aggregate."""
     names = list(rules)
-    wide = df.agg(*[F.sum(F.when(~rules[n], 1).otherwise(0)).cast("long").alias(f"_r{i}")
+    wide = df.agg(*[F.coalesce(F.sum(F.when(~rules[n], 1).otherwise(0)), F.lit(0)).cast("long").alias(f"_r{i}")
                     for i, n in enumerate(names)])
     pairs = ", ".join(f"'{_lit_name(n)}', _r{i}" for i, n in enumerate(names))
     return wide.selectExpr(f"stack({len(names)}, {pairs}) as (rule, violations)") \
@@ -99,28 +99,70 @@ def profile(df: DataFrame, columns: list[str] | None = None, exact: bool = True,
             rsd: float = 0.01) -> DataFrame:
     """Q7: per column the row count, null count and distinct non-null values.
 
-    One aggregate pass. ``exact`` uses count(distinct) (Spark plans all of them in one
-    Expand + partial aggregate); ``exact=False`` uses HyperLogLog++ sketches, a fixed-size
-    state per column, for very large tables."""
+    ``exact``: one group-by per column, each reading its column alone, so no row is
+    expanded; give it a stored table, as every column is a scan of its own.
+    ``exact=False``: one pass with HyperLogLog++ sketches, a fixed-size state per column,
+    for very large tables or computed frames."""
     cols = columns or df.columns
+    if exact:
+        parts = []
+        for c in cols:
+            by = df.groupBy(F.col(c).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+            parts.append(by.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("row_count"),
+                                F.coalesce(F.sum(F.when(F.col("_v").isNull(), F.col("_n"))), F.lit(0)).alias("null_count"),
+                                F.count("_v").alias("distinct_count"))
+                         .select(F.lit(c).alias("column_name"), "row_count", "null_count", "distinct_count"))
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, c in enumerate(cols):
         aggs.append(F.sum(F.col(c).isNull().cast("long")).alias(f"_n{i}"))
-        aggs.append((F.count_distinct(F.col(c)) if exact else F.approx_count_distinct(c, rsd))
-                    .alias(f"_d{i}"))
+        aggs.append(F.approx_count_distinct(c, rsd).alias(f"_d{i}"))
     wide = df.agg(*aggs)
     pairs = ", ".join(f"'{_lit_name(c)}', _rows, _n{i}, _d{i}" for i, c in enumerate(cols))
     return wide.selectExpr(
         f"stack({len(cols)}, {pairs}) as (column_name, row_count, null_count, distinct_count)")
 
 
-def retail_bronze_rules() -> dict[str, Column]:
-    rules = length_rules(schemas.VARCHAR_LIMITS["bronze.raw_transactions"])
+def table_rules(name: str, columns: list[str] | None = None) -> dict[str, Column]:
+    """Every declared row rule of a table: NOT NULL, VARCHAR lengths, CHECKs; ``columns``
+    leaves out the NOT NULL of columns not built yet (a key assigned by the write)."""
+    rules = not_null_rules([f.name for f in schemas.SCHEMAS[name].fields
+                            if not f.nullable and (columns is None or f.name in columns)])
+    rules.update(length_rules(schemas.VARCHAR_LIMITS.get(name, {})))
+    rules.update(check_rules(schemas.CHECKS.get(name, {})))
     return rules
 
 
-def shipment_rules() -> dict[str, Column]:
-    rules = not_null_rules(["product_id", "supplier_id", "warehouse_id", "order_id", "date_id",
-                            "shipment_date", "quantity", "shipment_value", "shipping_time_hours"])
-    rules.update(check_rules(schemas.SHIPMENT_CHECKS))
-    return rules
+def declared_keys(df: DataFrame, name: str) -> DataFrame:
+    """Q2 on a table's declared keys: (table_name, key, duplicated values, rows holding
+    them). Nulls repeat freely in a UNIQUE column, as in SQL; a PRIMARY KEY holds none."""
+    parts = []
+    for key in schemas.KEYS.get(name, []):
+        cols = list(key)
+        dup = (df.where(" and ".join(f"{c} is not null" for c in cols)).groupBy(*cols).agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+        parts.append(dup.agg(F.count(F.lit(1)).alias("duplicated_keys"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows_involved"))
+                     .select(F.lit(name).alias("table_name"), F.lit(", ".join(cols)).alias("key_columns"), "duplicated_keys", "rows_involved"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+class ConstraintError(ValueError):
+    """A table breaks its declared rules."""
+
+
+def require_constraints(df: DataFrame, name: str, keys: bool = True) -> None:
+    """Raise when written rows break a declared rule or key of their table: one aggregate
+    over the rows, and one group-by per key. Two small results reach the driver."""
+    rules = table_rules(name)
+    bad = [r for r in check_rows(df, rules, name).collect() if r["violations"]] if rules else []
+    found = [f"{r['rule']} ({r['violations']} rows)" for r in bad]
+    if keys and schemas.KEYS.get(name):
+        found += [f"unique ({r['key_columns']}) ({r['duplicated_keys']} values)"
+                  for r in declared_keys(df, name).collect() if r["duplicated_keys"]]
+    if found:
+        raise ConstraintError(f"{name}: " + "; ".join(found))

@@ -2,17 +2,21 @@
 
 Every query reads the driver tables under ``sf_dir`` in full. Money aggregates are
 returned as DOUBLE (the cross-engine comparison type); the library functions themselves
-keep exact decimals.
+keep exact decimals. Queries of written tables (CSV, snapshots, layouts, the jobs) run
+their writes in the shared folder when they are called; the others are lazy.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starmart import schemas
 from starmart.functions.money import shipment_value
 from starmart.operators import changes as U
 from starmart.operators import clean as C
@@ -20,10 +24,11 @@ from starmart.operators import dims as D
 from starmart.operators import joins as J
 from starmart.operators import quality as QC
 from starmart.plans import retail as R
+from starmart.plans import retail_job as RP
 from starmart.plans import supply as SR
 from starmart.plans import supply_job as SP
 from starmart.session import scratch_path
-from starmart.sources import files, layout, snapshots
+from starmart.sources import files, layout, snapshots, versions
 from starmart.sources import testbed as TB
 
 # Fixed values of the registered scenarios.
@@ -32,6 +37,11 @@ SNAPSHOT_DAY = "2026-02-22"
 SNAPSHOT_NEXT_DAY = "2026-02-23"
 RANGE_LO, RANGE_HI = 19970101, 19981231
 SIGNIFICANT_PCT = 10.0
+FIRST_LOAD_BEFORE = 19950301     # dims "as of" the first weeks: most keys are still unknown
+JOB_EARLY_BEFORE = "1995-06-01"
+STAMP_TIME, STAMP_ID = datetime(2026, 2, 22, 3, 4, 5), "7b0c6c1e-9f0e-4b63-9d1c-2f8d51a3c001"
+# members retired from each dimension: keys divisible by
+RETIRED_MOD = {"customer_id": 23, "product_id": 19, "date_id": 29, "supplier_id": 7, "warehouse_id": 11, "order_id": 31}
 
 
 def as_double(df: DataFrame) -> DataFrame:
@@ -95,6 +105,74 @@ def q_raw_standardised(spark, sf_dir):
     return as_double(files.to_bronze_types(files.standardise_columns(raw)))
 
 
+def q_csv_quoted_reordered(spark, sf_dir):
+    """S1+S2: a file whose columns stand in another order, with one more column, and whose
+    descriptions hold quotes and commas."""
+    raw = TB.raw_source(spark, sf_dir).withColumn(
+        "Description", F.concat(F.col("Description"), F.lit('"BIG", size '), F.col("Quantity"), F.lit(',"x"')))
+    path = scratch_path(spark, "landing-csv")
+    files.write_csv(raw.select("Country", "Description", F.lit("till 7").alias("Register"), "StockCode", "InvoiceNo",
+                               "CustomerID", "UnitPrice", "InvoiceDate", "Quantity"), path)
+    return as_double(files.to_bronze_types(files.standardise_columns(files.read_raw_csv(spark, path))))
+
+
+def q_batch_stamp(spark, sf_dir):
+    """S3: one load timestamp and one batch id for every row of a run."""
+    return as_double(files.stamp_batch(TB.bronze(spark, sf_dir), STAMP_TIME, STAMP_ID))
+
+
+def q_fact_append(spark, sf_dir):
+    """The fact appended on two days, the first of them run again."""
+    path = scratch_path(spark, "fact-append")
+    tx, _, _ = retail_silver(spark, sf_dir)
+    tx = tx.where("quantity > 0")
+    files.write_fact(tx, path, "append", SNAPSHOT_DAY)
+    files.write_fact(tx.where("quantity > 10"), path, "append", SNAPSHOT_NEXT_DAY)
+    files.write_fact(tx.where("quantity > 5"), path, "append", SNAPSHOT_DAY)
+    return as_double(spark.read.parquet(path))
+
+
+# --- retail: the whole job ------------------------------------------------------------------
+
+def _job(spark, feed, root, day):
+    csv = f"{root}/csv-{day}"
+    files.write_csv(feed, csv)
+    return RP.run_retail(spark, csv, f"{root}/wh", day, f"batch-{day}")
+
+
+def q_retail_job_fact(spark, sf_dir):
+    """R1 from the CSV to the published fact."""
+    root = scratch_path(spark, "retail-job")
+    _job(spark, TB.raw_source(spark, sf_dir), root, SNAPSHOT_DAY)
+    fact = versions.read_current(spark, RP.paths(f"{root}/wh")["fact_sales"])
+    return as_double(fact.drop("sales_id", "sale_year", "load_timestamp"))
+
+
+def q_retail_job_counts(spark, sf_dir):
+    """The step counts observed by the job itself."""
+    root = scratch_path(spark, "retail-job")
+    counts = _job(spark, TB.raw_source(spark, sf_dir), root, SNAPSHOT_DAY)["cleaning"]
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{k} long" for k in counts)) \
+        .drop("after_dedup")
+
+
+def q_retail_job_dims(spark, sf_dir):
+    """R1 on two days: first the invoices before a date with other descriptions, then the
+    whole feed. Members keep their keys and take the new descriptions; new ones follow."""
+    root = scratch_path(spark, "retail-job")
+    feed = TB.raw_source(spark, sf_dir)
+    early = feed.where(F.col("InvoiceDate") < JOB_EARLY_BEFORE).withColumn("Description", F.concat(F.lit("old "), "Description"))
+    _job(spark, early, root, SNAPSHOT_DAY)
+    _job(spark, feed, root, SNAPSHOT_NEXT_DAY)
+    p = RP.paths(f"{root}/wh")
+    products = versions.read_current(spark, p["dim_products"])
+    customers = versions.read_current(spark, p["dim_customers"])
+    return (products.select(F.lit("product").alias("dimension"), F.col("product_id").alias("key"),
+                            F.col("stock_code").alias("natural_key"), F.col("description").alias("attribute"))
+            .unionByName(customers.select(F.lit("customer").alias("dimension"), F.col("customer_id").alias("key"),
+                                          F.col("raw_customer_id").alias("natural_key"), F.col("country").alias("attribute"))))
+
+
 def q_cleaning_report(spark, sf_dir):
     return C.cleaning_report(TB.bronze(spark, sf_dir))
 
@@ -128,8 +206,10 @@ def _stale_silver(spark, sf_dir):
 
 
 def q_unresolved_keys(spark, sf_dir):
-    """today's facts resolved against dimensions from an earlier load."""
-    cleaned, sp, sc = _stale_silver(spark, sf_dir)
+    """today's facts resolved against dimensions from a first, short load."""
+    cleaned = C.clean(TB.bronze(spark, sf_dir))
+    early = cleaned.filter(F.col("date_id") < FIRST_LOAD_BEFORE)
+    sp, sc = C.silver_products(early), C.silver_customers(early)
     resolved = (C.silver_transactions(cleaned)
                 .transform(lambda t: J.resolve_keys(t, R.dim_products(sp), "stock_code", "product_id"))
                 .transform(lambda t: J.resolve_keys(t, R.dim_customers(sc), "raw_customer_id",
@@ -157,18 +237,20 @@ def q_upsert_update(spark, sf_dir):
 
 
 def q_fk_orphans(spark, sf_dir):
+    """J6/Q4 after some members of every dimension were retired."""
     r = retail_star(spark, sf_dir)
     s = SP.build_star(spark, sf_dir, with_ids=False)
     f = s.fact_shipments
+    kept = lambda dim, key: dim.where(F.col(key) % RETIRED_MOD[key] != 0)
     return J.fk_report([
-        ("fact_sales.customer_id", r.fact_sales, "customer_id", r.dim_customers, "customer_id"),
-        ("fact_sales.product_id", r.fact_sales, "product_id", r.dim_products, "product_id"),
-        ("fact_sales.date_id", r.fact_sales, "date_id", r.dim_date, "date_id"),
-        ("fact_shipments.product_id", f, "product_id", s.dim_products, "product_id"),
-        ("fact_shipments.supplier_id", f, "supplier_id", s.dim_suppliers, "supplier_id"),
-        ("fact_shipments.warehouse_id", f, "warehouse_id", s.dim_warehouses, "warehouse_id"),
-        ("fact_shipments.order_id", f, "order_id", s.dim_orders, "order_id"),
-        ("fact_shipments.date_id", f, "date_id", s.dim_time, "date_id"),
+        ("fact_sales.customer_id", r.fact_sales, "customer_id", kept(r.dim_customers, "customer_id"), "customer_id"),
+        ("fact_sales.product_id", r.fact_sales, "product_id", kept(r.dim_products, "product_id"), "product_id"),
+        ("fact_sales.date_id", r.fact_sales, "date_id", kept(r.dim_date, "date_id"), "date_id"),
+        ("fact_shipments.product_id", f, "product_id", kept(s.dim_products, "product_id"), "product_id"),
+        ("fact_shipments.supplier_id", f, "supplier_id", kept(s.dim_suppliers, "supplier_id"), "supplier_id"),
+        ("fact_shipments.warehouse_id", f, "warehouse_id", kept(s.dim_warehouses, "warehouse_id"), "warehouse_id"),
+        ("fact_shipments.order_id", f, "order_id", kept(s.dim_orders, "order_id"), "order_id"),
+        ("fact_shipments.date_id", f, "date_id", kept(s.dim_time, "date_id"), "date_id"),
     ])
 
 
@@ -178,10 +260,40 @@ def q_duplicate_keys(spark, sf_dir):
     return QC.check_unique(tx, ["invoice_no", "stock_code"])
 
 
+def _ruled_tables(spark, sf_dir):
+    """Every table with declared rules, as the jobs build it; Bronze and the shipment fact
+    with planted breaks."""
+    bronze = TB.bronze(spark, sf_dir)
+    r = retail_star(spark, sf_dir)
+    tx, products, customers = retail_silver(spark, sf_dir)
+    s = SP.build_star(spark, sf_dir)
+    return {
+        "bronze.raw_transactions": TB.bronze_with_long_text(bronze),
+        "silver.products": products, "silver.customers": customers, "silver.transactions": tx,
+        "gold.dim_customers": r.dim_customers, "gold.dim_products": r.dim_products, "gold.dim_date": r.dim_date,
+        "gold.fact_sales": r.fact_sales,
+        "supply.dim_time": s.dim_time, "supply.dim_products": s.dim_products, "supply.dim_suppliers": s.dim_suppliers,
+        "supply.dim_warehouses": s.dim_warehouses, "supply.dim_orders": s.dim_orders,
+        "supply.fact_shipments": TB.shipments_with_rule_breaks(s.fact_shipments),
+    }
+
+
 def q_row_rule_violations(spark, sf_dir):
-    b = QC.check_rows(TB.bronze(spark, sf_dir), QC.retail_bronze_rules(), "raw_transactions")
-    f = QC.check_rows(TB.supply_fact_shipments(spark, sf_dir), QC.shipment_rules(), "fact_shipments")
-    return b.unionByName(f)
+    """Q1: every NOT NULL, VARCHAR and CHECK rule of every table."""
+    parts = [QC.check_rows(df, rules, name) for name, df in _ruled_tables(spark, sf_dir).items()
+             if (rules := QC.table_rules(name, df.columns))]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def q_declared_keys(spark, sf_dir):
+    """Q2/K2: every PRIMARY KEY and UNIQUE column; some products, dates and shipments were
+    loaded twice."""
+    tables = _ruled_tables(spark, sf_dir)
+    for name, key, n in (("supply.dim_products", "product_id", 31), ("gold.dim_date", "date_id", 17),
+                         ("supply.fact_shipments", "shipment_id", 40), ("gold.dim_products", "product_id", 53)):
+        tables[name] = tables[name].unionByName(tables[name].where(F.col(key) % n == 0))
+    parts = [QC.declared_keys(tables[name], name) for name in schemas.KEYS if name in tables and name != "gold.fact_sales"]
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def _layers(spark, sf_dir):
@@ -202,7 +314,9 @@ def q_layer_audit(spark, sf_dir):
 
 
 def q_table_profile(spark, sf_dir):
-    return QC.profile(TB.bronze(spark, sf_dir))
+    path = scratch_path(spark, "profiled")
+    TB.bronze(spark, sf_dir).write.parquet(path)   # every column is then a scan of its own
+    return QC.profile(spark.read.parquet(path))
 
 
 def q_snapshot_roundtrip(spark, sf_dir):
@@ -244,7 +358,7 @@ def q_quantity_by_category(spark, sf_dir):
 
 def q_warehouse_efficiency(spark, sf_dir):
     s = _supply(spark, sf_dir)
-    return SR.warehouse_efficiency(s.fact_shipments, s.dim_warehouses)
+    return as_double(SR.warehouse_efficiency(s.fact_shipments, s.dim_warehouses))
 
 
 def q_value_by_supplier(spark, sf_dir):
@@ -267,15 +381,18 @@ def q_shipment_summary(spark, sf_dir):
     return as_double(SR.shipment_summary(s.fact_shipments, s.dim_products))
 
 
-def q_supplier_yoy(spark, sf_dir):
+def _yoy(spark, sf_dir, **options):
     s = _supply(spark, sf_dir)
-    return as_double(SR.supplier_yoy(s.fact_shipments, s.dim_suppliers, s.dim_time))
+    fact = TB.shipments_with_idle_years(s.fact_shipments)   # a zero base has no percentage
+    return as_double(SR.supplier_yoy(fact, s.dim_suppliers, s.dim_time, **options))
+
+
+def q_supplier_yoy(spark, sf_dir):
+    return _yoy(spark, sf_dir)
 
 
 def q_supplier_yoy_significant(spark, sf_dir):
-    s = _supply(spark, sf_dir)
-    return as_double(SR.supplier_yoy(s.fact_shipments, s.dim_suppliers, s.dim_time,
-                                     min_abs_pct=SIGNIFICANT_PCT))
+    return _yoy(spark, sf_dir, min_abs_pct=SIGNIFICANT_PCT)
 
 
 def q_dim_time(spark, sf_dir):
@@ -294,7 +411,8 @@ def q_shipment_value(spark, sf_dir):
 
 def q_value_mismatch(spark, sf_dir):
     s = _supply(spark, sf_dir)
-    out = J.value_mismatch(s.fact_shipments, s.dim_products).select(
+    fact = TB.shipments_with_consistent_values(s.fact_shipments, s.dim_products)
+    out = J.value_mismatch(fact, s.dim_products).select(
         "order_id", "product_id", "supplier_id", "quantity", "unit_price", "shipment_value",
         "expected_value")
     return as_double(out)
@@ -304,16 +422,41 @@ def _batch(spark, sf_dir):
     return SP.apply_change_batch(SP.fact_with_ids(spark, sf_dir))
 
 
+def _facts(df):
+    return as_double(df.drop("created_at"))
+
+
 def q_apply_delays(spark, sf_dir):
-    return as_double(_batch(spark, sf_dir).after_delays)
+    return _facts(_batch(spark, sf_dir).after_delays)
 
 
 def q_apply_values(spark, sf_dir):
-    return as_double(_batch(spark, sf_dir).after_values)
+    return _facts(_batch(spark, sf_dir).after_values)
 
 
 def q_delete_keys(spark, sf_dir):
-    return as_double(_batch(spark, sf_dir).after_deletes)
+    return _facts(_batch(spark, sf_dir).after_deletes)
+
+
+def q_apply_batch(spark, sf_dir):
+    """U3-U5 in one pass over the fact."""
+    return _facts(SP.apply_change_batch_one_pass(SP.fact_with_ids(spark, sf_dir))[0])
+
+
+def _supply_job(spark, sf_dir):
+    """R2, the batch sent twice: it is applied and logged once."""
+    root = scratch_path(spark, "supply-job")
+    for _ in range(2):
+        SP.run_supply(spark, sf_dir, root, "batch-1", STAMP_TIME, "tester", natural_ids=True)
+    return root
+
+
+def q_supply_job_fact(spark, sf_dir):
+    return _facts(versions.read_current(spark, f"{_supply_job(spark, sf_dir)}/fact_shipments"))
+
+
+def q_supply_job_audit(spark, sf_dir):
+    return as_double(SP.audit_log(spark, _supply_job(spark, sf_dir)).drop("audit_id"))
 
 
 def q_audit_update(spark, sf_dir):
@@ -337,6 +480,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sales_vs_returns": q_sales_vs_returns,
     # retail ingest and cleaning
     "raw_standardised": q_raw_standardised,
+    "csv_quoted_reordered": q_csv_quoted_reordered,
+    "batch_stamp": q_batch_stamp,
     **{n: _stage(n) for n in ["exact_dedup", "mandatory_fields", "customer_sentinel",
                               "description_sentinel", "stripped_strings", "parsed_dates",
                               "date_id", "valid_price", "line_value"]},
@@ -353,6 +498,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # quality
     "fk_orphans": q_fk_orphans,
     "duplicate_keys": q_duplicate_keys,
+    "declared_keys": q_declared_keys,
     "row_rule_violations": q_row_rule_violations,
     "layer_counts": q_layer_counts,
     "layer_audit": q_layer_audit,
@@ -361,6 +507,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_roundtrip": q_snapshot_roundtrip,
     "snapshot_as_of": q_snapshot_as_of,
     "fact_date_range": q_fact_date_range,
+    "fact_append": q_fact_append,
+    # the jobs end to end
+    "retail_job_fact": q_retail_job_fact,
+    "retail_job_dims": q_retail_job_dims,
+    "retail_job_counts": q_retail_job_counts,
+    "supply_job_fact": q_supply_job_fact,
+    "supply_job_audit": q_supply_job_audit,
     # supply star
     "dim_time": q_dim_time,
     "quantity_by_category": q_quantity_by_category,
@@ -374,6 +527,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "shipment_value": q_shipment_value,
     "value_mismatch": q_value_mismatch,
     # changes and audit
+    "apply_batch": q_apply_batch,
     "apply_delays": q_apply_delays,
     "apply_values": q_apply_values,
     "delete_keys": q_delete_keys,

@@ -3,7 +3,8 @@
 Each stage reads the previous stage's persisted tables, so a failed run resumes from
 the last finished stage; reruns are idempotent (Bronze and Silver are replaced, the
 snapshot of a day is replaced, Gold dims are merged and the fact replaced as a new
-version).
+version). A batch that breaks a rule (no rows, a bad date, over-long text, a declared
+constraint of a Gold table) stops before the layer that would take it is published.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from starmart.operators import clean as C
 from starmart.operators import quality as Q
 from starmart.operators.dims import dim_date_from_facts
 from starmart.plans import retail as R
-from starmart.session import run_concurrently, scratch_path
+from starmart.session import run_concurrently, scratch
 from starmart.sources import files, layout, snapshots, versions
 
 
@@ -37,6 +38,20 @@ def paths(root: str) -> dict[str, str]:
     }
 
 
+def create_tables(spark: SparkSession, root: str) -> list[str]:
+    """S15 at job start: the Silver tables, empty, where they do not exist yet. Versioned
+    Gold tables read as empty until their first version; the archive is made of its days."""
+    p = paths(root)
+    return files.create_tables(spark, root, {"silver.transactions": p["silver_tx"], "silver.products": p["silver_products"],
+                                             "silver.customers": p["silver_customers"]})
+
+
+def _day(run_date: date | None, in_place: bool) -> date | None:
+    if in_place and run_date is None:
+        raise ValueError("a batch written in place is read by its run_date")
+    return run_date
+
+
 def ingest(spark: SparkSession, csv_path: str, root: str, batch_id: str | None = None,
            load_timestamp: datetime | None = None, run_date: date | None = None,
            in_place: bool = False) -> None:
@@ -51,7 +66,7 @@ def ingest(spark: SparkSession, csv_path: str, root: str, batch_id: str | None =
                              load_timestamp, batch_id)
     p = paths(root)
     if in_place:
-        snapshots.snapshot(rows, p["archive"], run_date or date.today(), snapshot_id=batch_id)
+        snapshots.snapshot(rows, p["archive"], _day(run_date, in_place), snapshot_id=batch_id)
     else:
         files.write_replace(rows, p["bronze"])
 
@@ -61,7 +76,9 @@ def bronze(spark: SparkSession, root: str, run_date: date | None = None,
     """The current Bronze rows (the run day's archive partition when written in place)."""
     p = paths(root)
     if in_place:
-        day = snapshots.read_snapshot(spark, p["archive"], run_date or date.today())
+        if not files.table_exists(spark, f"{p['archive']}/snapshot_date={_day(run_date, in_place)}"):
+            raise FileNotFoundError(f"no batch of {run_date} in {p['archive']}")
+        day = snapshots.read_snapshot(spark, p["archive"], run_date)
         return day.drop("snapshot_id", "snapshot_date")
     return files.read_table(spark, p["bronze"], "bronze.raw_transactions")
 
@@ -80,19 +97,18 @@ def transform(spark: SparkSession, root: str, run_date: date | None = None,
     cleaned, obs = C.clean_observed(bronze(spark, root, run_date, in_place))
     # One materialisation of the cleaned rows feeds all three Silver tables: a staged
     # Parquet table in the shared folder (compressed and columnar, so each Silver scan
-    # reads only its columns), removed once the Silver tables are written.
-    staged = scratch_path(spark, "cleaned")
-    cleaned.write.mode("overwrite").parquet(staged)
-    metrics = obs.get
-    rows = spark.read.parquet(staged)
-    # the three writes are independent jobs; submitted together, the two small dimension
-    # writes fill the gaps the large transactions write leaves on the cluster
-    run_concurrently([
-        lambda: files.write_replace(C.silver_transactions(rows), p["silver_tx"]),
-        lambda: files.write_replace(C.silver_products(rows), p["silver_products"]),
-        lambda: files.write_replace(C.silver_customers(rows), p["silver_customers"]),
-    ])
-    versions.drop_path(spark, staged)
+    # reads only its columns), removed at the end, also on failure.
+    with scratch(spark, "cleaned") as staged:
+        cleaned.write.mode("overwrite").parquet(staged)
+        metrics = obs.check()       # before anything of Silver is replaced
+        rows = spark.read.parquet(staged)
+        # the three writes are independent jobs; submitted together, the two small dimension
+        # writes fill the gaps the large transactions write leaves on the cluster
+        run_concurrently([
+            lambda: files.write_replace(C.silver_transactions(rows), p["silver_tx"]),
+            lambda: files.write_replace(C.silver_products(rows), p["silver_products"]),
+            lambda: files.write_replace(C.silver_customers(rows), p["silver_customers"]),
+        ])
     return metrics
 
 
@@ -116,12 +132,14 @@ def load(spark: SparkSession, root: str, batch_id: str | None = None) -> None:
 
     # the three dimensions are independent of each other: build and write them as
     # concurrent jobs; the fact needs all three and follows
+    def publish(df, name):
+        # the written version is checked against its declared rules and keys, then committed
+        versions.write_version(df, p[name], check=lambda t: Q.require_constraints(t, f"gold.{name}"))
+
     run_concurrently([
-        lambda: versions.write_version(
-            merged(p["dim_products"], sp, "stock_code", "product_id", ["description"]), p["dim_products"]),
-        lambda: versions.write_version(
-            merged(p["dim_customers"], sc, "raw_customer_id", "customer_id", ["country"]), p["dim_customers"]),
-        lambda: versions.write_version(dates(), p["dim_date"]),
+        lambda: publish(merged(p["dim_products"], sp, "stock_code", "product_id", ["description"]), "dim_products"),
+        lambda: publish(merged(p["dim_customers"], sc, "raw_customer_id", "customer_id", ["country"]), "dim_customers"),
+        lambda: publish(dates(), "dim_date"),
     ])
     dp = versions.read_current(spark, p["dim_products"])
     dc = versions.read_current(spark, p["dim_customers"])
@@ -129,8 +147,9 @@ def load(spark: SparkSession, root: str, batch_id: str | None = None) -> None:
     # write job without a global ordering; load columns are one literal per batch.
     fact = files.stamp_batch(R.fact_sales(tx, dp, dc), batch_id=batch_id)
     fact = fact.select(F.monotonically_increasing_id().alias("sales_id"), *fact.columns)
-    _, path = versions.next_version_path(spark, p["fact_sales"])
-    layout.write_fact_by_year(fact, path, dynamic=False)
+    versions.write_version(fact, p["fact_sales"], batch_id or "",
+                           check=lambda t: Q.require_constraints(t, "gold.fact_sales", keys=False),
+                           write=lambda d, path: layout.write_fact_by_year(d, path, dynamic=False))
     for name in ("dim_products", "dim_customers", "dim_date", "fact_sales"):
         versions.vacuum(spark, p[name], keep=2)
 
@@ -149,6 +168,7 @@ def run_retail(spark: SparkSession, csv_path: str, root: str, run_date: date | N
     into its day of the archive, instead of a Bronze write plus a full copy."""
     run_date = run_date or date.today()
     batch_id = batch_id or str(uuid.uuid4())
+    create_tables(spark, root)
     ingest(spark, csv_path, root, batch_id, run_date=run_date, in_place=snapshot_in_place)
     if not snapshot_in_place:
         take_snapshot(spark, root, run_date)

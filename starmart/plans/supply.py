@@ -17,7 +17,8 @@ def _by_key(fact: DataFrame, key: str, **aggs) -> DataFrame:
 
 
 def _avg(sum_col: str, count_col: str) -> F.Column:
-    return F.round(F.sum(sum_col).cast("double") / F.sum(count_col), 2)
+    """Average of exact numerics as an exact numeric, rounded half up once."""
+    return F.round(F.sum(sum_col).cast("decimal(24,2)") / F.sum(count_col).cast("decimal(18,0)"), 2)
 
 
 def quantity_by_category(fact: DataFrame, products: DataFrame) -> DataFrame:
@@ -104,7 +105,7 @@ def supplier_yoy(fact: DataFrame, suppliers: DataFrame, dim_time: DataFrame,
     prev = F.lag("annual_value").over(w)
     a = annual.withColumn("_prev", prev)
     net = F.col("annual_value") - F.col("_prev")
-    pct = (net.cast("double") / F.nullif(F.col("_prev"), F.lit(0)).cast("double")) * 100
+    pct = net.cast("decimal(22,2)") * 100 / F.nullif(F.col("_prev"), F.lit(0)).cast("decimal(22,2)")
     out = a.select(
         "supplier_name", "year",
         F.round("annual_value", 2).alias("current_year_value"),

@@ -1,13 +1,15 @@
 """R2: supply-chain star load, reports, keyed changes and their audit log.
 
 The change scenario used by the registered queries is derived from the fact itself:
-delays for every 50th shipment id (every 500th twice), value corrections for every 70th
-(every 700th twice, chained), deletions for every 90th. Every shipment row is read and
+delays for shipment ids divisible by 50 (by 500 twice), value corrections by 70 (by 700
+twice, chained), deletions by 90. Every shipment row is read and
 rewritten by each step; nothing is sampled.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -15,7 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.operators import changes as U
-from starmart.operators.dims import assign_keys, calendar, with_serial
+from starmart.operators import joins as J
+from starmart.operators import quality as Q
+from starmart.operators.dims import calendar, with_serial
 from starmart.sources import testbed as TB
 from starmart.session import run_concurrently
 from starmart.sources import files, versions
@@ -36,23 +40,21 @@ class SupplyStar:
     fact_shipments: DataFrame
 
 
-def fact_with_ids(spark: SparkSession, sf_dir: str, dense: bool = True) -> DataFrame:
-    """The shipment fact with surrogate ids.
+def fact_with_ids(spark: SparkSession, sf_dir: str, natural: bool = True) -> DataFrame:
+    """The shipment fact with surrogate ids, assigned in the scan without any exchange.
 
-    ``dense``: ids 1..n in the order of the full order-line row (K1: one range shuffle
-    and a checkpoint of the fact), reproducible by any engine, so the registered queries
-    use it. Otherwise SERIAL semantics (unique, increasing, gaps allowed) assigned inside
-    the load job without any shuffle, the choice for loading a very large fact."""
+    ``natural``: an id from the order line itself, which any engine can reproduce; the
+    registered queries use it. Otherwise SERIAL semantics (unique, increasing, gaps
+    allowed), the choice for loading."""
     lines = TB.shipment_lines(spark, sf_dir)
-    if not dense:
+    if not natural:
         return with_serial(TB.shipments_from_lines(lines), "shipment_id")
-    keyed = assign_keys(lines, TB.LINEITEM_COLUMNS, "shipment_id")
-    return TB.shipments_from_lines(keyed, keep=["shipment_id"])
+    return TB.shipments_from_lines(lines.withColumn("shipment_id", TB.natural_shipment_id()), keep=["shipment_id"])
 
 
 def build_star(spark: SparkSession, sf_dir: str, with_ids: bool = True,
-               dense_ids: bool = True) -> SupplyStar:
-    fact = fact_with_ids(spark, sf_dir, dense_ids) if with_ids else TB.supply_fact_shipments(spark, sf_dir)
+               natural_ids: bool = True) -> SupplyStar:
+    fact = fact_with_ids(spark, sf_dir, natural_ids) if with_ids else TB.supply_fact_shipments(spark, sf_dir)
     return SupplyStar(
         dim_time=calendar(TB.shipment_date_bounds(spark, sf_dir)),
         dim_products=TB.supply_dim_products(spark, sf_dir),
@@ -94,7 +96,13 @@ class ChangeBatch:
     after_delays: DataFrame
     after_values: DataFrame
     after_deletes: DataFrame
-    audit: DataFrame  # shipment_id, operation, old_value, new_value, seq, step
+    build_audit: Callable[[], DataFrame]
+
+    @property
+    def audit(self) -> DataFrame:
+        """shipment_id, operation, old_value, new_value, seq, step; its chained lag is only
+        built when asked for."""
+        return self.build_audit()
 
 
 def apply_change_batch(fact: DataFrame) -> ChangeBatch:
@@ -104,29 +112,63 @@ def apply_change_batch(fact: DataFrame) -> ChangeBatch:
     f2 = U.apply_values(f1, upd)
     dele = deletions(f2)
     f3 = U.delete_keys(f2, dele)
-    a1 = U.audit_updates(fact, adj.select("shipment_id", "seq")).withColumn("step", F.lit(1))
-    a2 = U.audit_updates(f1, upd, new="new_value").withColumn("step", F.lit(2))
-    a3 = U.audit_deletes(f2, dele).withColumn("step", F.lit(3))
-    return ChangeBatch(f1, f2, f3, a1.unionByName(a2).unionByName(a3))
 
+    def audit() -> DataFrame:
+        a1 = U.audit_updates(fact, adj.select("shipment_id", "seq")).withColumn("step", F.lit(1))
+        a2 = U.audit_updates(f1, upd, new="new_value").withColumn("step", F.lit(2))
+        a3 = U.audit_deletes(f2, dele).withColumn("step", F.lit(3))
+        return a1.unionByName(a2).unionByName(a3)
+    return ChangeBatch(f1, f2, f3, audit)
+
+
+DIMS = ("dim_time", "dim_products", "dim_suppliers", "dim_warehouses", "dim_orders")
+FOREIGN_KEYS = {"product_id": "dim_products", "supplier_id": "dim_suppliers", "warehouse_id": "dim_warehouses",
+                "order_id": "dim_orders", "date_id": "dim_time"}
 
-def run_supply(spark: SparkSession, sf_dir: str, root: str,
+
+def run_supply(spark: SparkSession, sf_dir: str, root: str, batch_id: str | None = None,
                changed_at: datetime | None = None, changed_by: str | None = None,
-               dense_ids: bool = False) -> dict:
-    """Load the star, apply one change batch, append its audit rows."""
-    star = build_star(spark, sf_dir, dense_ids=dense_ids)
-    run_concurrently(
-        [lambda n=name: getattr(star, n).write.mode("overwrite").parquet(f"{root}/{n}")
-         for name in ("dim_time", "dim_products", "dim_suppliers", "dim_warehouses", "dim_orders")]
-        + [lambda: versions.write_version(star.fact_shipments, f"{root}/fact_shipments")])
-    before = versions.read_current(spark, f"{root}/fact_shipments")
-    after, audit = apply_change_batch_one_pass(before)
-    versions.write_version(after, f"{root}/fact_shipments")
-    versions.vacuum(spark, f"{root}/fact_shipments", keep=2)
-    log = f"{root}/shipment_audit_log"
+               natural_ids: bool = False) -> dict:
+    """Load the star, apply one change batch, log its audit rows.
+
+    Tables are checked against their declared rules and keys before the fact's version is
+    committed. The audit rows are written under the batch id first and the new fact
+    version, whose commit names the batch, after them: a run that died in between leaves
+    an uncommitted batch whose rows a rerun overwrites, and a batch committed already is
+    not applied again."""
+    batch_id = batch_id or str(uuid.uuid4())
+    facts, log = f"{root}/fact_shipments", f"{root}/shipment_audit_log"
+    if batch_id in versions.committed_batches(spark, facts):
+        return {"fact_version": versions.current_version(spark, facts), "applied": False}
+    files.create_tables(spark, root, {f"supply.{n}": f"{root}/{n}" for n in DIMS})
+    star = build_star(spark, sf_dir, natural_ids=natural_ids)
+
+    def dim(name):
+        files.write_replace(getattr(star, name), f"{root}/{name}")
+        Q.require_constraints(spark.read.parquet(f"{root}/{name}"), f"supply.{name}")
+    run_concurrently([lambda n=name: dim(n) for name in DIMS])
+
+    def check_fact(t):
+        Q.require_constraints(t, "supply.fact_shipments", keys=False)
+        keys = [(fk, t, fk, spark.read.parquet(f"{root}/{d}"), fk) for fk, d in FOREIGN_KEYS.items()]
+        if bad := [r["foreign_key"] for r in J.fk_report(keys).collect() if r["orphan_rows"]]:
+            raise Q.ConstraintError(f"fact_shipments: no parent row for some {bad}")
+    versions.write_version(star.fact_shipments, facts, check=check_fact)
+    after, audit = apply_change_batch_one_pass(versions.read_current(spark, facts))
+
     start = 1
     if files.table_exists(spark, log):
-        start = (spark.read.parquet(log).agg(F.max("audit_id")).first()[0] or 0) + 1
-    with_serial(U.stamp_audit(audit, changed_at, changed_by), "audit_id", start) \
-        .write.mode("append").parquet(log)
-    return {"fact_version": versions.current_version(spark, f"{root}/fact_shipments")}
+        start = (spark.read.parquet(log).where(F.col("batch_id") != batch_id).agg(F.max("audit_id")).first()[0] or 0) + 1
+    (with_serial(U.stamp_audit(audit, changed_at, changed_by), "audit_id", start)
+     .withColumn("batch_id", F.lit(batch_id))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(log))
+    v = versions.write_version(after, facts, batch_id, check=lambda t: Q.require_constraints(t, "supply.fact_shipments", keys=False))
+    versions.vacuum(spark, facts, keep=2)
+    return {"fact_version": v, "applied": True}
+
+
+def audit_log(spark: SparkSession, root: str) -> DataFrame:
+    """The audit rows of committed batches (one small list of batch ids reaches the
+    driver; rows of a batch that died before its commit are left out)."""
+    done = list(versions.committed_batches(spark, f"{root}/fact_shipments"))
+    return spark.read.parquet(f"{root}/shipment_audit_log").where(F.col("batch_id").isin(done))

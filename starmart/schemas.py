@@ -24,11 +24,11 @@ def _struct(*fields, nullable: set[str] | None = None) -> T.StructType:
     return T.StructType([T.StructField(n, t, n in nullable) for n, t in fields])
 
 
-# Source headers of the retail CSV, in file order.
+# Source headers of the retail CSV, in file order.
 RAW_CSV_COLUMNS = ["InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDate",
                    "UnitPrice", "CustomerID", "Country"]
 
-# Explicit renames after lower-casing and replacing spaces.
+# Explicit renames after lower-casing and replacing spaces.
 RAW_RENAMES = {
     "invoiceno": "invoice_no",
     "stockcode": "stock_code",
@@ -75,21 +75,23 @@ FACT_SALES = _struct(
 DIM_TIME = DIM_DATE
 SUPPLY_DIM_PRODUCTS = _struct(
     ("product_id", L), ("product_name", S), ("product_category", S), ("sku", S),
-    ("unit_price", PRICE), ("description", S), nullable={"description"})
+    ("unit_price", PRICE), ("description", S), ("created_at", TS), nullable={"description", "created_at"})
 DIM_SUPPLIERS = _struct(
     ("supplier_id", L), ("supplier_name", S), ("supplier_country", S), ("contact_email", S),
-    ("phone", S), ("rating", RATING), nullable={"contact_email", "phone", "rating"})
+    ("phone", S), ("rating", RATING), ("created_at", TS),
+    nullable={"contact_email", "phone", "rating", "created_at"})
 DIM_WAREHOUSES = _struct(
     ("warehouse_id", L), ("warehouse_name", S), ("warehouse_location", S),
-    ("warehouse_country", S), ("capacity_sqft", I), ("manager_name", S),
-    nullable={"capacity_sqft", "manager_name"})
+    ("warehouse_country", S), ("capacity_sqft", I), ("manager_name", S), ("created_at", TS),
+    nullable={"capacity_sqft", "manager_name", "created_at"})
 DIM_ORDERS = _struct(
     ("order_id", L), ("order_date", D), ("customer_id", S), ("order_status", S),
-    ("order_priority", S), nullable={"customer_id", "order_priority"})
+    ("order_priority", S), ("created_at", TS), nullable={"customer_id", "order_priority", "created_at"})
 FACT_SHIPMENTS = _struct(
     ("shipment_id", L), ("product_id", L), ("supplier_id", L), ("warehouse_id", L),
     ("order_id", L), ("date_id", I), ("shipment_date", D), ("quantity", I),
-    ("shipment_value", VALUE), ("shipping_time_hours", I), nullable=set())
+    ("shipment_value", VALUE), ("shipping_time_hours", I), ("created_at", TS),
+    nullable={"created_at"})
 SHIPMENT_AUDIT_LOG = _struct(
     ("audit_id", L), ("shipment_id", L), ("operation", S), ("old_value", VALUE),
     ("new_value", VALUE), ("changed_at", TS), ("changed_by", S),
@@ -114,14 +116,25 @@ SCHEMAS: dict[str, T.StructType] = {
     "supply.shipment_audit_log": SHIPMENT_AUDIT_LOG,
 }
 
-# Declared VARCHAR lengths of the retail tables.
+# Declared VARCHAR lengths.
 VARCHAR_LIMITS = {
     "bronze.raw_transactions": {"invoice_no": 20, "stock_code": 20, "description": 255,
                                 "invoice_date": 50, "customer_id": 20, "country": 100},
+    "silver.products": {"stock_code": 20, "description": 255},
+    "silver.customers": {"raw_customer_id": 20, "country": 100},
     "silver.transactions": {"invoice_no": 20, "stock_code": 20, "raw_customer_id": 20},
+    "gold.dim_customers": {"raw_customer_id": 20, "country": 100},
+    "gold.dim_products": {"stock_code": 20, "description": 255},
+    "gold.dim_date": {"month_name": 20, "day_name": 20},
+    "gold.fact_sales": {"invoice_no": 20},
+    "supply.dim_time": {"month_name": 20, "day_name": 20},
     "supply.dim_products": {"product_name": 200, "product_category": 100, "sku": 50},
     "supply.dim_suppliers": {"supplier_name": 200, "supplier_country": 100,
                              "contact_email": 150, "phone": 50},
+    "supply.dim_warehouses": {"warehouse_name": 200, "warehouse_location": 200,
+                              "warehouse_country": 100, "manager_name": 150},
+    "supply.dim_orders": {"customer_id": 50, "order_status": 50, "order_priority": 20},
+    "supply.shipment_audit_log": {"operation": 10, "changed_by": 100},
 }
 
 # The CHECK constraints of the shipment fact.
@@ -130,6 +143,24 @@ SHIPMENT_CHECKS = {
     "shipment_value_non_negative": "shipment_value >= 0",
     "shipping_time_non_negative": "shipping_time_hours >= 0",
 }
+CHECKS = {"supply.fact_shipments": SHIPMENT_CHECKS}
+
+# PRIMARY KEY and UNIQUE columns of each table, the primary key first.
+KEYS = {
+    "silver.products": [("stock_code",)],
+    "silver.customers": [("raw_customer_id",)],
+    "gold.dim_customers": [("customer_id",), ("raw_customer_id",)],
+    "gold.dim_products": [("product_id",), ("stock_code",)],
+    "gold.dim_date": [("date_id",), ("full_date",)],
+    "gold.fact_sales": [("sales_id",)],
+    "supply.dim_time": [("date_id",), ("full_date",)],
+    "supply.dim_products": [("product_id",), ("sku",)],
+    "supply.dim_suppliers": [("supplier_id",)],
+    "supply.dim_warehouses": [("warehouse_id",)],
+    "supply.dim_orders": [("order_id",)],
+    "supply.fact_shipments": [("shipment_id",)],
+    "supply.shipment_audit_log": [("audit_id",)],
+}
 
 
 def empty(spark, name: str):

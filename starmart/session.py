@@ -19,6 +19,7 @@ import os
 import tempfile
 import threading
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 import uuid
 
 from pyspark.sql import SparkSession
@@ -77,8 +78,9 @@ def apply_scale_configs(spark: SparkSession) -> None:
 def shared_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local runs, tests) a private folder is
-    created and registered as the checkpoint directory.
+    Read from the session. Only a local master may go without it (tests, one machine): a
+    private folder is then created and registered. On a cluster an unset folder is an
+    error, as executors could not see a folder of the driver's machine.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -92,14 +94,15 @@ def shared_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir() if sc is not None else None
     if current:
         # Spark appends a per-application folder; keep our tables next to it.
-        return os.path.dirname(current.rstrip("/")).replace("file:", "", 1) or current
+        return os.path.dirname(current.rstrip("/"))
+    if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     with _ROOT_LOCK:  # concurrent jobs of one run must agree on a single folder
         current = sc.getCheckpointDir() if sc is not None else None
         if current:
-            return os.path.dirname(current.rstrip("/")).replace("file:", "", 1) or current
+            return os.path.dirname(current.rstrip("/"))
         local = tempfile.mkdtemp(prefix="starmart-")
-        if sc is not None:
-            sc.setCheckpointDir(local)
+        sc.setCheckpointDir(local)
         return local
 
 
@@ -108,6 +111,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/starmart/{name}-{uuid.uuid4().hex[:12]}"
 
 
+@contextmanager
+def scratch(spark: SparkSession, name: str):
+    """A fresh folder under the shared root that is removed at the end, also on failure."""
+    from starmart.sources.versions import drop_path
+    path = scratch_path(spark, name)
+    try:
+        yield path
+    finally:
+        drop_path(spark, path)
+
+
 def run_concurrently(actions) -> None:
     """Run independent Spark actions as concurrent jobs (one driver thread each) and
     re-raise the first failure. Small jobs then fill the gaps large ones leave."""

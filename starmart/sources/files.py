@@ -14,28 +14,62 @@ from starmart.functions.text import na_to_null
 
 # --- S1: CSV scan ---------------------------------------------------------------------
 
-def read_raw_csv(spark: SparkSession, path: str, columns: list[str] | None = None,
-                 encoding: str = "ISO-8859-1", na_values: list[str] | None = None) -> DataFrame:
-    """Read the retail CSV with a header, every field as a string (no inference).
+def csv_header(spark: SparkSession, path: str, encoding: str = "ISO-8859-1") -> list[str]:
+    """Column names of the files' own header line (one short read of the first file)."""
+    return (spark.read.option("header", True).option("encoding", encoding).option("quote", '"')
+            .option("escape", '"').option("inferSchema", False).csv(path).columns)
+
 
-    ``na_values`` (default: pandas' token list) turns placeholder fields into nulls, as a
-    pandas-based reader would. Parsing is split by file blocks across tasks.
+def read_raw_csv(spark: SparkSession, path: str, columns: list[str] | None = None,
+                 encoding: str = "ISO-8859-1", na_values: list[str] | None = None,
+                 multi_line: bool = False) -> DataFrame:
+    """Read the retail CSV by its own header, every field as a string (no inference).
+
+    The header decides which field is which: names are standardised (S2) to find the
+    expected columns in any order; a missing one is an error and further columns are left
+    out. Quotes inside a quoted field are doubled (``""``). ``na_values`` (default: the
+    pandas token list) turns placeholder fields into nulls. A row with too few or too many
+    fields fails the job.
+
+    ``multi_line`` allows line breaks inside quoted fields. Such files cannot be split:
+    one task reads one file, so keep them to a few hundred MB each. Without it a file is
+    split by blocks across tasks.
     """
     cols = columns or schemas.RAW_CSV_COLUMNS
-    schema = ", ".join(f"`{c}` STRING" for c in cols)
+    header = csv_header(spark, path, encoding)
+    schema = ", ".join(f"`{c}` STRING" for c in header)
     df = (spark.read.schema(schema)
           .option("header", True)
           .option("encoding", encoding)
+          .option("quote", '"').option("escape", '"')
+          .option("enforceSchema", False)       # every file's header must agree
+          .option("multiLine", multi_line)
           .option("mode", "FAILFAST")
           .csv(path))
-    return df.select(*[na_to_null(c, na_values).alias(c) for c in df.columns])
+    return df.select(*[na_to_null(F.col(f"`{c}`"), na_values).alias(n) for c, n in by_header(header, cols).items()])
+
+
+def by_header(header: list[str], expected: list[str]) -> dict[str, str]:
+    """File column -> expected name, in the expected order; names meet when they are equal
+    after standardising. A missing or repeated column is an error."""
+    seen: dict[str, str] = {}
+    for c in header:
+        if standard_name(c) in seen:
+            raise ValueError(f"CSV header repeats column {c!r}")
+        seen[standard_name(c)] = c
+    missing = [c for c in expected if standard_name(c) not in seen]
+    if missing:
+        raise ValueError(f"CSV header {header} lacks {missing}")
+    return {seen[standard_name(c)]: c for c in expected}
 
 
 def write_csv(df: DataFrame, path: str, encoding: str = "ISO-8859-1") -> None:
-    """Write a frame as a headered CSV folder, keeping blanks inside fields."""
+    """Write a frame as a headered CSV folder, keeping blanks inside fields and doubling
+    quotes inside quoted ones."""
     (df.write.mode("overwrite")
      .option("header", True)
      .option("encoding", encoding)
+     .option("quote", '"').option("escape", '"')
      .option("ignoreLeadingWhiteSpace", False)
      .option("ignoreTrailingWhiteSpace", False)
      .csv(path))
@@ -43,12 +77,16 @@ def write_csv(df: DataFrame, path: str, encoding: str = "ISO-8859-1") -> None:
 
 # --- S2: column names --------------------------------------------------------------------
 
+def standard_name(name: str, renames: dict[str, str] | None = None) -> str:
+    """One column name after S2."""
+    mapping = schemas.RAW_RENAMES if renames is None else renames
+    plain = "_".join(name.strip("\ufeff").lower().split(" "))
+    return mapping.get(plain, plain)
+
+
 def standardise_columns(df: DataFrame, renames: dict[str, str] | None = None) -> DataFrame:
     """Lower-case names, spaces to underscores, then the explicit renames."""
-    mapping = schemas.RAW_RENAMES if renames is None else renames
-    names = [c.lower().replace(" ", "_") for c in df.columns]
-    names = [mapping.get(n, n) for n in names]
-    return df.toDF(*names)
+    return df.toDF(*(standard_name(c, renames) for c in df.columns))
 
 
 # --- Bronze typing and S3 batch stamp ----------------------------------------------------
@@ -58,11 +96,14 @@ def to_bronze_types(df: DataFrame) -> DataFrame:
 
     ``unit_price`` becomes NUMERIC(10,2) here, so sub-cent prices are rounded HALF_UP
     before any later ``> 0`` test. A customer id written as ``17850.0`` (a float column in
-    a spreadsheet export) keeps its integer text.
+    a spreadsheet export) keeps its integer text, and so a quantity ``6.0`` is 6; a
+    quantity that is no whole number (``6.5``) or no number fails the job.
     """
+    whole = F.regexp_replace("quantity", r"^([+-]?\d+)\.0*$", "$1")
     return df.select(
         F.col("invoice_no"), F.col("stock_code"), F.col("description"),
-        F.col("quantity").cast("int").alias("quantity"),
+        F.when(F.col("quantity").isNull() | whole.try_cast("int").isNotNull(), whole.try_cast("int"))
+        .otherwise(F.raise_error(F.concat(F.lit("quantity is no whole number: "), "quantity")).cast("int")).alias("quantity"),
         F.col("invoice_date"),
         F.col("unit_price").cast("decimal(10,2)").alias("unit_price"),
         F.regexp_replace("customer_id", r"^(\d+)\.0+$", "$1").alias("customer_id"),
@@ -85,8 +126,9 @@ def stamp_batch(df: DataFrame, load_timestamp: datetime | None = None,
 # --- Parquet sinks and scans ---------------------------------------------------------------
 
 def write_replace(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Truncate-and-reload sink (S4, S8): the folder holds exactly this frame afterwards."""
-    w = df.write.mode("overwrite")
+    """Truncate-and-reload sink (S4, S8): the folder holds exactly this frame afterwards,
+    whatever the session's partition overwrite mode is."""
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -136,14 +178,15 @@ def assert_tables(spark: SparkSession, root: str, names: list[str]) -> None:
         raise AssertionError(f"missing tables: {missing}")
 
 
-def create_tables(spark: SparkSession, root: str, names: list[str] | None = None) -> list[str]:
+def create_tables(spark: SparkSession, root: str, names: list[str] | dict[str, str] | None = None) -> list[str]:
     """Create every registered table that does not exist yet, empty, with its
     declared schema; existing tables are left as they are (safe to run on every start).
-    Returns the tables created."""
+    ``names`` may map a table to its folder. Returns the tables created."""
+    where = names if isinstance(names, dict) else {n: f"{root}/{n}" for n in names or schemas.SCHEMAS}
     created = []
-    for n in names or list(schemas.SCHEMAS):
-        if not table_exists(spark, f"{root}/{n}"):
-            schemas.empty(spark, n).write.mode("errorifexists").parquet(f"{root}/{n}")
+    for n, path in where.items():
+        if not table_exists(spark, path):
+            schemas.empty(spark, n).write.mode("errorifexists").parquet(path)
             created.append(n)
     return created
 

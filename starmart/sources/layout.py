@@ -1,8 +1,8 @@
 """Year-partitioned fact layout and date-range scans.
 
-The fact is written with a derived ``sale_year`` partition column (rows with a null or
-out-of-range key land in the ``__HIVE_DEFAULT_PARTITION__`` folder, the counterpart of a
-default partition) and sorted by ``date_id`` inside each file so Parquet min/max
+The fact is written with a derived ``sale_year`` partition column (rows with a null key
+land in the ``__HIVE_DEFAULT_PARTITION__`` folder, the counterpart of a default partition)
+and sorted by ``date_id`` inside each file so Parquet min/max
 statistics let the scan skip row groups. A predicate on ``date_id`` alone does not prune
 folders, so :func:`scan_date_range` adds the matching ``sale_year`` predicate.
 """
@@ -22,10 +22,11 @@ def write_fact_by_year(df: DataFrame, path: str, date_id_column: str = "date_id"
     """Write the fact partitioned by year. ``dynamic``: only the years present in ``df``
     are replaced (reloading some years of a live table); otherwise the folder is replaced
     as a whole (a fresh version folder, where a failed attempt's files must not stay)."""
-    # no shuffle: each task sorts its own rows by (year, date) and writes one file per
-    # year it holds, sorted by date_id for row-group skipping. With tasks of a few GB and
-    # a handful of years the files stay large; a hot year costs nothing extra.
+    # rebalanced by year: AQE merges the small partitions and splits a hot year into files
+    # of the advisory size, where writing the scan's own tasks would leave one file per
+    # task and year; each file is sorted by date_id for row-group skipping
     (with_sale_year(df, date_id_column)
+     .hint("rebalance", "sale_year")
      .sortWithinPartitions("sale_year", date_id_column)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if dynamic else "static")
      .partitionBy("sale_year").parquet(path))

@@ -2,8 +2,8 @@
 
 The archive is a Parquet folder partitioned by ``snapshot_date``. Writing uses dynamic
 partition overwrite, so a rerun on the same day replaces that day's partition only (one
-copy, never two) and other days are untouched. Reading one day names the partition
-column, so only that folder is listed and scanned (partition pruning).
+copy, never two) and other days are untouched. One day is read by its own folder, so the
+other days are not even listed.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ def snapshot(bronze: DataFrame, archive_path: str, snapshot_date: date | str | N
 
 
 def read_snapshot(spark: SparkSession, archive_path: str, snapshot_date: date | str) -> DataFrame:
-    """The archive rows of one day (partition-pruned scan)."""
-    return (spark.read.parquet(archive_path)
-            .filter(F.col("snapshot_date") == F.lit(str(snapshot_date)).cast("date")))
+    """The archive rows of one day; an absent day is an error (path not found)."""
+    return (spark.read.option("basePath", archive_path)
+            .parquet(f"{archive_path}/snapshot_date={snapshot_date}")
+            .withColumn("snapshot_date", F.col("snapshot_date").cast("date")))

@@ -30,6 +30,8 @@ PRICE_NEG_MOD = 41       # unit price -1
 PRICE_NULL_MOD = 43      # unit price missing
 CUSTOMER_NULL_MOD = 4    # customer id missing
 DUPLICATE_MOD = 97       # whole order lines delivered twice
+REVISED_MOD = 5          # description revised from a date on
+REVISED_FROM = "1998-01-01"
 WAREHOUSES = 25          # shipments spread over the 25 nations as warehouses
 
 
@@ -68,7 +70,9 @@ def raw_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("P"), pk.cast("string")).alias("StockCode"),
         F.when(pk % DESC_NULL_MOD == 0, F.lit(None).cast("string"))
          .when(pk % DESC_BLANK_MOD == 0, F.lit("   "))
-         .otherwise(F.concat(F.lit("  "), F.col("p_name"), F.lit(" "))).alias("Description"),
+         .otherwise(F.concat(F.lit("  "), F.col("p_name"),
+                             F.when((pk % REVISED_MOD == 0) & (F.col("l_shipdate") >= F.lit(REVISED_FROM).cast("date")), F.lit(" (revised)"))
+                             .otherwise(F.lit("")), F.lit(" "))).alias("Description"),
         F.when(is_return, -qty).otherwise(qty).cast("string").alias("Quantity"),
         F.col("l_shipdate").cast("date").cast("string").alias("InvoiceDate"),
         price.cast("string").alias("UnitPrice"),
@@ -83,6 +87,20 @@ def raw_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- supply-chain star -------------------------------------------------------------
 
+def created_at():
+    """The load time columns default to: one value per statement."""
+    return F.current_timestamp().cast("timestamp_ntz").alias("created_at")
+
+
+def natural_shipment_id():
+    """An id from the whole order line (its natural key): 60 bits of its digest, the same
+    in any engine and assigned in the scan, with no ordering or exchange."""
+    text = F.concat_ws("|", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+                       *[F.round(F.col(c) * 100).cast("long") for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")],
+                       "l_returnflag", "l_linestatus", F.col("l_shipdate").cast("date").cast("string"))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
+
+
 def supply_dim_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_type", "p_retailprice"])
     return p.select(
@@ -92,6 +110,7 @@ def supply_dim_products(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("SKU-"), F.col("p_partkey").cast("string")).alias("sku"),
         F.col("p_retailprice").cast("decimal(10,2)").alias("unit_price"),
         F.lit(None).cast("string").alias("description"),
+        created_at(),
     )
 
 
@@ -104,7 +123,7 @@ def supply_dim_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("n_name").alias("supplier_country"),
                     F.lit(None).cast("string").alias("contact_email"),
                     F.lit(None).cast("string").alias("phone"),
-                    F.lit(None).cast("decimal(3,2)").alias("rating")))
+                    F.lit(None).cast("decimal(3,2)").alias("rating"), created_at()))
 
 
 def supply_dim_warehouses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,7 +135,7 @@ def supply_dim_warehouses(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("r_name").alias("warehouse_location"),
                     F.col("n_name").alias("warehouse_country"),
                     F.lit(None).cast("int").alias("capacity_sqft"),
-                    F.lit(None).cast("string").alias("manager_name")))
+                    F.lit(None).cast("string").alias("manager_name"), created_at()))
 
 
 def supply_dim_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,7 +145,7 @@ def supply_dim_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("o_orderdate").cast("date").alias("order_date"),
                     F.col("o_custkey").cast("string").alias("customer_id"),
                     F.col("o_orderstatus").alias("order_status"),
-                    F.col("o_orderpriority").alias("order_priority"))
+                    F.col("o_orderpriority").alias("order_priority"), created_at())
 
 
 def shipment_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,6 +167,7 @@ def shipments_from_lines(lines: DataFrame, keep: list[str] | None = None) -> Dat
         F.col("l_extendedprice").cast("decimal(12,2)").alias("shipment_value"),
         (F.lit(12) + (F.col("l_orderkey") * 7 + F.col("l_linenumber") * 13) % 108)
         .cast("int").alias("shipping_time_hours"),
+        created_at(),
     )
 
 
@@ -168,3 +188,40 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     without the batch columns."""
     from starmart.sources.files import standardise_columns, to_bronze_types
     return to_bronze_types(standardise_columns(raw_source(spark, sf_dir)))
+
+
+# --- planted rule breaks: the same tables with defects by fixed residues ---------------------
+
+def bronze_with_long_text(df: DataFrame) -> DataFrame:
+    """Bronze rows of which some have over-long codes, descriptions and countries."""
+    n = F.length("description")
+    q = F.abs(F.col("quantity"))
+    return df.withColumns({
+        "stock_code": F.when(q % 11 == 0, F.rpad("stock_code", 24, "x")).otherwise(F.col("stock_code")),
+        "description": F.when(n % 7 == 0, F.rpad("description", 300, "y")).otherwise(F.col("description")),
+        "country": F.when(q % 23 == 0, F.rpad("country", 120, "z")).otherwise(F.col("country")),
+    })
+
+
+def shipments_with_rule_breaks(fact: DataFrame) -> DataFrame:
+    """Shipments of which some have no supplier, a zero quantity, a negative value or hours."""
+    o = F.col("order_id")
+    return fact.withColumns({
+        "supplier_id": F.when(o % 101 == 0, F.lit(None)).otherwise(F.col("supplier_id")),
+        "quantity": F.when(o % 103 == 0, 0).otherwise(F.col("quantity")).cast("int"),
+        "shipment_value": F.when(o % 107 == 0, -F.col("shipment_value")).otherwise(F.col("shipment_value")).cast("decimal(12,2)"),
+        "shipping_time_hours": F.when(o % 109 == 0, -1).otherwise(F.col("shipping_time_hours")).cast("int"),
+    })
+
+
+def shipments_with_consistent_values(fact: DataFrame, products: DataFrame) -> DataFrame:
+    """Shipments of which every third order's value is quantity times unit price."""
+    j = fact.join(products.select("product_id", "unit_price"), "product_id")
+    right = F.round(F.col("quantity") * F.col("unit_price"), 2).cast("decimal(12,2)")
+    return j.withColumn("shipment_value", F.when(F.col("order_id") % 3 == 0, right).otherwise(F.col("shipment_value"))).drop("unit_price")
+
+
+def shipments_with_idle_years(fact: DataFrame) -> DataFrame:
+    """Shipments of which some suppliers' are worth nothing in one year."""
+    idle = (F.col("supplier_id") % 7 == 3) & (F.floor(F.col("date_id") / 10000) == 1997)
+    return fact.withColumn("shipment_value", F.when(idle, F.lit(0).cast("decimal(12,2)")).otherwise(F.col("shipment_value")))

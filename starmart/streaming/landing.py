@@ -1,8 +1,11 @@
 """availableNow pick-up of new retail CSV files into Bronze.
 
 Each micro-batch is standardised, typed and stamped with one batch id, then written
-to Bronze under its ``batch_id`` partition (``foreachBatch``; a replayed batch
-overwrites its own partition, so a retry after a failure never duplicates rows).
+to Bronze under its ``batch_id`` partition (``foreachBatch``). The id is a digest of the
+batch's file paths: a replayed batch overwrites its own partition, so a retry after a
+failure never duplicates rows, and a stream started afresh with a new checkpoint over the
+same files is refused while Bronze still holds rows of another checkpoint. A row with
+too few or too many fields fails the batch, as in the batch reader.
 """
 
 from __future__ import annotations
@@ -11,29 +14,37 @@ import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starmart import schemas
 from starmart.functions.text import na_to_null
 from starmart.sources import files
+from starmart.sources.versions import path_exists as table_has
 
 
 def ingest_landing(spark: SparkSession, landing_dir: str, bronze_dir: str, checkpoint_dir: str,
                    encoding: str = "ISO-8859-1", max_files_per_trigger: int | None = None) -> int:
     """Process every CSV file that arrived since the last run; returns batches run."""
     schema = ", ".join(f"`{c}` STRING" for c in schemas.RAW_CSV_COLUMNS)
+    if not table_has(spark, f"{checkpoint_dir}/offsets") and table_has(spark, bronze_dir):
+        raise ValueError(f"{bronze_dir} holds rows of another checkpoint than {checkpoint_dir}: "
+                         "landing files would be read into it again")
     reader = (spark.readStream.schema(schema).option("header", True)
-              .option("encoding", encoding))
+              .option("encoding", encoding).option("quote", '"').option("escape", '"')
+              .option("enforceSchema", False).option("mode", "FAILFAST"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.csv(landing_dir)
-    stream = stream.select(*[na_to_null(c).alias(c) for c in stream.columns])
+    stream = stream.select(*[na_to_null(c).alias(c) for c in stream.columns], F.input_file_name().alias("_file"))
 
     batches = []
 
     def write_batch(df: DataFrame, epoch_id: int) -> None:
-        # the batch id is derived from the epoch, so a replayed epoch gets the same id
-        bid = str(uuid.uuid5(uuid.NAMESPACE_URL, f"{landing_dir}#{epoch_id}"))
-        bronze = files.stamp_batch(files.to_bronze_types(files.standardise_columns(df)),
+        # one digest of the batch's file names (a row to the driver), the same on a replay
+        h = F.xxhash64("_file")
+        mark = df.select("_file").distinct().agg(F.bit_xor(h), F.sum(F.pmod(h, F.lit(1 << 40))), F.count("_file")).first()
+        bid = str(uuid.uuid5(uuid.NAMESPACE_URL, f"{landing_dir}#{tuple(mark)}"))
+        bronze = files.stamp_batch(files.to_bronze_types(files.standardise_columns(df.drop("_file"))),
                                    datetime.now(), bid)
         (bronze.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(bronze_dir))
