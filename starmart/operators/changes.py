@@ -20,15 +20,18 @@ from starmart.operators.dims import assign_keys
 from starmart.session import shared_root
 
 
-def enforce(df: DataFrame, rules: dict[str, str | Column], label: str = "row") -> DataFrame:
+def enforce(df: DataFrame, rules: dict[str, str | Column], label: str = "row",
+            keep: Column | None = None) -> DataFrame:
     """Fail the job when a row breaks a rule (like a table CHECK), from inside the plan:
-    each rule becomes a ``raise_error`` branch; no extra pass over the data."""
-    out = df
-    for name, rule in rules.items():
+    each rule becomes a ``raise_error`` branch; no extra pass over the data. ``keep``
+    filters the rows after they were checked: all of it is one expression, as the
+    optimizer may reorder separate conditions and drop a row before its check."""
+    test = keep if keep is not None else F.lit(True)
+    for name, rule in reversed(rules.items()):
         cond = F.expr(rule) if isinstance(rule, str) else rule
-        out = out.filter(F.when(F.coalesce(cond, F.lit(False)), F.lit(True))
-                         .otherwise(F.raise_error(F.lit(f"{label} violates {name}")).cast("boolean")))
-    return out
+        test = F.when(F.coalesce(cond, F.lit(False)), test).otherwise(
+            F.raise_error(F.lit(f"{label} violates {name}")).cast("boolean"))
+    return df.filter(test)
 
 
 # --- U1 / U2 ---------------------------------------------------------------------------
@@ -273,8 +276,8 @@ def apply_batch(fact: DataFrame, adjustments: DataFrame, updates: DataFrame, del
     last = changes.filter(F.col("_hit")).select(key, "_new", "_hit")
     checked = enforce(fact.join(changes, key, "left"), {
         f"{hours} >= 0": F.col(hours) + F.least(F.coalesce("_low", F.lit(0)), F.lit(0)) >= 0,
-        f"{value} not null and >= 0": F.coalesce("_bad", F.lit(0)) == 0}, "shipment")
-    after = (checked.filter(F.col("_del").isNull())
+        f"{value} not null and >= 0": F.coalesce("_bad", F.lit(0)) == 0}, "shipment", keep=F.col("_del").isNull())
+    after = (checked
              .withColumn(hours, (F.col(hours) + F.coalesce(F.col("_add"), F.lit(0))).cast("int"))
              .withColumn(value, F.when(F.col("_hit"), F.col("_new").cast(dtype)).otherwise(F.col(value)))
              .select(*fact.columns))

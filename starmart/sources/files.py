@@ -44,6 +44,7 @@ def read_raw_csv(spark: SparkSession, path: str, columns: list[str] | None = Non
           .option("quote", '"').option("escape", '"')
           .option("enforceSchema", False)       # every file's header must agree
           .option("multiLine", multi_line)
+          .option("columnPruning", False)       # else a short row passes unseen
           .option("mode", "FAILFAST")
           .csv(path))
     return df.select(*[na_to_null(F.col(f"`{c}`"), na_values).alias(n) for c, n in by_header(header, cols).items()])

@@ -60,6 +60,54 @@ def test_supply_job(spark, tmp_root):
     assert log.count() > n1 and log.select("audit_id").distinct().count() == log.count()
 
 
+def test_supply_batch_is_applied_and_logged_once(spark, tmp_root, monkeypatch):
+    kinds = {"batch_id": "b1", "natural_ids": True}
+    real, calls = versions.commit_version, []
+
+    def dies(spark, root, v, batch_id=""):
+        calls.append(batch_id)
+        if batch_id == "b1" and calls.count("b1") == 1:
+            raise OSError("lost before the commit")
+        real(spark, root, v, batch_id)
+    monkeypatch.setattr(versions, "commit_version", dies)
+    with pytest.raises(OSError):
+        SP.run_supply(spark, SF, tmp_root, **kinds)
+    assert SP.audit_log(spark, tmp_root).count() == 0          # written, not committed
+    assert SP.run_supply(spark, SF, tmp_root, **kinds)["applied"]
+    n, facts = SP.audit_log(spark, tmp_root).count(), versions.read_current(spark, f"{tmp_root}/fact_shipments").count()
+    assert n == spark.read.parquet(f"{tmp_root}/shipment_audit_log").count() > 0
+    assert not SP.run_supply(spark, SF, tmp_root, **kinds)["applied"]
+    assert (SP.audit_log(spark, tmp_root).count(), versions.read_current(spark, f"{tmp_root}/fact_shipments").count()) == (n, facts)
+
+
+def feed_with(spark, **changed):
+    row = {"InvoiceNo": "1", "StockCode": "A", "Description": "d", "Quantity": "1", "InvoiceDate": "2010-12-01",
+           "UnitPrice": "2.00", "CustomerID": "5", "Country": "UK"}
+    return spark.createDataFrame([tuple(row.values()), tuple({**row, "InvoiceNo": "2", **changed}.values())],
+                                 ", ".join(f"{c} string" for c in row))
+
+
+@pytest.mark.parametrize("changed,match", [({"InvoiceDate": "garbage", "UnitPrice": "0"}, "1 rows have an unparsable"),
+                                           ({"Description": "x" * 300}, "longer than declared")])
+def test_a_bad_batch_leaves_silver_and_gold(spark, tmp_root, changed, match):
+    wh = f"{tmp_root}/wh"
+    files.write_csv(feed_with(spark), f"{tmp_root}/good")
+    RP.run_retail(spark, f"{tmp_root}/good", wh, date(2026, 2, 22))
+    files.write_csv(feed_with(spark, **changed), f"{tmp_root}/bad")
+    with pytest.raises(ValueError, match=match):
+        RP.run_retail(spark, f"{tmp_root}/bad", wh, date(2026, 2, 23))
+    p = RP.paths(wh)
+    assert spark.read.parquet(p["silver_tx"]).count() == 2 and versions.current_version(spark, p["fact_sales"]) == 1
+    files.write_csv(feed_with(spark).limit(0), f"{tmp_root}/none")
+    with pytest.raises(Exception):
+        RP.run_retail(spark, f"{tmp_root}/none", wh, date(2026, 2, 24))
+    assert spark.read.parquet(p["silver_tx"]).count() == 2
+    with pytest.raises(ValueError, match="run_date"):
+        RP.transform(spark, wh, in_place=True)
+    with pytest.raises(FileNotFoundError):
+        RP.transform(spark, wh, date(2026, 3, 1), in_place=True)
+
+
 def test_append_mode_rerun_replaces_the_day(spark, tmp_root):
     df = spark.range(5).withColumn("v", F.lit(1))
     path = f"{tmp_root}/fact"

@@ -4,6 +4,7 @@ import os
 from datetime import date
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from starmart.operators import joins as J
@@ -93,7 +94,6 @@ def test_versions_pointer(spark, tmp_root):
 
 
 def test_tables_exist_and_reset(spark, tmp_root):
-    import pytest
     files.reset_tables(spark, tmp_root, ["supply.fact_shipments", "supply.dim_time"])
     files.assert_tables(spark, tmp_root, ["supply.fact_shipments", "supply.dim_time"])
     assert spark.read.parquet(f"{tmp_root}/supply.fact_shipments").count() == 0
@@ -143,15 +143,107 @@ def test_missing_dimension_key_is_kept_and_reported(spark):
     assert (rep["unresolved_rows"], rep["unresolved_keys"]) == (1, 1)
 
 
-def test_version_write_replaces_a_dead_attempt(spark, tmp_root):
+def test_dead_and_refused_attempts_never_become_current(spark, tmp_root):
     root = f"{tmp_root}/t"
-    versions.write_version(spark.range(3), root)
-    spark.range(100).write.parquet(f"{root}/v=2")
-    os.remove(f"{root}/v=2/_SUCCESS")  # as left by an attempt that died before committing
-    assert versions.current_version(spark, root) == 1
+    assert versions.write_version(spark.range(3), root) == 1
+    v, path = versions.claim_version(spark, root)     # a writer that dies after its write
+    spark.range(100).write.parquet(path)
+    assert v == 2 and versions.current_version(spark, root) == 1
+
+    def refuse(df):
+        raise ValueError("no")
+    with pytest.raises(ValueError, match="no"):
+        versions.write_version(spark.range(7), root, check=refuse)
     assert versions.read_current(spark, root).count() == 3
-    versions.write_version(spark.range(5), root)
-    assert versions.current_version(spark, root) == 2 and versions.read_current(spark, root).count() == 5
+    assert versions.write_version(spark.range(5), root, batch_id="b9") == 4
+    assert versions.read_current(spark, root).count() == 5
+    assert versions.committed_batches(spark, root) == {"b9": 4}
+    assert versions.vacuum(spark, root, keep=1) == [1, 2, 3]
+    assert versions.committed_batches(spark, root) == {"b9": 4}
+
+
+def test_two_writers_never_share_a_version(spark, tmp_root):
+    from starmart.session import run_concurrently
+    root, got = f"{tmp_root}/t", []
+    run_concurrently([lambda n=n: got.append(versions.write_version(spark.range(n + 1), root)) for n in range(4)])
+    assert sorted(got) == [1, 2, 3, 4]
+    with pytest.raises(RuntimeError):
+        versions.commit_version(spark, root, 2)
+
+
+def test_absent_version_reads_as_the_declared_table(spark, tmp_root):
+    t = versions.read_current(spark, f"{tmp_root}/none", "gold.dim_products")
+    assert t.count() == 0 and "stock_code" in t.columns
+    with pytest.raises(FileNotFoundError):
+        versions.read_current(spark, f"{tmp_root}/none")
+
+
+def test_csv_header_decides_the_columns(spark, tmp_root):
+    path = f"{tmp_root}/in.csv"
+    head = "Stock Code,Till,InvoiceNo,Description,UnitPrice,Quantity,CustomerID,InvoiceDate,Country\n"
+    with open(path, "w", encoding="latin-1") as fh:
+        fh.write(head.replace("Stock Code", "StockCode") + 'A1,9,536365,"HOOK ""BIG"" 5, blue",2.55,6.0,17850,2010-12-01,France\n')
+    row = files.to_bronze_types(files.standardise_columns(files.read_raw_csv(spark, path))).first()
+    assert (row.invoice_no, row.stock_code, row.description, row.quantity) == ("536365", "A1", 'HOOK "BIG" 5, blue', 6)
+    for bad in ("A1,9,1,d,1,6.5,1,2010-12-01,F\n", "A1,9,1,d,1,many,1,2010-12-01,F\n"):
+        with open(path, "w") as fh:
+            fh.write(head.replace("Stock Code", "StockCode") + bad)
+        with pytest.raises(Exception, match="whole number"):
+            files.to_bronze_types(files.standardise_columns(files.read_raw_csv(spark, path))).collect()
+    with open(path, "w") as fh:
+        fh.write("InvoiceNo,StockCode\n1,A\n")
+    with pytest.raises(ValueError, match="lacks"):
+        files.read_raw_csv(spark, path)
+    with open(path, "w") as fh:
+        fh.write(head.replace("Stock Code", "StockCode") + "A1,9,1\n")
+    with pytest.raises(Exception):
+        files.read_raw_csv(spark, path).collect()
+
+
+def test_csv_line_break_in_a_field(spark, tmp_root):
+    path = f"{tmp_root}/in.csv"
+    with open(path, "w") as fh:
+        fh.write('InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n'
+                 '1,A,"two\nlines ""q""",6,2010-12-01,2.55,1,France\n2,B,x,1,2010-12-01,1,2,UK\n')
+    rows = files.read_raw_csv(spark, path, multi_line=True).orderBy("InvoiceNo").collect()
+    assert [r.Description for r in rows] == ['two\nlines "q"', "x"]
+
+
+def test_replace_is_whole_under_dynamic_overwrite(spark, tmp_root):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "v int, p string")
+    files.write_replace(df, f"{tmp_root}/t", ["p"])
+    files.write_replace(df.where("v = 1"), f"{tmp_root}/t", ["p"])
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "dynamic"
+    assert spark.read.parquet(f"{tmp_root}/t").count() == 1
+
+
+def test_absent_snapshot_day_is_an_error(spark, tmp_root):
+    snapshots.snapshot(spark.range(3), f"{tmp_root}/arc", "2026-02-22")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        snapshots.read_snapshot(spark, f"{tmp_root}/arc", "2026-02-23")
+
+
+def test_year_layout_writes_few_files(spark, tmp_root):
+    df = spark.range(0, 4000, 1, 40).select((F.lit(19970000) + (F.col("id") % 3) * 10000 + 101).cast("int").alias("date_id"), "id")
+    layout.write_fact_by_year(df, f"{tmp_root}/f")
+    n = sum(f.endswith(".parquet") for _, _, fs in os.walk(f"{tmp_root}/f") for f in fs)
+    assert n <= 6 and spark.read.parquet(f"{tmp_root}/f").count() == 4000
+
+
+def test_constraints_name_every_broken_rule(spark):
+    good = spark.createDataFrame([(1, "A", "x"), (2, "B", None)], "product_id long, stock_code string, description string")
+    Q.require_constraints(good, "gold.dim_products")
+    bad = good.unionByName(spark.createDataFrame([(None, "A", "y" * 300)], good.schema))
+    with pytest.raises(Q.ConstraintError, match="product_id not null .1 rows.*description length.*unique .stock_code"):
+        Q.require_constraints(bad, "gold.dim_products")
+
+
+def test_orphans_of_several_keys_in_one_pass(spark):
+    child = spark.createDataFrame([(1, 10), (2, None), (9, 99), (None, 10)], "a long, b long")
+    pa, pb = spark.createDataFrame([(1,), (2,)], "a long"), spark.createDataFrame([(10,)], "b long")
+    rep = J.fk_report([("c.a", child, "a", pa, "a"), ("c.b", child, "b", pb, "b")])
+    assert {r.foreign_key: r.orphan_rows for r in rep.collect()} == {"c.a": 1, "c.b": 1}
+    assert J.orphans(child, "a", pa, "a").count() == 1
 
 
 def test_profile_approximate_close_to_exact(spark):

@@ -1,5 +1,9 @@
 """availableNow landing ingest: each run picks up only new files; reruns add nothing."""
 
+import os
+
+import pytest
+
 from starmart.streaming import ingest_landing
 
 HEADER = "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
@@ -11,7 +15,6 @@ def write(path, rows):
 
 
 def test_landing_runs_are_incremental(spark, tmp_root):
-    import os
     land, bronze, ck = f"{tmp_root}/landing", f"{tmp_root}/bronze", f"{tmp_root}/ck"
     os.makedirs(land)
     write(f"{land}/day1.csv", ["1,A,Mug,2,2010-12-01,1.50,17850.0,France\n", "2,B,NA,1,2010-12-01,2.00,,UK\n"])
@@ -24,3 +27,17 @@ def test_landing_runs_are_incremental(spark, tmp_root):
     assert b.count() == 3 and b.select("batch_id").distinct().count() == 2
     row = b.filter("invoice_no = '1'").first()
     assert row["customer_id"] == "17850" and str(row["unit_price"]) == "1.50"
+
+
+def test_short_rows_fail_and_a_fresh_checkpoint_is_refused(spark, tmp_root):
+    land, bronze, ck = f"{tmp_root}/landing", f"{tmp_root}/bronze", f"{tmp_root}/ck"
+    os.makedirs(land)
+    write(f"{land}/day1.csv", ['1,A,"Mug ""L"", red",2,2010-12-01,1.50,17850.0,France\n'])
+    assert ingest_landing(spark, land, bronze, ck) == 1
+    assert spark.read.parquet(bronze).first()["description"] == 'Mug "L", red'
+    with pytest.raises(ValueError, match="another checkpoint"):
+        ingest_landing(spark, land, bronze, f"{tmp_root}/ck2")
+    write(f"{land}/day2.csv", ["2,B\n"])
+    with pytest.raises(Exception):
+        ingest_landing(spark, land, bronze, ck)
+    assert spark.read.parquet(bronze).count() == 1
