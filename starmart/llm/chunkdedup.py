@@ -32,7 +32,7 @@ from starmart.llm import textkit as K
 from starmart.llm.components import stored
 
 LEAST, MOST = 16, 256
-CUT_BITS = 5                   # a cut every 2**5 bytes on average, after LEAST
+CUT_BITS = 4                   # a cut every 2**4 bytes on average, after LEAST: chunks of 32
 RUN = 100                      # characters
 BLOOM_BITS = 1 << 28           # bound of the filter of shared digests (32 MB)
 GEAR = np.random.default_rng(77).integers(0, 2**16, 256, dtype=np.uint16)
