@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from starmart.llm import textkit as K
 
 WINDOW = 2048
-SAMPLE_DOCS = 200
+SAMPLE_DOCS = 48
 SAMPLE_CHARS = 4_000           # of each sampled text; scoring always reads whole texts
 TRAIN_CHARS = 40_000
 MANY = 8
