@@ -57,7 +57,7 @@ def main():
     sf = spark.read.parquet(f"{s}/fact_shipments/v=1")
     after, audit = SP.apply_change_batch_one_pass(sf)
     shown = {
-        "Bronze -> Silver transactions (cleaning)": C.silver_transactions(C.clean(bronze)),
+        "Bronze -> Silver transactions (cleaning with step counts, as the job runs it)": C.silver_transactions(C.clean_observed(bronze)[0]),
         "Fact key resolution (two lookups, sentinel salted)": R.fact_sales(tx, dp, dc),
         "revenue_by_country over Gold": R.revenue_by_country(fact, dc),
         "supplier_yoy over the supply star": SR.supplier_yoy(
