@@ -3,7 +3,7 @@
 A document is its set of 5-word shingles (its *tokens*). The join finds every link of
 Jaccard >= 0.8 that is needed to connect what is connected:
 
-1. **Sets.** One pass over the texts gives each document's set hash, its size, three
+1. **Sets.** One pass over the texts gives each document's set hash, its size, four
    min-hashes and its *prefix*: the n - ceil(0.8 n) + 1 first tokens in one global order,
    rare tokens first. (Two sets that link share a token of their prefixes.) A token's
    rarity is read from the exact corpus counts of its words: the rarest of its five
@@ -12,20 +12,21 @@ Jaccard >= 0.8 that is needed to connect what is connected:
 2. **Groups of similar documents.** Classes that share a min-hash are compared with one
    pivot of that bucket, linear in the bucket's size, and the links found are joined to
    components: the groups. A group of thousands of near copies is one group from here on.
-3. **Token-group matrix.** A row (token, group) says that a member has the token in its
-   prefix, with the group's size range there. Groups that share a token and can reach
-   the overlap by size and position are candidate pairs; a group without such a partner
-   is done.
-4. **Open qualifying groups.** Of a candidate pair, the members of the smaller group are
-   queries; the other group is cut into chunks of ``CHUNK`` members, each with its token
-   union. A query opens a chunk only if its overlap with the union reaches 80 % of the
-   query; then intersections are counted exactly. All members of a chunk are connected
-   already, so one link a query and chunk is kept. A first round asks one chunk of each
-   group, a second all chunks of what is still apart.
-
-No pair is left out: links inside a group cannot change the result, and a link between
-groups has its token in the matrix. Work and rows grow with documents, not with the
-square of a group of copies. Workers hold one chunk and one query at a time.
+3. **Token-group matrix.** Components are dealt to groups of about ``CHUNK`` members: a
+   large one to groups of its own, small ones that share a prefix token with the same
+   first component to common groups. A matrix row (token, group) says that a member has
+   the token in its prefix, with the group's size range and first place of the token
+   there. Tokens of one component only never enter it.
+4. **Open qualifying groups.** A document asks a group if a shared token, by sizes and by
+   what is left after the token's place, allows the overlap; of two components the smaller
+   one asks. The group keeps its members' token union: a query opens it only if its
+   overlap with the union reaches 80 % of the query; then intersections are counted
+   exactly, and one link to each component in the group is kept.
+
+No pair is left out: links inside a component cannot change the result, and of a link
+between two the smaller one's document meets the other's group at their first common
+token. Work and rows grow with documents and groups, a 64th of a family's members, not
+with the square of a group of copies. Workers hold one group and one query at a time.
 
 Defined results: a null, empty or blank text has an empty set and is its own component;
 with fewer than five words the whole sequence is the one token; repeated rows and equal
@@ -44,10 +45,11 @@ from starmart.llm import textkit as K
 from starmart.llm.components import components, stored
 
 NUM, DEN = 80, 100             # link: DEN * intersection >= NUM * union
-CHUNK = 64
-HASHES = 3
+CHUNK = 64                     # members of a group
+BAND = 0.1                     # sizes of a group's sets lie within a factor e**BAND
+HASHES = 4
 WORDS = 1 << 22                # bound of the word counts sent to workers, 16 bytes each
-BLOOM_BITS = 1 << 27           # bound of the filter of wanted documents (16 MB)
+BLOOM_BITS = 1 << 27           # bound of the filters of wanted documents and tokens (16 MB)
 _U = np.uint64
 
 
@@ -108,7 +110,7 @@ def signature_batches(batches, shared):
 
 
 class IdFilter:
-    """Bloom filter of wanted (doc_id) values; false positives are removed by a join."""
+    """Bloom filter of wanted ids or tokens; false positives are removed by a join."""
 
     def __init__(self, words: np.ndarray, bits: int):
         self.words, self.bits = words, bits
@@ -148,8 +150,8 @@ def id_filter(ids: DataFrame) -> IdFilter:
     return IdFilter(words, bits)
 
 
-def set_batches(batches, shared, wanted):
-    """Worker: the sets of wanted documents only."""
+def wanted_sets(batches, shared, wanted):
+    """Sets of wanted documents, a slice at a time."""
     table, counts = shared.value
     f = wanted.value
     for b in batches:
@@ -158,26 +160,103 @@ def set_batches(batches, shared, wanted):
         use = np.flatnonzero(f.has(ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)) & ~null)
         texts = b.column("text").take(pa.array(use))
         for lo, hi in K.slices(texts):
-            sets = ordered_sets(texts.slice(lo, hi - lo), table, counts)
-            sets = [s for s in sets if len(s)]
-            yield pa.record_batch([pa.array([set_hash(s) for s in sets], pa.int64()), _lists(sets)], names=["cls", "tokens"])
+            yield [s for s in ordered_sets(texts.slice(lo, hi - lo), table, counts) if len(s)]
+
+
+def set_batches(batches, shared, wanted):
+    """Worker: (cls, tokens) of wanted documents only."""
+    for sets in wanted_sets(batches, shared, wanted):
+        yield pa.record_batch([pa.array([set_hash(s) for s in sets], pa.int64()), _lists(sets)], names=["cls", "tokens"])
+
+
+def bit_batches(batches, shared, wanted):
+    """Worker: (cls, bits) of wanted documents only."""
+    for sets in wanted_sets(batches, shared, wanted):
+        yield pa.record_batch([pa.array([set_hash(s) for s in sets], pa.int64()),
+                               pa.array([parity_bits(s).tobytes() for s in sets], pa.binary())], names=["cls", "bits"])
+
+
+def parity_bits(s: np.ndarray) -> np.ndarray:
+    """Bitmap of about four bits a token (a power of two): each bit is the parity of the
+    tokens hashed to it. Two sets' bitmaps differ in at most as many bits as the sets
+    differ in tokens, which bounds their overlap from above."""
+    size = max(64, 4 << (len(s) - 1).bit_length())
+    n = np.bincount((s & _U(size - 1)).astype(np.int64), minlength=size)
+    return np.packbits((n & 1).astype(bool))
+
+
+def folded(bits: np.ndarray, size: int) -> np.ndarray:
+    """Bitmaps (rows of bytes) as bitmaps of ``size`` bytes. Bit i of the small one is the
+    parity of the bits i, i+size, ... of the large one."""
+    while bits.shape[1] > size:
+        half = bits.shape[1] // 2
+        bits = bits[:, :half] ^ bits[:, half:]
+    return bits
+
+
+def allow_batches(batches):
+    """Worker over partitions sorted by (gid, kind): members (kind 0) and queries (kind 1)
+    as bitmaps. Returns (gid, kind, cls) of the queries whose bitmaps allow a link with a
+    member and of the members that some query may link with, not their pairs."""
+    gid, members, out, met = None, [], [], None
+    stack: dict = {}
+
+    def close():
+        if met is not None:
+            out.extend((gid, 0, members[k][0]) for k in np.flatnonzero(met).tolist())
+
+    def flush():
+        return pa.record_batch([pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.int64()))], names=["gid", "kind", "cls"])
+
+    for b in batches:
+        for g, kind, c, grp, n, bits in zip(*(b.column(x).to_pylist() for x in ("gid", "kind", "cls", "grp", "n", "bits"))):
+            if g != gid:
+                close()
+                gid, members, stack, met = g, [], {}, None
+            row = np.frombuffer(bits, np.uint8)[None, :]
+            if kind == 0:
+                members.append((c, grp, n, row))
+                continue
+            if not members:
+                continue
+            if met is None:
+                met = np.zeros(len(members), bool)
+                stack = {"least": min(m[3].shape[1] for m in members), "n": np.array([m[2] for m in members]),
+                         "grp": np.array([m[1] for m in members])}
+            size = min(row.shape[1], stack["least"])
+            if size not in stack:
+                stack[size] = np.concatenate([folded(m[3], size) for m in members])
+            differ = np.bitwise_count(stack[size] ^ folded(row, size)).sum(1, dtype=np.int64)
+            both = (n + stack["n"] - differ) // 2          # no fewer than the overlap
+            ok = (DEN * both >= NUM * (n + stack["n"] - both)) & (stack["grp"] != grp)
+            if ok.any():
+                met |= ok
+                out.append((gid, 1, c))
+        if len(out) > 100_000:
+            yield flush()
+            out.clear()
+    close()
+    if out:
+        yield flush()
 
 
 def open_batches(batches):
     """Worker over partitions sorted by (gid, kind): members (kind 0) of a group come
-    first, then its queries (kind 1). Returns (a, b) links of queries to members."""
-    gid, names, sets, union = None, [], [], None
+    first, then its queries (kind 1). Returns (a, b) links of queries to members, one a
+    query and component (``grp``) of the group."""
+    gid, names, owners, sets, union = None, [], [], [], None
     owner = tokens = sizes = None
     links: list[tuple[int, int]] = []
     for b in batches:
         flat = b.column("tokens")
         values, offs = flat.values.to_numpy().view(np.uint64), flat.offsets.to_numpy()
-        for i, (g, kind, c) in enumerate(zip(*(b.column(n).to_pylist() for n in ("gid", "kind", "cls")))):
+        for i, (g, kind, c, grp) in enumerate(zip(*(b.column(n).to_pylist() for n in ("gid", "kind", "cls", "grp")))):
             s = values[offs[i]:offs[i + 1]]
             if g != gid:
-                gid, names, sets, union = g, [], [], None
+                gid, names, owners, sets, union = g, [], [], [], None
             if kind == 0:
                 names.append(c)
+                owners.append(grp)
                 sets.append(s.copy())
                 union = None
                 continue
@@ -197,10 +276,11 @@ def open_batches(batches):
             n = hi - lo
             at = np.repeat(lo - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
             both = np.bincount(owner[at], minlength=len(sets))
-            ok = DEN * both >= NUM * (len(s) + sizes - both)
-            k = int(ok.argmax())
-            if ok[k] and names[k] != c:
-                links.append((c, names[k]))
+            seen = {grp}
+            for k in np.flatnonzero(DEN * both >= NUM * (len(s) + sizes - both)).tolist():
+                if owners[k] not in seen:
+                    seen.add(owners[k])
+                    links.append((c, names[k]))
         if len(links) > 100_000:
             yield pa.record_batch([pa.array(x, pa.int64()) for x in zip(*links)], names=["a", "b"])
             links = []
@@ -209,78 +289,103 @@ def open_batches(batches):
 
 
 def opened(members: DataFrame, queries: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links between queries (gid, cls) and the members (gid, cls) of their groups."""
+    """Links between queries (gid, cls, grp) and the members (gid, cls, grp) of their groups."""
     rows = (members.withColumn("kind", F.lit(0)).unionByName(queries.withColumn("kind", F.lit(1)))
-            .join(sets, "cls").select("gid", "kind", "cls", "tokens"))
+            .join(sets, "cls").select("gid", "kind", "cls", "grp", "tokens"))
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.repartition(parts, "gid").sortWithinPartitions("gid", "kind")
     return K.arrow_map(dealt, "starmart.llm.tgm_join:open_batches", "a long, b long")
 
 
-def matrix_batches(batches):
-    """Worker: (grp, n, prefix) of classes to matrix rows (token, grp, lo, hi, pos), one a
-    token, group and batch: near copies collapse before the exchange."""
+def allowed(members: DataFrame, queries: DataFrame, bits: DataFrame) -> DataFrame:
+    """(gid, kind, cls): members and queries whose bitmaps allow a link."""
+    rows = (members.withColumn("kind", F.lit(0)).unionByName(queries.withColumn("kind", F.lit(1)))
+            .join(bits, "cls").select("gid", "kind", "cls", "grp", "n", "bits"))
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartition(parts, "gid").sortWithinPartitions("gid", "kind")
+    return K.arrow_map(dealt, "starmart.llm.tgm_join:allow_batches", "gid long, kind int, cls long")
+
+
+def prefix_rows(batch):
+    """(token, row, pos) arrays of the prefixes of one batch of classes."""
+    col = batch.column("prefix")
+    values, offs = col.values.to_numpy(), col.offsets.to_numpy().astype(np.int64)
+    size = np.diff(offs)
+    row = np.repeat(np.arange(len(size)), size)
+    return values[offs[0]:offs[-1]], row, np.arange(len(row)) - np.repeat(offs[:-1] - offs[0], size)
+
+
+def token_batches(batches):
+    """Worker: (token, cls), once a batch, so copies collapse before the exchange."""
+    for b in batches:
+        token, row, _ = prefix_rows(b)
+        cls = b.column("cls").to_numpy()
+        new = np.zeros(len(cls), bool)
+        new[np.unique(cls, return_index=True)[1]] = True
+        k = new[row]
+        yield pa.record_batch([pa.array(token[k]), pa.array(cls[row[k]])], names=["token", "cls"])
+
+
+def place_batches(batches, wanted):
+    """Worker: (token, cls, pos) of wanted tokens, once a batch and class."""
+    f = wanted.value
     for b in batches:
-        col = b.column("prefix")
-        values, offs = col.values.to_numpy().view(np.uint64), col.offsets.to_numpy().astype(np.int64)
-        size = np.diff(offs)
-        values = values[offs[0]:offs[-1]]
-        row = np.repeat(np.arange(len(size)), size)
-        pos = np.arange(len(values)) - np.repeat(offs[:-1] - offs[0], size)
-        grp = b.column("grp").to_numpy()[row]
-        n = b.column("n").to_numpy()[row]
-        many = b.column("many").to_numpy(zero_copy_only=False)[row]
-        k = np.flatnonzero(many)
-        k = k[np.lexsort((grp[k], values[k]))]
-        new = np.ones(len(k), bool)
-        new[1:] = (values[k][1:] != values[k][:-1]) | (grp[k][1:] != grp[k][:-1])
-        at = np.flatnonzero(new)
-        one = np.flatnonzero(~many)
-        cat = lambda x, f: np.concatenate([x[one], f.reduceat(x[k], at) if len(at) else x[:0]])
-        head = np.concatenate([one, k[at]])
-        yield pa.record_batch([pa.array(values[head].view(np.int64)), pa.array(grp[head]), pa.array(cat(n, np.minimum).astype(np.int32)),
-                               pa.array(cat(n, np.maximum).astype(np.int32)), pa.array(cat(pos, np.minimum).astype(np.int32))],
-                              names=["token", "grp", "lo", "hi", "pos"])
-
-
-def candidate_pairs(matrix: DataFrame) -> DataFrame:
-    """Pairs (a, b) of groups that share a token and can hold a link by their sizes and by
-    what is left after the token's first place."""
-    # one aggregate finds the tokens of several groups; the join then meets few rows
-    several = matrix.groupBy("token").agg(F.min("grp").alias("x"), F.max("grp").alias("y")).where("x < y").select("token")
-    m = stored(matrix.join(several, "token", "left_semi"), "jaccard-matrix")
-    a, b = (m.select("token", *[F.col(c).alias(p + c) for c in ("grp", "lo", "hi", "pos")]) for p in "ab")
-    need = F.ceil((F.col("alo") + F.col("blo")) * F.lit(NUM) / F.lit(NUM + DEN))
-    ok = ((F.col("agrp") < F.col("bgrp")) & (DEN * F.col("ahi") >= NUM * F.col("blo")) & (DEN * F.col("bhi") >= NUM * F.col("alo"))
-          & (F.least(F.col("ahi") - F.col("apos"), F.col("bhi") - F.col("bpos")) >= need))
-    return a.join(b, "token").where(ok).select(F.col("agrp").alias("a"), F.col("bgrp").alias("b")).distinct()
-
-
-def relabel(pairs: DataFrame, comp: DataFrame) -> DataFrame:
-    """Pairs (a, b) with their ends replaced by their components; equal ends go."""
-    x = (pairs.join(comp, F.col("a") == F.col("node"), "left").select(F.coalesce("component", "a").alias("a"), "b")
-         .join(comp, F.col("b") == F.col("node"), "left").select("a", F.coalesce("component", "b").alias("b")))
-    return x.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def ask(pairs: DataFrame, classes: DataFrame, sets: DataFrame, every: bool) -> DataFrame:
-    """Links of candidate group pairs. ``classes`` is (cls, grp). The smaller group asks;
-    the larger is cut into chunks, one of which (by the query's hash) or all are asked."""
-    size = classes.groupBy("grp").agg(F.count(F.lit(1)).alias("size"))
-    sized = (pairs.join(size.select(F.col("grp").alias("a"), F.col("size").alias("sa")), "a")
-             .join(size.select(F.col("grp").alias("b"), F.col("size").alias("sb")), "b"))
-    small = F.col("sa") <= F.col("sb")
-    sides = sized.select(F.when(small, F.col("a")).otherwise(F.col("b")).alias("asks"),
-                         F.when(small, F.col("b")).otherwise(F.col("a")).alias("asked"),
-                         F.ceil(F.greatest("sa", "sb") / CHUNK).cast("int").alias("chunks"))
-    q = sides.join(classes, F.col("asks") == F.col("grp")).select("cls", "asked", "chunks")
-    chunk = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)) if every else F.pmod(F.xxhash64("cls"), F.col("chunks")).cast("int")
-    q = q.withColumn("chunk", chunk).select("cls", F.xxhash64("asked", "chunk").alias("gid"), "asked")
-    asked = sides.select("asked", "chunks").distinct()
-    m = (asked.join(classes, F.col("asked") == F.col("grp"))
-         .withColumn("chunk", F.pmod(F.xxhash64("cls", F.lit(1)), F.col("chunks")).cast("int"))
-         .select("cls", F.xxhash64("asked", "chunk").alias("gid")))
-    return opened(m, q.select("cls", "gid").distinct(), sets)
+        token, row, pos = prefix_rows(b)
+        cls = b.column("cls").to_numpy()
+        new = np.zeros(len(cls), bool)
+        new[np.unique(cls, return_index=True)[1]] = True
+        k = np.flatnonzero(new[row])
+        k = k[f.has(token[k])]
+        yield pa.record_batch([pa.array(token[k]), pa.array(cls[row[k]]), pa.array(pos[k].astype(np.int32))],
+                              names=["token", "cls", "pos"])
+
+
+def places_of(sig: DataFrame, classes: DataFrame) -> DataFrame:
+    """(token, cls, pos, grp, size, n, first): the places of tokens that several components
+    hold, and the smallest of these. A first aggregate finds the tokens of several classes
+    (most are of one only), a bounded filter of them keeps the others' rows out of the
+    second exchange, and the joins remove the filter's false positives and the tokens of
+    one component."""
+    spark = sig.sparkSession
+    own = sig.where("cls is not null").select("cls", "prefix")
+    several = stored(K.arrow_map(own, "starmart.llm.tgm_join:token_batches", "token long, cls long")
+                     .groupBy("token").agg(F.min("cls").alias("x"), F.max("cls").alias("y")).where("x < y")
+                     .select("token"), "jaccard-tokens")
+    wanted = spark.sparkContext.broadcast(id_filter(several))
+    rows = K.arrow_map(own, "starmart.llm.tgm_join:place_batches", "token long, cls long, pos int", wanted)
+    placed = stored(rows.distinct().join(classes, "cls"), "jaccard-placed")
+    shared = placed.groupBy("token").agg(F.min("grp").alias("first"), F.max("grp").alias("last")).where("first < last").select("token", "first")
+    return stored(placed.join(shared, "token"), "jaccard-places")
+
+
+def grouped(places: DataFrame) -> DataFrame:
+    """(cls, grp, size, n, gid) of every class with a place. A component of CHUNK classes or
+    more has groups of its own; smaller ones share groups with those whose tokens lead to
+    the same first component. Members of a group have sets of about one size, as a wide
+    range would qualify for too many queries."""
+    placed = places.groupBy("cls", "grp", "size", "n").agg(F.min("first").alias("lead"))
+    lead = placed.groupBy("grp").agg(F.min("lead").alias("lead"))
+    large = F.col("size") >= CHUNK
+    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(BAND))
+    home = placed.drop("lead").join(lead, "grp").withColumn(
+        "home", F.xxhash64(F.when(large, F.xxhash64("grp", F.lit(1))).otherwise(F.xxhash64("lead", F.lit(2))), band))
+    count = home.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("groups"))
+    return (home.join(count, "home")
+            .select("cls", "grp", "size", "n", F.xxhash64("home", F.pmod(F.xxhash64("cls"), F.col("groups"))).alias("gid")))
+
+
+def qualifying(places: DataFrame, groups: DataFrame) -> DataFrame:
+    """(cls, gid): the groups a class asks, by the token-group matrix."""
+    rows = stored(places.select("token", "cls", "pos").join(groups, "cls"), "jaccard-matrix")
+    matrix = rows.groupBy("token", "gid").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("pos").alias("first"),
+                                              F.max("size").alias("top"), F.max("grp").alias("last"))
+    q = rows.select("token", "cls", "grp", "size", "n", "pos")
+    need = F.ceil((F.col("n") + F.col("lo")) * F.lit(NUM) / F.lit(NUM + DEN))
+    # of two components the one smaller by (size, name) asks
+    asks = (F.col("size") < F.col("top")) | ((F.col("size") == F.col("top")) & (F.col("grp") < F.col("last")))
+    fits = (DEN * F.col("hi") >= NUM * F.col("n")) & (DEN * F.col("n") >= NUM * F.col("lo"))
+    rest = F.least(F.col("n") - F.col("pos"), F.col("hi") - F.col("first")) >= need
+    return q.join(matrix, "token").where(asks & fits & rest).select("cls", "gid").distinct()
 
 
 def join_documents(docs: DataFrame, words: int = WORDS) -> DataFrame:
@@ -296,11 +401,11 @@ def join_documents(docs: DataFrame, words: int = WORDS) -> DataFrame:
     rep = stored(sig.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n"),
                                                                *[F.min(F.col("low")[k]).alias(f"low{k}") for k in range(HASHES)]), "jaccard-classes")
 
-    def sets_of(classes):
+    def sets_of(classes, target="set_batches", schema="cls long, tokens array<long>"):
         wanted = rep.join(classes, "cls", "left_semi")
         f = spark.sparkContext.broadcast(id_filter(wanted.select("rep")))
-        got = K.arrow_map(src, "starmart.llm.tgm_join:set_batches", "cls long, tokens array<long>", shared, f)
-        return stored(got.join(classes, "cls", "left_semi").dropDuplicates(["cls"]), "jaccard-opened")
+        got = K.arrow_map(src, f"starmart.llm.tgm_join:{target}", schema, shared, f)
+        return got.join(classes, "cls", "left_semi").dropDuplicates(["cls"])
 
     # 2. groups of similar documents
     keyed = rep.select("cls", "n", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"low{k}").alias("v")) for k in range(HASHES)])).alias("key"))
@@ -309,36 +414,32 @@ def join_documents(docs: DataFrame, words: int = WORDS) -> DataFrame:
     star = (keyed.join(pivots, ["k", "v"]).where((F.col("cls") != F.col("p.cls"))
                                                & (DEN * F.least("n", "p.n") >= NUM * F.greatest("n", "p.n")))
             .select("cls", F.col("p.cls").alias("pivot")).distinct())
-    star = stored(star.withColumn("chunk", F.pmod(F.xxhash64("cls"), F.lit(1 << 30)).cast("int")), "jaccard-star")
+    star = stored(star, "jaccard-star")
     chunks = star.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
-    asked = star.join(chunks, "pivot").withColumn("gid", F.xxhash64("pivot", F.pmod("chunk", "chunks")))
+    asked = star.join(chunks, "pivot").withColumn("gid", F.xxhash64("pivot", F.pmod(F.xxhash64("cls"), F.col("chunks"))))
     involved = star.select("cls").unionByName(star.select(F.col("pivot").alias("cls"))).distinct()
-    links = opened(asked.select("gid", F.col("pivot").alias("cls")).distinct(), asked.select("gid", "cls"), sets_of(involved))
-    links = stored(links, "jaccard-links")
+    links = stored(opened(asked.select("gid", F.col("pivot").alias("cls"), F.col("pivot").alias("grp")).distinct(),
+                          asked.select("gid", "cls", F.col("cls").alias("grp")), sets_of(involved)), "jaccard-links")
     comp = components(links)
 
     # 3. token-group matrix
-    groups = stored(rep.join(comp, F.col("cls") == F.col("node"), "left")
-                    .select("cls", "rep", "n", F.coalesce("component", "cls").alias("grp"), F.col("component").isNotNull().alias("many")),
-                    "jaccard-groups")
-    own = sig.select("doc_id", "cls", "prefix").join(groups.withColumnRenamed("rep", "doc_id"), ["doc_id", "cls"])
-    matrix = K.arrow_map(own.select("grp", F.col("n").cast("int").alias("n"), "many", "prefix"), "starmart.llm.tgm_join:matrix_batches",
-                         "token long, grp long, lo int, hi int, pos int")
-    pairs = stored(candidate_pairs(stored(matrix, "jaccard-rows")), "jaccard-pairs")
-
-    # 4. open qualifying groups
-    touched = pairs.select(F.col("a").alias("grp")).unionByName(pairs.select(F.col("b").alias("grp"))).distinct()
-    members = groups.join(touched, "grp", "left_semi").select("cls", "grp")
-    sets = sets_of(members.select("cls"))
-    for every in (False, True):
-        found = stored(ask(pairs, members, sets, every), "jaccard-links")
-        merged = found.unionByName(links)
-        links = stored(merged, "jaccard-links")
-        comp = components(links)
-        if not every:
-            pairs = stored(relabel(pairs, comp), "jaccard-pairs")
-            members = (members.select("cls").join(comp, F.col("cls") == F.col("node"), "left")
-                       .select("cls", F.coalesce("component", "cls").alias("grp")))
+    sizes = comp.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    classes = stored(rep.join(comp.join(sizes, "component"), F.col("cls") == F.col("node"), "left")
+                     .select("cls", "n", F.coalesce("component", "cls").alias("grp"), F.coalesce("size", F.lit(1)).alias("size")),
+                     "jaccard-components")
+    places = places_of(sig, classes)
+    groups = stored(grouped(places), "jaccard-groups")
+    queries = stored(qualifying(places, groups), "jaccard-queries")
+
+    # 4. open qualifying groups: bitmaps first, then whole sets of what they allow
+    members = groups.join(queries.select("gid").distinct(), "gid", "left_semi").select("gid", "cls", "grp", "n")
+    queries = queries.join(groups.select("cls", "grp", "n"), "cls").select("gid", "cls", "grp", "n")
+    touched = stored(members.select("cls").unionByName(queries.select("cls")).distinct(), "jaccard-touched")
+    left = stored(allowed(members, queries, sets_of(touched, "bit_batches", "cls long, bits binary")), "jaccard-allowed")
+    side = lambda kind: (left.where(F.col("kind") == kind).select("gid", "cls")
+                         .join(groups.select("cls", "grp"), "cls").select("gid", "cls", "grp"))
+    found = opened(side(0), side(1), sets_of(stored(left.select("cls").distinct(), "jaccard-touched")))
+    comp = components(stored(found.unionByName(links), "jaccard-links"))
     named = rep.join(comp, F.col("cls") == F.col("node"), "left").select("cls", "rep", F.coalesce("component", "cls").alias("component"))
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     result = named.join(least, "component").select("cls", "component_id")

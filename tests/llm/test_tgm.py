@@ -121,3 +121,17 @@ def test_filter_has_no_false_negatives(spark, monkeypatch):
 @pytest.mark.parametrize("n", range(1, 40))
 def test_prefix_size(n):
     assert 1 <= J.prefix_size(n) <= n
+
+
+def test_bitmaps_bound_the_overlap():
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        a = np.unique(rng.integers(0, 2**58, rng.integers(1, 400), dtype=np.uint64))
+        b = np.unique(np.concatenate([a[rng.random(len(a)) < rng.choice([0.3, 0.8, 0.95, 1.0])],
+                                      rng.integers(0, 2**58, rng.integers(1, 90), dtype=np.uint64)]))
+        x, y = (J.parity_bits(v)[None, :] for v in (a, b))
+        size = min(x.shape[1], y.shape[1])
+        differ = int(np.bitwise_count(J.folded(x, size) ^ J.folded(y, size)).sum())
+        assert (len(a) + len(b) - differ) // 2 >= len(np.intersect1d(a, b))
+        small = J.folded(x, 8)
+        assert (small == np.packbits(np.bincount((a & np.uint64(63)).astype(int), minlength=64) & 1)).all()
