@@ -27,7 +27,7 @@ from starmart.llm.textkit import arrow_map
 
 # Fixed value: the byte-level pre-tokenizer's pattern.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CACHE_ENTRIES = 800_000
+CACHE_ENTRIES = 250_000        # pre-tokens, and a third as many fragments, a worker keeps
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -99,7 +99,7 @@ class Codec:
                     ranks[at - 1] = rank((seq[at - 1], new), never)
             ids = tuple(seq)
             if len(data) <= 64:
-                if len(self.fragments) >= CACHE_ENTRIES:
+                if len(self.fragments) >= CACHE_ENTRIES // 3:
                     self.fragments.clear()
                 self.fragments[data] = ids
         return ids

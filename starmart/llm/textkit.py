@@ -7,9 +7,8 @@ documents, never their characters, are looped over in Python.
 
 from __future__ import annotations
 
-import importlib
 import os
-import sys
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +17,7 @@ from pyspark.sql import functions as F
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 SLICE_BYTES = 1 << 20          # documents handled by one round of NumPy calls
+BATCH_BYTES = 8 << 20          # of an Arrow batch handed to a worker
 MERGE_ROWS = 1_000_000         # distinct keys a counting task holds before it emits them
 
 _U = np.uint64
@@ -44,6 +44,12 @@ def arrow_map(df: DataFrame, target: str, schema: str, *args) -> DataFrame:
     """
     root = ROOT
     module, name = target.split(":")
+    # texts are long: batches of the default 64 MB, twice over in the JVM and in Python,
+    # would be most of a worker's memory
+    conf = df.sparkSession.conf
+    now = re.fullmatch(r"(\d+)b", str(conf.get("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b")))
+    if now and int(now[1]) > BATCH_BYTES:
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
 
     def run(batches):
         import importlib
