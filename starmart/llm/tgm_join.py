@@ -242,11 +242,20 @@ def allow_batches(batches):
 
 def open_batches(batches):
     """Worker over partitions sorted by (gid, kind): members (kind 0) of a group come
-    first, then its queries (kind 1). Returns (a, b) links of queries to members, one a
-    query and component (``grp``) of the group."""
+    first, then its queries (kind 1). Returns (a, b) links of queries to members: those
+    that connect two components (``grp``) which the group's earlier links do not, so never
+    more than its members and queries."""
     gid, names, owners, sets, union = None, [], [], [], None
     owner = tokens = sizes = None
     links: list[tuple[int, int]] = []
+    parent: dict[int, int] = {}
+
+    def root(x):
+        while (up := parent.get(x, x)) != x:
+            parent[x] = parent.get(up, up)
+            x = up
+        return x
+
     for b in batches:
         flat = b.column("tokens")
         values, offs = flat.values.to_numpy().view(np.uint64), flat.offsets.to_numpy()
@@ -254,6 +263,7 @@ def open_batches(batches):
             s = values[offs[i]:offs[i + 1]]
             if g != gid:
                 gid, names, owners, sets, union = g, [], [], [], None
+                parent.clear()
             if kind == 0:
                 names.append(c)
                 owners.append(grp)
@@ -276,10 +286,10 @@ def open_batches(batches):
             n = hi - lo
             at = np.repeat(lo - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
             both = np.bincount(owner[at], minlength=len(sets))
-            seen = {grp}
             for k in np.flatnonzero(DEN * both >= NUM * (len(s) + sizes - both)).tolist():
-                if owners[k] not in seen:
-                    seen.add(owners[k])
+                x, y = root(grp), root(owners[k])
+                if x != y:                     # else earlier links of the group connect them
+                    parent[x] = y
                     links.append((c, names[k]))
         if len(links) > 100_000:
             yield pa.record_batch([pa.array(x, pa.int64()) for x in zip(*links)], names=["a", "b"])
