@@ -6,17 +6,19 @@ and one end token a text; a text's first word follows the end token of the text
 * Unigram counts are exact for every token. Tokens whose count is at least N/``WORDS``
   (at most ``WORDS`` of them, as counts sum to N) travel to the workers in a sorted
   array; the rest meet their counts in a shuffled join, so no size is out of reach.
-* Bigram counts go into a log-frequency Bloom filter: a bigram of quantised count q (q-1
-  whole steps of ``STEP`` above the threshold) is stored as the q keys (bigram, 1..q),
-  and a count is read back by probing level after level until one is absent. A bigram is
-  stored when it makes up 1/``BIGRAMS`` of all tokens or more, a model rule that reads
-  alike at every corpus size; so at most ``BIGRAMS`` are, and the filter has a proven
-  size. Such a bigram's words each have that count too, so only bigrams of two such
-  words are counted, which loses none.
-* P(w|v) = L * c(v,w)/c(v) + (1-L) * P(w) after a context v above the threshold, else
+* Bigrams are all counted. Those of 1/``BIGRAMS`` of all tokens or more go into a
+  log-frequency Bloom filter: a bigram of quantised count q (q-1 whole steps of ``STEP``
+  above the threshold) is stored as the q keys (bigram, 1..q), and a count is read back
+  by probing level after level until one is absent. At most ``BIGRAMS`` are stored, so
+  the filter has a proven size. The others, and bigrams with a word that does not travel,
+  meet their exact counts in a shuffled join.
+* P(w|v) = L * c(v,w)/c(v) + (1-L) * P(w) after a context v seen in training, else
   P(w), with P(w) = (c+0.1)/(N+0.1(V+1)). Stored counts round down, so the
   probabilities of all words after a context never sum to more than one (but for the
   filter's false positives, about 2**-HASHES a probe).
+* The log10 of P(w|v)/P(w) is log10(1-L) + log10(1 + x * c(v,w)) with
+  x = L / ((1-L) * c(v) * P(w)). The contexts of a text are its tokens in another order,
+  so the first part comes once for each known token.
 
 Defined results: a null or empty text is its end token alone; without training rows N
 and V are 0 and every score is that of an empty model; a null id counts as held out
@@ -25,6 +27,8 @@ and V are 0 and every score is that of an empty model; a null id counts as held
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -103,29 +107,58 @@ def bigram_keys(tokens: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.n
     return prev, K.mix(prev * K.MULT[0] + tokens * K.MULT[1])
 
 
+def known_before(known: np.ndarray, first: np.ndarray, end_known: bool) -> np.ndarray:
+    """Whether the token before each one is known."""
+    before = np.empty_like(known)
+    before[1:] = known[:-1]
+    before[first[:-1]] = end_known
+    return before
+
+
 def count_bigrams(batches, shared):
-    """Worker: partial counts of the bigrams of two words in the shared sorted table."""
+    """Worker: partial counts of all bigrams. Those with a word outside the shared sorted
+    table carry their two words, as their counts are met in a join."""
     table = shared.value
     acc = K.Counter64()
+    schema = pa.schema([("h", pa.int64()), ("c", pa.int64()), ("v", pa.int64()), ("w", pa.int64())])
+
+    def out(k, c, v=None, w=None):
+        none = pa.nulls(len(k), pa.int64())
+        cols = [pa.array(k.view(np.int64)), pa.array(c.astype(np.int64)), *(none if x is None else pa.array(x.view(np.int64)) for x in (v, w))]
+        return pa.record_batch(cols, schema=schema)
+
     for b in batches:
         texts = b.column(0)
         for lo, hi in K.slices(texts):
             tokens, first = token_stream(texts.slice(lo, hi - lo))
             known = K.in_sorted(table, tokens)[1]
-            before = np.empty_like(known)
-            before[1:] = known[:-1]
-            before[first[:-1]] = K.in_sorted(table, K.END)[1][0]
-            for k, c in acc.add(bigram_keys(tokens, first)[1][known & before]):
-                yield K.pairs_batch(k, c)
+            both = known & known_before(known, first, K.in_sorted(table, K.END)[1][0])
+            prev, keys = bigram_keys(tokens, first)
+            for k, c in acc.add(keys[both]):
+                yield out(k, c)
+            if not both.all():
+                v, w = prev[~both], tokens[~both]
+                k, at, c = np.unique(keys[~both], return_index=True, return_counts=True)
+                yield out(k, c, v[at], w[at])
     for k, c in acc.flush():
-        yield K.pairs_batch(k, c)
+        yield out(k, c)
+
+
+class Counts(NamedTuple):
+    """Exact tables in the shared folder: words (h, c) and the bigrams that the filter does
+    not hold (h, c, y); y is the x of bigrams with a word that does not travel, else null.
+    ``bigrams`` is None when the filter holds all."""
+
+    words: DataFrame
+    bigrams: DataFrame | None
 
 
 class Model:
-    """What a worker needs: frequent words with counts, the filter, N and V."""
+    """What a worker needs: frequent words with counts, the filter, N and V, and whether
+    the frequent words are all words."""
 
-    def __init__(self, words, counts, n, v, bloom):
-        self.words, self.counts, self.n, self.v, self.bloom = words, counts, n, v, bloom
+    def __init__(self, words, counts, n, v, bloom, complete=True):
+        self.words, self.counts, self.n, self.v, self.bloom, self.complete = words, counts, n, v, bloom, complete
 
     def log_p(self, c):
         return np.log10((c + 0.1) / (self.n + 0.1 * (self.v + 1)))
@@ -133,9 +166,9 @@ class Model:
 
 def score_batches(batches, shared):
     """Worker: per document its token number, the base score and number of its frequent
-    tokens, what the bigrams add to the base score, and its other tokens with counts."""
+    tokens, what the filter's bigrams add, its other tokens with counts, and the bigrams
+    to be met in the join with counts and x (0 when a word does not travel)."""
     m = shared.value
-    gain_none = np.log10(1 - L)
     for b in batches:
         texts = b.column("text")
         for lo, hi in K.slices(texts):
@@ -149,73 +182,112 @@ def score_batches(batches, shared):
             before[1:] = c[:-1]
             end_at, end_known = K.in_sorted(m.words, K.END)
             before[first[:-1]] = m.counts[end_at[0]] if end_known[0] else 0
+            both = known & known_before(known, first, end_known[0])
+            gain, x = np.zeros(len(tokens)), np.zeros(len(tokens))
+            x[both] = L / ((1 - L) * before[both] * p[both])
+            met = ~both & (not m.complete)                         # left to the join
             limit = m.bloom.threshold
-            context = before >= limit
-            gain = np.where(context, gain_none, 0.0)
-            ask = np.flatnonzero(context & (c >= limit))
+            ask = np.flatnonzero(both & (np.minimum(c, before) >= limit))
+            if limit > 1:
+                met |= both
             if len(ask):
                 distinct, back = np.unique(keys[ask], return_inverse=True)
                 q = np.minimum(m.bloom.counts(distinct)[back], np.minimum(c[ask], before[ask]))
-                gain[ask] = np.log10(L * q / before[ask] + (1 - L) * p[ask]) - base[ask]
+                gain[ask] = np.log10(1 + x[ask] * q)
+                met[ask[q > 0]] = False
             a, z = first[:-1], first[1:]
             total = lambda x: np.add.reduceat(x, a) if len(x) else np.zeros(len(a))  # noqa: E731  every text has its end token
-            rare_h, rare_n, sizes = [], [], []
-            rare = ~known
-            for x, y in zip(a.tolist(), z.tolist()):
-                k, n = np.unique(tokens[x:y][rare[x:y]], return_counts=True)
-                rare_h.append(k)
+            rare_h, rare_n, pair_h, pair_n, pair_x = [], [], [], [], []
+            rare = ~known & (not m.complete)
+            for i, j in zip(a.tolist(), z.tolist()):
+                k, n = np.unique(tokens[i:j][rare[i:j]], return_counts=True)
+                rare_h.append(k.view(np.int64))
                 rare_n.append(n)
-                sizes.append(len(k))
-            offs = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
-            cat = lambda x, t: pa.ListArray.from_arrays(offs, pa.array(np.concatenate(x).astype(t) if x else np.zeros(0, t)))
+                k, at, n = np.unique(keys[i:j][met[i:j]], return_index=True, return_counts=True)
+                pair_h.append(k.view(np.int64))
+                pair_n.append(n)
+                pair_x.append(x[i:j][met[i:j]][at])
+
+            def cat(parts, t):
+                offs = np.r_[0, np.cumsum([len(q) for q in parts])].astype(np.int32)
+                return pa.ListArray.from_arrays(pa.array(offs), pa.array(np.concatenate(parts).astype(t) if parts else np.zeros(0, t)))
+
             part = b.slice(lo, hi - lo)
             yield pa.record_batch(
                 [part.column("rid"), part.column("doc_id"), part.column("held_out"), pa.array((z - a).astype(np.int64)),
                  pa.array(total(known.astype(np.int64)).astype(np.int64)), pa.array(total(base)), pa.array(total(gain)),
-                 pa.ListArray.from_arrays(offs, pa.array(np.concatenate(rare_h).view(np.int64) if rare_h else np.zeros(0, np.int64))),
-                 cat(rare_n, np.int32)],
-                names=["rid", "doc_id", "held_out", "n_tokens", "known", "base", "gain", "rare", "times"])
+                 cat(rare_h, np.int64), cat(rare_n, np.int32), cat(pair_h, np.int64), cat(pair_n, np.int32), cat(pair_x, np.float64)],
+                names=["rid", "doc_id", "held_out", "n_tokens", "known", "base", "gain", "rare", "times", "pair", "pair_times", "pair_x"])
 
 
 def train(docs: DataFrame, words: int = WORDS, bigrams: int = BIGRAMS):
-    """(model, counts): counts is the exact (h, c) table of all training tokens, written
-    once to the shared folder; the model holds what is bounded."""
+    """(model, counts): counts holds the exact tables of all training tokens and bigrams,
+    written once to the shared folder; the model holds what is bounded."""
     spark = docs.sparkSession
     texts = docs.where(K.crc_mod(F.col("doc_id"), 10) != 0).select(F.col("text").cast("string").alias("text"))
     where = scratch_path(spark, "lm-counts")
     K.word_counts(texts, add_end=True).write.parquet(where)
     counts = spark.read.schema("h long, c long").parquet(where)
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    k, c, _ = K.frequent(counts, n, words)
+    k, c, least = K.frequent(counts, n, words)
     limit = max(1, -(-n // bigrams))
-    table = spark.sparkContext.broadcast(k[c >= limit])
-    pairs = (K.arrow_map(texts, "starmart.llm.bloomlm:count_bigrams", "h long, c long", table)
-             .groupBy("h").agg(F.sum("c").alias("c")))
-    bk, bc, _ = K.frequent(pairs, n, bigrams)
-    return Model(k, c, n, v, LogFrequencyBloom(bk, bc, limit)), counts
+    where = scratch_path(spark, "lm-bigrams")
+    (K.arrow_map(texts, "starmart.llm.bloomlm:count_bigrams", "h long, c long, v long, w long", spark.sparkContext.broadcast(k))
+     .groupBy("h").agg(F.sum("c").alias("c"), F.max("v").alias("v"), F.max("w").alias("w")).write.parquet(where))
+    pairs = spark.read.schema("h long, c long, v long, w long").parquet(where)
+    bk, bc, _ = K.frequent(pairs.where("v is null"), n, bigrams)
+    model = Model(k, c, n, v, LogFrequencyBloom(bk, bc, limit), least <= 1)
+    return model, Counts(counts, None if model.complete and limit == 1 else joined_bigrams(pairs, counts, model))
+
+
+def joined_bigrams(pairs: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
+    """(h, c, y) of the bigrams the filter does not hold."""
+    low = pairs.where(F.col("v").isNull() & (F.col("c") < model.bloom.threshold)).select("h", "c", F.lit(None).cast("double").alias("y"))
+    if model.complete:
+        return low
+    of = lambda name: counts.select(F.col("h").alias(name), F.col("c").alias(f"c_{name}"))
+    p = (F.col("c_w") + 0.1) / F.lit(float(model.n + 0.1 * (model.v + 1)))
+    rare = pairs.where(F.col("v").isNotNull()).join(of("v"), "v").join(of("w"), "w")
+    return low.unionByName(rare.select("h", "c", (F.lit(L / (1 - L)) / (F.col("c_v") * p)).alias("y")))
 
 
-def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
+def score(docs: DataFrame, model: Model, counts: Counts) -> DataFrame:
     """Per document the base score, the model's score and token numbers."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
     src = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"),
                       (K.crc_mod(F.col("doc_id"), 10) == 0).alias("held_out"), F.col("text").cast("string").alias("text"))
     where = scratch_path(spark, "lm-parts")
-    K.arrow_map(src, "starmart.llm.bloomlm:score_batches",
-                "rid long, doc_id long, held_out boolean, n_tokens long, known long, base double, gain double, "
-                "rare array<long>, times array<int>", shared).write.parquet(where)
-    parts = spark.read.parquet(where)
+    schema = ("rid long, doc_id long, held_out boolean, n_tokens long, known long, base double, gain double, "
+              "rare array<long>, times array<int>, pair array<long>, pair_times array<int>, pair_x array<double>")
+    K.arrow_map(src, "starmart.llm.bloomlm:score_batches", schema, shared).write.parquet(where)
+    parts = spark.read.schema(schema).parquet(where)
     unit = np.log10(0.1) - np.log10(model.n + 0.1 * (model.v + 1)) if model.n + model.v else 0.0
     total = F.lit(float(model.n + 0.1 * (model.v + 1)))
-    rare = (parts.select("rid", F.explode(F.arrays_zip("rare", "times")).alias("t"))
-            .select("rid", F.col("t.rare").alias("h"), F.col("t.times").alias("times")))
-    met = (rare.join(counts, "h", "left")
-           .groupBy("rid").agg(F.sum(F.col("times") * F.when(F.col("c").isNull(), F.lit(float(unit))).otherwise(
-               F.log10((F.col("c") + 0.1) / total))).alias("more"),
-               F.sum(F.when(F.col("c").isNull(), 0).otherwise(F.col("times"))).alias("more_known")))
-    base = F.col("base") + F.coalesce("more", F.lit(0.0))
-    return (parts.drop("rare", "times").join(met, "rid", "left")
-            .select("doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
-                    F.lit(int(model.n)).cast("long").alias("train_tokens"), base.alias("base_score"),
-                    (base + F.col("gain")).alias("score")))
+    zero = F.lit(0.0)
+    extra = []                                                     # (rid, more, more_known, more_gain)
+    if not model.complete:
+        rare = (parts.select("rid", F.explode(F.arrays_zip("rare", "times")).alias("t"))
+                .select("rid", F.col("t.rare").alias("h"), F.col("t.times").alias("times")))
+        extra.append(rare.join(counts.words, "h", "left").select(
+            "rid", (F.col("times") * F.when(F.col("c").isNull(), F.lit(float(unit))).otherwise(F.log10((F.col("c") + 0.1) / total))).alias("more"),
+            F.when(F.col("c").isNull(), 0).otherwise(F.col("times")).cast("long").alias("more_known"), zero.alias("more_gain")))
+    if counts.bigrams is not None:
+        pair = (parts.select("rid", F.explode(F.arrays_zip("pair", "pair_times", "pair_x")).alias("t"))
+                .select("rid", F.col("t.pair").alias("h"), F.col("t.pair_times").alias("times"), F.col("t.pair_x").alias("x")))
+        extra.append(pair.join(counts.bigrams, "h").select(
+            "rid", zero.alias("more"), F.lit(0).cast("long").alias("more_known"),
+            (F.col("times") * F.log10(1 + F.coalesce("y", "x") * F.col("c"))).alias("more_gain")))
+    own = parts.select("rid", "doc_id", "held_out", "n_tokens", "known", "base", "gain")
+    if extra:
+        met = extra[0] if len(extra) == 1 else extra[0].unionByName(extra[1])
+        met = met.groupBy("rid").agg(*[F.sum(x).alias(x) for x in ("more", "more_known", "more_gain")])
+        own = own.join(met, "rid", "left")
+    else:
+        own = own.withColumns({"more": zero, "more_known": F.lit(0), "more_gain": zero})
+    known = F.col("known") + F.coalesce("more_known", F.lit(0))
+    missing = (F.col("n_tokens") - F.col("known")) * F.lit(float(unit)) if model.complete else F.coalesce("more", zero)
+    base = F.col("base") + missing
+    return own.select("doc_id", "held_out", "n_tokens", known.alias("n_known"), F.lit(int(model.n)).cast("long").alias("train_tokens"),
+                      base.alias("base_score"),
+                      (base + F.col("gain") + known * F.lit(float(np.log10(1 - L))) + F.coalesce("more_gain", zero)).alias("score"))

@@ -69,3 +69,31 @@ def test_entries_of_the_filter_are_bounded(small_docs, empty):
     assert m.bloom.threshold > 1 and len(m.bloom.words) * 64 <= 2 * 200 * B.MAX_LEVELS * B.BITS_PER_KEY
     model, counts = B.train(empty)
     assert B.score(empty, model, counts).count() == 0
+
+
+@pytest.mark.parametrize("options", [{}, {"bigrams": 200}, {"bigrams": 200, "words": 300}, {"words": 300}])
+def test_every_bigram_counts(small_docs, edge, monkeypatch, options):
+    """Bigrams under the filter's threshold, or of words that do not travel, meet their exact counts."""
+    monkeypatch.setattr(B, "BITS_PER_KEY", 200)               # next to no false positives
+    for docs in (small_docs, edge):
+        model, counts = B.train(docs, **options)
+        got = sorted(((r.doc_id, round(r.base_score, 5), round(r.score, 5)) for r in B.score(docs, model, counts).collect()), key=repr)
+        rows = [(r.doc_id, plain_words(r.text) + [b"<end>"]) for r in docs.select("doc_id", "text").collect()]
+        train = [t for i, t in rows if zlib.crc32(("" if i is None else str(i)).encode()) % 10]
+        c = Counter(w for t in train for w in t)
+        two = Counter(p for t in train for p in zip([b"<end>", *t], t))
+        n, limit, travels = sum(c.values()), model.bloom.threshold, -(-sum(c.values()) // options.get("words", B.WORDS))
+        p = lambda w: (c[w] + 0.1) / (n + 0.1 * (len(c) + 1))
+
+        def count(v, w):
+            q = two[v, w]
+            if q < limit or min(c[v], c[w]) < travels:
+                return q
+            return min(limit * B.STEP ** math.floor(math.log(q / limit) / math.log(B.STEP) + 1e-9), c[v], c[w])
+
+        ref = []
+        for i, t in rows:
+            base = sum(math.log10(p(w)) for w in t)
+            ref.append((i, base, sum(math.log10(B.L * count(v, w) / c[v] + (1 - B.L) * p(w) if c[v] else p(w)) for v, w in zip([b"<end>", *t], t))))
+        for a, b in zip(got, sorted(((i, round(x, 5), round(y, 5)) for i, x, y in ref), key=repr)):
+            assert a[0] == b[0] and abs(a[1] - b[1]) < 1e-4 and abs(a[2] - b[2]) < 1e-4
