@@ -7,10 +7,11 @@ c chosen so that the expected sample holds ``budget`` of all tokens; a document
 probability 1 carries the rest of its weight in ``sample_weight``.
 
 Targets are shares by value, or an exponent: targets proportional to the observed share
-to that power. A value whose share of the tokens is below 1/``MAX_VALUES`` joins the cell
-value ``(rest)``, as do nulls of a share like that, so a marginal has at most
-``MAX_VALUES`` + 1 values and the table of cells on the driver is bounded; nothing is
-dropped. One aggregate over the documents gives the cells, one pass draws.
+to that power. Every value takes part, however small and however many there are. One
+aggregate over the documents gives the cells, one pass draws. Up to ``MAX_VALUES`` ** 2
+cells are raked on the driver and broadcast; more stay a table that is raked by grouped
+sums and joins: the weight of a cell is the product of a factor for each of its values,
+and a step computes one marginal's factors anew.
 
 Everything is DataFrame functions. Defined results: a null source, language or text is
 the value ``(none)`` or the empty text; an empty text weighs 0 tokens and is drawn like
@@ -25,7 +26,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_VALUES = 200
+from starmart.llm.components import stored
+
+MAX_VALUES = 200               # the driver rakes at most the square of it in cells
 ROUNDS = 12
 BUDGET = 0.5
 #: Production targets: tempered sources and languages, topics as they are.
@@ -51,27 +54,6 @@ def with_cells(docs: DataFrame) -> DataFrame:
     return d.withColumns({"mix_source": none("source"), "mix_lang": none("lang"), "mix_topic": topic_of(F.col("text"), F.col("mix_tokens"))})
 
 
-def observed(cells: DataFrame, max_values: int = MAX_VALUES) -> tuple[list[set], dict]:
-    """(kept values of each marginal, tokens by pooled cell); both bounded."""
-    cells = cells.persist()
-    try:
-        total = cells.agg(F.coalesce(F.sum("mix_tokens"), F.lit(0))).first()[0]
-        kept = []
-        for m in MARGINS:
-            rows = cells.groupBy(f"mix_{m}").agg(F.sum("mix_tokens").alias("t")).where(F.col("t") * max_values >= F.lit(total)).collect()
-            kept.append({r[0] for r in rows})
-        pooled = cells.groupBy(*[pool(m, k).alias(f"mix_{m}") for m, k in zip(MARGINS, kept)]).agg(F.sum("mix_tokens").alias("t"))
-        table = {(r[0], r[1], r[2]): int(r[3]) for r in pooled.collect()}
-    finally:
-        cells.unpersist()
-    return kept, table
-
-
-def pool(margin: str, kept: set) -> Column:
-    c = F.col(f"mix_{margin}")
-    return F.when(c.isin(sorted(kept)), c).otherwise("(rest)")
-
-
 def goals(table: dict, target, axis: int) -> dict:
     """Target tokens of each value of one marginal; they sum to the observed total."""
     seen: dict = {}
@@ -121,6 +103,71 @@ def draw_rate(table: dict, weight: dict, budget: float) -> float:
     return float("inf") if left > 0 else 0.0
 
 
+def rake_cells(cells: DataFrame, targets: dict, rounds: int = ROUNDS) -> DataFrame:
+    """The stored cells with their weight: ``rake`` for any number of cells."""
+    total = cells.agg(F.sum("mix_tokens")).first()[0]
+    want, factor = [], []
+    for m in MARGINS:
+        v, t = f"mix_{m}", F.col("t")
+        seen = cells.groupBy(v).agg(F.sum("mix_tokens").alias("t"))
+        if isinstance(targets[m], dict):
+            given = cells.sparkSession.createDataFrame([(k, float(x)) for k, x in targets[m].items()], f"{v} string, raw double")
+            seen = seen.join(given, v, "left").withColumn("raw", F.when(t > 0, F.coalesce("raw", F.lit(0.0))).otherwise(0.0))
+        else:
+            seen = seen.withColumn("raw", F.when(t > 0, F.pow(t / F.lit(float(total)), F.lit(float(targets[m])))).otherwise(0.0))
+        seen = stored(seen, "mix-goals")
+        scale = seen.agg(F.sum("raw")).first()[0]
+        want.append(seen.select(v, (F.col("raw") * F.lit(total / scale if scale else 0.0)).alias("goal")))
+        factor.append(seen.select(v, F.lit(1.0).alias(f"f_{m}")))
+    for _ in range(rounds):
+        for axis, m in enumerate(MARGINS):
+            now, n = cells, F.col("mix_tokens")
+            for i, o in enumerate(MARGINS):
+                if i != axis:
+                    now, n = now.join(factor[i], f"mix_{o}"), n * F.col(f"f_{o}")
+            now = want[axis].join(now.groupBy(f"mix_{m}").agg(F.sum(n).alias("n")), f"mix_{m}")
+            factor[axis] = stored(now.select(f"mix_{m}", F.when(F.col("n") > 0, F.col("goal") / F.col("n")).otherwise(0.0).alias(f"f_{m}")), "mix-factors")
+    for m, f in zip(MARGINS, factor):
+        cells = cells.join(f, f"mix_{m}")
+    weight = F.col("f_source") * F.col("f_lang") * F.col("f_topic")
+    return stored(cells.select(*[f"mix_{m}" for m in MARGINS], "mix_tokens", weight.alias("w")), "mix-weights")
+
+
+def draw_rate_cells(weights: DataFrame, budget: float) -> float:
+    """``draw_rate`` of a table of weights: cells whose probability passes 1 are capped and
+    what they leave is dealt to the others, until no further cell is capped."""
+    t, w = F.col("mix_tokens"), F.col("w")
+    total, capped, c = weights.agg(F.sum("mix_tokens")).first()[0], -1, 0.0
+    while True:
+        over = w * F.lit(c) > 1
+        n, full, rest = weights.where("w > 0").agg(
+            F.count_if(over), F.coalesce(F.sum(F.when(over, t)), F.lit(0)), F.coalesce(F.sum(F.when(~over, t * w)), F.lit(0.0))).first()
+        left = budget * total - full
+        if n == capped:
+            return c
+        if budget <= 0 or rest <= 0:
+            return float("inf") if budget > 0 else 0.0
+        capped, c = n, max(c, left / rest)
+
+
+def shares_of(cells: DataFrame, targets: dict, budget: float, rounds: int, most: int) -> DataFrame:
+    """Weight, probability and sample weight of every cell (p0, p1, p2)."""
+    spark = cells.sparkSession
+    if cells.count() <= most:
+        table = {(r[0], r[1], r[2]): int(r[3]) for r in cells.collect()}
+        weight, _ = rake(table, targets, rounds)
+        c = draw_rate(table, weight, budget)
+        rows = [(*cell, w, p := (min(1.0, c * w) if w else 0.0), (c * w / p if 0 < p < 1 or p == 1 and c < float("inf") else float(p > 0)))
+                for cell, w in sorted(weight.items())]
+        return F.broadcast(spark.createDataFrame(rows, "p0 string, p1 string, p2 string, token_weight double, probability double, sample_weight double"))
+    weights = rake_cells(cells, targets, rounds)
+    c = draw_rate_cells(weights, budget)
+    w, p = F.col("token_weight"), F.col("probability")
+    rate = F.when(p == 0, 0.0).otherwise(F.lit(1.0) if c == float("inf") else F.lit(c) * w / p)
+    return (weights.select(*[F.col(f"mix_{m}").alias(f"p{i}") for i, m in enumerate(MARGINS)], F.col("w").alias("token_weight"))
+            .withColumn("probability", F.when(w > 0, F.least(F.lit(1.0), F.lit(c) * w)).otherwise(0.0)).withColumn("sample_weight", rate))
+
+
 def uniform(doc_id: Column, text: Column) -> Column:
     """A number in 0..1 fixed by the id (by the text where the id is null)."""
     key = F.coalesce(doc_id.cast("string"), F.md5(F.coalesce(text, F.lit("")).cast("binary")))
@@ -131,20 +178,14 @@ def mix(docs: DataFrame, targets: dict | None = None, budget: float = BUDGET, ro
         max_values: int = MAX_VALUES) -> DataFrame:
     """The documents with mix_source, mix_lang, mix_topic, mix_tokens, token_weight,
     probability, sample_weight and sampled (columns of these names are replaced)."""
-    spark = docs.sparkSession
     targets = targets or TARGETS
     named = with_cells(docs)
-    cells = named.groupBy(*[f"mix_{m}" for m in MARGINS]).agg(F.sum("mix_tokens").alias("mix_tokens"))
-    kept, table = observed(cells, max_values)
-    weight, _ = rake(table, targets, rounds)
-    c = draw_rate(table, weight, budget)
-    rows = [(*cell, w, p := (min(1.0, c * w) if w else 0.0), (c * w / p if 0 < p < 1 or p == 1 and c < float("inf") else float(p > 0)))
-            for cell, w in sorted(weight.items())]
-    shares = spark.createDataFrame(rows, "p0 string, p1 string, p2 string, token_weight double, probability double, sample_weight double")
+    cells = stored(named.groupBy(*[f"mix_{m}" for m in MARGINS]).agg(F.sum("mix_tokens").alias("mix_tokens")), "mix-cells")
+    shares = shares_of(cells, targets, budget, rounds, max_values**2)
     d = named.drop("token_weight", "probability", "sample_weight", "sampled")
-    on = [pool(m, k) == shares[f"p{i}"] for i, (m, k) in enumerate(zip(MARGINS, kept))]
+    on = [d[f"mix_{m}"] == shares[f"p{i}"] for i, m in enumerate(MARGINS)]
     own = [d[c] for c in d.columns]
-    return (d.join(F.broadcast(shares), on, "left")
+    return (d.join(shares, on, "left")
             .select(*own, shares["token_weight"], shares["probability"], shares["sample_weight"])
             .withColumn("sampled", uniform(F.col("doc_id"), F.col("text")) < F.col("probability")))
 

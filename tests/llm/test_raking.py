@@ -55,6 +55,33 @@ def test_small_values_are_pooled_not_dropped(spark):
     assert len({r.token_weight for r in out if r.mix_source != "big"}) == 1
 
 
+DOC = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.mark.parametrize("max_values", [R.MAX_VALUES, 1])
+def test_every_small_value_has_its_own_target(spark, max_values):
+    """On the driver and in Spark: 300 sources of 0.2 % of the tokens beside a large one."""
+    rows = [(i, "word " * 2, "en", f"s{i}", 10) for i in range(300)] + [(i, "word " * 40, "en", "big", 200) for i in range(300, 310)]
+    docs = spark.createDataFrame(rows, DOC)
+    out = R.mix(docs, {"source": 0.5, "lang": 1.0, "topic": 1.0}, max_values=max_values).collect()
+    raw = {s: t**0.5 for s, t in [("big", 0.4), *[(f"s{i}", 0.002) for i in range(300)]]}
+    for r in out:
+        share = 0.4 if r.mix_source == "big" else 0.002
+        assert abs(r.token_weight - raw[r.mix_source] / sum(raw.values()) / share) < 1e-9
+    out = R.mix(docs, {"source": {"big": 0.5, "s7": 0.5}, "lang": 1.0, "topic": 1.0}, budget=0.01, max_values=max_values).collect()
+    assert {r.mix_source for r in out if r.probability > 0} == {"big", "s7"}
+    assert [r.probability for r in out if r.mix_source == "s7"] == [1.0]
+
+
+@pytest.mark.parametrize("budget", [0.05, 0.5, 0.9, 2.0])
+def test_raking_in_spark_equals_the_driver(small_docs, budget):
+    docs = small_docs.withColumn("source", F.when(F.col("doc_id") % 3 == 0, F.col("doc_id").cast("string")).otherwise(F.col("source")))
+    cells = R.with_cells(docs).groupBy("mix_source", "mix_lang", "mix_topic").agg(F.sum("mix_tokens").alias("mix_tokens")).persist()
+    a, b = ({tuple(r)[:3]: tuple(r)[3:] for r in R.shares_of(cells, R.TARGETS, budget, 2, most).collect()} for most in (10**6, 0))
+    assert a.keys() == b.keys() and len(a) > 60
+    assert all(abs(x - y) < 1e-9 * max(1.0, abs(x)) for k in a for x, y in zip(a[k], b[k]))
+
+
 def test_edges(clashing, empty, edge):
     out = R.mix(clashing)
     rows = out.collect()
