@@ -15,6 +15,12 @@ Training uses a bounded sample: about ``SAMPLE_DOCS`` labelled texts a language
 of the id, ``SAMPLE_CHARS`` of each and ``TRAIN_CHARS`` letters a language at most, divided by the languages beyond
 ``MANY`` of them, so the broadcast transition tables stay under ``TABLE_MB`` MB.
 
+Every letter of the training text has its own code. Transitions on the blank and the 62
+letters seen most are a dense table; those on all other letters (of large scripts, or of
+many scripts together) are sorted keys of state and letter, at most three a character of
+training text, which are searched only at such letters. A letter that no training text
+has is a class without transitions.
+
 Defined results: ``und`` and score 0 for a null text or one without a letter, or when
 nothing was learned; equal phrase costs are won by the language first in order of name;
 repeated rows repeat their result; an empty table gives an empty result.
@@ -35,7 +41,7 @@ SAMPLE_DOCS = 48
 SAMPLE_CHARS = 4_000           # of each sampled text; scoring always reads whole texts
 TRAIN_CHARS = 40_000
 MANY = 8
-ALPHABET = 64                  # classes of characters: blank, the letters seen most, rest
+ALPHABET = 64                  # dense classes: blank, the letters seen most, letters never seen
 TABLE_MB = 8 * TRAIN_CHARS * 2 * ALPHABET * 4 // 2**20 + 1
 
 
@@ -47,9 +53,9 @@ def normalise(text: str) -> str:
     return " ".join("".join(c if c.isalpha() else " " for c in t).split())
 
 
-def suffix_automaton(codes: np.ndarray) -> np.ndarray:
-    """Transitions of the suffix automaton of a code sequence, as [states, ALPHABET]; -1
-    marks none. State 0 is the root. At most two states a code."""
+def transitions(codes: np.ndarray) -> list[dict]:
+    """Transitions {code: state} of each state of the suffix automaton of a code sequence.
+    State 0 is the root. At most two states a code."""
     trans: list[dict] = [{}]
     link, length, last = [-1], [0], 0
     for c in codes.tolist():
@@ -75,10 +81,20 @@ def suffix_automaton(codes: np.ndarray) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
+    return trans
+
+
+def suffix_automaton(codes: np.ndarray, sparse: list | None = None) -> np.ndarray:
+    """The suffix automaton as [states, ALPHABET]; -1 marks no transition. Transitions on
+    codes from ALPHABET on are added to ``sparse`` as (state, code, next state)."""
+    trans = transitions(codes)
     table = np.full((len(trans), ALPHABET), -1, np.int32)
     for s, t in enumerate(trans):
         for c, to in t.items():
-            table[s, c] = to
+            if c < ALPHABET:
+                table[s, c] = to
+            else:
+                sparse.append((s, c, to))
     return table
 
 
@@ -91,31 +107,51 @@ class Model:
         texts = {k: " ".join(filter(None, map(normalise, samples[k])))[:room] for k in self.langs}
         seen = np.bincount(np.frombuffer("".join(texts.values()).encode("utf-32-le"), "<u4"), minlength=128) if self.langs else np.zeros(128, int)
         seen[32] = 0
-        top = [c for c in np.argsort(-seen, kind="stable")[:ALPHABET - 2] if seen[c]]
-        self.code = np.full(0x110000, ALPHABET - 1, np.uint8)    # rest
-        self.code[top] = np.arange(1, len(top) + 1)
+        order = np.argsort(-seen, kind="stable")
+        order = order[seen[order] > 0]
+        self.code = np.full(0x110000, ALPHABET - 1, np.int32)    # never seen
+        self.code[order[:ALPHABET - 2]] = np.arange(1, min(len(order), ALPHABET - 2) + 1)
+        self.code[order[ALPHABET - 2:]] = np.arange(ALPHABET, ALPHABET + max(0, len(order) - ALPHABET + 2))
         self.code[32] = 0
+        self.size = ALPHABET + len(order)                        # above every code
         tables, at, self.cost = [], 0, []
-        self.roots = []
+        self.roots, found = [], [np.zeros((0, 2), np.int64)]
         for k in self.langs:
-            t = suffix_automaton(self.encode(texts[k]))
+            sparse: list = []
+            t = suffix_automaton(self.encode(texts[k]), sparse)
+            x = np.array(sparse, np.int64).reshape(-1, 3)
+            found.append(np.column_stack([(x[:, 0] + at) * self.size + x[:, 1], x[:, 2] + at]))
             t[t >= 0] += at
             self.roots.append(at)
             at += len(t)
             tables.append(t)
             self.cost.append(np.log2(max(2, len(texts[k]))))
         self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
+        rare = np.concatenate(found)
+        rare = rare[np.argsort(rare[:, 0])]
+        self.keys, self.to = rare[:, 0].copy(), rare[:, 1].astype(np.int32)
 
     def encode(self, text: str) -> np.ndarray:
         return self.code[np.frombuffer(text.encode("utf-32-le"), "<u4")]
 
+    def move(self, state: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """Next states [language, window] on the codes c of the windows; -1 for none."""
+        rare = np.flatnonzero(c >= ALPHABET)
+        if not len(rare):
+            return self.table.take(state * ALPHABET + c)
+        out = self.table.take(state * ALPHABET + np.minimum(c, ALPHABET - 1))
+        key = np.broadcast_to(state, out.shape)[:, rare].astype(np.int64) * self.size + c[rare]
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        out[:, rare] = np.where(self.keys[at] == key, self.to[at], -1)
+        return out
+
     def phrases(self, texts: list[str]) -> np.ndarray:
         """Phrase counts [text, language] of normalised texts."""
         lens = np.array([len(t) for t in texts], np.int64)
         count = np.zeros((len(texts), len(self.langs)), np.int64)
         if not lens.sum() or not self.langs:
             return count
-        codes = self.encode("".join(texts)).astype(np.int32)
+        codes = self.encode("".join(texts))
         starts = np.r_[0, np.cumsum(lens)[:-1]]
         parts = -(-lens // WINDOW)
         owner = np.repeat(np.arange(len(texts)), parts)
@@ -134,11 +170,11 @@ class Model:
                 break
             c = codes[lo[:n] + step]
             now = state[:, :n]
-            nxt = self.table.take(now * ALPHABET + c)
+            nxt = self.move(now, c)
             cut = nxt < 0
             got[:, :n] += cut | (now == roots)                     # no phrase is under way at a root
             if cut.any():
-                again = self.table.take(roots * ALPHABET + c)      # the phrase starts anew here
+                again = self.move(roots, c)                        # the phrase starts anew here
                 nxt = np.where(cut, np.where(again < 0, roots, again), nxt)   # a letter never seen stands alone
             state[:, :n] = nxt
         for k in range(len(self.langs)):

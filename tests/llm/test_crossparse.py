@@ -78,3 +78,21 @@ def test_ties_go_to_the_first_name_and_tables_are_bounded():
     assert m.predict(["same"])[0] == ["a"]
     many = X.Model({f"l{i}": ["abc defg " * 20_000] for i in range(2)})
     assert many.table.nbytes <= X.TABLE_MB * 2**20
+
+
+def test_letters_beyond_the_dense_classes_keep_their_identity():
+    """Latin beside two large scripts whose letters are too many for the dense classes."""
+    rng = random.Random(5)
+    latin = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzäöüßéèêñáíóúàçğışćčđš ") for _ in range(3000)) * 2
+    script = lambda lo: [chr(lo + k) for k in range(300)]
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(4))
+    words = {k: [word(script(lo)) for _ in range(150)] for k, lo in (("ja", 0x4E00), ("zh", 0x6000))}
+    text = lambda k, n: " ".join(rng.choice(words[k]) for _ in range(n))
+    train = {"en": [latin], **{k: [text(k, 400)] for k in words}}
+    m = X.Model(train)
+    tests = [(k, text(k, 30)) for k in words for _ in range(10)]
+    assert m.predict([t for _, t in tests])[0] == [k for k, _ in tests]
+    source = {k: " ".join(map(X.normalise, v)) for k, v in train.items()}
+    texts = [t for _, t in tests] + [latin[:90] + text("zh", 3) + "Жж" + text("ja", 2)]
+    texts = [X.normalise(t) for t in texts]
+    assert m.phrases(texts).tolist() == [[phrases(t, source[k]) for k in m.langs] for t in texts]
