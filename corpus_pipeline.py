@@ -18,11 +18,14 @@ def quality_stage(spark, docs, sf_dir):
 
 def near_duplicate_stage(spark, docs, sf_dir):
     """Operator 8: of each group of linked documents the one with the smallest id stays,
-    once if its row is repeated. A null id stays while no document with an id is linked."""
-    kept = (tgm_join.join_documents(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select(F.col("doc_id").alias("kept_id")).distinct())
-    return (docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
-            .dropDuplicates(["doc_id", "text"]).select(*docs.columns))
+    once if its row is repeated. A null id stays only where no document with an id is
+    linked; of a group of null ids one class of equal shingle sets stays."""
+    c = tgm_join.join_documents(docs)
+    alone = F.col("component_id").isNull() & (F.col("cls").isNull() | (F.col("cls") == F.col("component")))
+    kept = (c.where((F.col("doc_id") == F.col("component_id")) | alone)
+            .select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_text")).distinct())
+    same = docs["doc_id"].eqNullSafe(kept["kept_id"]) & (F.xxhash64(docs["text"]) == kept["kept_text"])
+    return docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
 
 
 def pii_stage(spark, docs, sf_dir):

@@ -30,8 +30,8 @@ with the square of a group of copies. Workers hold one group and one query at a
 
 Defined results: a null, empty or blank text has an empty set and is its own component;
 with fewer than five words the whole sequence is the one token; repeated rows and equal
-sets share a component; a null id is left out of naming (a component of null ids only
-has a null id). Other columns are not read.
+sets share a component; a null id links like any other and is only left out of naming (a
+component of null ids only has a null id). Other columns are not read.
 """
 
 from __future__ import annotations
@@ -95,7 +95,7 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
 
 
 def signature_batches(batches, shared):
-    """Worker: (doc_id, text) to set size, set hash, min-hashes and prefix."""
+    """Worker: (doc_id, text, text_key) to set size, set hash, min-hashes and prefix."""
     table, counts = shared.value
     for b in batches:
         texts = b.column("text")
@@ -103,10 +103,10 @@ def signature_batches(batches, shared):
             sets = ordered_sets(texts.slice(lo, hi - lo), table, counts)
             low = [np.array([K.mix(s ^ K.MULT[k]).min() for k in range(HASHES)] if len(s) else [0] * HASHES, np.uint64) for s in sets]
             yield pa.record_batch(
-                [b.column("doc_id").slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()),
+                [b.column("doc_id").slice(lo, hi - lo), b.column("text_key").slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64()), _lists(low),
                  _lists([s[:prefix_size(len(s))] if len(s) else s for s in sets])],
-                names=["doc_id", "n_shingles", "cls", "low", "prefix"])
+                names=["doc_id", "text_key", "n_shingles", "cls", "low", "prefix"])
 
 
 class IdFilter:
@@ -151,16 +151,20 @@ def id_filter(ids: DataFrame) -> IdFilter:
 
 
 def wanted_sets(batches, shared, wanted):
-    """Sets of wanted documents, a slice at a time."""
+    """Sets of wanted documents, a slice at a time: by id, or by class if the id is null
+    and some wanted class has null ids only."""
     table, counts = shared.value
-    f = wanted.value
+    f, classes = wanted.value
     for b in batches:
         ids = b.column("doc_id")
         null = ids.is_null().to_numpy(zero_copy_only=False)
-        use = np.flatnonzero(f.has(ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)) & ~null)
+        by_id = f.has(ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)) & ~null
+        use = np.flatnonzero(by_id | null if classes else by_id)
         texts = b.column("text").take(pa.array(use))
         for lo, hi in K.slices(texts):
-            yield [s for s in ordered_sets(texts.slice(lo, hi - lo), table, counts) if len(s)]
+            sets = ordered_sets(texts.slice(lo, hi - lo), table, counts)
+            yield [s for s, no_id in zip(sets, null[use[lo:hi]].tolist())
+                   if len(s) and (not no_id or classes.has(np.array([set_hash(s)], np.int64))[0])]
 
 
 def set_batches(batches, shared, wanted):
@@ -399,21 +403,25 @@ def qualifying(places: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def join_documents(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, n_shingles, cls, component_id) of every row."""
+    """(doc_id, text_key, n_shingles, cls, component, component_id) of every row: text_key
+    is the hash of its text, component the name of its component among the class hashes."""
     spark = docs.sparkSession
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     counts = stored(K.word_counts(src.select("text")), "jaccard-words")
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
     table, c, _ = K.frequent(counts, total, words)
     shared = spark.sparkContext.broadcast((table, c))
-    sig = stored(K.arrow_map(src, "starmart.llm.tgm_join:signature_batches",
-                             "doc_id long, n_shingles long, cls long, low array<long>, prefix array<long>", shared), "jaccard-sets")
+    sig = stored(K.arrow_map(src.withColumn("text_key", F.xxhash64("text")), "starmart.llm.tgm_join:signature_batches",
+                             "doc_id long, text_key long, n_shingles long, cls long, low array<long>, prefix array<long>", shared), "jaccard-sets")
     rep = stored(sig.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n"),
                                                                *[F.min(F.col("low")[k]).alias(f"low{k}") for k in range(HASHES)]), "jaccard-classes")
 
+    nameless = not rep.where("rep is null").isEmpty()
+
     def sets_of(classes, target="set_batches", schema="cls long, tokens array<long>"):
         wanted = rep.join(classes, "cls", "left_semi")
-        f = spark.sparkContext.broadcast(id_filter(wanted.select("rep")))
+        f = spark.sparkContext.broadcast((id_filter(wanted.where("rep is not null").select("rep")),
+                                          id_filter(wanted.where("rep is null").select("cls")) if nameless else None))
         got = K.arrow_map(src, f"starmart.llm.tgm_join:{target}", schema, shared, f)
         return got.join(classes, "cls", "left_semi").dropDuplicates(["cls"])
 
@@ -452,6 +460,6 @@ def join_documents(docs: DataFrame, words: int = WORDS) -> DataFrame:
     comp = components(stored(found.unionByName(links), "jaccard-links"))
     named = rep.join(comp, F.col("cls") == F.col("node"), "left").select("cls", "rep", F.coalesce("component", "cls").alias("component"))
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    result = named.join(least, "component").select("cls", "component_id")
-    return (sig.select("doc_id", "n_shingles", "cls").join(result, "cls", "left")
-            .select("doc_id", "n_shingles", "cls", F.coalesce("component_id", "doc_id").alias("component_id")))
+    result = named.join(least, "component").select("cls", "component", "component_id")
+    return (sig.select("doc_id", "text_key", "n_shingles", "cls").join(result, "cls", "left")
+            .select("doc_id", "text_key", "n_shingles", "cls", "component", F.coalesce("component_id", "doc_id").alias("component_id")))

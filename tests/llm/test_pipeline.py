@@ -1,7 +1,7 @@
 import corpus_pipeline as P
 from starmart.llm import forced_bpe, nbsvm, pii, raking
 from tests.llm.conftest import SF
-from tests.llm.test_tgm import brute
+from tests.llm.test_tgm import brute, null_id_rows
 
 NAMES = ["quality", "near_duplicates", "pii", "mixing", "bpe"]
 
@@ -58,3 +58,11 @@ def test_edges(spark, edge, clashing, empty):
             assert n == 0 if docs is empty else n <= docs.count(), name
     once = [r.doc_id for r in P.near_duplicate_stage(spark, edge, SF).collect()]
     assert once.count(1) == 1 and 5 in once and 2 in once
+
+
+def test_near_copies_with_a_null_id_go(spark):
+    rows = null_id_rows()
+    kept = P.near_duplicate_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()
+    assert sorted(r.doc_id for r in kept if r.doc_id is not None) == [1, 5, 7]
+    texts = [r.text for r in kept if r.doc_id is None]
+    assert len(texts) == 2 and rows[8][1] in texts and (rows[5][1] in texts) != (rows[6][1] in texts)

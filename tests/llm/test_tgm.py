@@ -81,6 +81,23 @@ def test_against_brute_force(spark, monkeypatch):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in out.collect()), key=repr) == brute(rows)
 
 
+def null_id_rows():
+    """Near copies with null ids, a bridge through one, and a group of null ids only."""
+    rng = random.Random(11)
+    text = lambda n: [f"{rng.choice('abcdefgh')}{rng.randrange(10**6)}" for _ in range(n)]
+    near, bridge, alone = text(100), text(120), text(90)
+    return [(5, " ".join(near)), (None, " ".join(near[:-4] + ["other"])), (1, " ".join(bridge[:100])), (None, " ".join(bridge[10:110])),
+            (2, " ".join(bridge[20:])), (None, " ".join(alone)), (None, " ".join(alone[2:])), (7, " ".join(text(50))), (None, " ".join(text(50)))]
+
+
+def test_null_ids_link_like_any_other(spark):
+    rows = null_id_rows()
+    ref = brute(rows)
+    assert {c for i, _, c in ref if i in (1, 2)} == {1} and sum(c is None for _, _, c in ref) == 3
+    out = J.join_documents(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in out.collect()), key=repr) == ref
+
+
 def test_edges(clashing, empty):
     rows = [(r.doc_id, r.text) for r in clashing.select("doc_id", "text").collect()]
     out = J.join_documents(clashing)
