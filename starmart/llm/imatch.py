@@ -155,9 +155,13 @@ def edit_batches(batches, shared):
 def cut_points(ids: DataFrame, ranges: int) -> np.ndarray:
     """Up to ``ranges`` ids, the smallest among them, that cut the ids into even ranges.
     Each is the id of a row, so no range is empty."""
-    found = ids.approxQuantile("k", [i / ranges for i in range(ranges)], 0.25 / ranges)
-    low = ids.agg(F.min("k")).first()[0]
-    return np.array(sorted({int(x) for x in found if int(x) > low} | {low}), np.int64) if low is not None else np.zeros(0, np.int64)
+    found = sorted(set(ids.approxQuantile("k", [i / ranges for i in range(ranges)], 0.25 / ranges)))
+    if not found:
+        return np.zeros(0, np.int64)
+    # a quantile is a double, beyond 2**53 mostly not an id: the next id in its place
+    k, far = F.col("k"), lambda x: min(max(int(x), -2**63), 2**63 - 1)
+    real = ids.agg(F.min("k"), *[F.min(F.when(k >= F.lit(far(x)).cast("long"), k)) for x in found]).first()
+    return np.array(sorted({x for x in real if x is not None}), np.int64)
 
 
 def range_of(cuts: np.ndarray):

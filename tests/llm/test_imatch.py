@@ -57,3 +57,12 @@ def test_fingerprint_is_a_set_function_and_equal_texts_agree():
     assert (f[0] == f[1]).all() and (f[2] == f[3]).all() and (f[5] == f[6]).all() and not (f[4] == f[2]).all()
     assert I.likeness(f[[0, 2, 5]], f[[1, 3, 6]]).tolist() == [1, 1, 1]
     assert I.likeness(f[[0]], f[[5]])[0] == 0
+
+
+def test_ids_beyond_doubles_lose_no_row(spark):
+    rows = [(s * (2**62 + 12_345_677 * i), f"text {i} of words " * 8) for i in range(1, 120) for s in (1, -1)] + [(2**63 - 1, "last"), (-2**63, "first")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    cuts = I.cut_points(docs.selectExpr("doc_id AS k"), 16)
+    assert set(cuts.tolist()) <= {i for i, _ in rows} and cuts[0] == -2**63
+    out = I.fingerprint_documents(docs).collect()
+    assert sorted((r.doc_id, r.n_chars) for r in out) == sorted((i, len(t)) for i, t in rows)
