@@ -36,7 +36,7 @@ CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
-SECRET = re.compile(r"(?i:\b(?:token|api[_-]?key|secret|passw(?:or)?d|access[_-]?key)\b)[ \t]{0,3}[=:][ \t]{0,3}[\"']?([A-Za-z0-9_/+=-]{12,512})")
+SECRET = re.compile(r"(?i:\b(?:token|api[_-]?key|secret|passw(?:or)?d|access[_-]?key)\b)[ \t]{0,3}[=:][ \t]{0,3}[\"']?([A-Za-z0-9_/+=-]{12,})")
 DIGIT = re.compile(r"[0-9]")
 
 # kind: (prior, words that raise the score, words that lower it)

@@ -79,3 +79,8 @@ def test_redaction_takes_the_data_and_leaves_the_rest(clashing, empty):
     assert all(tuple(by[c] for c in CLASH_NAMES) == (0.5, 1, 2, 3, 4, 5, 6, 7, 8, "p", 9, "0:1", 1) for _ in [0])
     assert pii.redacted(empty).count() == 0
     assert pii.redact("ab cd", [("x", 0, 4), ("y", 3, 5)]) == "<X>"
+
+
+def test_a_long_secret_is_matched_to_its_end():
+    secret = "aB3" * 700
+    assert secret[-4:] not in pii.redact(f"token={secret} end", pii.find_spans(f"token={secret} end")[1])
