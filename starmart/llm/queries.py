@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from starmart.llm import bloomlm, chunkdedup, crossparse, forced_bpe, imatch, int8_near, nbsvm, pii, raking, tgm_join
+from starmart.llm import bloomlm, chunkdedup, crossparse, forced_bpe, imatch, int8_near, nbsvm, pii, raking, replytree, resample, tgm_join, variants
 from starmart.llm.textkit import crc_mod, documents
 
 
@@ -71,6 +71,31 @@ def op10_language(spark, sf_dir):
     return crossparse.predict(docs, crossparse.train(docs))
 
 
+def op11_resample(spark, sf_dir):
+    """Weight, score and rank of every document by its likeness to the benchmark texts."""
+    target = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return resample.resample(documents(spark, sf_dir, "doc_id", "text"), target).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_replytree(spark, sf_dir):
+    """Every conversation formatted, and digests of what its formatted text says."""
+    said = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    table = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(*own.columns)
+    back = replytree.read_back(replytree.format_chains(table.unionByName(own)))
+    line = F.zip_with("roles", "texts", lambda r, t: F.concat(r, F.lit("\n"), t, F.lit("\n")))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return back.select(
+        F.col("conv_id").cast("long").alias("conv_id"), F.size("roles").cast("long").alias("n_turns"),
+        digest(F.array_join(line, "")).alias("turns_sha256"), F.length("learned").cast("long").alias("loss_chars"),
+        digest(F.col("learned")).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+def op13_variants(spark, sf_dir):
+    """Form, root and near words of every word of the documents."""
+    return variants.group_variants(documents(spark, sf_dir, "doc_id", "text"))
+
+
 LLM_QUERIES = {
     "op1_raking": op1_raking,
     "op2_pii": op2_pii,
@@ -82,4 +107,7 @@ LLM_QUERIES = {
     "op8_jaccard": op8_jaccard,
     "op9_lm": op9_lm,
     "op10_language": op10_language,
+    "op11_resample": op11_resample,
+    "op12_replytree": op12_replytree,
+    "op13_variants": op13_variants,
 }

@@ -6,7 +6,7 @@ hashes, spans with scores); ``tests/llm`` holds them against brute-force version
 
 from __future__ import annotations
 
-from starmart.llm import raking
+from starmart.llm import raking, replytree, resample, variants
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
@@ -103,4 +103,86 @@ named AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
 SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, n.component_id FROM s JOIN named n ON n.id = s.doc_id
 """
 
-LLM_SQL: dict[str, str] = {"op1_raking": _raking_sql(), "op7_int8": OP7, "op8_jaccard": OP8}
+# crc32 by its table, which is made from the polynomial
+_CRC_TABLE = """tab AS MATERIALIZED (SELECT list_transform(range(256), lambda b: list_reduce(
+  list_prepend(b::UBIGINT, list_transform(range(8), lambda x: 0::UBIGINT)),
+  lambda a, x: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384::UBIGINT) ELSE a >> 1 END)) AS t)"""
+
+
+def _crc(text: str) -> str:
+    return f"""xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(range(0, strlen({text})::BIGINT),
+  lambda i: ('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::UBIGINT)),
+  lambda a, b: xor(a >> 8, tab.t[(xor(a, b) % 256 + 1)::INT])), 4294967295::UBIGINT)::BIGINT"""
+
+
+_LOWERED = f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')"
+
+OP11 = rf"""
+WITH {_CRC_TABLE},
+d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWERED}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM documents),
+q AS MATERIALIZED (SELECT unnest(regexp_extract_all({_LOWERED}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')) AS w FROM benchmark),
+u AS MATERIALIZED (SELECT r, unnest(w) AS w FROM d),
+k AS MATERIALIZED (SELECT w, {_crc("w")} % {resample.BUCKETS} AS b FROM (SELECT w FROM u UNION SELECT w FROM q), tab),
+sums AS MATERIALIZED (
+  SELECT b, coalesce(s, 0) AS s, coalesce(t, 0) AS t FROM (SELECT b, count(*) AS s FROM u JOIN k USING (w) GROUP BY b)
+  FULL JOIN (SELECT b, count(*) AS t FROM q JOIN k USING (w) GROUP BY b) USING (b)),
+total AS MATERIALIZED (SELECT coalesce(sum(s), 0)::DOUBLE AS s, coalesce(sum(t), 0)::DOUBLE AS t FROM sums),
+gains AS MATERIALIZED (
+  SELECT b, floor(1000 * ln((x.t + 1) * (y.s + {resample.BUCKETS}) / ((x.s + 1) * (y.t + {resample.BUCKETS}))))::BIGINT AS g FROM sums x, total y),
+weights AS MATERIALIZED (SELECT r, count(*) AS n, floor(sum(g)::DOUBLE / count(*))::BIGINT AS weight FROM u JOIN k USING (w) JOIN gains USING (b) GROUP BY r),
+scored AS MATERIALIZED (
+  SELECT doc_id, coalesce(n, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight, d.r,
+    (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('{resample.SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE)
+      / 4294967296))))::BIGINT AS score
+  FROM d LEFT JOIN weights USING (r))
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN row_number() OVER o <= (SELECT count(*) FROM scored WHERE n_features >= {resample.LEAST_WORDS}) * {resample.PERCENT} // 100
+    THEN row_number() OVER o END::BIGINT AS rank
+FROM scored WINDOW o AS (ORDER BY n_features < {resample.LEAST_WORDS}, score DESC, doc_id NULLS LAST, r)
+"""
+
+
+def _escaped(text: str) -> str:
+    """Code points of a text once its backslashes are doubled and its control strings broken."""
+    control = "|".join(replytree.CONTROL).replace("'", "''")
+    return rf"(length({text}) + length({text}) - length(replace({text}, '\', '')) + len(regexp_extract_all({text}, '{control}')))"
+
+
+OP12 = rf"""
+WITH m AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, i, CASE i WHEN 0 THEN 'user' ELSE 'assistant' END, '</s>[INST] ok [/INST]' FROM range(2) t(i))
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, md5(text))) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, md5(text)) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum({len(replytree.BEGIN + replytree.BODY + replytree.END)} + {_escaped("role")} + {_escaped("text")})::BIGINT AS formatted_chars
+FROM m WHERE conv_id IS NOT NULL GROUP BY conv_id
+"""
+
+OP13 = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS MATERIALIZED (
+  SELECT doc_id, w, count(*) AS c FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWERED}, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS w FROM documents)
+  GROUP BY doc_id, w),
+hashed AS MATERIALIZED (SELECT w, c, {_crc("coalesce(doc_id::VARCHAR, '') || ':' || w")} AS h FROM runs, tab),
+cut AS MATERIALIZED (
+  SELECT c, CASE WHEN h % {variants.DROP_EVERY} = 0 THEN left(w, (h % length(w))::INT) || substr(w, (h % length(w))::INT + 2) ELSE w END AS w FROM hashed),
+words AS MATERIALIZED (
+  SELECT w, sum(c)::BIGINT AS n FROM cut WHERE length(w) >= {variants.LEAST_CHARS} GROUP BY w HAVING sum(c) >= {variants.LEAST_COUNT}),
+less AS MATERIALIZED (SELECT w, n, length(w) AS l, i, left(w, i - 1) || substr(w, i + 1) AS x FROM (SELECT w, n, unnest(range(1, length(w) + 1))::INT AS i FROM words)),
+near AS MATERIALIZED (
+  SELECT DISTINCT a, b FROM (
+    SELECT x.w AS a, y.w AS b FROM less x JOIN less y ON x.x = y.x AND x.i = y.i AND x.l = y.l AND x.w <> y.w
+    UNION ALL SELECT x.w, y.w FROM less x JOIN words y ON x.x = y.w
+    UNION ALL SELECT y.w, x.w FROM less x JOIN words y ON x.x = y.w)),
+best AS MATERIALIZED (SELECT a, count(*) AS n_near, max(y.n) AS best_n, arg_min(b, (-y.n, b)) AS best FROM near JOIN words y ON y.w = b GROUP BY a),
+forms AS MATERIALIZED (
+  SELECT w, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN best_n >= {variants.RATIO} * n THEN best END AS form,
+    CASE WHEN best_n >= {variants.RATIO} * n THEN best_n END AS form_n FROM words LEFT JOIN best ON a = w),
+walk(w, last) AS (SELECT w, w FROM forms UNION ALL SELECT walk.w, f.form FROM walk JOIN forms f ON f.w = walk.last WHERE f.form IS NOT NULL),
+roots AS MATERIALIZED (SELECT walk.w, walk.last AS root FROM walk JOIN forms f ON f.w = walk.last WHERE f.form IS NULL)
+SELECT w AS word, form, root, n, n_near, form_n FROM forms JOIN roots USING (w)
+"""
+
+LLM_SQL: dict[str, str] = {"op11_resample": OP11, "op12_replytree": OP12, "op13_variants": OP13, "op1_raking": _raking_sql(), "op7_int8": OP7, "op8_jaccard": OP8}

@@ -92,6 +92,24 @@ def slices(col, limit: int = SLICE_BYTES):
         lo = min(hi, n)
 
 
+def pieces(text: str, cut: re.Pattern, limit: int = SLICE_BYTES):
+    """A text in parts of about ``limit`` characters, each ending behind a match of ``cut``
+    (what stands between words), so that no word is split; together they are the text."""
+    lo = 0
+    while len(text) - lo > limit:
+        m = cut.search(text, lo + limit)
+        if m is None:
+            break
+        yield text[lo:m.end()]
+        lo = m.end()
+    yield text[lo:]
+
+
+def ascii_lower(text: str) -> str:
+    """A-Z in lower case, everything else as it is."""
+    return text.encode().lower().decode()
+
+
 # --- words and hashes -------------------------------------------------------------------
 
 def mix(x: np.ndarray) -> np.ndarray:
