@@ -3,43 +3,54 @@
 Counts come from every training document (crc32(doc_id) mod 10 not 0): tokens are words
 and one end token a text; a text's first word follows the end token of the text before.
 
-* Unigram counts are exact for every token. Tokens whose count is at least N/``WORDS``
-  (at most ``WORDS`` of them, as counts sum to N) travel to the workers in a sorted
-  array; the rest meet their counts in a shuffled join, so no size is out of reach.
-* Bigrams are all counted. Those of 1/``BIGRAMS`` of all tokens or more go into a
-  log-frequency Bloom filter: a bigram of quantised count q (q-1 whole steps of ``STEP``
-  above the threshold) is stored as the q keys (bigram, 1..q), and a count is read back
-  by probing level after level until one is absent. At most ``BIGRAMS`` are stored, so
-  the filter has a proven size. The others, and bigrams with a word that does not travel,
-  meet their exact counts in a shuffled join.
+Documents are taken in slices of about ``SLICE_BYTES`` of text. A slice asks for each of
+its distinct words and bigrams once, and the answers come back in the same order:
+
+1. Asking. A slice sends its sorted distinct words and bigrams, with their counts in its
+   training texts, to the shards of the hash space they belong to: one packed row a shard.
+2. Answering. A shard adds the counts up. Words get their exact counts. For bigrams it
+   builds a log-frequency Bloom filter of all its training bigrams: a bigram of count c has
+   level q = 1 + floor(log c / log ``STEP``) and is stored as the q keys (bigram, 1..q);
+   every asked bigram is then looked up by probing level after level until one is absent.
+   The answer is one byte, the level.
+3. Scoring. Texts and answers of a slice meet; level q stands for the mean count of all
+   bigrams stored at that level, so the counts of the model sum to those of the corpus.
+
+The filter grows with the corpus, so it is not broadcast whole: each worker holds the
+filter of a shard, and ``SHARD`` entries bound it. A word or bigram that stands in every
+text is one entry a slice, so no shard is hot. The rule is one at every corpus size, and
+nothing is left out.
+
 * P(w|v) = L * c(v,w)/c(v) + (1-L) * P(w) after a context v seen in training, else
-  P(w), with P(w) = (c+0.1)/(N+0.1(V+1)). Stored counts round down, so the
-  probabilities of all words after a context never sum to more than one (but for the
-  filter's false positives, about 2**-HASHES a probe).
-* The log10 of P(w|v)/P(w) is log10(1-L) + log10(1 + x * c(v,w)) with
-  x = L / ((1-L) * c(v) * P(w)). The contexts of a text are its tokens in another order,
-  so the first part comes once for each known token.
-
-Defined results: a null or empty text is its end token alone; without training rows N
-and V are 0 and every score is that of an empty model; a null id counts as held out
-(remainder 0); repeated rows are scored one by one.
+  P(w), with P(w) = (c+0.1)/(N+0.1(V+1)) and c(v,w) at most c(v) and c(w).
+* Bigrams are told apart by 48 bits of a hash, words by 64.
+
+The slices are made twice, from the same rows in the same order (a scan of files gives
+that; store other frames first). Each answer carries a checksum of what was asked, and a
+slice that does not match fails the job instead of giving a wrong score.
+
+Defined results: a null or empty text is its end token alone; without training rows N and
+V are 0 and every score is that of an empty model; a null id counts as held out (remainder
+0); repeated rows are scored one by one; a text longer than a slice is a slice of its own
+and must fit a worker's memory; an empty table gives an empty result. Further columns are
+not read, whatever their names.
 """
 
 from __future__ import annotations
 
-from typing import NamedTuple
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm import textkit as K
-from starmart.session import scratch_path
+from starmart.llm.components import stored
 
-WORDS = 1 << 22                # bound of the words sent to workers: 12 bytes each
-BIGRAMS = 1 << 21              # bound of the bigrams in the filter
-STEP = 1.5                     # ratio of neighbouring quantised counts
+SLICE_BYTES = 16 << 20
+SHARD = 2_000_000              # entries a shard should get; it holds that many keys in memory
+STEP = 1.5                     # ratio of neighbouring levels
 HASHES = 8
 BITS_PER_KEY = 12
 MAX_LEVELS = 64
@@ -47,21 +58,27 @@ L = 0.4
 _U = np.uint64
 
 
+# --- the filter -----------------------------------------------------------------------------
+
+def levels_of(counts: np.ndarray) -> np.ndarray:
+    """The level of each count, 0 for a count of 0."""
+    q = 1 + np.floor(np.log(np.maximum(counts, 1)) / np.log(STEP) + 1e-9).astype(np.int64)
+    return np.where(counts > 0, np.minimum(q, MAX_LEVELS), 0)
+
+
 class LogFrequencyBloom:
     """Bit array of (key, level) entries."""
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, threshold: int):
-        self.threshold = threshold
-        q = 1 + np.floor(np.log(np.maximum(counts, threshold) / threshold) / np.log(STEP) + 1e-9).astype(np.int64)
-        q = np.minimum(q, MAX_LEVELS)
-        size = 1 << max(10, int(np.ceil(np.log2(max(1, q.sum()) * BITS_PER_KEY))))
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, bits_per_key: int = BITS_PER_KEY):
+        q = levels_of(counts)
+        size = 1 << max(10, int(np.ceil(np.log2(max(1, q.sum()) * bits_per_key))))
         self.mask = _U(size - 1)
-        self.words = np.zeros(size // 64, np.uint64)
+        bits = np.zeros(size, bool)
         for level in range(1, int(q.max()) + 1 if len(q) else 1):
             some = keys[q >= level]
             for k in range(HASHES):
-                at = self.place(some, level, k)
-                np.bitwise_or.at(self.words, (at >> _U(6)).astype(np.int64), _U(1) << (at & _U(63)))
+                bits[self.place(some, level, k)] = True
+        self.bits = np.packbits(bits, bitorder="little")
 
     def place(self, keys, level, k):
         """Bit of the k-th hash of (key, level): double hashing on two halves."""
@@ -73,25 +90,26 @@ class LogFrequencyBloom:
         left = np.arange(len(keys))
         for k in range(HASHES):
             at = self.place(keys[left], level, k)
-            hit = (self.words[(at >> _U(6)).astype(np.int64)] >> (at & _U(63))) & _U(1)
-            left = left[hit.astype(bool)]
+            left = left[(self.bits[(at >> _U(3)).astype(np.int64)] >> (at & _U(7)).astype(np.uint8)) & 1 == 1]
             if not len(left):
                 break
         out = np.zeros(len(keys), bool)
         out[left] = True
         return out
 
-    def counts(self, keys: np.ndarray) -> np.ndarray:
-        """Lower bounds of the stored counts, 0 for absent keys, by repeated probes."""
-        out, left = np.zeros(len(keys)), np.arange(len(keys))
+    def levels(self, keys: np.ndarray) -> np.ndarray:
+        """The stored levels, 0 for absent keys, by repeated probes."""
+        out, left = np.zeros(len(keys), np.uint8), np.arange(len(keys))
         for level in range(1, MAX_LEVELS + 1):
             left = left[self.has(keys[left], level)]
             if not len(left):
                 break
-            out[left] = self.threshold * STEP ** (level - 1)
+            out[left] = level
         return out
 
 
+# --- tokens of a slice ------------------------------------------------------------------------
+
 def token_stream(texts):
     """(tokens, first): words of each text followed by its end token."""
     h, first = K.word_hashes(texts)
@@ -99,195 +117,264 @@ def token_stream(texts):
     return out, first + np.arange(len(first))
 
 
-def bigram_keys(tokens: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(previous tokens, keys): the end token stands before a text's first token."""
+def previous(tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The token before each one; the end token stands before a text's first token."""
     prev = np.empty_like(tokens)
     prev[1:] = tokens[:-1]
     prev[first[:-1]] = K.END[0]
-    return prev, K.mix(prev * K.MULT[0] + tokens * K.MULT[1])
-
-
-def known_before(known: np.ndarray, first: np.ndarray, end_known: bool) -> np.ndarray:
-    """Whether the token before each one is known."""
-    before = np.empty_like(known)
-    before[1:] = known[:-1]
-    before[first[:-1]] = end_known
-    return before
+    return prev
 
 
-def count_bigrams(batches, shared):
-    """Worker: partial counts of all bigrams. Those with a word outside the shared sorted
-    table carry their two words, as their counts are met in a join."""
-    table = shared.value
-    acc = K.Counter64()
-    schema = pa.schema([("h", pa.int64()), ("c", pa.int64()), ("v", pa.int64()), ("w", pa.int64())])
+def bigram_keys(prev: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """48-bit keys of bigrams."""
+    return K.mix(prev * K.MULT[0] + tokens * K.MULT[1]) >> _U(16)
 
-    def out(k, c, v=None, w=None):
-        none = pa.nulls(len(k), pa.int64())
-        cols = [pa.array(k.view(np.int64)), pa.array(c.astype(np.int64)), *(none if x is None else pa.array(x.view(np.int64)) for x in (v, w))]
-        return pa.record_batch(cols, schema=schema)
 
+def slices_of(batches, slice_bytes: int = SLICE_BYTES):
+    """Batches joined and cut into slices: (number, rows), each of whole documents and of
+    about ``slice_bytes``. They depend on the rows and their order only, not on how these
+    are batched."""
+    held, size, k = [], 0, 0
     for b in batches:
-        texts = b.column(0)
-        for lo, hi in K.slices(texts):
-            tokens, first = token_stream(texts.slice(lo, hi - lo))
-            known = K.in_sorted(table, tokens)[1]
-            both = known & known_before(known, first, K.in_sorted(table, K.END)[1][0])
-            prev, keys = bigram_keys(tokens, first)
-            for k, c in acc.add(keys[both]):
-                yield out(k, c)
-            if not both.all():
-                v, w = prev[~both], tokens[~both]
-                k, at, c = np.unique(keys[~both], return_index=True, return_counts=True)
-                yield out(k, c, v[at], w[at])
-    for k, c in acc.flush():
-        yield out(k, c)
-
-
-class Counts(NamedTuple):
-    """Exact tables in the shared folder: words (h, c) and the bigrams that the filter does
-    not hold (h, c, y); y is the x of bigrams with a word that does not travel, else null.
-    ``bigrams`` is None when the filter holds all."""
-
-    words: DataFrame
-    bigrams: DataFrame | None
-
-
-class Model:
-    """What a worker needs: frequent words with counts, the filter, N and V, and whether
-    the frequent words are all words."""
+        _, offs = K.text_buffers(b.column("text"))
+        lo = 0
+        for i, n in enumerate(np.diff(offs).tolist()):
+            size += n + 1
+            if size >= slice_bytes:
+                held.append(b.slice(lo, i + 1 - lo))
+                yield k, pa.Table.from_batches(held)
+                held, size, k, lo = [], 0, k + 1, i + 1
+        if lo < b.num_rows:
+            held.append(b.slice(lo))
+    if held:
+        yield k, pa.Table.from_batches(held)
+
+
+def slice_tokens(texts: pa.ChunkedArray):
+    """(tokens, first, bigram keys) of a slice, worked through a megabyte at a time."""
+    parts = []
+    for chunk in texts.chunks:
+        for lo, hi in K.slices(chunk):
+            tokens, first = token_stream(chunk.slice(lo, hi - lo))
+            parts.append((tokens, np.diff(first), bigram_keys(previous(tokens, first), tokens)))
+    tokens, sizes, keys = (np.concatenate(x) for x in zip(*parts))
+    return tokens, np.r_[0, np.cumsum(sizes)], keys
+
+
+def shard_of(keys: np.ndarray, bits: int, shards: int) -> np.ndarray:
+    """Shards are ranges of the hash space: sorted keys have ascending shards."""
+    return ((keys >> _U(bits - 32)) * _U(shards)) >> _U(32)
+
+
+def checksum(keys: np.ndarray) -> int:
+    return int(np.bitwise_xor.reduce(K.mix(keys)).view(np.int64)) if len(keys) else 0
+
+
+# --- asking ------------------------------------------------------------------------------------
+
+ASK_SCHEMA = "shard long, slice long, keys binary, counts binary, large binary"
+
+
+def packed(counts: np.ndarray) -> tuple[bytes, bytes]:
+    """Counts in a byte each; those of 255 and more follow in full."""
+    return np.minimum(counts, 255).astype(np.uint8).tobytes(), counts[counts >= 255].astype("<i8").tobytes()
+
+
+def unpacked(small: bytes, large: bytes) -> np.ndarray:
+    out = np.frombuffer(small, np.uint8).astype(np.int64)
+    out[out == 255] = np.frombuffer(large, "<i8")
+    return out
+
+
+def ask_batches(batches, shards: int, slice_bytes: int):
+    """Worker: what each slice asks of each shard; words of shard s ask ``shards + s``."""
+    for k, rows in slices_of(batches, slice_bytes):
+        number = TaskContext.get().partitionId() << 32 | k
+        tokens, first, keys = slice_tokens(rows.column("text"))
+        train = np.repeat(~rows.column("held_out").to_numpy(), np.diff(first))
+        for x, bits, base in ((tokens, 64, shards), (keys, 48, 0)):
+            distinct, back = np.unique(x, return_inverse=True)
+            counts = np.bincount(back, weights=train, minlength=len(distinct)).astype(np.int64)
+            shard = shard_of(distinct, bits, shards)
+            at = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]])
+            out = []
+            for lo, hi in zip(at.tolist(), [*at[1:].tolist(), len(distinct)]):
+                part = distinct[lo:hi]
+                small = part.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :bits // 8].tobytes()
+                out.append((base + int(shard[lo]), number, small, *packed(counts[lo:hi])))
+            for lo in range(0, len(out), 64):
+                yield pa.record_batch([pa.array(c) for c in zip(*out[lo:lo + 64])], names=["shard", "slice", "keys", "counts", "large"])
+
+
+# --- answering ----------------------------------------------------------------------------------
+
+ANSWER_SCHEMA = "slice long, shard long, answer binary, asked long, stats array<long>"
+
+
+def keys_of(raw: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(raw) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(raw, np.uint8).reshape(-1, width)
+    return out.reshape(-1).view("<u8").astype(np.uint64)
+
+
+def answer_shard(shard: int, rows: list, shards: int, bits_per_key: int):
+    """Rows of answers, and one row of statistics: for words their number and that of all
+    tokens, for bigrams the number and the counts' sum at each level."""
+    words = shard >= shards
+    asked = [keys_of(r[1], 8 if words else 6) for r in rows]
+    every = np.concatenate(asked)
+    keys, back = np.unique(every, return_inverse=True)
+    counts = np.bincount(back, weights=np.concatenate([unpacked(r[2], r[3]) for r in rows]), minlength=len(keys)).astype(np.int64)
+    seen = counts > 0
+    if words:
+        replies = counts.astype("<i8")[back]
+        stats = [int(counts.sum()), int(seen.sum())]
+    else:
+        bloom = LogFrequencyBloom(keys[seen], counts[seen], bits_per_key)
+        replies = bloom.levels(keys)[back]
+        q = levels_of(counts[seen])
+        stats = [*np.bincount(q, minlength=MAX_LEVELS + 1).tolist(), *np.bincount(q, weights=counts[seen], minlength=MAX_LEVELS + 1).astype(int).tolist()]
+    out, lo = [], 0
+    for r, a in zip(rows, asked):
+        out.append((r[0], shard, replies[lo:lo + len(a)].tobytes(), checksum(a), None))
+        lo += len(a)
+    return out + [(-1, shard, b"", 0, stats)]
+
+
+def answer_batches(batches, shards: int, bits_per_key: int):
+    """Worker: the answers of its shards, whose rows follow one another."""
+    def out(rows):
+        for lo in range(0, len(rows), 64):
+            cols = list(zip(*rows[lo:lo + 64]))
+            types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64())]
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, types)], names=["slice", "shard", "answer", "asked", "stats"])
+
+    shard, rows = None, []
+    for b in batches:
+        for s, *row in zip(*(b.column(c).to_pylist() for c in ("shard", "slice", "keys", "counts", "large"))):
+            if s != shard and rows:
+                yield from out(answer_shard(shard, rows, shards, bits_per_key))
+                rows = []
+            shard = s
+            rows.append(row)
+    if rows:
+        yield from out(answer_shard(shard, rows, shards, bits_per_key))
 
-    def __init__(self, words, counts, n, v, bloom, complete=True):
-        self.words, self.counts, self.n, self.v, self.bloom, self.complete = words, counts, n, v, bloom, complete
 
-    def log_p(self, c):
-        return np.log10((c + 0.1) / (self.n + 0.1 * (self.v + 1)))
+# --- scoring -------------------------------------------------------------------------------------
 
+class Model:
+    """What scoring needs beside a slice's answers: N, V and the mean count of each level."""
+
+    def __init__(self, n: int, v: int, means: np.ndarray):
+        self.n, self.v, self.means = n, v, means
+
+    def p(self, c):
+        return (c + 0.1) / (self.n + 0.1 * (self.v + 1))
+
+    def scores(self, c, before, level):
+        """log10 P(w) and log10 P(w|v) of tokens of count c after contexts of count before."""
+        p = self.p(c)
+        both = np.minimum(np.minimum(self.means[level], c), before)
+        after = np.where(before > 0, L * both / np.maximum(before, 1) + (1 - L) * p, p)
+        return np.log10(p), np.log10(after)
+
+
+SCORE_SCHEMA = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+
+
+def score_slice(rows: pa.Table, answers: dict, shards: int, model: Model):
+    tokens, first, keys = slice_tokens(rows.column("text"))
+
+    def answered(x, base, bits, kind):
+        distinct, back = np.unique(x, return_inverse=True)
+        shard = shard_of(distinct, bits, shards)
+        at = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]])
+        got = []
+        for lo, hi in zip(at.tolist(), [*at[1:].tolist(), len(distinct)]):
+            reply, asked = answers.get(base + int(shard[lo]), (b"", None))
+            if asked != checksum(distinct[lo:hi]):
+                raise RuntimeError("a slice holds other rows than when it asked: store the documents before scoring them")
+            got.append(np.frombuffer(reply, kind))
+        return np.concatenate(got)[back]
+
+    c, level = answered(tokens, shards, 64, "<i8"), answered(keys, 0, 48, np.uint8)
+    ends = first[1:] - 1
+    before = np.empty_like(c)
+    before[1:] = c[:-1]
+    before[first[:-1]] = c[ends[0]]                    # the end token's count
+    base, score = model.scores(c, before, level)
+    a = first[:-1]
+    total = lambda x: np.add.reduceat(x, a)  # noqa: E731  every text has its end token
+    n = rows.num_rows
+    return pa.record_batch(
+        [rows.column("doc_id").combine_chunks(), rows.column("held_out").combine_chunks(), pa.array(np.diff(first)),
+         pa.array(total((c > 0).astype(np.int64))), pa.array(np.full(n, model.n, np.int64)), pa.array(total(base)), pa.array(total(score))],
+        names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+
+def score_batches(batches, shards: int, shared):
+    """Worker: slices one after another, each with its answers in front of its documents."""
+    model, number, answers, held = shared.value, None, {}, []
+
+    def done():
+        return score_slice(pa.Table.from_batches(held).select(["doc_id", "held_out", "text"]), answers, shards, model)
 
-def score_batches(batches, shared):
-    """Worker: per document its token number, the base score and number of its frequent
-    tokens, what the filter's bigrams add, its other tokens with counts, and the bigrams
-    to be met in the join with counts and x (0 when a word does not travel)."""
-    m = shared.value
     for b in batches:
-        texts = b.column("text")
-        for lo, hi in K.slices(texts):
-            tokens, first = token_stream(texts.slice(lo, hi - lo))
-            at, known = K.in_sorted(m.words, tokens)
-            c = np.where(known, m.counts[at], 0) if len(m.words) else np.zeros(len(tokens), np.int64)
-            p = np.where(known, (c + 0.1) / (m.n + 0.1 * (m.v + 1)), 1.0)
-            base = np.log10(p)
-            prev, keys = bigram_keys(tokens, first)
-            before = np.empty_like(c)
-            before[1:] = c[:-1]
-            end_at, end_known = K.in_sorted(m.words, K.END)
-            before[first[:-1]] = m.counts[end_at[0]] if end_known[0] else 0
-            both = known & known_before(known, first, end_known[0])
-            gain, x = np.zeros(len(tokens)), np.zeros(len(tokens))
-            x[both] = L / ((1 - L) * before[both] * p[both])
-            met = ~both & (not m.complete)                         # left to the join
-            limit = m.bloom.threshold
-            ask = np.flatnonzero(both & (np.minimum(c, before) >= limit))
-            if limit > 1:
-                met |= both
-            if len(ask):
-                distinct, back = np.unique(keys[ask], return_inverse=True)
-                q = np.minimum(m.bloom.counts(distinct)[back], np.minimum(c[ask], before[ask]))
-                gain[ask] = np.log10(1 + x[ask] * q)
-                met[ask[q > 0]] = False
-            a, z = first[:-1], first[1:]
-            total = lambda x: np.add.reduceat(x, a) if len(x) else np.zeros(len(a))  # noqa: E731  every text has its end token
-            rare_h, rare_n, pair_h, pair_n, pair_x = [], [], [], [], []
-            rare = ~known & (not m.complete)
-            for i, j in zip(a.tolist(), z.tolist()):
-                k, n = np.unique(tokens[i:j][rare[i:j]], return_counts=True)
-                rare_h.append(k.view(np.int64))
-                rare_n.append(n)
-                k, at, n = np.unique(keys[i:j][met[i:j]], return_index=True, return_counts=True)
-                pair_h.append(k.view(np.int64))
-                pair_n.append(n)
-                pair_x.append(x[i:j][met[i:j]][at])
-
-            def cat(parts, t):
-                offs = np.r_[0, np.cumsum([len(q) for q in parts])].astype(np.int32)
-                return pa.ListArray.from_arrays(pa.array(offs), pa.array(np.concatenate(parts).astype(t) if parts else np.zeros(0, t)))
-
+        slices = b.column("slice").to_numpy()
+        cuts = np.flatnonzero(np.r_[True, slices[1:] != slices[:-1]]).tolist() if len(slices) else []
+        for lo, hi in zip(cuts, [*cuts[1:], len(slices)]):
             part = b.slice(lo, hi - lo)
-            yield pa.record_batch(
-                [part.column("rid"), part.column("doc_id"), part.column("held_out"), pa.array((z - a).astype(np.int64)),
-                 pa.array(total(known.astype(np.int64)).astype(np.int64)), pa.array(total(base)), pa.array(total(gain)),
-                 cat(rare_h, np.int64), cat(rare_n, np.int32), cat(pair_h, np.int64), cat(pair_n, np.int32), cat(pair_x, np.float64)],
-                names=["rid", "doc_id", "held_out", "n_tokens", "known", "base", "gain", "rare", "times", "pair", "pair_times", "pair_x"])
-
-
-def train(docs: DataFrame, words: int = WORDS, bigrams: int = BIGRAMS):
-    """(model, counts): counts holds the exact tables of all training tokens and bigrams,
-    written once to the shared folder; the model holds what is bounded."""
+            if slices[lo] != number and held:
+                yield done()
+            if slices[lo] != number:
+                number, answers, held = slices[lo], {}, []
+            for s, a, asked in zip(*(part.column(c).to_pylist() for c in ("shard", "answer", "asked"))):
+                if s is not None:
+                    answers[s] = (a, asked)
+            docs = part.filter(pc.is_null(part.column("shard")))
+            if docs.num_rows:
+                held.append(docs)
+    if held:
+        yield done()
+
+
+def number_batches(batches, slice_bytes: int):
+    """Worker: the rows with the number of their slice."""
+    for k, rows in slices_of(batches, slice_bytes):
+        number = TaskContext.get().partitionId() << 32 | k
+        for b in rows.to_batches():
+            for lo, hi in K.slices(b.column("text")):
+                yield pa.record_batch([pa.array(np.full(hi - lo, number)), *b.slice(lo, hi - lo).columns], names=["slice", *b.schema.names])
+
+
+def shard_count(docs: DataFrame) -> int:
+    """Shards for about ``SHARD`` entries each (a slice asks for about one in eight bytes)."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(1, -(-size // (8 * SHARD)))
+
+
+def score(docs: DataFrame, held_out: Column | None = None, shards: int | None = None, slice_bytes: int = SLICE_BYTES,
+          bits_per_key: int = BITS_PER_KEY) -> DataFrame:
+    """Per document the base score, the model's score and token numbers. The model is
+    learned from the documents that are not ``held_out`` (default: by the id's remainder);
+    to score other texts than those learned from, hold them out."""
     spark = docs.sparkSession
-    texts = docs.where(K.crc_mod(F.col("doc_id"), 10) != 0).select(F.col("text").cast("string").alias("text"))
-    where = scratch_path(spark, "lm-counts")
-    K.word_counts(texts, add_end=True).write.parquet(where)
-    counts = spark.read.schema("h long, c long").parquet(where)
-    n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    k, c, least = K.frequent(counts, n, words)
-    limit = max(1, -(-n // bigrams))
-    where = scratch_path(spark, "lm-bigrams")
-    (K.arrow_map(texts, "starmart.llm.bloomlm:count_bigrams", "h long, c long, v long, w long", spark.sparkContext.broadcast(k))
-     .groupBy("h").agg(F.sum("c").alias("c"), F.max("v").alias("v"), F.max("w").alias("w")).write.parquet(where))
-    pairs = spark.read.schema("h long, c long, v long, w long").parquet(where)
-    bk, bc, _ = K.frequent(pairs.where("v is null"), n, bigrams)
-    model = Model(k, c, n, v, LogFrequencyBloom(bk, bc, limit), least <= 1)
-    return model, Counts(counts, None if model.complete and limit == 1 else joined_bigrams(pairs, counts, model))
-
-
-def joined_bigrams(pairs: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
-    """(h, c, y) of the bigrams the filter does not hold."""
-    low = pairs.where(F.col("v").isNull() & (F.col("c") < model.bloom.threshold)).select("h", "c", F.lit(None).cast("double").alias("y"))
-    if model.complete:
-        return low
-    of = lambda name: counts.select(F.col("h").alias(name), F.col("c").alias(f"c_{name}"))
-    p = (F.col("c_w") + 0.1) / F.lit(float(model.n + 0.1 * (model.v + 1)))
-    rare = pairs.where(F.col("v").isNotNull()).join(of("v"), "v").join(of("w"), "w")
-    return low.unionByName(rare.select("h", "c", (F.lit(L / (1 - L)) / (F.col("c_v") * p)).alias("y")))
-
-
-def score(docs: DataFrame, model: Model, counts: Counts) -> DataFrame:
-    """Per document the base score, the model's score and token numbers."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
-    src = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"),
-                      (K.crc_mod(F.col("doc_id"), 10) == 0).alias("held_out"), F.col("text").cast("string").alias("text"))
-    where = scratch_path(spark, "lm-parts")
-    schema = ("rid long, doc_id long, held_out boolean, n_tokens long, known long, base double, gain double, "
-              "rare array<long>, times array<int>, pair array<long>, pair_times array<int>, pair_x array<double>")
-    K.arrow_map(src, "starmart.llm.bloomlm:score_batches", schema, shared).write.parquet(where)
-    parts = spark.read.schema(schema).parquet(where)
-    unit = np.log10(0.1) - np.log10(model.n + 0.1 * (model.v + 1)) if model.n + model.v else 0.0
-    total = F.lit(float(model.n + 0.1 * (model.v + 1)))
-    zero = F.lit(0.0)
-    extra = []                                                     # (rid, more, more_known, more_gain)
-    if not model.complete:
-        rare = (parts.select("rid", F.explode(F.arrays_zip("rare", "times")).alias("t"))
-                .select("rid", F.col("t.rare").alias("h"), F.col("t.times").alias("times")))
-        extra.append(rare.join(counts.words, "h", "left").select(
-            "rid", (F.col("times") * F.when(F.col("c").isNull(), F.lit(float(unit))).otherwise(F.log10((F.col("c") + 0.1) / total))).alias("more"),
-            F.when(F.col("c").isNull(), 0).otherwise(F.col("times")).cast("long").alias("more_known"), zero.alias("more_gain")))
-    if counts.bigrams is not None:
-        pair = (parts.select("rid", F.explode(F.arrays_zip("pair", "pair_times", "pair_x")).alias("t"))
-                .select("rid", F.col("t.pair").alias("h"), F.col("t.pair_times").alias("times"), F.col("t.pair_x").alias("x")))
-        extra.append(pair.join(counts.bigrams, "h").select(
-            "rid", zero.alias("more"), F.lit(0).cast("long").alias("more_known"),
-            (F.col("times") * F.log10(1 + F.coalesce("y", "x") * F.col("c"))).alias("more_gain")))
-    own = parts.select("rid", "doc_id", "held_out", "n_tokens", "known", "base", "gain")
-    if extra:
-        met = extra[0] if len(extra) == 1 else extra[0].unionByName(extra[1])
-        met = met.groupBy("rid").agg(*[F.sum(x).alias(x) for x in ("more", "more_known", "more_gain")])
-        own = own.join(met, "rid", "left")
-    else:
-        own = own.withColumns({"more": zero, "more_known": F.lit(0), "more_gain": zero})
-    known = F.col("known") + F.coalesce("more_known", F.lit(0))
-    missing = (F.col("n_tokens") - F.col("known")) * F.lit(float(unit)) if model.complete else F.coalesce("more", zero)
-    base = F.col("base") + missing
-    return own.select("doc_id", "held_out", "n_tokens", known.alias("n_known"), F.lit(int(model.n)).cast("long").alias("train_tokens"),
-                      base.alias("base_score"),
-                      (base + F.col("gain") + known * F.lit(float(np.log10(1 - L))) + F.coalesce("more_gain", zero)).alias("score"))
+    held = held_out if held_out is not None else K.crc_mod(F.col("doc_id"), 10) == 0
+    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    n = shards or shard_count(src)
+    asked = K.arrow_map(src, "starmart.llm.bloomlm:ask_batches", ASK_SCHEMA, n, slice_bytes)
+    asked = asked.repartition(2 * n, "shard").sortWithinPartitions("shard")
+    answers = stored(K.arrow_map(asked, "starmart.llm.bloomlm:answer_batches", ANSWER_SCHEMA, n, bits_per_key), "lm-answers")
+    stats = answers.where("slice = -1").select((F.col("shard") >= n).alias("words"), F.posexplode("stats"))
+    got = {(r.words, r.pos): r["sum(col)"] for r in stats.groupBy("words", "pos").agg(F.sum("col")).collect()}     # 2 + 130 numbers
+    of = np.array([got.get((False, i), 0) for i in range(2 * MAX_LEVELS + 2)], float)
+    means = of[MAX_LEVELS + 1:] / np.maximum(of[:MAX_LEVELS + 1], 1)
+    shared = spark.sparkContext.broadcast(Model(got.get((True, 0), 0), got.get((True, 1), 0), means))
+    none = lambda t: F.lit(None).cast(t)
+    texts = (K.arrow_map(src, "starmart.llm.bloomlm:number_batches", "slice long, doc_id long, held_out boolean, text string", slice_bytes)
+             .select("slice", none("long").alias("shard"), "doc_id", "held_out", "text", none("binary").alias("answer"), none("long").alias("asked")))
+    replies = answers.where("slice >= 0").select("slice", "shard", none("long").alias("doc_id"), none("boolean").alias("held_out"),
+                                                 none("string").alias("text"), "answer", "asked")
+    rows = texts.unionByName(replies).repartition("slice").sortWithinPartitions("slice", F.col("shard").asc_nulls_last())
+    return K.arrow_map(rows, "starmart.llm.bloomlm:score_batches", SCORE_SCHEMA, n, shared)

@@ -60,9 +60,7 @@ def op8_jaccard(spark, sf_dir):
 
 def op9_lm(spark, sf_dir):
     """Base and model log10 probability of every document."""
-    docs = documents(spark, sf_dir, "doc_id", "text")
-    model, counts = bloomlm.train(docs)
-    return bloomlm.score(docs, model, counts)
+    return bloomlm.score(documents(spark, sf_dir, "doc_id", "text"))
 
 
 def op10_language(spark, sf_dir):

@@ -150,8 +150,8 @@ def climbed(links: DataFrame) -> list[DataFrame]:
 
 
 def best_paths(links: DataFrame, branches: int = 1) -> DataFrame:
-    """(path, rid, back, branch, path_score) of every message on a kept path: the leaf names
-    the path, back counts from it. A tree keeps its ``branches`` best leaves by the mean
+    """(path, tree, rid, back, branch, path_score) of every message on a kept path: the leaf
+    names the path, back counts from it. A tree keeps its ``branches`` best leaves by the mean
     score of their path."""
     states = climbed(links)
     parents = links.where("up is not null").select(F.col("up").alias("rid")).distinct()
@@ -160,10 +160,11 @@ def best_paths(links: DataFrame, branches: int = 1) -> DataFrame:
     order = Window.partitionBy("root").orderBy(F.col("path_score").desc(), F.col("rid"))
     # the filter on the rank lets every task send its best leaves of a tree only
     kept = leaves.withColumn("branch", F.row_number().over(order)).where(F.col("branch") <= branches)
-    paths = stored(kept.select(F.col("rid").alias("path"), "rid", F.lit(0).cast("long").alias("back"), "branch", "path_score"), "chat-paths")
+    kept = kept.join(links.select("rid", "tree"), "rid")
+    paths = stored(kept.select(F.col("rid").alias("path"), "tree", "rid", F.lit(0).cast("long").alias("back"), "branch", "path_score"), "chat-paths")
     for k, state in enumerate(states[:-1]):
         above = state.where("jump is not null").select("rid", "jump")
-        further = paths.join(above, "rid").select("path", F.col("jump").alias("rid"), (F.col("back") + 2**k).alias("back"), "branch", "path_score")
+        further = paths.join(above, "rid").select("path", "tree", F.col("jump").alias("rid"), (F.col("back") + 2**k).alias("back"), "branch", "path_score")
         paths = stored(paths.unionByName(further), "chat-paths")
     return paths
 
@@ -173,7 +174,7 @@ def best_paths(links: DataFrame, branches: int = 1) -> DataFrame:
 def formatted(messages: DataFrame, links: DataFrame, branches: int = 1) -> DataFrame:
     """conv_id, path, branch, path_score, n_turns, formatted and loss (spans of code points)
     of every kept path."""
-    turns = best_paths(links, branches).join(messages.select("rid", "role", "text"), "rid").join(links.select("rid", "tree"), "rid")
+    turns = best_paths(links, branches).join(messages.select("rid", "role", "text"), "rid")
     turns = turns.withColumns({"turn": turn_text(F.col("role"), F.col("text")), "size": F.length(escaped(F.col("text"))),
                                "learn": F.coalesce(F.col("role") == LEARNED, F.lit(False))})
     here = Window.partitionBy("path").orderBy(F.col("back").desc())
