@@ -102,7 +102,8 @@ def test_probabilities_after_a_context_sum_to_one(spark):
     seen = {}
     for (u, w), c in two.items():
         seen[u] = seen.get(u, 0.0) + min(mean[level(c)], one[u], one[w])
-    sums = [B.L * s / one[u] + (1 - B.L) * sum((one[w] + 0.1) / (n + 0.1 * (v + 1)) for w in one) for u, s in seen.items()]
+    rest = (1 - B.L) * sum((c + 0.1) / (n + 0.1 * (v + 1)) for c in one.values())
+    sums = [B.L * s / one[u] + rest for u, s in seen.items()]
     assert abs(np.mean(sums) - 1) < 0.01 and 0.9 < min(sums) and max(sums) < 1.1
 
 
