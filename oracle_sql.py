@@ -7,6 +7,8 @@ driver tables. Money columns are compared as DOUBLE and counts as BIGINT on both
 
 from __future__ import annotations
 
+import re
+
 # --- retail feed -----------------------------------------------------------------------
 
 RAW = """
@@ -266,6 +268,21 @@ audit AS (
   FROM dele d JOIN f2 f ON d.shipment_id = f.shipment_id
 )"""
 
+# The batch after it: the same statements on the fact the first one left, for other ids.
+_SECOND = [("% 500 ", "% 300 "), ("% 50 ", "% 60 "), ("% 700 ", "% 400 "), ("% 70 ", "% 80 "), ("% 90)", "% 110)"), ("% 90 ", "% 110 "),
+           ("24 AS added_hours", "-2 AS added_hours"), ("s.seq * 100", "s.seq * 50")]
+
+
+def _second(text: str) -> str:
+    for name in ("adjust", "f1", "f2", "f3", "upd", "dele", "audit"):
+        text = re.sub(rf"\b{name}\b", f"{name}_b", text)
+    for old, new in _SECOND:
+        text = text.replace(old, new)
+    return text.replace("sfact", "f3")
+
+
+SECOND_CHANGES = _second(CHANGES)
+
 FACT_COLS = ("shipment_id, product_id, supplier_id, warehouse_id, order_id, date_id, shipment_date, quantity, "
              "CAST(shipment_value AS DOUBLE) AS shipment_value, shipping_time_hours")
 AUDIT_COLS = ("shipment_id, operation, CAST(old_value AS DOUBLE) AS old_value, "
@@ -438,6 +455,9 @@ SELECT {bronze_double}, TIMESTAMP '2026-02-22 03:04:05' AS load_timestamp, '7b0c
     q["fact_append"] = _with(*rc, body=f"""
 SELECT {tx_cols}, DATE '2026-02-22' AS run_date FROM silver_tx WHERE quantity > 5
 UNION ALL SELECT {tx_cols}, DATE '2026-02-23' FROM silver_tx WHERE quantity > 10""")
+    q["fact_append_rerun_empty"] = _with(*rc, body=f"SELECT {tx_cols}, DATE '2026-02-23' AS run_date FROM silver_tx WHERE quantity > 10")
+    q["snapshot_rerun_empty"] = _with(RAW, body="""
+SELECT DATE '2026-02-22' AS snapshot_date, CAST(0 AS BIGINT) AS row_count UNION ALL SELECT DATE '2026-02-23', COUNT(*) FROM bronze""")
     q["retail_job_fact"] = _with(*full, body="""
 SELECT invoice_no, customer_id, product_id, date_id, quantity, CAST(unit_price AS DOUBLE) AS unit_price,
        CAST(total_value AS DOUBLE) AS total_value, 'batch-2026-02-22' AS batch_id FROM fact_sales""")
@@ -529,6 +549,17 @@ WHERE f.order_id % 3 <> 0 AND abs(f.shipment_value - CAST(ROUND(f.quantity * p.u
     q["apply_batch"] = q["supply_job_fact"] = _with(SUPPLY, CHANGES, body=f"SELECT {FACT_COLS} FROM f3")
     q["supply_job_audit"] = _with(SUPPLY, CHANGES, body=f"""SELECT {AUDIT_COLS}, TIMESTAMP '2026-02-22 03:04:05' AS changed_at,
   'tester' AS changed_by, 'batch-1' AS batch_id FROM audit""")
+    q["change_batches_fact"] = _with(SUPPLY, CHANGES, SECOND_CHANGES, body=f"SELECT {FACT_COLS} FROM f3_b")
+    stamp = "TIMESTAMP '2026-02-22 03:04:05' AS changed_at, 'tester' AS changed_by"
+    q["change_batches_audit"] = _with(SUPPLY, CHANGES, SECOND_CHANGES, body=f"""SELECT {AUDIT_COLS}, {stamp}, 'batch-1' AS batch_id FROM audit
+UNION ALL SELECT {AUDIT_COLS}, {stamp}, 'batch-2' FROM audit_b""")
+    q["change_one_year"] = _with(SUPPLY, CHANGES, body="""
+SELECT date_id // 10000 AS ship_year, date_id // 10000 <> 1995 AS as_loaded, COUNT(*) AS shipments,
+  CAST(SUM(hours) AS BIGINT) AS hours, CAST(SUM(value) AS DOUBLE) AS value
+FROM (SELECT date_id, shipping_time_hours AS hours, shipment_value AS value FROM f3 WHERE date_id // 10000 = 1995
+  UNION ALL SELECT date_id, shipping_time_hours, shipment_value FROM sfact WHERE date_id // 10000 <> 1995)
+GROUP BY 1, 2""")
+    q["shipment_summary_view"] = q["shipment_summary"]
     q["delete_keys"] = _with(SUPPLY, CHANGES, body=f"SELECT {FACT_COLS} FROM f3")
     q["audit_update"] = _with(SUPPLY, CHANGES, body=f"SELECT {AUDIT_COLS} FROM audit WHERE operation = 'UPDATE'")
     q["audit_delete"] = _with(SUPPLY, CHANGES, body=f"SELECT {AUDIT_COLS} FROM audit WHERE operation = 'DELETE'")

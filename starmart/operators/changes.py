@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.operators.dims import assign_keys
-from starmart.session import shared_root
+from starmart.session import scratch_path, shared_root
 
 
 def enforce(df: DataFrame, rules: dict[str, str | Column], label: str = "row",
@@ -237,56 +237,100 @@ def latest_change(audit: DataFrame, key: str = "shipment_id",
 
 # --- one-pass batch -------------------------------------------------------------------------
 
-def apply_batch(fact: DataFrame, adjustments: DataFrame, updates: DataFrame, deletes: DataFrame,
-                key: str = "shipment_id", value: str = "shipment_value",
-                hours: str = "shipping_time_hours") -> tuple[DataFrame, DataFrame]:
-    """Delays (U3), then value updates (U4), then deletes (U5), with their audit (U6),
-    rewriting the fact with a single join.
+def change_table(adjustments: DataFrame, updates: DataFrame, deletes: DataFrame, dtype: str,
+                 key: str = "shipment_id") -> DataFrame:
+    """One row per id from the three change sets: their union has one exchange, with the
+    map-side partial aggregate in front of it (no full outer joins). Holds the sum, number
+    and least of the added hours, the last new value, the number of updates, and flags."""
+    nul = F.lit(None)
 
-    The three change kinds commute on this table: delays touch only the hours, value
-    updates are keyed by id and set a value, deletes are keyed by id. So the change sets
-    are first reduced to one row per id (all small, pre-aggregated). The fact is rewritten
-    with one left join to that table (a broadcast when small). The audit needs the
-    current value of the touched ids only, which one semi-join fetches. The result equals
-    applying :func:`apply_delays`, :func:`apply_values` and :func:`delete_keys` in turn,
-    and it fails where one of those would: hours and values are checked after every
-    statement, also of rows that are deleted in the end.
-    Returns ``(after, audit)``; audit rows carry ``step`` 1/2/3 like the sequential run.
-    """
-    dtype = dict(fact.dtypes)[value]
-    def tag(df, add=None, low=None, val=None, seq=None, upd=False, gone=False):
-        nul = F.lit(None)
-        return df.select(key, (add if add is not None else nul).cast("long").alias("_add"),
-                         (low if low is not None else nul).cast("long").alias("_low"),
-                         (val if val is not None else nul).cast(dtype).alias("_val"),
-                         (seq if seq is not None else nul).cast("long").alias("_seq"),
+    def tag(df, add=nul, val=nul, seq=nul, upd=False, gone=False):
+        return df.select(key, add.cast("long").alias("_add"), val.cast(dtype).alias("_val"), seq.cast("long").alias("_seq"),
                          F.lit(upd).alias("_upd"), F.lit(gone).alias("_gone"))
 
-    # one row per id from the union of the three change sets: one exchange, with the
-    # map-side partial aggregate in front of it (no full outer joins)
-    tagged = (tag(lowest_running_sum(adjustments, key, "seq", "added_hours"), add=F.col("_add"), low=F.col("_low"))
+    tagged = (tag(adjustments, add=F.col("added_hours"))
               .unionByName(tag(updates, val=F.col("new_value"), seq=F.col("seq"), upd=True))
               .unionByName(tag(deletes, gone=True)))
-    changes = tagged.groupBy(key).agg(
-        F.sum("_add").alias("_add"), F.min("_low").alias("_low"),
+    return tagged.groupBy(key).agg(
+        F.sum("_add").alias("_add"), F.count("_add").alias("_adds"), F.min("_add").alias("_least"),
         F.max(F.when(F.col("_upd"), _bad_value(F.col("_val"), dtype))).alias("_bad"),
         F.max_by(F.col("_val"), F.when(F.col("_upd"), F.col("_seq"))).alias("_new"),
-        F.when(F.max(F.col("_upd").cast("int")) == 1, F.lit(True)).alias("_hit"),
+        F.count_if("_upd").alias("_updates"),
         F.when(F.max(F.col("_gone").cast("int")) == 1, F.lit(True)).alias("_del"))
-    last = changes.filter(F.col("_hit")).select(key, "_new", "_hit")
+
+
+def staged(df: DataFrame, path: str) -> DataFrame:
+    """The frame written under ``path`` and read back."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def with_lowest(changes: DataFrame, adjustments: DataFrame, key: str = "shipment_id") -> DataFrame:
+    """The stored change table with ``_low``, the lowest point of each id's running hours.
+
+    One change is its own lowest point, and changes that add never go below the start;
+    only ids with several changes of which one takes hours away are put in order."""
+    several = (F.col("_adds") > 1) & (F.col("_least") < 0)
+    plain = changes.withColumn("_low", F.when(~several, F.col("_least")))
+    hard = changes.where(several).select(key)
+    if not hard.limit(1).count():
+        return plain
+    low = lowest_running_sum(adjustments.join(hard, key, "left_semi"), key, "seq", "added_hours").select(key, F.col("_low").alias("_run"))
+    return plain.join(low, key, "left").withColumn("_low", F.coalesce("_low", "_run")).drop("_run")
+
+
+def apply_changes(fact: DataFrame, changes: DataFrame, key: str = "shipment_id",
+                  value: str = "shipment_value", hours: str = "shipping_time_hours") -> DataFrame:
+    """The fact after a batch (its change table with ``_low``), by one left join. It fails
+    where a statement of the batch would: hours and values are checked after every one,
+    also of rows that are deleted in the end."""
+    dtype = dict(fact.dtypes)[value]
     checked = enforce(fact.join(changes, key, "left"), {
         f"{hours} >= 0": F.col(hours) + F.least(F.coalesce("_low", F.lit(0)), F.lit(0)) >= 0,
         f"{value} not null and >= 0": F.coalesce("_bad", F.lit(0)) == 0}, "shipment", keep=F.col("_del").isNull())
-    after = (checked
-             .withColumn(hours, (F.col(hours) + F.coalesce(F.col("_add"), F.lit(0))).cast("int"))
-             .withColumn(value, F.when(F.col("_hit"), F.col("_new").cast(dtype)).otherwise(F.col(value)))
-             .select(*fact.columns))
+    return (checked
+            .withColumn(hours, (F.col(hours) + F.coalesce(F.col("_add"), F.lit(0))).cast("int"))
+            .withColumn(value, F.when(F.col("_updates") > 0, F.col("_new").cast(dtype)).otherwise(F.col(value)))
+            .select(*fact.columns))
+
 
-    touched = changes.select(key)
-    current = fact.select(key, value).join(touched, key, "left_semi")
+def audit_batch(fact: DataFrame, changes: DataFrame, adjustments: DataFrame, updates: DataFrame, deletes: DataFrame,
+                key: str = "shipment_id", value: str = "shipment_value") -> DataFrame:
+    """The audit rows (U6) of a batch with ``step`` 1/2/3. The current values of the touched
+    ids are all it needs of the fact. Only ids updated several times go through the ordered
+    lag; one update replaces the current value."""
+    dtype = dict(fact.dtypes)[value]
+    current = fact.select(key, value).join(changes.select(key), key, "left_semi")
     a1 = audit_updates(current, adjustments.select(key, "seq")).withColumn("step", F.lit(1))
-    a2 = audit_updates(current, updates, new="new_value").withColumn("step", F.lit(2))
+    often = changes.where("_updates > 1").select(key)
+    once = updates.join(often, key, "left_anti").join(current, key)
+    a2 = once.select(key, F.lit("UPDATE").alias("operation"), F.col(value).alias("old_value"),
+                     F.col("new_value").cast(dtype).alias("new_value"), "seq")
+    if often.limit(1).count():
+        a2 = a2.unionByName(audit_updates(current, updates.join(often, key, "left_semi"), new="new_value"))
+    a2 = a2.withColumn("step", F.lit(2))
+    last = changes.where("_updates > 0").select(key, F.col("_new"), F.lit(True).alias("_hit"))
     valued = (current.join(last, key, "left")
               .select(key, F.when(F.col("_hit"), F.col("_new").cast(dtype)).otherwise(F.col(value)).alias(value)))
     a3 = audit_deletes(valued, deletes).withColumn("step", F.lit(3))
-    return after, a1.unionByName(a2).unionByName(a3)
+    return a1.unionByName(a2).unionByName(a3)
+
+
+def apply_batch(fact: DataFrame, adjustments: DataFrame, updates: DataFrame, deletes: DataFrame,
+                key: str = "shipment_id", value: str = "shipment_value",
+                hours: str = "shipping_time_hours", stage: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Delays (U3), then value updates (U4), then deletes (U5), with their audit (U6),
+    rewriting the fact with a single join.
+
+    The three change kinds commute on this table: delays touch only the hours, value
+    updates are keyed by id and set a value, deletes are keyed by id. So the change sets
+    are first reduced to one row per id and written once, under ``stage`` (by default a
+    folder of the shared scratch space); what follows joins that table (a broadcast when
+    small). The result equals applying :func:`apply_delays`, :func:`apply_values` and
+    :func:`delete_keys` in turn, and it fails where one of those would.
+    Returns ``(after, audit)``; audit rows carry ``step`` 1/2/3 like the sequential run.
+    """
+    dtype = dict(fact.dtypes)[value]
+    table = staged(change_table(adjustments, updates, deletes, dtype, key), stage or scratch_path(fact.sparkSession, "changes"))
+    after = apply_changes(fact, with_lowest(table, adjustments, key), key, value, hours)
+    return after, audit_batch(fact, table, adjustments, updates, deletes, key, value)

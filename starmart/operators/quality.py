@@ -155,6 +155,34 @@ class ConstraintError(ValueError):
     """A table breaks its declared rules."""
 
 
+class ObservedRules:
+    """Q1 on rows while they are written: the job that writes ``rows`` counts the rows that
+    break each rule of the table, so nothing is read again. :meth:`check`, after the write,
+    raises when there are any (before the version is committed) or returns the row count.
+    The observation stands right under the write, in its own stage."""
+
+    def __init__(self, df: DataFrame, name: str):
+        self.name, self.rules = name, table_rules(name)
+        self.seen = Observation(f"rules of {name}")
+        counts = [F.count_if(~rule).alias(f"r{i}") for i, rule in enumerate(self.rules.values())]
+        self.rows = df.observe(self.seen, F.count(F.lit(1)).alias("rows"), *counts)
+
+    def check(self) -> dict:
+        got = self.seen.get
+        if found := [f"{rule} ({got[f'r{i}']} rows)" for i, rule in enumerate(self.rules) if got[f"r{i}"]]:
+            raise ConstraintError(f"{self.name}: " + "; ".join(found))
+        return {"rows": got["rows"]}
+
+
+def require_unique(df: DataFrame, name: str) -> None:
+    """Raise when a declared key of the table repeats: one group-by of the key's columns
+    alone per key."""
+    found = [f"unique ({r['key_columns']}) ({r['duplicated_keys']} values)"
+             for r in declared_keys(df, name).collect() if r["duplicated_keys"]]
+    if found:
+        raise ConstraintError(f"{name}: " + "; ".join(found))
+
+
 def require_constraints(df: DataFrame, name: str, keys: bool = True) -> None:
     """Raise when written rows break a declared rule or key of their table: one aggregate
     over the rows, and one group-by per key. Two small results reach the driver."""

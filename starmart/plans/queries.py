@@ -38,6 +38,7 @@ SNAPSHOT_NEXT_DAY = "2026-02-23"
 RANGE_LO, RANGE_HI = 19970101, 19981231
 SIGNIFICANT_PCT = 10.0
 FIRST_LOAD_BEFORE = 19950301     # dims "as of" the first weeks: most keys are still unknown
+CHANGED_YEAR = 1995
 JOB_EARLY_BEFORE = "1995-06-01"
 STAMP_TIME, STAMP_ID = datetime(2026, 2, 22, 3, 4, 5), "7b0c6c1e-9f0e-4b63-9d1c-2f8d51a3c001"
 # members retired from each dimension: keys divisible by
@@ -129,7 +130,17 @@ def q_fact_append(spark, sf_dir):
     files.write_fact(tx, path, "append", SNAPSHOT_DAY)
     files.write_fact(tx.where("quantity > 10"), path, "append", SNAPSHOT_NEXT_DAY)
     files.write_fact(tx.where("quantity > 5"), path, "append", SNAPSHOT_DAY)
-    return as_double(spark.read.parquet(path))
+    return as_double(versions.read_current(spark, path))
+
+
+def q_fact_append_rerun_empty(spark, sf_dir):
+    """A day whose rerun brings no row is empty afterwards; the other day stays."""
+    path = scratch_path(spark, "fact-append")
+    tx, _, _ = retail_silver(spark, sf_dir)
+    files.write_fact(tx, path, "append", SNAPSHOT_DAY)
+    files.write_fact(tx.where("quantity > 10"), path, "append", SNAPSHOT_NEXT_DAY)
+    files.write_fact(tx.where("quantity > 1000000"), path, "append", SNAPSHOT_DAY)
+    return as_double(versions.read_current(spark, path))
 
 
 # --- retail: the whole job ------------------------------------------------------------------
@@ -326,10 +337,20 @@ def q_snapshot_roundtrip(spark, sf_dir):
     snapshots.snapshot(bronze, path, SNAPSHOT_DAY)
     snapshots.snapshot(bronze, path, SNAPSHOT_DAY)
     snapshots.snapshot(bronze, path, SNAPSHOT_NEXT_DAY)
-    return (spark.read.parquet(path).groupBy("snapshot_date")
+    return (snapshots.read_archive(spark, path).groupBy("snapshot_date")
             .agg(F.count(F.lit(1)).alias("row_count")))
 
 
+def q_snapshot_rerun_empty(spark, sf_dir):
+    """The rerun of a day with an empty batch replaces the day's rows by none."""
+    path = scratch_path(spark, "archive")
+    bronze = TB.bronze(spark, sf_dir)
+    snapshots.snapshot(bronze, path, SNAPSHOT_DAY)
+    snapshots.snapshot(bronze, path, SNAPSHOT_NEXT_DAY)
+    snapshots.snapshot(bronze.where("quantity > 1000000"), path, SNAPSHOT_DAY)
+    return snapshots.day_counts(spark, path)
+
+
 def q_snapshot_as_of(spark, sf_dir):
     path = scratch_path(spark, "archive")
     bronze = TB.bronze(spark, sf_dir)
@@ -452,13 +473,56 @@ def _supply_job(spark, sf_dir):
 
 
 def q_supply_job_fact(spark, sf_dir):
-    return _facts(versions.read_current(spark, f"{_supply_job(spark, sf_dir)}/fact_shipments"))
+    return _facts(SP.shipments(spark, _supply_job(spark, sf_dir)))
 
 
 def q_supply_job_audit(spark, sf_dir):
     return as_double(SP.audit_log(spark, _supply_job(spark, sf_dir)).drop("audit_id"))
 
 
+def _two_batches(spark, sf_dir):
+    """Two batches published and applied in turn, apart from the load."""
+    root = scratch_path(spark, "supply-live")
+    SP.load_star(spark, sf_dir, root, natural_ids=True)
+    for name, sc in (("batch-1", SP.FIRST), ("batch-2", SP.SECOND)):
+        SP.publish_batch(spark, root, name, SP.scenario_rows(SP.shipments(spark, root), sc))
+        SP.apply_pending(spark, root, STAMP_TIME, "tester")
+    return root
+
+
+def q_change_batches_fact(spark, sf_dir):
+    """The effects of both batches stay."""
+    return _facts(SP.shipments(spark, _two_batches(spark, sf_dir)))
+
+
+def q_change_batches_audit(spark, sf_dir):
+    """Every change of both batches, chained over them."""
+    return as_double(SP.audit_log(spark, _two_batches(spark, sf_dir)).drop("audit_id"))
+
+
+def q_change_one_year(spark, sf_dir):
+    """U3-U5 on one year's shipments: rows, hours and value of every year, and whether its
+    files are those of the load."""
+    root = scratch_path(spark, "supply-live")
+    loaded = SP.load_star(spark, sf_dir, root, natural_ids=True)
+    year = SP.shipments(spark, root).where(F.floor(F.col("date_id") / 10000) == CHANGED_YEAR)
+    SP.publish_batch(spark, root, "batch-1", SP.scenario_rows(year))
+    SP.apply_pending(spark, root, STAMP_TIME, "tester")
+    now = versions.latest(spark, SP.facts_path(root))
+    parts = spark.createDataFrame([(int(p.split("=")[1]), v == loaded) for p, v in now.parts.items()], "ship_year int, as_loaded boolean")
+    sums = versions.read_commit(spark, SP.facts_path(root), now).groupBy("ship_year").agg(
+        F.count(F.lit(1)).alias("shipments"), F.sum("shipping_time_hours").alias("hours"), F.sum("shipment_value").alias("value"))
+    return as_double(sums.join(F.broadcast(parts), "ship_year"))
+
+
+def q_shipment_summary_view(spark, sf_dir):
+    """The reporting view, selected from by name."""
+    root = scratch_path(spark, "supply-live")
+    SP.load_star(spark, sf_dir, root, natural_ids=True)
+    SP.register_views(spark, root)
+    return as_double(spark.table("shipment_summary"))
+
+
 def q_audit_update(spark, sf_dir):
     return as_double(_batch(spark, sf_dir).audit.filter(F.col("operation") == "UPDATE"))
 
@@ -508,12 +572,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_as_of": q_snapshot_as_of,
     "fact_date_range": q_fact_date_range,
     "fact_append": q_fact_append,
+    "fact_append_rerun_empty": q_fact_append_rerun_empty,
+    "snapshot_rerun_empty": q_snapshot_rerun_empty,
     # the jobs end to end
     "retail_job_fact": q_retail_job_fact,
     "retail_job_dims": q_retail_job_dims,
     "retail_job_counts": q_retail_job_counts,
     "supply_job_fact": q_supply_job_fact,
     "supply_job_audit": q_supply_job_audit,
+    "change_batches_fact": q_change_batches_fact,
+    "change_batches_audit": q_change_batches_audit,
+    "change_one_year": q_change_one_year,
+    "shipment_summary_view": q_shipment_summary_view,
     # supply star
     "dim_time": q_dim_time,
     "quantity_by_category": q_quantity_by_category,

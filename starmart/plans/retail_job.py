@@ -76,7 +76,7 @@ def bronze(spark: SparkSession, root: str, run_date: date | None = None,
     """The current Bronze rows (the run day's archive partition when written in place)."""
     p = paths(root)
     if in_place:
-        if not files.table_exists(spark, f"{p['archive']}/snapshot_date={_day(run_date, in_place)}"):
+        if not snapshots.has_day(spark, p["archive"], _day(run_date, in_place)):
             raise FileNotFoundError(f"no batch of {run_date} in {p['archive']}")
         day = snapshots.read_snapshot(spark, p["archive"], run_date)
         return day.drop("snapshot_id", "snapshot_date")
@@ -94,7 +94,10 @@ def transform(spark: SparkSession, root: str, run_date: date | None = None,
               in_place: bool = False) -> dict:
     """Bronze -> three Silver tables; returns the cleaning counts (observed metrics)."""
     p = paths(root)
-    cleaned, obs = C.clean_observed(bronze(spark, root, run_date, in_place))
+    rows = bronze(spark, root, run_date, in_place)
+    if rows.isEmpty():      # also a day that holds no file, whose counts no job would observe
+        raise ValueError("the batch has no Bronze rows")
+    cleaned, obs = C.clean_observed(rows)
     # One materialisation of the cleaned rows feeds all three Silver tables: a staged
     # Parquet table in the shared folder (compressed and columnar, so each Silver scan
     # reads only its columns), removed at the end, also on failure.

@@ -81,7 +81,8 @@ def write_csv(df: DataFrame, path: str, encoding: str = "ISO-8859-1") -> None:
 def standard_name(name: str, renames: dict[str, str] | None = None) -> str:
     """One column name after S2."""
     mapping = schemas.RAW_RENAMES if renames is None else renames
-    plain = "_".join(name.strip("\ufeff").lower().split(" "))
+    # fixed rule of S2: lower case, blanks to underscores
+    plain = name.strip("\ufeff").lower().replace(" ", "_")
     return mapping.get(plain, plain)
 
 
@@ -136,10 +137,11 @@ def write_replace(df: DataFrame, path: str, partition_by: list[str] | None = Non
 
 
 def write_fact(df: DataFrame, path: str, mode: str = "replace", run_date=None,
-               sort_by: list[str] | None = None) -> None:
+               sort_by: list[str] | None = None, batch_id: str = "") -> None:
     """Fact sink (S9). ``replace``: the fact equals the current Silver (Bronze is a full
     reload each run). ``append``: rows are filed under ``run_date`` and a rerun of the same
-    day overwrites only that day (dynamic partition overwrite), so it never duplicates."""
+    day replaces that day as a whole, also by no rows, so it never duplicates
+    (:func:`starmart.sources.snapshots.replace_day`; read with ``versions.read_current``)."""
     if sort_by:
         df = df.sortWithinPartitions(*sort_by)
     if mode == "replace":
@@ -147,9 +149,8 @@ def write_fact(df: DataFrame, path: str, mode: str = "replace", run_date=None,
     elif mode == "append":
         if run_date is None:
             raise ValueError("append mode needs run_date")
-        (df.withColumn("run_date", F.lit(run_date).cast("date"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("run_date").parquet(path))
+        from starmart.sources.snapshots import replace_day
+        replace_day(df, path, "run_date", run_date, batch_id)
     else:
         raise ValueError(f"unknown mode {mode!r}")
 
