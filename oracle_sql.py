@@ -464,6 +464,15 @@ SELECT invoice_no, customer_id, product_id, date_id, quantity, CAST(unit_price A
     q["retail_job_counts"] = (q["cleaning_report"].replace("AS silver_rows\nFROM ok", """AS silver_rows,
   CAST(0 AS BIGINT) AS overlong_rows, CAST(0 AS BIGINT) AS bad_dates
 FROM ok"""))
+    seen = "DATE '2026-02-22' AS run_date"
+    q["run_log"] = f"""
+SELECT 'batch-2026-02-22' AS run_id, 'retail' AS job, {seen}, 'SUCCESS' AS outcome, 'cleaning.' || check_name AS check_name,
+  CAST(value AS BIGINT) AS value, CAST(NULL AS VARCHAR) AS status, true AS timed
+FROM (UNPIVOT ({q["retail_job_counts"]}) ON COLUMNS(*) INTO NAME check_name VALUE value)
+UNION ALL
+SELECT 'batch-2026-02-22', 'retail', {seen}, 'SUCCESS', check_name, value, status, true FROM ({q["layer_audit"]})
+UNION ALL
+SELECT 'rerun', 'retail', {seen}, 'FAILED', 'error', NULL, 'ValueError: the batch has no Bronze rows', true"""
     q["retail_job_dims"] = _with(*full, STALE.replace("19980101", "19950601"), body="""
 , p AS (
   SELECT s.product_id, n.stock_code, n.description, n.stock_code AS k FROM silver_products n LEFT JOIN stale_products s ON s.stock_code = n.stock_code),

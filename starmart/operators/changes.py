@@ -12,6 +12,7 @@ logged, and an update of an unknown id changes nothing and logs nothing.
 from __future__ import annotations
 
 from datetime import datetime
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -265,17 +266,39 @@ def staged(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def with_lowest(changes: DataFrame, adjustments: DataFrame, key: str = "shipment_id") -> DataFrame:
+#: Ids with several changes, one of which takes hours away: their order matters.
+UNORDERED = "_adds > 1 and _least < 0"
+FEW = 10_000                   # changes of one id that a plain window may hold
+
+
+class OrderNeeds(NamedTuple):
+    """The most changes an id has whose order matters (0: none has)."""
+
+    adds: int
+    updates: int
+
+    @classmethod
+    def of(cls, changes: DataFrame) -> OrderNeeds:
+        """From a stored change table, in one small job."""
+        r = changes.agg(F.max(F.when(F.expr(UNORDERED), F.col("_adds"))), F.max(F.when(F.col("_updates") > 1, F.col("_updates")))).first()
+        return cls(r[0] or 0, r[1] or 0)
+
+
+def with_lowest(changes: DataFrame, adjustments: DataFrame, needs: OrderNeeds, key: str = "shipment_id") -> DataFrame:
     """The stored change table with ``_low``, the lowest point of each id's running hours.
 
     One change is its own lowest point, and changes that add never go below the start;
-    only ids with several changes of which one takes hours away are put in order."""
-    several = (F.col("_adds") > 1) & (F.col("_least") < 0)
-    plain = changes.withColumn("_low", F.when(~several, F.col("_least")))
-    hard = changes.where(several).select(key)
-    if not hard.limit(1).count():
+    only ids with several changes of which one takes hours away are put in order: by a
+    window where each has few, cut into slices where one has many."""
+    plain = changes.withColumn("_low", F.when(~F.expr(UNORDERED), F.col("_least")))
+    if not needs.adds:
         return plain
-    low = lowest_running_sum(adjustments.join(hard, key, "left_semi"), key, "seq", "added_hours").select(key, F.col("_low").alias("_run"))
+    rows = adjustments.join(changes.where(UNORDERED).select(key), key, "left_semi")
+    if needs.adds <= FEW:
+        run = F.sum(F.col("added_hours").cast("long")).over(Window.partitionBy(key).orderBy("seq").rowsBetween(Window.unboundedPreceding, 0))
+        low = rows.withColumn("_run", run).groupBy(key).agg(F.min("_run").alias("_run"))
+    else:
+        low = lowest_running_sum(rows, key, "seq", "added_hours").select(key, F.col("_low").alias("_run"))
     return plain.join(low, key, "left").withColumn("_low", F.coalesce("_low", "_run")).drop("_run")
 
 
@@ -294,20 +317,22 @@ def apply_changes(fact: DataFrame, changes: DataFrame, key: str = "shipment_id",
             .select(*fact.columns))
 
 
-def audit_batch(fact: DataFrame, changes: DataFrame, adjustments: DataFrame, updates: DataFrame, deletes: DataFrame,
+def audit_batch(fact: DataFrame, changes: DataFrame, needs: OrderNeeds, adjustments: DataFrame, updates: DataFrame, deletes: DataFrame,
                 key: str = "shipment_id", value: str = "shipment_value") -> DataFrame:
     """The audit rows (U6) of a batch with ``step`` 1/2/3. The current values of the touched
-    ids are all it needs of the fact. Only ids updated several times go through the ordered
-    lag; one update replaces the current value."""
+    ids are all it needs of the fact. Where an id has very many updates, their chain is cut
+    into slices (:func:`lag_within_key`); otherwise a window by id follows it."""
     dtype = dict(fact.dtypes)[value]
     current = fact.select(key, value).join(changes.select(key), key, "left_semi")
     a1 = audit_updates(current, adjustments.select(key, "seq")).withColumn("step", F.lit(1))
-    often = changes.where("_updates > 1").select(key)
-    once = updates.join(often, key, "left_anti").join(current, key)
-    a2 = once.select(key, F.lit("UPDATE").alias("operation"), F.col(value).alias("old_value"),
-                     F.col("new_value").cast(dtype).alias("new_value"), "seq")
-    if often.limit(1).count():
-        a2 = a2.unionByName(audit_updates(current, updates.join(often, key, "left_semi"), new="new_value"))
+    if needs.updates <= FEW:
+        t = updates.join(current, key).withColumn("_new", F.col("new_value").cast(dtype))
+        before = F.lag("_new").over(Window.partitionBy(key).orderBy("seq"))
+        first = F.row_number().over(Window.partitionBy(key).orderBy("seq")) == 1
+        a2 = t.select(key, F.lit("UPDATE").alias("operation"), F.when(first, F.col(value)).otherwise(before).alias("old_value"),
+                      F.col("_new").alias("new_value"), "seq")
+    else:
+        a2 = audit_updates(current, updates, new="new_value")
     a2 = a2.withColumn("step", F.lit(2))
     last = changes.where("_updates > 0").select(key, F.col("_new"), F.lit(True).alias("_hit"))
     valued = (current.join(last, key, "left")
@@ -332,5 +357,6 @@ def apply_batch(fact: DataFrame, adjustments: DataFrame, updates: DataFrame, del
     """
     dtype = dict(fact.dtypes)[value]
     table = staged(change_table(adjustments, updates, deletes, dtype, key), stage or scratch_path(fact.sparkSession, "changes"))
-    after = apply_changes(fact, with_lowest(table, adjustments, key), key, value, hours)
-    return after, audit_batch(fact, table, adjustments, updates, deletes, key, value)
+    needs = OrderNeeds.of(table)
+    after = apply_changes(fact, with_lowest(table, adjustments, needs, key), key, value, hours)
+    return after, audit_batch(fact, table, needs, adjustments, updates, deletes, key, value)

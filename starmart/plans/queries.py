@@ -25,6 +25,7 @@ from starmart.operators import joins as J
 from starmart.operators import quality as QC
 from starmart.plans import retail as R
 from starmart.plans import retail_job as RP
+from starmart.plans import run_log
 from starmart.plans import supply as SR
 from starmart.plans import supply_job as SP
 from starmart.session import scratch_path
@@ -184,6 +185,21 @@ def q_retail_job_dims(spark, sf_dir):
                                           F.col("raw_customer_id").alias("natural_key"), F.col("country").alias("attribute"))))
 
 
+def q_run_log(spark, sf_dir):
+    """What the log keeps of a run and of one that failed (an empty rerun of the day)."""
+    root = scratch_path(spark, "retail-job")
+    feed = TB.raw_source(spark, sf_dir)
+    _job(spark, feed, root, SNAPSHOT_DAY)
+    empty = f"{root}/csv-empty"
+    files.write_csv(feed.limit(0), empty)
+    try:
+        RP.run_retail(spark, empty, f"{root}/wh", SNAPSHOT_DAY, "rerun")
+    except ValueError:
+        pass                                        # recorded as FAILED
+    return (run_log.runs(spark, f"{root}/wh").where("check_name <> 'cleaning.after_dedup'")
+            .select("run_id", "job", "run_date", "outcome", "check_name", "value", "status", (F.col("runtime_seconds") > 0).alias("timed")))
+
+
 def q_cleaning_report(spark, sf_dir):
     return C.cleaning_report(TB.bronze(spark, sf_dir))
 
@@ -578,6 +594,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "retail_job_fact": q_retail_job_fact,
     "retail_job_dims": q_retail_job_dims,
     "retail_job_counts": q_retail_job_counts,
+    "run_log": q_run_log,
     "supply_job_fact": q_supply_job_fact,
     "supply_job_audit": q_supply_job_audit,
     "change_batches_fact": q_change_batches_fact,

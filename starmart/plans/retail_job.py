@@ -20,6 +20,7 @@ from starmart.operators import clean as C
 from starmart.operators import quality as Q
 from starmart.operators.dims import dim_date_from_facts
 from starmart.plans import retail as R
+from starmart.plans import run_log
 from starmart.session import run_concurrently, scratch
 from starmart.sources import files, layout, snapshots, versions
 
@@ -166,15 +167,27 @@ def monitor(spark: SparkSession, root: str, run_date: date | None = None,
 
 
 def run_retail(spark: SparkSession, csv_path: str, root: str, run_date: date | None = None,
-               batch_id: str | None = None, snapshot_in_place: bool = True) -> dict:
+               batch_id: str | None = None, snapshot_in_place: bool = True, fail_on_error: bool = False) -> dict:
     """The daily job. With ``snapshot_in_place`` (default) the raw batch is written once,
-    into its day of the archive, instead of a Bronze write plus a full copy."""
+    into its day of the archive, instead of a Bronze write plus a full copy.
+
+    Every run is filed in the run log (:mod:`starmart.plans.run_log`) with its step counts
+    and audit statuses, a failed one with its error. ``fail_on_error``: an audit status of
+    ERROR raises after it is stored."""
     run_date = run_date or date.today()
     batch_id = batch_id or str(uuid.uuid4())
-    create_tables(spark, root)
-    ingest(spark, csv_path, root, batch_id, run_date=run_date, in_place=snapshot_in_place)
-    if not snapshot_in_place:
-        take_snapshot(spark, root, run_date)
-    metrics = transform(spark, root, run_date, snapshot_in_place)
-    load(spark, root, batch_id)
-    return {"cleaning": metrics, "audit": monitor(spark, root, run_date, snapshot_in_place)}
+
+    def work() -> dict:
+        create_tables(spark, root)
+        ingest(spark, csv_path, root, batch_id, run_date=run_date, in_place=snapshot_in_place)
+        if not snapshot_in_place:
+            take_snapshot(spark, root, run_date)
+        metrics = transform(spark, root, run_date, snapshot_in_place)
+        load(spark, root, batch_id)
+        return {"cleaning": metrics, "audit": monitor(spark, root, run_date, snapshot_in_place)}
+
+    def checks(out: dict) -> list[tuple]:
+        return ([(f"cleaning.{k}", v, None) for k, v in out["cleaning"].items()]
+                + [(r["check_name"], r["value"], r["status"]) for r in out["audit"]])
+
+    return run_log.logged(spark, root, batch_id, "retail", date.fromisoformat(str(run_date)), work, checks, fail_on_error)

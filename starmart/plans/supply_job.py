@@ -241,8 +241,9 @@ def touched_parts(fact: DataFrame, ids: DataFrame) -> list[str]:
 
 
 def apply_to_live(spark: SparkSession, root: str, batch_id: str, feed_seq: int,
-                  changed_at: datetime | None = None, changed_by: str | None = None) -> int | None:
+                  changed_at: datetime | None = None, changed_by: str | None = None, since: int | None = None) -> int | None:
     """Apply one batch of the feed to the current fact, rewriting only the years it touches.
+    ``since``: place in the fact's chain up to which the batch is known not to be applied.
 
     The new years and the audit rows are written for one attempt; the commit, which names
     the batch and the version it was read from, makes both count. If another writer came
@@ -261,18 +262,19 @@ def apply_to_live(spark: SparkSession, root: str, batch_id: str, feed_seq: int,
             table = U.staged(U.change_table(adjustments, updates, deletes, dict(fact.dtypes)["shipment_value"]), stage)
             parts = touched_parts(fact, table.select("shipment_id"))
             fact = versions.read_commit(spark, facts, now, parts)
-            after = U.apply_changes(fact, U.with_lowest(table, adjustments))
+            needs = U.OrderNeeds.of(table)
+            after = U.apply_changes(fact, U.with_lowest(table, adjustments, needs))
             rules = Q.ObservedRules(after, "supply.fact_shipments")
 
             def guard(v):
                 seen = rules.check()
-                audit = U.stamp_audit(U.audit_batch(fact, table, adjustments, updates, deletes), changed_at, changed_by)
+                audit = U.stamp_audit(U.audit_batch(fact, table, needs, adjustments, updates, deletes), changed_at, changed_by)
                 written = U.staged(with_serial(audit, "audit_id", audit_end(now) + 1), f"{log}/attempt={v}")
                 return {**seen, "audit_to": written.agg(F.max("audit_id")).first()[0] or audit_end(now), "years": len(parts)}
 
             return versions.write_version(rules.rows, facts, batch_id, base=now, reads=True, partition_by=YEAR, replace=parts, guard=guard)
 
-    v = versions.update(spark, facts, change, batch_id)
+    v = versions.update(spark, facts, change, batch_id, since)
     if v is not None:      # what other attempts at this batch left can never be committed
         kept = {f"attempt={r.version}" for r in versions.commit_log(spark, facts).where(F.col("batch") == batch_id).select("version").collect()}
         for name in set(versions.names(spark, log)) - kept:
@@ -283,9 +285,9 @@ def apply_to_live(spark: SparkSession, root: str, batch_id: str, feed_seq: int,
 def apply_pending(spark: SparkSession, root: str, changed_at: datetime | None = None, changed_by: str | None = None) -> list[dict]:
     """Apply the feed's next batches, in their order, to the live fact; apart from any load.
     Several such jobs may run: each batch is applied once."""
-    out = []
+    out, now = [], versions.latest(spark, facts_path(root))
     for r in pending_batches(spark, root).orderBy("place").collect():
-        v = apply_to_live(spark, root, r["batch"], r["seq"], changed_at, changed_by)
+        v = apply_to_live(spark, root, r["batch"], r["seq"], changed_at, changed_by, now.seq if now else 0)
         out.append({"batch": r["batch"], "fact_version": v, "applied": v is not None})
     versions.vacuum(spark, facts_path(root), keep=2, dead_after_hours=24)
     return out

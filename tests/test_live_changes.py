@@ -5,8 +5,10 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from starmart.operators import changes as U
 from starmart.operators import quality as Q
 from starmart.plans import retail_job as RP
+from starmart.plans import run_log
 from starmart.plans import supply_job as SP
 from starmart.sources import files, snapshots, versions
 
@@ -150,6 +152,11 @@ def test_a_header_only_rerun_stops_before_silver(spark, tmp_root):
         fh.write(",".join(feed_with(spark).columns) + "\n")
     with pytest.raises(ValueError, match="no Bronze rows"):
         RP.run_retail(spark, header, wh, date(2026, 2, 22))
+    log = {r.outcome: r.status for r in run_log.last_status(spark, wh, "retail").collect()}
+    assert log == {"SUCCESS": "ERROR", "FAILED": "ValueError: the batch has no Bronze rows"}      # too few rows for the monitor's floor
+    with pytest.raises(run_log.AuditError, match="bronze_rows"):
+        RP.run_retail(spark, f"{tmp_root}/good", wh, date(2026, 2, 23), "strict", fail_on_error=True)
+    assert run_log.runs(spark, wh).where("run_id = 'strict' and outcome = 'SUCCESS'").count() > 5
     p = RP.paths(wh)
     assert snapshots.read_snapshot(spark, p["archive"], "2026-02-22").count() == 0
     assert spark.read.parquet(p["silver_tx"]).count() == 2
@@ -235,7 +242,10 @@ def test_a_batch_that_breaks_a_rule_changes_nothing(spark, live):
     assert SP.apply_pending(spark, live)[0]["applied"] and hours(spark, live)[a] == before[a] + 1
 
 
-def test_hours_are_checked_in_the_order_of_the_statements(spark, live):
+@pytest.mark.parametrize("few", [0, U.FEW])
+def test_hours_are_checked_in_the_order_of_the_statements(spark, live, monkeypatch, few):
+    """By windows, and cut into slices as for ids with very many changes."""
+    monkeypatch.setattr(U, "FEW", few)
     a, b = sorted(before := hours(spark, live))[:2]
     fall = before[b] + 1
     SP.publish_batch(spark, live, "dips", delays(spark, [(a, 5, 1), (a, -3, 2), (b, fall, 1), (b, -fall, 2)]))
@@ -246,6 +256,19 @@ def test_hours_are_checked_in_the_order_of_the_statements(spark, live):
         SP.apply_pending(spark, live)
 
 
+@pytest.mark.parametrize("few", [0, U.FEW])
+def test_updates_of_one_id_are_chained(spark, live, monkeypatch, few):
+    monkeypatch.setattr(U, "FEW", few)
+    a, b = sorted(hours(spark, live))[:2]
+    old = {r.shipment_id: r.shipment_value for r in SP.shipments(spark, live).collect()}
+    new = spark.createDataFrame([(a, "5.00", 1), (a, "7.00", 3), (a, "6.00", 2), (b, "1.00", 1)], "shipment_id long, new_value string, seq int")
+    SP.publish_batch(spark, live, "one", SP.feed_rows(spark, updates=new))
+    SP.apply_pending(spark, live)
+    log = [(r.shipment_id, r.seq, float(r.old_value), float(r.new_value)) for r in SP.audit_log(spark, live).collect()]
+    assert sorted(log) == sorted([(a, 1, float(old[a]), 5.0), (a, 2, 5.0, 6.0), (a, 3, 6.0, 7.0), (b, 1, float(old[b]), 1.0)])
+    assert float(SP.shipments(spark, live).where(F.col("shipment_id") == a).first().shipment_value) == 7.0
+
+
 def test_untouched_years_are_neither_read_nor_written(spark, live):
     root = SP.facts_path(live)
     now = versions.latest(spark, root)
