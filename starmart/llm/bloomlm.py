@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from starmart.llm import textkit as K
 from starmart.llm.components import stored
 
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
 SHARD = 2_000_000              # entries a shard should get; it holds that many keys in memory
 STEP = 1.5                     # ratio of neighbouring levels
 HASHES = 8
