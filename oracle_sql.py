@@ -464,6 +464,12 @@ SELECT invoice_no, customer_id, product_id, date_id, quantity, CAST(unit_price A
     q["retail_job_counts"] = (q["cleaning_report"].replace("AS silver_rows\nFROM ok", """AS silver_rows,
   CAST(0 AS BIGINT) AS overlong_rows, CAST(0 AS BIGINT) AS bad_dates
 FROM ok"""))
+    q["resolve_keys_measured"] = q["resolve_keys"]
+    q["heavy_keys"] = _with(*rc, body="""
+, k AS (
+  SELECT 'stock_code' AS key_column, stock_code AS value FROM silver_tx UNION ALL SELECT 'raw_customer_id', raw_customer_id FROM silver_tx
+  UNION ALL SELECT 'date_id', CAST(date_id AS VARCHAR) FROM silver_tx)
+SELECT key_column, value, COUNT(*) AS row_count FROM k GROUP BY 1, 2 HAVING COUNT(*) >= 0.02 * (SELECT COUNT(*) FROM silver_tx)""")
     seen = "DATE '2026-02-22' AS run_date"
     q["run_log"] = f"""
 SELECT 'batch-2026-02-22' AS run_id, 'retail' AS job, {seen}, 'SUCCESS' AS outcome, 'cleaning.' || check_name AS check_name,

@@ -1,12 +1,16 @@
 """Key resolution and referential joins.
 
 Skew: a sentinel member (``UNKNOWN`` customer) can hold a third of all fact rows. The
-lookup join salts only the declared hot keys: fact rows of a hot key get a salt spread
+lookup join salts only the hot keys, declared or measured: fact rows of a hot key get a salt spread
 over ``buckets`` values from a hash of their own columns (deterministic, so a recomputed
 task routes rows identically), and only the hot dimension rows are replicated
 ``buckets`` times. Every other row joins with salt 0. One scan, one shuffle, no cross
-product, and the hot key is split over ``buckets`` tasks. AQE's skew-join split covers
-hot keys nobody declared.
+product, and the hot key is split over ``buckets`` tasks.
+
+Keys nobody declared are found by a frequent-items sketch of the fact's key columns
+(:func:`heavy_keys`): one narrow pass with a state of fixed size a task. Each heavy key
+gets salts in proportion to its share, so the replicated dimension rows are bounded by the
+number of partitions, not by the data. AQE's skew-join split stays behind it.
 """
 
 from __future__ import annotations
@@ -21,6 +25,62 @@ def _is_hot(col: Column, hot_values) -> Column:
     return F.coalesce(col.isin(*hot_values), F.lit(False))
 
 
+SALTS_A_PARTITION = 8          # salts of a key that held all rows, per shuffle partition
+MOST_HEAVY = 1000              # a key is heavy from this share of the rows on (1/1000)
+
+
+def heavy_candidates(df: DataFrame, columns: list[str], share: float) -> tuple[int, dict[str, dict]]:
+    """(rows, column -> {value: estimated rows}): values that may hold ``share`` of the rows,
+    by a frequent-items sketch of ten times as many counters as there can be such values.
+    No value of that share is missed; counts are estimates."""
+    k = min(1024, int(1 / share) + 1)
+    row = df.agg(F.count(F.lit(1)).alias("n"), *[F.expr(f"approx_top_k(`{c}`, {k}, {min(1_000_000, 10 * k)})").alias(c) for c in columns]).first()
+    return row["n"], {c: {x["item"]: x["count"] for x in row[c] or []} for c in columns}
+
+
+def heavy_keys(facts: DataFrame, columns: list[str], partitions: int | None = None) -> dict[str, dict]:
+    """Per key column the heavy values and the salts of each: those with half a partition's
+    rows or more (and at least 1/``MOST_HEAVY`` of all). One pass over these columns."""
+    n = partitions or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = max(1 / MOST_HEAVY, 1 / (2 * n))
+    rows, found = heavy_candidates(facts, columns, share)
+    return {c: {v: max(2, -(-SALTS_A_PARTITION * n * k // rows)) for v, k in items.items() if v is not None and k >= share * rows}
+            for c, items in found.items()}
+
+
+def heavy_report(df: DataFrame, columns: list[str], share: float = 1 / MOST_HEAVY) -> DataFrame:
+    """(key_column, value, row_count) of every value that holds ``share`` of the rows: the
+    sketch proposes, an exact count of the proposed values (at most 1/share a column)
+    confirms."""
+    rows, found = heavy_candidates(df, columns, share)
+    parts = []
+    for c in columns:
+        values = df.sparkSession.createDataFrame([(v,) for v in found[c] if v is not None], df.select(F.col(c).alias("value")).schema)
+        parts.append(df.select(F.col(c).alias("value")).join(F.broadcast(values), "value").groupBy("value")
+                     .agg(F.count(F.lit(1)).alias("row_count")).where(F.col("row_count") >= share * rows)
+                     .select(F.lit(c).alias("key_column"), F.col("value").cast("string").alias("value"), "row_count"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def lookup_heavy(facts: DataFrame, dim: DataFrame, on: str, columns: list[str], salts: dict, how: str = "left",
+                 salt_columns: list[str] | None = None) -> DataFrame:
+    """:func:`lookup` with a number of salts for each heavy value (:func:`heavy_keys`)."""
+    d = dim.select(on, *[c for c in columns if c != on])
+    if not salts:
+        return facts.join(d, on, how)
+    # at most MOST_HEAVY rows, joined map-side
+    kind = facts.schema[on].dataType.simpleString()
+    table = F.broadcast(facts.sparkSession.createDataFrame(list(salts.items()), f"`{on}` {kind}, _salts int"))
+    many = F.coalesce("_salts", F.lit(1))
+    cols = salt_columns or [c for c in facts.columns if c != on]
+    f = facts.join(table, on, "left").withColumn(_SALT, F.pmod(F.xxhash64(*cols), many).cast("int")).drop("_salts")
+    dd = d.join(table, on, "left").withColumn(_SALT, F.explode(F.sequence(F.lit(0), many - 1))).drop("_salts")
+    return f.join(dd, [on, _SALT], how).drop(_SALT)
+
+
 def lookup(facts: DataFrame, dim: DataFrame, on: str, columns: list[str], how: str = "left",
            hot_values: list | tuple = (), buckets: int | None = None,
            salt_columns: list[str] | None = None) -> DataFrame:
@@ -45,12 +105,15 @@ def lookup(facts: DataFrame, dim: DataFrame, on: str, columns: list[str], how: s
 
 def resolve_keys(facts: DataFrame, dim: DataFrame, natural: str, key: str,
                  fact_natural: str | None = None, hot_values: list | tuple = (),
-                 buckets: int | None = None) -> DataFrame:
+                 buckets: int | None = None, salts: dict | None = None) -> DataFrame:
     """Left join facts to a dimension to replace a natural key by the surrogate key.
 
-    Misses stay as rows with a null key (reported by :func:`unresolved_keys`)."""
+    Misses stay as rows with a null key (reported by :func:`unresolved_keys`). Hot keys are
+    given by ``hot_values``, or by ``salts`` as measured (:func:`heavy_keys`)."""
     fn = fact_natural or natural
     d = dim.select(F.col(natural).alias(fn), F.col(key))
+    if salts is not None:
+        return lookup_heavy(facts, d, fn, [key], salts)
     return lookup(facts, d, fn, [key], "left", hot_values, buckets)
 
 

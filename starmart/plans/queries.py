@@ -226,6 +226,19 @@ def q_resolve_keys(spark, sf_dir):
     return as_double(retail_star(spark, sf_dir).fact_sales)
 
 
+def q_resolve_keys_measured(spark, sf_dir):
+    """J3 with the heavy keys of both columns measured, not declared."""
+    tx, products, customers = retail_silver(spark, sf_dir)
+    heavy = J.heavy_keys(tx, ["stock_code", "raw_customer_id"])
+    return as_double(R.fact_sales(tx, R.dim_products(products), R.dim_customers(customers), heavy=heavy))
+
+
+def q_heavy_keys(spark, sf_dir):
+    """The keys that hold a fiftieth of the sales."""
+    tx, _, _ = retail_silver(spark, sf_dir)
+    return J.heavy_report(tx, ["stock_code", "raw_customer_id", "date_id"], 0.02)
+
+
 def _stale_silver(spark, sf_dir):
     cleaned = C.clean(TB.bronze(spark, sf_dir))
     early = cleaned.filter(F.col("date_id") < STALE_BEFORE)
@@ -572,6 +585,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_date": q_dim_date,
     "surrogate_keys": q_surrogate_keys,
     "resolve_keys": q_resolve_keys,
+    "resolve_keys_measured": q_resolve_keys_measured,
+    "heavy_keys": q_heavy_keys,
     "unresolved_keys": q_unresolved_keys,
     "upsert_ignore": q_upsert_ignore,
     "upsert_update": q_upsert_update,

@@ -40,8 +40,13 @@ def dim_customers(silver_customers: DataFrame, existing: DataFrame | None = None
 
 
 def fact_sales(silver_tx: DataFrame, products: DataFrame, customers: DataFrame,
-               hot_customers: tuple = (CUSTOMER_SENTINEL,)) -> DataFrame:
-    """J3 twice, then P12 (fact column order). Left joins keep unresolved rows visible."""
+               hot_customers: tuple = (CUSTOMER_SENTINEL,), heavy: dict | None = None) -> DataFrame:
+    """J3 twice, then P12 (fact column order). Left joins keep unresolved rows visible.
+    ``heavy``: measured heavy keys of both columns instead of the declared sentinel."""
+    if heavy is not None:
+        f = resolve_keys(silver_tx, products, "stock_code", "product_id", salts=heavy["stock_code"])
+        f = resolve_keys(f, customers, "raw_customer_id", "customer_id", salts=heavy["raw_customer_id"])
+        return f.select(*FACT_COLUMNS)
     f = resolve_keys(silver_tx, products, "stock_code", "product_id")
     f = resolve_keys(f, customers, "raw_customer_id", "customer_id", hot_values=hot_customers)
     return f.select(*FACT_COLUMNS)
