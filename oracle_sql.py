@@ -465,6 +465,23 @@ SELECT invoice_no, customer_id, product_id, date_id, quantity, CAST(unit_price A
   CAST(0 AS BIGINT) AS overlong_rows, CAST(0 AS BIGINT) AS bad_dates
 FROM ok"""))
     q["resolve_keys_measured"] = q["resolve_keys"]
+    fields = ["invoice_no", "stock_code", "description", "quantity", "invoice_date", "unit_price", "customer_id", "country"]
+    text = {c: f"COALESCE(trim(CAST({c} AS VARCHAR)), '')" for c in fields}
+    text["quantity"] = "CASE WHEN abs(quantity) = 49 THEN '6.5' WHEN abs(quantity) = 48 THEN 'many' ELSE CAST(quantity AS VARCHAR) END"
+    text["unit_price"] = "CASE WHEN abs(quantity) = 47 THEN 'cheap' ELSE COALESCE(CAST(unit_price AS VARCHAR), '') END"
+    whole = " || ',' || ".join(text[c] for c in fields)
+    q["rejected_records"] = _with(RAW, body=f"""
+SELECT CASE abs(quantity) WHEN 50 THEN {text["invoice_no"]} || ',' || {text["stock_code"]} WHEN 46 THEN {whole} || ',till 7'
+    WHEN 47 THEN {whole} WHEN 48 THEN {whole} WHEN 49 THEN {whole} END AS line,
+  CASE abs(quantity) WHEN 50 THEN 'too few fields: 2 of 8' WHEN 46 THEN 'too many fields: 9 for 8' WHEN 47 THEN 'price is no number: cheap'
+    WHEN 48 THEN 'quantity is no whole number: many' WHEN 49 THEN 'quantity is no whole number: 6.5' ELSE 'loaded' END AS reason,
+  COUNT(*) AS records
+FROM bronze GROUP BY 1, 2""")
+    q["profile_by_day"] = _with(RAW, body=f"""
+SELECT column_name, row_count, null_count, true AS distinct_within_bound,
+  CASE WHEN column_name IN ('quantity', 'unit_price') THEN true END AS quantiles_within_bound FROM ({_profile_sql()})""")
+    q["unique_keys_by_day"] = _with(SUPPLY, body="""
+SELECT shipment_id FROM sfact WHERE (order_id % 4 = 0 AND order_id % 10 = 0) OR (order_id % 4 = 1 AND order_id % 7 = 0 AND quantity > 10)""")
     q["heavy_keys"] = _with(*rc, body="""
 , k AS (
   SELECT 'stock_code' AS key_column, stock_code AS value FROM silver_tx UNION ALL SELECT 'raw_customer_id', raw_customer_id FROM silver_tx

@@ -29,7 +29,7 @@ from starmart.plans import run_log
 from starmart.plans import supply as SR
 from starmart.plans import supply_job as SP
 from starmart.session import scratch_path
-from starmart.sources import files, layout, snapshots, versions
+from starmart.sources import files, keyed, layout, snapshots, versions
 from starmart.sources import testbed as TB
 
 # Fixed values of the registered scenarios.
@@ -118,6 +118,52 @@ def q_csv_quoted_reordered(spark, sf_dir):
     return as_double(files.to_bronze_types(files.standardise_columns(files.read_raw_csv(spark, path))))
 
 
+def q_rejected_records(spark, sf_dir):
+    """Short and long records and unreadable values planted in the feed; each is set
+    aside with its line and reason, the others are loaded."""
+    root = scratch_path(spark, "rejects")
+    TB.feed_with_bad_records(TB.raw_source(spark, sf_dir)).write.text(f"{root}/landing")
+    RP.ingest(spark, f"{root}/landing", root, "batch-1", STAMP_TIME, SNAPSHOT_DAY, in_place=True, tolerate_rejects=0.2)
+    loaded = RP.bronze(spark, root, SNAPSHOT_DAY, in_place=True)
+    return (RP.rejects(spark, root).select("line", "reason", F.lit(1).alias("records"))
+            .unionByName(loaded.select(F.lit(None).cast("string").alias("line"), F.lit("loaded").alias("reason"), F.lit(1).alias("records")))
+            .groupBy("line", "reason").agg(F.sum("records").alias("records")))
+
+
+def q_profile_by_day(spark, sf_dir):
+    """Q7 from the stored sketches of three days, held against the exact profile: counts
+    are equal, distinct counts within 4 %, quantiles within 3 % of their rank."""
+    root, rows = scratch_path(spark, "profile"), TB.bronze(spark, sf_dir)
+    rows.write.parquet(f"{root}/rows")
+    rows = spark.read.parquet(f"{root}/rows")
+    for day in range(3):
+        QC.profile_sketch(rows.where(F.pmod(F.xxhash64("invoice_no"), F.lit(3)) == day)).write.parquet(f"{root}/sketch/day={day}")
+    found = QC.merged_profile(spark.read.parquet(f"{root}/sketch"))
+    exact = QC.profile(rows).select("column_name", F.col("distinct_count").alias("exact"))
+    numbers = rows.select(F.count_if(F.col("quantity") <= F.lit(0)).alias("_"), F.percentile_approx("quantity", [0.22, 0.28, 0.47, 0.53, 0.72, 0.78], 100000).alias("quantity"),
+                          F.percentile_approx("unit_price", [0.22, 0.28, 0.47, 0.53, 0.72, 0.78], 100000).alias("unit_price")) \
+        .selectExpr("stack(2, 'quantity', cast(quantity as array<double>), 'unit_price', cast(unit_price as array<double>)) as (column_name, _b)")
+    near = F.abs(F.col("distinct_count") - F.col("exact")) <= 0.04 * F.col("exact")
+    ranks = F.when(F.col("_b").isNotNull(), F.col("p25").between(F.col("_b")[0], F.col("_b")[1]) & F.col("p50").between(F.col("_b")[2], F.col("_b")[3])
+                   & F.col("p75").between(F.col("_b")[4], F.col("_b")[5]))
+    return (found.join(exact, "column_name").join(F.broadcast(numbers), "column_name", "left")
+            .select("column_name", "row_count", "null_count", near.alias("distinct_within_bound"), ranks.alias("quantiles_within_bound")))
+
+
+def q_unique_keys_by_day(spark, sf_dir):
+    """Q2/K2: shipments appended by days with unique keys; the keys of the last day that
+    earlier days hold."""
+    path = scratch_path(spark, "keyed")
+    fact = SP.fact_with_ids(spark, sf_dir)
+    day = F.pmod(F.col("order_id"), F.lit(4))
+    keyed.append_day(fact.where(day == 0), path, "shipment_id", "run_date", "2026-02-20")
+    keyed.append_day(fact.where(day == 1), path, "shipment_id", "run_date", "2026-02-21")
+    keyed.append_day(fact.where(day == 1).where("quantity > 10"), path, "shipment_id", "run_date", "2026-02-21")
+    late = fact.where((day == 2) | (day == 0) & (F.col("order_id") % 10 == 0) | (day == 1) & (F.col("order_id") % 7 == 0))
+    low, high = late.agg(F.min("shipment_id"), F.max("shipment_id")).first()
+    return keyed.repeated_keys(late, path, "shipment_id", "run_date", "2026-02-22", low, high)
+
+
 def q_batch_stamp(spark, sf_dir):
     """S3: one load timestamp and one batch id for every row of a run."""
     return as_double(files.stamp_batch(TB.bronze(spark, sf_dir), STAMP_TIME, STAMP_ID))
@@ -575,6 +621,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_standardised": q_raw_standardised,
     "csv_quoted_reordered": q_csv_quoted_reordered,
     "batch_stamp": q_batch_stamp,
+    "rejected_records": q_rejected_records,
     **{n: _stage(n) for n in ["exact_dedup", "mandatory_fields", "customer_sentinel",
                               "description_sentinel", "stripped_strings", "parsed_dates",
                               "date_id", "valid_price", "line_value"]},
@@ -598,6 +645,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "layer_counts": q_layer_counts,
     "layer_audit": q_layer_audit,
     "table_profile": q_table_profile,
+    "profile_by_day": q_profile_by_day,
+    "unique_keys_by_day": q_unique_keys_by_day,
     # storage layouts
     "snapshot_roundtrip": q_snapshot_roundtrip,
     "snapshot_as_of": q_snapshot_as_of,

@@ -24,12 +24,14 @@ from starmart.plans import retail as R
 from starmart.plans import run_log
 from starmart.session import run_concurrently, scratch
 from starmart.sources import files, layout, snapshots, versions
+from starmart.sources.rejects import CountedLoad, read_with_reasons
 
 
 def paths(root: str) -> dict[str, str]:
     return {
         "bronze": f"{root}/bronze/raw_transactions",
         "archive": f"{root}/bronze/raw_transactions_archive",
+        "rejects": f"{root}/bronze/rejects",
         "silver_tx": f"{root}/silver/transactions",
         "silver_products": f"{root}/silver/products",
         "silver_customers": f"{root}/silver/customers",
@@ -56,21 +58,41 @@ def _day(run_date: date | None, in_place: bool) -> date | None:
 
 def ingest(spark: SparkSession, csv_path: str, root: str, batch_id: str | None = None,
            load_timestamp: datetime | None = None, run_date: date | None = None,
-           in_place: bool = False) -> None:
+           in_place: bool = False, tolerate_rejects: float | None = None) -> dict:
     """CSV -> Bronze (truncate and reload).
 
+    ``tolerate_rejects``: records that cannot be loaded go to the reject table of the batch
+    (:func:`rejects`) as long as they are at most this share; without it the first one
+    fails the load.
+
     ``in_place``: the batch is written once, straight into its day of the snapshot
     archive, and that partition is the current Bronze (see :func:`bronze`). A rerun of
     the day replaces the partition, so reruns stay idempotent. Otherwise Bronze is its
     own table and :func:`take_snapshot` copies it into the archive."""
-    raw = files.read_raw_csv(spark, csv_path)
+    p, counted = paths(root), None
+    if tolerate_rejects is None:
+        raw = files.read_raw_csv(spark, csv_path)
+    else:
+        counted = CountedLoad(read_with_reasons(spark, csv_path), tolerate_rejects)
+        raw = counted.rows
     rows = files.stamp_batch(files.to_bronze_types(files.standardise_columns(raw)),
                              load_timestamp, batch_id)
-    p = paths(root)
+    where = f"{p['rejects']}/batch_id={batch_id}"
     if in_place:
-        snapshots.snapshot(rows, p["archive"], _day(run_date, in_place), snapshot_id=batch_id)
+        snapshots.snapshot(rows, p["archive"], _day(run_date, in_place), batch_id, (lambda v: counted.finish(where)) if counted else None)
     else:
         files.write_replace(rows, p["bronze"])
+        if counted:
+            counted.finish(where)
+    return counted.seen.get if counted else {}
+
+
+def rejects(spark: SparkSession, root: str):
+    """(file, line, reason, batch_id) of every record set aside; empty before the first."""
+    path, schema = paths(root)["rejects"], "file string, line string, reason string, batch_id string"
+    if not files.table_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def bronze(spark: SparkSession, root: str, run_date: date | None = None,
@@ -171,7 +193,8 @@ def monitor(spark: SparkSession, root: str, run_date: date | None = None,
 
 
 def run_retail(spark: SparkSession, csv_path: str, root: str, run_date: date | None = None,
-               batch_id: str | None = None, snapshot_in_place: bool = True, fail_on_error: bool = False) -> dict:
+               batch_id: str | None = None, snapshot_in_place: bool = True, fail_on_error: bool = False,
+               tolerate_rejects: float | None = None) -> dict:
     """The daily job. With ``snapshot_in_place`` (default) the raw batch is written once,
     into its day of the archive, instead of a Bronze write plus a full copy.
 
@@ -183,15 +206,16 @@ def run_retail(spark: SparkSession, csv_path: str, root: str, run_date: date | N
 
     def work() -> dict:
         create_tables(spark, root)
-        ingest(spark, csv_path, root, batch_id, run_date=run_date, in_place=snapshot_in_place)
+        loaded = ingest(spark, csv_path, root, batch_id, run_date=run_date, in_place=snapshot_in_place, tolerate_rejects=tolerate_rejects)
         if not snapshot_in_place:
             take_snapshot(spark, root, run_date)
         metrics = transform(spark, root, run_date, snapshot_in_place)
         load(spark, root, batch_id)
-        return {"cleaning": metrics, "audit": monitor(spark, root, run_date, snapshot_in_place)}
+        return {"ingest": loaded, "cleaning": metrics, "audit": monitor(spark, root, run_date, snapshot_in_place)}
 
     def checks(out: dict) -> list[tuple]:
-        return ([(f"cleaning.{k}", v, None) for k, v in out["cleaning"].items()]
+        return ([(f"ingest.{k}", v, None) for k, v in out["ingest"].items()]
+                + [(f"cleaning.{k}", v, None) for k, v in out["cleaning"].items()]
                 + [(r["check_name"], r["value"], r["status"]) for r in out["audit"]])
 
     return run_log.logged(spark, root, batch_id, "retail", date.fromisoformat(str(run_date)), work, checks, fail_on_error)

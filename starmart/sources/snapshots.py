@@ -17,21 +17,21 @@ from pyspark.sql import functions as F
 from starmart.sources import versions
 
 
-def replace_day(df: DataFrame, path: str, column: str, day: date | str, batch_id: str = "") -> int:
+def replace_day(df: DataFrame, path: str, column: str, day: date | str, batch_id: str = "", guard=None) -> int:
     """Make ``df`` (without the day column) the day's rows, also if it holds none. Writers
     of different days do not disturb each other; of two writers of one day the later commit
-    stays, whole. The replaced rows are removed."""
+    stays, whole. The replaced rows are removed. ``guard``: see ``versions.write_version``."""
     rows = df.withColumn(column, F.lit(str(day)).cast("date"))
-    v = versions.write_version(rows, path, batch_id, partition_by=column, replace=[f"{column}={day}"])
+    v = versions.write_version(rows, path, batch_id, partition_by=column, replace=[f"{column}={day}"], guard=guard)
     versions.vacuum(df.sparkSession, path, keep=1, dead_after_hours=24)
     return v
 
 
 def snapshot(bronze: DataFrame, archive_path: str, snapshot_date: date | str | None = None,
-             snapshot_id: str | None = None) -> None:
+             snapshot_id: str | None = None, guard=None) -> None:
     """Copy the current Bronze rows into the archive under ``snapshot_date``."""
     sid = snapshot_id or str(uuid.uuid4())
-    replace_day(bronze.withColumn("snapshot_id", F.lit(sid)), archive_path, "snapshot_date", snapshot_date or date.today(), sid)
+    replace_day(bronze.withColumn("snapshot_id", F.lit(sid)), archive_path, "snapshot_date", snapshot_date or date.today(), sid, guard)
 
 
 def has_day(spark: SparkSession, archive_path: str, snapshot_date: date | str) -> bool:

@@ -225,3 +225,17 @@ def shipments_with_idle_years(fact: DataFrame) -> DataFrame:
     """Shipments of which some suppliers' are worth nothing in one year."""
     idle = (F.col("supplier_id") % 7 == 3) & (F.floor(F.col("date_id") / 10000) == 1997)
     return fact.withColumn("shipment_value", F.when(idle, F.lit(0).cast("decimal(12,2)")).otherwise(F.col("shipment_value")))
+
+
+def feed_with_bad_records(raw: DataFrame) -> DataFrame:
+    """The retail feed as CSV lines under a header of each file, of which some are short,
+    long, or hold a quantity or price that is no number."""
+    cols = ["InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDate", "UnitPrice", "CustomerID", "Country"]
+    n = F.abs(F.col("Quantity").cast("int"))
+    f = {c: F.coalesce(F.trim(c), F.lit("")) for c in cols}
+    f["Quantity"] = F.when(n == 49, F.lit("6.5")).when(n == 48, F.lit("many")).otherwise(f["Quantity"])
+    f["UnitPrice"] = F.when(n == 47, F.lit("cheap")).otherwise(f["UnitPrice"])
+    line = F.concat_ws(",", *[f[c] for c in cols])
+    line = F.when(n == 50, F.concat_ws(",", f["InvoiceNo"], f["StockCode"])).when(n == 46, F.concat(line, F.lit(",till 7"))).otherwise(line)
+    head = raw.sparkSession.createDataFrame([(",".join(cols),)], "value string")
+    return head.unionByName(raw.select(line.alias("value"))).coalesce(1)
