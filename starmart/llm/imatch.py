@@ -19,9 +19,11 @@ least T/``MAX_LEXICON``, with T the sum of all document frequencies, so it holds
 Defined results: a text with fewer than ``SHORT`` band terms uses all its distinct terms;
 a null or empty text, or one of blanks, has the fingerprint of its whole text's hash in
 every place. Equal texts have equal fingerprints and likeness 1. The next document is the
-one after by doc_id; documents of one id are ordered by text, null ids come first, and
-the last one's next is the first. Repeated rows are kept; a single document is its own
-next one.
+one after by doc_id; null ids come first, documents of one id are ordered by their first
+``HEAD`` characters (then by the text's hash), and the last one's next is the first.
+Repeated rows are kept; a single document is its own next one. A long text is worked on
+whole, in a slice of its own; an empty table gives an empty result; further columns are
+not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,12 +32,15 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm import textkit as K
+from starmart.llm.components import stored
 from starmart.session import scratch_path
 
+HEAD = 64
 MIN_SHARE = 2e-4
 MAX_SHARE = 0.2
 MAX_LEXICON = 1 << 20
@@ -114,86 +119,90 @@ def edited(text: str, after: str) -> str:
     return text[:len(text) - q] + after[:q] if q else text
 
 
+RESULT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+          "near_edited double, near_next double")
+_NAMES = [c.split()[0] for c in RESULT.split(", ")]
+
+
+def compared(rows: list, lexicon) -> pa.RecordBatch:
+    """Results of (doc_id, text, next text) rows."""
+    ids, texts, nexts = zip(*rows)
+    new = pa.array([edited(t, x) for t, x in zip(texts, nexts)], pa.string())
+    # the next text mostly is the next row: its fingerprint is taken once
+    own, after = list(texts), np.arange(1, len(texts) + 1)
+    for i, x in enumerate(nexts):
+        if i + 1 == len(texts) or x is not texts[i + 1]:
+            after[i] = len(own)
+            own.append(x)
+    f, g = fingerprints(pa.array(own, pa.string()), lexicon), fingerprints(new, lexicon)
+    f, h = f[:len(texts)], f[after]
+    return pa.record_batch(
+        [pa.array(ids, pa.int64()), pa.array([len(t) for t in texts], pa.int64()),
+         pa.array([hashlib.sha256(x.as_py().encode()).hexdigest() for x in new]), pa.array(as_text(f)), pa.array(as_text(g)),
+         pa.array(likeness(f, g)), pa.array(likeness(f, h))], names=_NAMES)
+
+
+EDGE = "part int, first_text string, last_id long, last_text string"
+
+
 def edit_batches(batches, shared):
-    """Worker over partitions sorted by (bucket, part, doc_id, text): each document meets
-    the one after it, the bucket's last one the guest row of the next bucket."""
-    lexicon = shared.value
-    held, held_bytes, tail = [], 0, None      # rows whose next text is known; the open row
-
-    def emit():
-        ids, texts, nexts = zip(*held)
-        new = pa.array([edited(t, x) for t, x in zip(texts, nexts)], pa.string())
-        # the next text mostly is the next row: its fingerprint is taken once
-        own, after = list(texts), np.arange(1, len(texts) + 1)
-        for i, x in enumerate(nexts):
-            if i + 1 == len(texts) or x is not texts[i + 1]:
-                after[i] = len(own)
-                own.append(x)
-        f, g = fingerprints(pa.array(own, pa.string()), lexicon), fingerprints(new, lexicon)
-        f, h = f[:len(texts)], f[after]
-        return pa.record_batch(
-            [pa.array(ids, pa.int64()), pa.array([len(t) for t in texts], pa.int64()),
-             pa.array([hashlib.sha256(x.as_py().encode()).hexdigest() for x in new]), pa.array(as_text(f)), pa.array(as_text(g)),
-             pa.array(likeness(f, g)), pa.array(likeness(f, h))],
-            names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
-
-    for part in (b.slice(lo, 256) for b in batches for lo in range(0, b.num_rows, 256)):
-        for bucket, guest, doc_id, text in zip(*(part.column(n).to_pylist() for n in ("bucket", "guest", "doc_id", "text"))):
+    """Worker over a sorted range: each document meets the one after it. The last one meets
+    the first of the next range later: both texts are handed on."""
+    lexicon, part = shared.value, TaskContext.get().partitionId()
+    held, size, first, last = [], 0, None, None
+
+    def done(out, edges=None):
+        n = out.num_rows
+        none = [pa.nulls(n, t) for t in (pa.int32(), pa.string(), pa.int64(), pa.string())]
+        return pa.record_batch([*out.columns, *none], names=[*_NAMES, "part", "first_text", "last_id", "last_text"])
+
+    for b in (b.slice(lo, 256) for b in batches for lo in range(0, b.num_rows, 256)):
+        for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
             text = text or ""
-            if tail is not None and tail[0] == bucket:
-                held.append((tail[1], tail[2], text))
-                held_bytes += len(tail[2])
-            # a bucket's first guest closes it; more are rows of the same id
-            tail = None if guest else (bucket, doc_id, text)
-            if held_bytes > K.SLICE_BYTES or len(held) >= 2000:
-                yield emit()
-                held, held_bytes = [], 0
+            if last is None:
+                first = text
+            else:
+                held.append((*last, text))
+                size += len(last[1])
+            last = doc_id, text
+            if size > K.SLICE_BYTES or len(held) >= 2000:
+                yield done(compared(held, lexicon))
+                held, size = [], 0
     if held:
-        yield emit()
-
-
-def cut_points(ids: DataFrame, ranges: int) -> np.ndarray:
-    """Up to ``ranges`` ids, the smallest among them, that cut the ids into even ranges.
-    Each is the id of a row, so no range is empty."""
-    found = sorted(set(ids.approxQuantile("k", [i / ranges for i in range(ranges)], 0.25 / ranges)))
-    if not found:
-        return np.zeros(0, np.int64)
-    # a quantile is a double, beyond 2**53 mostly not an id: the next id in its place
-    k, far = F.col("k"), lambda x: min(max(int(x), -2**63), 2**63 - 1)
-    real = ids.agg(F.min("k"), *[F.min(F.when(k >= F.lit(far(x)).cast("long"), k)) for x in found]).first()
-    return np.array(sorted({x for x in real if x is not None}), np.int64)
+        yield done(compared(held, lexicon))
+    if last is not None:
+        types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+        yield pa.record_batch([*(pa.nulls(1, t) for t in types), pa.array([part], pa.int32()), pa.array([first]), pa.array([last[0]], pa.int64()), pa.array([last[1]])],
+                              names=[*_NAMES, "part", "first_text", "last_id", "last_text"])
 
 
-def range_of(cuts: np.ndarray):
-    """Column function of a long: 2 * its range, + 1 if it is itself a cut point."""
-    @F.arrow_udf("int")
-    def at(k: pa.Array) -> pa.Array:
-        v = k.to_numpy(zero_copy_only=False)
-        i = np.searchsorted(cuts, v, "right") - 1
-        return pa.array((2 * i + (cuts[i] == v)).astype(np.int32))
-    return at
+def close_batches(batches, shared):
+    """Worker: (doc_id, text, next text) rows where two ranges meet."""
+    for b in batches:
+        rows = list(zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "next"))))
+        if rows:
+            yield compared(rows, shared.value)
 
 
 def fingerprint_documents(docs: DataFrame) -> DataFrame:
     """Per document its fingerprint, that of its edited text and both likenesses.
 
-    One exchange of the texts: rows go to ranges of doc_id, and the first id of a range
-    also visits the range before as a guest (the first of all visits the last range)."""
+    One exchange of the texts, to ranges of (doc_id, head and hash of the text, row), so an
+    id that many rows share is cut as well, even if their texts are alike."""
     spark = docs.sparkSession
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     lexicon = spark.sparkContext.broadcast(band(src))
-    key = F.coalesce("doc_id", F.lit(-(2**53)))          # null ids come first
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = cut_points(src.select(key.alias("k")), 8 * parts)
-    at = range_of(cuts)(F.col("k"))
-    rows = (src.withColumn("k", key).withColumn("at", at)
-            .withColumn("own", F.floor(F.col("at") / 2).cast("int"))
-            .withColumn("before", F.pmod(F.col("own") - 1, F.lit(max(1, len(cuts)))))
-            .withColumn("to", F.explode(F.when(F.col("at") % 2 == 0, F.array(F.struct(F.col("own").alias("bucket"), F.lit(0).alias("guest"))))
-                                        .otherwise(F.array(F.struct(F.col("own").alias("bucket"), F.lit(0).alias("guest")),
-                                                           F.struct(F.col("before").alias("bucket"), F.lit(1).alias("guest"))))))
-            .select("to.bucket", "to.guest", "doc_id", "text"))
-    dealt = rows.repartition(parts, "bucket").sortWithinPartitions("bucket", "guest", "doc_id", "text")
-    return K.arrow_map(dealt, "starmart.llm.imatch:edit_batches",
-                       "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-                       "near_edited double, near_next double", lexicon)
+    text = F.coalesce("text", F.lit(""))
+    keyed = src.select("doc_id", "text", F.substring(text, 1, HEAD).alias("head"), F.xxhash64(text).alias("h"), F.monotonically_increasing_id().alias("rid"))
+    order = [F.col("doc_id").asc_nulls_first(), F.col("head").asc(), F.col("h").asc(), F.col("rid").asc()]
+    dealt = keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "text")
+    out = stored(K.arrow_map(dealt, "starmart.llm.imatch:edit_batches", f"{RESULT}, {EDGE}", lexicon), "imatch-parts")
+    # one row a range: the last text of each meets the first of the next one, the last of all the first of all
+    edges = out.where("part is not null").select("part", "first_text", "last_id", "last_text")
+    n = edges.select("part").orderBy("part").collect()
+    follows = spark.createDataFrame([(r.part, n[(i + 1) % len(n)].part) for i, r in enumerate(n)], "part int, then int")
+    nexts = edges.select(F.col("part").alias("then"), F.col("first_text").alias("next"))
+    ends = edges.join(F.broadcast(follows), "part").join(nexts, "then").select(F.col("last_id").alias("doc_id"), F.col("last_text").alias("text"), "next")
+    closed = K.arrow_map(ends, "starmart.llm.imatch:close_batches", RESULT, lexicon)
+    return out.where("part is null").select(*_NAMES).unionByName(closed)

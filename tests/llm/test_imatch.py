@@ -3,6 +3,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from starmart.llm import imatch as I
 
@@ -62,7 +63,50 @@ def test_fingerprint_is_a_set_function_and_equal_texts_agree():
 def test_ids_beyond_doubles_lose_no_row(spark):
     rows = [(s * (2**62 + 12_345_677 * i), f"text {i} of words " * 8) for i in range(1, 120) for s in (1, -1)] + [(2**63 - 1, "last"), (-2**63, "first")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    cuts = I.cut_points(docs.selectExpr("doc_id AS k"), 16)
-    assert set(cuts.tolist()) <= {i for i, _ in rows} and cuts[0] == -2**63
     out = I.fingerprint_documents(docs).collect()
-    assert sorted((r.doc_id, r.n_chars) for r in out) == sorted((i, len(t)) for i, t in rows)
+    assert sorted(((r.doc_id, r.n_chars, r.edited_sha256) for r in out), key=repr) == brute(rows)
+
+
+def test_null_ids_come_first_and_are_cut(spark):
+    """Ids below any stand-in for a null, and a null id on 90 % of the rows: the ranges of
+    texts stay even, also where the texts are copies."""
+    rows = [(-2**60, "low " * 9), (None, "none " * 9), (5, "five " * 9)]
+    out = I.fingerprint_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id, r.n_chars, r.edited_sha256) for r in out), key=repr) == brute(rows)
+    many = [(None if i % 10 else i, f"text {i} " * 12 if i % 3 else "copy of one text " * 6) for i in range(2000)]
+    docs = spark.createDataFrame(many, "doc_id long, text string")
+    seen = []
+    real = I.K.arrow_map
+
+    def watch(df, target, *rest):
+        if target.endswith("edit_batches"):
+            seen.extend(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+        return real(df, target, *rest)
+    I.K.arrow_map = watch
+    try:
+        out = I.fingerprint_documents(docs).collect()
+    finally:
+        I.K.arrow_map = real
+    assert len(out) == 2000 and sorted((r.doc_id or -1, r.n_chars) for r in out) == sorted((i or -1, len(t)) for i, t in many)
+    assert sum(seen) == 2000 and max(seen) <= 3 * sorted(seen)[len(seen) // 2]
+
+
+def plain_fingerprint(text, lexicon):
+    """The fingerprint by plain Python sets."""
+    words = {int(h) for h in I.K.word_hashes(pa.array([text]))[0]}
+    return words & set(lexicon.tolist())
+
+
+def test_likeness_against_brute_force(small_docs):
+    """Likeness from fingerprints is that of the terms inside each subset, compared as sets."""
+    lexicon = I.band(small_docs)
+    texts = [r.text for r in small_docs.limit(40).collect()]
+    f = I.fingerprints(pa.array(texts), lexicon)
+    same = [(i, j) for i in range(40) for j in range(40) if plain_fingerprint(texts[i], lexicon) == plain_fingerprint(texts[j], lexicon)
+            and len(plain_fingerprint(texts[i], lexicon)) >= I.SHORT]
+    assert all((f[i] == f[j]).all() and I.likeness(f[[i]], f[[j]])[0] == 1 for i, j in same)
+    for i in range(40):
+        for j in range(i):
+            a, b = plain_fingerprint(texts[i], lexicon), plain_fingerprint(texts[j], lexicon)
+            if not a & b and min(len(a), len(b)) >= I.SHORT:
+                assert I.likeness(f[[i]], f[[j]])[0] < 0.1
