@@ -11,38 +11,42 @@ Texts are parsed whole, in windows of ``WINDOW`` characters whose phrases are co
 apart (a window edge adds at most one phrase, to every language alike); all windows and
 languages of a slice take their steps together as one NumPy gather.
 
-Training uses a bounded sample: about ``SAMPLE_DOCS`` labelled texts a language by a hash
-of the id, ``SAMPLE_CHARS`` of each and ``TRAIN_CHARS`` letters a language at most, divided by the languages beyond
-``MANY`` of them, so the broadcast transition tables stay under ``TABLE_MB`` MB.
-
-Every letter of the training text has its own code. Transitions on the blank and the 62
-letters seen most are a dense table; those on all other letters (of large scripts, or of
-many scripts together) are sorted keys of state and letter, at most three a character of
-training text, which are searched only at such letters. A letter that no training text
+Training uses a bounded sample of whole rows, the same for every language: its labelled
+texts of at most ``LONGEST`` characters, in the order of a hash of id and text, until
+``TRAIN_CHARS`` characters are reached (``SAMPLE_DOCS`` texts at most). Equal rows of one
+id count once. A language that has only longer texts is not learned, and more than
+``MOST_LANGS`` languages are an error.
+
+Every letter of the training text has its own code. Transitions on the blank and the
+letters seen most are a dense table of 64 classes, fewer where there are more than
+``MANY`` languages, so that it stays under ``TABLE_MB`` MB; those on all other letters are
+sorted keys of state and letter, at most three a character of training text, which are
+searched only at such letters. How many classes are dense does not change a result. A letter that no training text
 has is a class without transitions.
 
 Defined results: ``und`` and score 0 for a null text or one without a letter, or when
 nothing was learned; equal phrase costs are won by the language first in order of name;
-repeated rows repeat their result; an empty table gives an empty result.
+repeated rows repeat their result; long texts are scored whole, in windows; an empty table
+gives an empty result. Columns other than doc_id, lang and text are not read, whatever
+their names.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from starmart.llm import textkit as K
 
 WINDOW = 2048
-SAMPLE_DOCS = 48
-SAMPLE_CHARS = 4_000           # of each sampled text; scoring always reads whole texts
+SAMPLE_DOCS = 400
+LONGEST = 8_000                # characters of a text that may be learned; all are scored, whole
 TRAIN_CHARS = 40_000
-MANY = 8
+MANY, MOST_LANGS = 8, 1_000
 ALPHABET = 64                  # dense classes: blank, the letters seen most, letters never seen
-TABLE_MB = 8 * TRAIN_CHARS * 2 * ALPHABET * 4 // 2**20 + 1
+TABLE_MB = MANY * (TRAIN_CHARS + LONGEST) * 2 * ALPHABET * 4 // 2**20 + 1
 
 
 def normalise(text: str) -> str:
@@ -84,14 +88,14 @@ def transitions(codes: np.ndarray) -> list[dict]:
     return trans
 
 
-def suffix_automaton(codes: np.ndarray, sparse: list | None = None) -> np.ndarray:
-    """The suffix automaton as [states, ALPHABET]; -1 marks no transition. Transitions on
-    codes from ALPHABET on are added to ``sparse`` as (state, code, next state)."""
+def suffix_automaton(codes: np.ndarray, sparse: list | None = None, dense: int = ALPHABET) -> np.ndarray:
+    """The suffix automaton as [states, dense]; -1 marks no transition. Transitions on
+    codes from ``dense`` on are added to ``sparse`` as (state, code, next state)."""
     trans = transitions(codes)
-    table = np.full((len(trans), ALPHABET), -1, np.int32)
+    table = np.full((len(trans), dense), -1, np.int32)
     for s, t in enumerate(trans):
         for c, to in t.items():
-            if c < ALPHABET:
+            if c < dense:
                 table[s, c] = to
             else:
                 sparse.append((s, c, to))
@@ -103,22 +107,22 @@ class Model:
 
     def __init__(self, samples: dict[str, list[str]]):
         self.langs = sorted(samples)
-        room = TRAIN_CHARS * MANY // max(MANY, len(self.langs) or 1)
-        texts = {k: " ".join(filter(None, map(normalise, samples[k])))[:room] for k in self.langs}
+        self.dense = dense = max(2, ALPHABET * MANY // max(MANY, len(self.langs) or 1))
+        texts = {k: " ".join(filter(None, map(normalise, samples[k]))) for k in self.langs}
         seen = np.bincount(np.frombuffer("".join(texts.values()).encode("utf-32-le"), "<u4"), minlength=128) if self.langs else np.zeros(128, int)
         seen[32] = 0
         order = np.argsort(-seen, kind="stable")
         order = order[seen[order] > 0]
-        self.code = np.full(0x110000, ALPHABET - 1, np.int32)    # never seen
-        self.code[order[:ALPHABET - 2]] = np.arange(1, min(len(order), ALPHABET - 2) + 1)
-        self.code[order[ALPHABET - 2:]] = np.arange(ALPHABET, ALPHABET + max(0, len(order) - ALPHABET + 2))
+        self.code = np.full(0x110000, dense - 1, np.int32)       # never seen
+        self.code[order[:dense - 2]] = np.arange(1, min(len(order), dense - 2) + 1)
+        self.code[order[dense - 2:]] = np.arange(dense, dense + max(0, len(order) - dense + 2))
         self.code[32] = 0
-        self.size = ALPHABET + len(order)                        # above every code
+        self.size = dense + len(order)                           # above every code
         tables, at, self.cost = [], 0, []
         self.roots, found = [], [np.zeros((0, 2), np.int64)]
         for k in self.langs:
             sparse: list = []
-            t = suffix_automaton(self.encode(texts[k]), sparse)
+            t = suffix_automaton(self.encode(texts[k]), sparse, dense)
             x = np.array(sparse, np.int64).reshape(-1, 3)
             found.append(np.column_stack([(x[:, 0] + at) * self.size + x[:, 1], x[:, 2] + at]))
             t[t >= 0] += at
@@ -136,10 +140,10 @@ class Model:
 
     def move(self, state: np.ndarray, c: np.ndarray) -> np.ndarray:
         """Next states [language, window] on the codes c of the windows; -1 for none."""
-        rare = np.flatnonzero(c >= ALPHABET)
+        rare = np.flatnonzero(c >= self.dense)
         if not len(rare):
-            return self.table.take(state * ALPHABET + c)
-        out = self.table.take(state * ALPHABET + np.minimum(c, ALPHABET - 1))
+            return self.table.take(state * self.dense + c)
+        out = self.table.take(state * self.dense + np.minimum(c, self.dense - 1))
         key = np.broadcast_to(state, out.shape)[:, rare].astype(np.int64) * self.size + c[rare]
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         out[:, rare] = np.where(self.keys[at] == key, self.to[at], -1)
@@ -212,16 +216,30 @@ def predict_batches(batches, shared):
                               names=["doc_id", "held_out", "lang_pred", "score"])
 
 
+def sample_rows(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, train_chars: int = TRAIN_CHARS) -> DataFrame:
+    """(lang, text) of the rows learned from: per language the first by the hash of id and
+    text, until ``train_chars`` are reached. The keys are chosen first (every task sends its
+    first ``sample_docs`` of a language only), then their texts are met."""
+    text = F.col("text").cast("string")
+    usable = (docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (K.crc_mod(F.col("doc_id"), 4) != 2))
+              .select(F.col("lang").cast("string").alias("lang"), F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text).alias("h"),
+                      F.length(text).alias("size"), text.alias("text")).where(F.col("size") <= LONGEST))
+    first = Window.partitionBy("lang").orderBy("h")
+    keys = usable.select("lang", "h", "size").dropDuplicates(["lang", "h"])
+    keys = keys.withColumn("n", F.row_number().over(first)).where(F.col("n") <= sample_docs)
+    before = F.coalesce(F.sum("size").over(first.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    keys = keys.withColumn("before", before).where(F.col("before") < train_chars).select("lang", "h")
+    return usable.select("lang", "h", "text").join(F.broadcast(keys), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text"))
+
+
 def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
-    """Learn from about ``sample_docs`` texts a language: those whose hash of the id falls
-    below the share that gives so many, among documents with crc32(doc_id) mod 4 not 2."""
-    usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (K.crc_mod(F.col("doc_id"), 4) != 2))
-    counts = usable.groupBy("lang").count()
-    share = (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20))
-    chosen = (usable.join(F.broadcast(counts), "lang").where(share < F.lit(float(sample_docs)) / F.col("count"))
-              .select("lang", "doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text")))
+    """Learn from the sampled rows of documents with crc32(doc_id) mod 4 not 2: at most
+    TRAIN_CHARS + LONGEST characters a language reach the driver."""
+    langs = docs.where("lang is not null").select("lang").distinct().limit(MOST_LANGS + 1).count()
+    if langs > MOST_LANGS:
+        raise ValueError(f"more than {MOST_LANGS} languages")
     samples: dict[str, list[str]] = {}
-    for r in sorted(chosen.collect(), key=lambda r: (r.lang, r.doc_id is not None, r.doc_id, r.text)):
+    for r in sorted(sample_rows(docs, sample_docs).collect(), key=lambda r: (r.lang, r.h)):
         samples.setdefault(r.lang, []).append(r.text)
     return Model(samples)
 

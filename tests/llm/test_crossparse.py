@@ -96,3 +96,45 @@ def test_letters_beyond_the_dense_classes_keep_their_identity():
     texts = [t for _, t in tests] + [latin[:90] + text("zh", 3) + "Жж" + text("ja", 2)]
     texts = [X.normalise(t) for t in texts]
     assert m.phrases(texts).tolist() == [[phrases(t, source[k]) for k in m.langs] for t in texts]
+
+
+def test_the_sample_is_bounded_by_whole_rows(spark):
+    """Rows that share an id, copies, long texts: whole texts, a bound a language."""
+    rng = random.Random(2)
+    text = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    rows = [(None, text(100), "en") for _ in range(3000)] + [(7, "copy " * 200, "de")] * 2000 + [(i, text(2000), "fr") for i in range(50)] + [(i, text(20), "es") for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {}
+    for r in X.sample_rows(docs).collect():
+        got.setdefault(r.lang, []).append(r.text)
+    assert set(got) <= {"en", "de", "es"} and all(t in {x for _, x, _ in rows} for ts in got.values() for t in ts)
+    assert X.TRAIN_CHARS <= sum(map(len, got["en"])) < X.TRAIN_CHARS + X.LONGEST
+
+
+def test_predictions_against_plain_parsing(spark):
+    """lang_pred and score from phrases found by plain string search."""
+    import math
+    rng = random.Random(3)
+    train = {k: ["".join(rng.choice(letters) for _ in range(300)) for _ in range(3)] for k, letters in {"x": "abcd ", "y": "bcde ", "z": "cdea "}.items()}
+    m = X.Model(train)
+    texts = ["".join(rng.choice("abcde ") for _ in range(rng.randint(1, 150))) for _ in range(60)] + ["", None, "12"]
+    lang, score = m.predict(texts)
+    source = {k: " ".join(filter(None, map(X.normalise, v))) for k, v in train.items()}
+    for t, got, s in zip(texts, lang, score):
+        n = X.normalise(t) if t else ""
+        if not n:
+            assert (got, s) == ("und", 0)
+            continue
+        cost = sorted((phrases(n, source[k]) * math.log2(len(source[k])), k) for k in m.langs)
+        assert abs(s - (0.5 + 0.5 * (cost[1][0] - cost[0][0]) / cost[1][0])) < 1e-9
+        assert phrases(n, source[got]) * math.log2(len(source[got])) == cost[0][0]
+
+
+def test_many_languages_share_the_dense_table():
+    rng = random.Random(6)
+    train = {f"l{i:02d}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz"[i % 20:i % 20 + 6] + " ") for _ in range(400))] for i in range(40)}
+    m = X.Model(train)
+    assert m.dense < X.ALPHABET and m.table.nbytes <= X.TABLE_MB * 2**20
+    texts = [v[0][30:90] for v in train.values()]
+    source = {k: " ".join(map(X.normalise, v)) for k, v in train.items()}
+    assert m.phrases([X.normalise(t) for t in texts]).tolist() == [[phrases(X.normalise(t), source[k]) for k in m.langs] for t in texts]
