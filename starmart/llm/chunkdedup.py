@@ -6,8 +6,10 @@ over each text's UTF-8 bytes; a chunk ends where the hash's top bits are zero, a
 depend on nearby bytes only, so they fall in step again soon after an insertion. Chunks
 are compared by a 128-bit digest over the whole corpus.
 
-A chunk seen more than once is *shared*; a run of neighbouring shared chunks of at least
-``RUN`` characters is a *repeat*. Of each shared chunk the first place (smallest doc_id,
+A chunk seen more than once is *shared*; a run of neighbouring shared chunks is a *repeat*
+if ``RUN_WORDS`` words begin in it (or, in text with hardly any blanks, it has ``RUN``
+characters). The chunks at both ends of a repeated passage are mostly not shared, so the
+rule is well under the 50 words a passage should have. Of each shared chunk the first place (smallest doc_id,
 then position) is kept; repeats elsewhere are *removable*. Shorter shared runs, as common
 phrases make them, are left alone.
 
@@ -33,7 +35,7 @@ from starmart.llm.components import stored
 
 LEAST, MOST = 16, 256
 CUT_BITS = 4                   # a cut every 2**4 bytes on average, after LEAST: chunks of 32
-RUN = 100                      # characters
+RUN_WORDS, RUN = 20, 240       # words, characters
 BLOOM_BITS = 1 << 28           # bound of the filter of shared digests (32 MB)
 GEAR = np.random.default_rng(77).integers(0, 2**16, 256, dtype=np.uint16)
 _LAST_ID = 2**63 - 1
@@ -81,6 +83,7 @@ def chunk_batches(batches):
             at = np.searchsorted(cuts, offs, "right")
             cuts = cuts.tolist()
             chars = np.r_[0, np.cumsum((buf & 0xC0) != 0x80)]       # code points before a byte
+            begun = np.searchsorted(K.word_spans(buf, offs)[0], np.arange(len(buf) + 1))     # words begun before a byte
             ends, sizes, lens = [], [], []
             for i, (a, z) in enumerate(zip(offs[:-1].tolist(), offs[1:].tolist())):
                 e = chunk_ends(buf, a, z, cuts[at[i]:at[i + 1]]) if z > a else []
@@ -92,9 +95,11 @@ def chunk_batches(batches):
             listed = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
             ends = np.array(ends, np.int64)
             own = chars[ends] - np.repeat(chars[offs[:-1]], sizes)
-            lists = [pa.ListArray.from_arrays(listed, pa.array(v)) for v in (own.astype(np.int32), d[:, 0].copy(), d[:, 1].copy())]
+            words = begun[ends] - begun[np.r_[0, ends[:-1]]]         # of the chunk; a text starts where one ends
+            lists = [pa.ListArray.from_arrays(listed, pa.array(v))
+                     for v in (own.astype(np.int32), np.minimum(words, 255).astype(np.int16), d[:, 0].copy(), d[:, 1].copy())]
             yield pa.record_batch([b.column("rid").slice(lo, hi - lo), b.column("doc_id").slice(lo, hi - lo), pa.array(lens, pa.int64()), *lists],
-                                  names=["rid", "doc_id", "n_chars", "ends", "d1", "d2"])
+                                  names=["rid", "doc_id", "n_chars", "ends", "words", "d1", "d2"])
 
 
 def digest_bits(batches, bits: int):
@@ -121,7 +126,7 @@ def shared_batches(batches, filter_):
         d1 = b.column("d1")
         size = np.diff(d1.offsets.to_numpy())
         lo, hi = d1.offsets[0].as_py(), d1.offsets[-1].as_py()
-        v1, v2, ends = (b.column(n).values.to_numpy()[lo:hi] for n in ("d1", "d2", "ends"))
+        v1, v2, ends, words_in = (b.column(n).values.to_numpy()[lo:hi] for n in ("d1", "d2", "ends", "words"))
         ok = np.ones(len(v1), bool)
         for at in _places(v1.view(np.uint64), bits):
             ok &= (words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
@@ -131,8 +136,8 @@ def shared_batches(batches, filter_):
         k = np.flatnonzero(ok)
         rows = pa.array(row[k])
         yield pa.record_batch([b.column("rid").take(rows), b.column("ord").take(rows), pa.array(idx[k].astype(np.int32)),
-                               pa.array(start[k].astype(np.int32)), pa.array(ends[k].astype(np.int32)), pa.array(v1[k]), pa.array(v2[k])],
-                              names=["rid", "ord", "idx", "start", "end", "d1", "d2"])
+                               pa.array(start[k].astype(np.int32)), pa.array(ends[k].astype(np.int32)), pa.array(words_in[k]), pa.array(v1[k]), pa.array(v2[k])],
+                              names=["rid", "ord", "idx", "start", "end", "words", "d1", "d2"])
 
 
 def run_batches(batches):
@@ -147,10 +152,11 @@ def run_batches(batches):
                 seen.add(key)
                 if runs and runs[-1][0] == c["idx"] - 1:
                     runs[-1][0], runs[-1][2] = c["idx"], c["end"]
+                    runs[-1][4] += c["words"]
                     runs[-1][3].append((c["start"], c["end"], again, c["first"], c["own"]))
                 else:
-                    runs.append([c["idx"], c["start"], c["end"], [(c["start"], c["end"], again, c["first"], c["own"])]])
-            runs = [r for r in runs if r[2] - r[1] >= RUN]
+                    runs.append([c["idx"], c["start"], c["end"], [(c["start"], c["end"], again, c["first"], c["own"])], c["words"]])
+            runs = [r for r in runs if r[4] >= RUN_WORDS or r[2] - r[1] >= RUN]
             for r in runs:
                 for a, z, again, first, own in r[3]:
                     if again:
@@ -176,7 +182,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     src = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     table = stored(K.arrow_map(src, "starmart.llm.chunkdedup:chunk_batches",
-                               "rid long, doc_id long, n_chars long, ends array<int>, d1 array<long>, d2 array<long>"), "chunks")
+                               "rid long, doc_id long, n_chars long, ends array<int>, words array<short>, d1 array<long>, d2 array<long>"), "chunks")
     order = F.coalesce("doc_id", F.lit(_LAST_ID))
     pair = F.explode(F.arrays_zip("d1", "d2")).alias("d")
     shared = stored(table.select(order.alias("ord"), pair).select("ord", "d.d1", "d.d2")
@@ -188,10 +194,10 @@ def repeats(docs: DataFrame) -> DataFrame:
     words = np.zeros(bits // 64, np.uint64)
     if len(t):
         words[t.column("i").to_numpy()] = t.column("w").to_numpy().view(np.uint64)
-    asked = K.arrow_map(table.select("rid", order.alias("ord"), "ends", "d1", "d2"), "starmart.llm.chunkdedup:shared_batches",
-                        "rid long, ord long, idx int, start int, end int, d1 long, d2 long", spark.sparkContext.broadcast(words))
+    asked = K.arrow_map(table.select("rid", order.alias("ord"), "ends", "words", "d1", "d2"), "starmart.llm.chunkdedup:shared_batches",
+                        "rid long, ord long, idx int, start int, end int, words short, d1 long, d2 long", spark.sparkContext.broadcast(words))
     met = (asked.join(shared, ["d1", "d2"])
-           .groupBy("rid").agg(F.collect_list(F.struct("idx", "start", "end", "d1", "d2", "first", (F.col("ord") == F.col("first")).alias("own"))).alias("chunks")))
+           .groupBy("rid").agg(F.collect_list(F.struct("idx", "start", "end", "words", "d1", "d2", "first", (F.col("ord") == F.col("first")).alias("own"))).alias("chunks")))
     found = K.arrow_map(met, "starmart.llm.chunkdedup:run_batches",
                         "rid long, n_shared long, n_repeats long, repeat_chars long, removable_chars long, repeats string, removable string, first_docs array<long>")
     zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
