@@ -7,9 +7,11 @@ Every column is scaled by its log-count ratio between the classes; a linear hing
 model is fitted on the scaled, length-normalised rows by dual coordinate descent and its
 margin is turned into a probability on training rows the model was not fitted on.
 
-The fit uses at most ``FIT_ROWS`` labelled rows, chosen by a hash of their id, so what
-reaches the driver is bounded by ``FIT_ROWS * FEATURES`` indicators; scoring is one pass
-over all whole texts with a broadcast of ``16 * FEATURES`` bytes.
+The fit uses at most ``FIT_ROWS`` labelled rows of at most ``FIT_CHARS`` characters, chosen
+by a hash of id and text (equal rows of one id count once). A text has at most two
+indicators a character, so at most ``8 * FIT_ROWS * FIT_CHARS`` bytes reach the driver
+(512 MB; 32 MB at 3,300 characters a text). Scoring is one pass over all whole texts with
+a broadcast of ``16 * FEATURES`` bytes.
 
 Defined results: a null or empty text has no indicator and gets the model's bias; a label
 row with a null id or label, and a second label of one id, is not used; without any label
@@ -28,6 +30,7 @@ from starmart.llm import textkit as K
 
 FEATURES = 1 << 18
 FIT_ROWS = 8_000
+FIT_CHARS = 8_000              # characters of a text that may be fitted; all are scored, whole
 THRESHOLD = 0.3
 
 SHAPE = np.arange(256, dtype=np.uint8)          # punctuation stands for itself
@@ -174,14 +177,19 @@ def score_batches(batches, model):
 
 def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS):
     """Fit on labelled rows whose crc32(doc_id) mod 5 is not 0, at most ``fit_rows`` of
-    them: those with the smallest hash of the id."""
+    them: those with the smallest hash of id and text."""
     usable = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & (K.crc_mod(F.col("doc_id"), 5) != 0))
               .groupBy("doc_id").agg(F.min("quality").alias("label")))
-    chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
-    rows = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
+    text = F.col("text").cast("string")
+    rows = (docs.select("doc_id", text.alias("text"), F.xxhash64(F.col("doc_id").cast("string"), text).alias("h"))
+            .where(F.length(F.coalesce("text", F.lit(""))) <= FIT_CHARS).join(usable, "doc_id"))
+    # the keys first, without texts; then the texts of the chosen ones, each once
+    chosen = rows.select("doc_id", "h").distinct().orderBy("h", "doc_id").limit(fit_rows)
+    rows = rows.join(F.broadcast(chosen), ["doc_id", "h"]).groupBy("doc_id", "h").agg(F.min("text").alias("text"), F.min("label").alias("label"))
     t = K.arrow_map(rows.select("doc_id", "text", F.col("label").cast("int").alias("label")),
                     "starmart.llm.nbsvm:feature_batches", "doc_id long, label int, columns array<int>").toArrow()
-    t = t.sort_by([("doc_id", "ascending")]) if len(t) else t
+    order = sorted(range(len(t)), key=lambda i: (t.column("doc_id")[i].as_py(), len(t.column("columns")[i]), t.column("columns")[i].as_py()[:8]))
+    t = t.take(order) if len(t) else t
     cols = [np.asarray(r.values, np.int32) for r in t.column("columns")] if len(t) else []
     order = np.random.default_rng(3).permutation(len(cols))
     y = t.column("label").to_numpy() if len(t) else np.zeros(0, int)

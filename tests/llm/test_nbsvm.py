@@ -71,3 +71,29 @@ def test_fit_is_bounded(spark):
     labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
     m = Q.train(docs, labels, fit_rows=20)
     assert m[0].shape == m[1].shape == (Q.FEATURES,)
+
+
+def test_rows_of_one_id_stay_within_the_bound(spark, monkeypatch):
+    """Copies and rows that share a labelled id: at most fit_rows reach the driver."""
+    rows = [(1, f"text {i % 7} of one id") for i in range(3000)] + [(i, f"other text {i}") for i in range(2, 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 40)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(Q, "fit", lambda cols, y: seen.append(len(cols)))
+    Q.train(docs, labels, fit_rows=2)
+    Q.train(docs, labels)
+    assert seen[0] == 2 and 7 < seen[1] <= 7 + 39
+
+
+def test_scores_against_plain_sums(small_docs, spark):
+    """A score is the logistic curve over the length-normalised sum of the weights."""
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    model = Q.train(small_docs, labels)
+    ratio, weight, bias, slope, offset = model
+    import math
+    import pyarrow as pa
+    for r in Q.score(small_docs, model).limit(60).collect():
+        cols = Q.features(pa.array([r.text]))[0].tolist()
+        n = math.sqrt(sum(float(ratio[c])**2 for c in cols))
+        margin = (sum(float(weight[c]) for c in cols) / n if n else 0.0) + bias
+        assert abs(r.score - 1 / (1 + math.exp(-(slope * margin + offset)))) < 1e-9
