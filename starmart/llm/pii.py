@@ -34,9 +34,22 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+IBAN = re.compile(r"(?<![A-Za-z0-9])([A-Z]{2})[0-9]{2}")
+#: The length of an IBAN by country code (public registry of ISO 13616).
+IBAN_LENGTH = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "BY": 28, "CH": 21,
+    "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FO": 18, "FR": 27,
+    "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26,
+    "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "LY": 25, "MC": 27,
+    "MD": 24, "ME": 22, "MK": 19, "MR": 27, "MT": 31, "MU": 30, "NL": 18, "NO": 15, "PK": 24, "PL": 28, "PS": 29, "PT": 25,
+    "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SC": 31, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "ST": 25, "SV": 28, "TL": 23,
+    "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20,
+}
 SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 SECRET = re.compile(r"(?i:\b(?:token|api[_-]?key|secret|passw(?:or)?d|access[_-]?key)\b)[ \t]{0,3}[=:][ \t]{0,3}[\"']?([A-Za-z0-9_/+=-]{12,})")
+#: Credentials that their issuers mark: a fixed prefix and length, or the line before a key.
+MARKED = re.compile(r"(?<![A-Za-z0-9])(?:AKIA[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}"
+                    r"|eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}|-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----)(?![A-Za-z0-9])")
 DIGIT = re.compile(r"[0-9]")
 
 # kind: (prior, words that raise the score, words that lower it)
@@ -105,18 +118,39 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
+def ibans(text: str) -> list[tuple[int, int]]:
+    """Spans that start with a country code and two digits, have that country's length
+    (single blanks between characters not counted) and pass mod-97."""
+    out = []
+    for m in IBAN.finditer(text):
+        left, at = IBAN_LENGTH.get(m.group(1), 0) - 4, m.end()
+        while left > 0 and at < len(text):
+            if text[at] == " " and at + 1 < len(text) and text[at - 1] != " ":
+                at += 1
+            c = text[at]
+            if not ("0" <= c <= "9" or "A" <= c <= "Z"):
+                break
+            left, at = left - 1, at + 1
+        ends = at == len(text) or not (text[at].isascii() and text[at].isalnum())
+        if left == 0 and ends and mod97(text[m.start():at]):
+            out.append((m.start(), at))
+    return out
+
+
 def added_spans(text: str) -> list[tuple[str, int, int]]:
     """Proposals of the further kinds, before their score is taken."""
     out = []
     if DIGIT.search(text) is not None:
-        out += [("iban", m.start(), m.end()) for m in IBAN.finditer(text)
-                if 15 <= len(m.group().replace(" ", "")) <= 34 and mod97(m.group())]
+        out += [("iban", a, z) for a, z in ibans(text)]
         for m in SSN.finditer(text):
             area, group, serial = m.group().split("-")
             if area not in ("000", "666") and area < "900" and group != "00" and serial != "0000":
                 out.append(("ssn", m.start(), m.end()))
     if "=" in text or ":" in text:
         out += [("secret", m.start(1), m.end(1)) for m in SECRET.finditer(text)]
+    if "-" in text or "_" in text or "AKIA" in text or "eyJ" in text:
+        have = {(a, z) for k, a, z in out if k == "secret"}
+        out += [("secret", m.start(), m.end()) for m in MARKED.finditer(text) if not any(a < m.end() and m.start() < z for a, z in have)]
     return out
 
 

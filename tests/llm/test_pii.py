@@ -84,3 +84,19 @@ def test_redaction_takes_the_data_and_leaves_the_rest(clashing, empty):
 def test_a_long_secret_is_matched_to_its_end():
     secret = "aB3" * 700
     assert secret[-4:] not in pii.redact(f"token={secret} end", pii.find_spans(f"token={secret} end")[1])
+
+
+def test_ibans_end_where_their_country_says():
+    text = "IBAN GB82 WEST 1234 5698 7654 32 IS VALID; DE89370400440532013000. NL91ABNA0417164300X GB82WEST1234569876543"
+    assert [text[a:z] for a, z in pii.ibans(text)] == ["GB82 WEST 1234 5698 7654 32", "DE89370400440532013000"]
+    spans = [text[a:z] for k, a, z in pii.added_spans(text) if k == "iban"]
+    assert spans == ["GB82 WEST 1234 5698 7654 32", "DE89370400440532013000"]
+    assert pii.ibans("ZZ00 1234") == [] and pii.ibans("GB82") == [] and pii.ibans("GB82 ") == []
+
+
+def test_marked_credentials_need_no_key_word():
+    secrets = ["AKIA" + "A1B2" * 4, "ghp_" + "aB3" * 12, "-----BEGIN RSA PRIVATE KEY-----"]
+    text = " and ".join(secrets)
+    assert [text[a:z] for k, a, z in pii.added_spans(text) if k == "secret"] == secrets
+    once = "token = ghp_" + "aB3" * 12
+    assert [once[a:z] for k, a, z in pii.added_spans(once) if k == "secret"] == ["ghp_" + "aB3" * 12]
