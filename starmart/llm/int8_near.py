@@ -43,7 +43,9 @@ def quantise(x: np.ndarray):
 
 
 def links(x: np.ndarray, y: np.ndarray, threshold: float = THRESHOLD) -> tuple[np.ndarray, int]:
-    """Boolean matrix of cosine >= threshold, and how many pairs were recomputed."""
+    """Boolean matrix of cosine >= threshold, and how many pairs were recomputed. Vectors
+    are scaled by their largest component first, so that no square over- or underflows."""
+    x, y = (v / np.abs(v).max(axis=1, keepdims=True) for v in (x, y))
     nx, ny = np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1)
     qx, sx, ex, cx = quantise(x / nx[:, None])
     qy, sy, ey, cy = quantise(y / ny[:, None])

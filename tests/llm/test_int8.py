@@ -74,3 +74,16 @@ def test_bounds_are_rigorous_and_save_work():
 
 def test_roots():
     assert V.roots(6, np.array([5, 1, 2]), np.array([4, 2, 5])).tolist() == [0, 1, 1, 3, 1, 1]
+
+
+def test_double_vectors_of_any_norm(spark):
+    """Finite vectors whose squares over- or underflow link like their scaled copies."""
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(12, 16))
+    rows = [(i, (base[i % 12] + 0.02 * rng.normal(size=16)) * scale) for i, scale in enumerate([1e200, 1e-200, 1.0, 1e-300] * 9)]
+    docs = spark.createDataFrame([(i, [float(x) for x in v], 1) for i, v in rows], "vec_id long, embedding array<double>, label int")
+    unit = [v / np.abs(v).max() for _, v in rows]
+    near = lambda a, b: a @ b / (np.linalg.norm(a) * np.linalg.norm(b)) >= 0.93
+    ref = {i: sum(near(unit[i], unit[j]) for j in range(len(rows)) if j != i) for i, _ in rows}
+    got = {r.vec_id: r.n_links for r in V.near_duplicates(docs).collect()}
+    assert got == ref and min(got.values()) >= 2
