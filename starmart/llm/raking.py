@@ -8,7 +8,12 @@ probability 1 carries the rest of its weight in ``sample_weight``.
 
 Targets are shares by value, or an exponent: targets proportional to the observed share
 to that power. Every value takes part, however small and however many there are. One
-aggregate over the documents gives the cells, one pass draws. Up to ``MAX_VALUES`` ** 2
+aggregate over the documents gives the cells, one pass draws. Rounds go on until every
+marginal is within ``TOLERANCE`` of its target, or the largest error has not fallen by a
+hundredth for ``STALL`` rounds (further rounds would only drive weights to 0), ``ROUNDS``
+at most. Targets that cells cannot meet together (opposed, or of sources that are each one
+language) so leave an error, which is returned with every row (marginal_error, the largest
+relative one) and can be made to raise (``strict``). Up to ``MAX_VALUES`` ** 2
 cells are raked on the driver and broadcast; more stay a table that is raked by grouped
 sums and joins: the weight of a cell is the product of a factor for each of its values,
 and a step computes one marginal's factors anew.
@@ -29,7 +34,9 @@ from pyspark.sql import functions as F
 from starmart.llm.components import stored
 
 MAX_VALUES = 200               # the driver rakes at most the square of it in cells
-ROUNDS = 12
+ROUNDS, STALL = 200, 12
+TOLERANCE = 1e-14              # of every marginal, relative; nearly all that doubles allow
+TABLE_TOLERANCE = 1e-9         # where cells are raked in Spark, by three jobs a round
 BUDGET = 0.5
 #: Production targets: tempered sources and languages, topics as they are.
 TARGETS = {"source": 0.5, "lang": 0.7, "topic": 1.0}
@@ -68,24 +75,43 @@ def goals(table: dict, target, axis: int) -> dict:
     return {v: total * r / scale if scale else 0.0 for v, r in raw.items()}
 
 
-def rake(table: dict, targets: dict, rounds: int = ROUNDS) -> tuple[dict, float]:
+class RakingError(ValueError):
+    """The targets cannot be met together."""
+
+
+def marginal_error(now: dict, want: dict) -> float:
+    """The largest relative error of a marginal's values."""
+    return max((abs(now.get(v, 0.0) - goal) / goal if goal else now.get(v, 0.0) for v, goal in want.items()), default=0.0)
+
+
+def stalled(errors: list[float]) -> bool:
+    """Whether the rounds' errors have stopped falling."""
+    return len(errors) > STALL and min(errors[-STALL:]) > 0.99 * min(errors[:-STALL])
+
+
+def rake(table: dict, targets: dict, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> tuple[dict, float]:
     """(weight of each cell, largest relative error of a marginal after the last round)."""
     weight = dict.fromkeys(table, 1.0)
     want = [goals(table, targets[m], i) for i, m in enumerate(MARGINS)]
+    cells = sorted(table)
+
+    def sums(axis):
+        now = dict.fromkeys(want[axis], 0.0)
+        for cell in cells:
+            now[cell[axis]] += table[cell] * weight[cell]
+        return now
+
+    errors = [float("inf")]
     for _ in range(rounds):
         for axis in range(len(MARGINS)):
-            now = dict.fromkeys(want[axis], 0.0)
-            for cell in sorted(table):
-                now[cell[axis]] += table[cell] * weight[cell]
+            now = sums(axis)
             for cell in table:
                 n = now[cell[axis]]
                 weight[cell] = weight[cell] * want[axis][cell[axis]] / n if n else 0.0
-    worst = 0.0
-    for axis in range(len(MARGINS)):
-        for v, goal in want[axis].items():
-            n = sum(table[c] * weight[c] for c in sorted(table) if c[axis] == v)
-            worst = max(worst, abs(n - goal) / goal if goal else n)
-    return weight, worst
+        errors.append(max(marginal_error(sums(axis), want[axis]) for axis in range(len(MARGINS))))
+        if errors[-1] <= tolerance or stalled(errors):
+            break
+    return weight, errors[-1]
 
 
 def draw_rate(table: dict, weight: dict, budget: float) -> float:
@@ -103,8 +129,10 @@ def draw_rate(table: dict, weight: dict, budget: float) -> float:
     return float("inf") if left > 0 else 0.0
 
 
-def rake_cells(cells: DataFrame, targets: dict, rounds: int = ROUNDS) -> DataFrame:
-    """The stored cells with their weight: ``rake`` for any number of cells."""
+def rake_cells(cells: DataFrame, targets: dict, rounds: int = ROUNDS, tolerance: float = TABLE_TOLERANCE) -> tuple[DataFrame, float]:
+    """(the stored cells with their weight, the error): ``rake`` for any number of cells.
+    The error of a round is that of the marginals before they are scaled in it; the last
+    one scaled is met, so the error is known without a pass of its own."""
     total = cells.agg(F.sum("mix_tokens")).first()[0]
     want, factor = [], []
     for m in MARGINS:
@@ -119,18 +147,28 @@ def rake_cells(cells: DataFrame, targets: dict, rounds: int = ROUNDS) -> DataFra
         scale = seen.agg(F.sum("raw")).first()[0]
         want.append(seen.select(v, (F.col("raw") * F.lit(total / scale if scale else 0.0)).alias("goal")))
         factor.append(seen.select(v, F.lit(1.0).alias(f"f_{m}")))
-    for _ in range(rounds):
+    errors = [float("inf")]
+    for k in range(rounds + 1):
+        off = []
         for axis, m in enumerate(MARGINS):
             now, n = cells, F.col("mix_tokens")
             for i, o in enumerate(MARGINS):
                 if i != axis:
                     now, n = now.join(factor[i], f"mix_{o}"), n * F.col(f"f_{o}")
-            now = want[axis].join(now.groupBy(f"mix_{m}").agg(F.sum(n).alias("n")), f"mix_{m}")
-            factor[axis] = stored(now.select(f"mix_{m}", F.when(F.col("n") > 0, F.col("goal") / F.col("n")).otherwise(0.0).alias(f"f_{m}")), "mix-factors")
+            now = want[axis].join(now.groupBy(f"mix_{m}").agg(F.sum(n).alias("n")), f"mix_{m}").join(factor[axis], f"mix_{m}")
+            got, new = F.col("n") * F.col(f"f_{m}"), F.when(F.col("n") > 0, F.col("goal") / F.col("n")).otherwise(0.0)
+            now = stored(now.select(f"mix_{m}", new.alias("new"), F.when(F.col("goal") > 0, F.abs(got - F.col("goal")) / F.col("goal"))
+                                    .otherwise(got).alias("off")), "mix-factors")
+            off.append(now.agg(F.coalesce(F.max("off"), F.lit(0.0))).first()[0])
+            if k < rounds:
+                factor[axis] = now.select(f"mix_{m}", F.col("new").alias(f"f_{m}"))
+        errors.append(max(off))
+        if errors[-1] <= tolerance or stalled(errors):
+            break
     for m, f in zip(MARGINS, factor):
         cells = cells.join(f, f"mix_{m}")
     weight = F.col("f_source") * F.col("f_lang") * F.col("f_topic")
-    return stored(cells.select(*[f"mix_{m}" for m in MARGINS], "mix_tokens", weight.alias("w")), "mix-weights")
+    return stored(cells.select(*[f"mix_{m}" for m in MARGINS], "mix_tokens", weight.alias("w")), "mix-weights"), errors[-1]
 
 
 def draw_rate_cells(weights: DataFrame, budget: float) -> float:
@@ -150,22 +188,31 @@ def draw_rate_cells(weights: DataFrame, budget: float) -> float:
         capped, c = n, max(c, left / rest)
 
 
-def shares_of(cells: DataFrame, targets: dict, budget: float, rounds: int, most: int) -> DataFrame:
-    """Weight, probability and sample weight of every cell (p0, p1, p2)."""
+def shares_of(cells: DataFrame, targets: dict, budget: float, rounds: int, most: int, strict: bool = False) -> DataFrame:
+    """Weight, probability, sample weight and marginal_error of every cell (p0, p1, p2)."""
     spark = cells.sparkSession
+
+    def checked(error: float) -> float:
+        if strict and error > 1e-6:
+            raise RakingError(f"after {rounds} rounds a marginal is off by {error:.2%}: the targets cannot be met together")
+        return error
+
     if cells.count() <= most:
         table = {(r[0], r[1], r[2]): int(r[3]) for r in cells.collect()}
-        weight, _ = rake(table, targets, rounds)
+        weight, error = rake(table, targets, rounds)
+        checked(error)
         c = draw_rate(table, weight, budget)
-        rows = [(*cell, w, p := (min(1.0, c * w) if w else 0.0), (c * w / p if 0 < p < 1 or p == 1 and c < float("inf") else float(p > 0)))
+        rows = [(*cell, w, p := (min(1.0, c * w) if w else 0.0), (c * w / p if 0 < p < 1 or p == 1 and c < float("inf") else float(p > 0)), float(error))
                 for cell, w in sorted(weight.items())]
-        return F.broadcast(spark.createDataFrame(rows, "p0 string, p1 string, p2 string, token_weight double, probability double, sample_weight double"))
-    weights = rake_cells(cells, targets, rounds)
+        return F.broadcast(spark.createDataFrame(rows, "p0 string, p1 string, p2 string, token_weight double, probability double, sample_weight double, marginal_error double"))
+    weights, error = rake_cells(cells, targets, rounds)
+    checked(error)
     c = draw_rate_cells(weights, budget)
     w, p = F.col("token_weight"), F.col("probability")
     rate = F.when(p == 0, 0.0).otherwise(F.lit(1.0) if c == float("inf") else F.lit(c) * w / p)
     return (weights.select(*[F.col(f"mix_{m}").alias(f"p{i}") for i, m in enumerate(MARGINS)], F.col("w").alias("token_weight"))
-            .withColumn("probability", F.when(w > 0, F.least(F.lit(1.0), F.lit(c) * w)).otherwise(0.0)).withColumn("sample_weight", rate))
+            .withColumn("probability", F.when(w > 0, F.least(F.lit(1.0), F.lit(c) * w)).otherwise(0.0)).withColumn("sample_weight", rate)
+            .withColumn("marginal_error", F.lit(float(error))))
 
 
 def uniform(doc_id: Column, text: Column) -> Column:
@@ -175,18 +222,19 @@ def uniform(doc_id: Column, text: Column) -> Column:
 
 
 def mix(docs: DataFrame, targets: dict | None = None, budget: float = BUDGET, rounds: int = ROUNDS,
-        max_values: int = MAX_VALUES) -> DataFrame:
+        max_values: int = MAX_VALUES, strict: bool = False) -> DataFrame:
     """The documents with mix_source, mix_lang, mix_topic, mix_tokens, token_weight,
-    probability, sample_weight and sampled (columns of these names are replaced)."""
+    probability, sample_weight, marginal_error and sampled (columns of these names are
+    replaced)."""
     targets = targets or TARGETS
     named = with_cells(docs)
     cells = stored(named.groupBy(*[f"mix_{m}" for m in MARGINS]).agg(F.sum("mix_tokens").alias("mix_tokens")), "mix-cells")
-    shares = shares_of(cells, targets, budget, rounds, max_values**2)
-    d = named.drop("token_weight", "probability", "sample_weight", "sampled")
+    shares = shares_of(cells, targets, budget, rounds, max_values**2, strict)
+    d = named.drop("token_weight", "probability", "sample_weight", "marginal_error", "sampled")
     on = [d[f"mix_{m}"] == shares[f"p{i}"] for i, m in enumerate(MARGINS)]
     own = [d[c] for c in d.columns]
     return (d.join(shares, on, "left")
-            .select(*own, shares["token_weight"], shares["probability"], shares["sample_weight"])
+            .select(*own, *[shares[c] for c in ("token_weight", "probability", "sample_weight", "marginal_error")])
             .withColumn("sampled", uniform(F.col("doc_id"), F.col("text")) < F.col("probability")))
 
 

