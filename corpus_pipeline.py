@@ -17,15 +17,32 @@ def quality_stage(spark, docs, sf_dir):
 
 
 def near_duplicate_stage(spark, docs, sf_dir):
-    """Operator 8: of each group of linked documents the one with the smallest id stays,
-    once if its row is repeated. A null id stays only where no document with an id is
-    linked; of a group of null ids one class of equal shingle sets stays."""
+    """Operator 8: of each group of linked documents one row stays.
+
+    It is the row of the smallest id (a null id only where no linked document has one); of
+    several rows of that id the one of the first class of equal shingle sets, by hash, then
+    the text of the smallest hash, then the row whose other columns come first as JSON.
+    Documents without words are linked with nothing: all stay, equal rows once.
+
+    Decisions are made on ids and hashes. Texts meet only the exceptions (rows that go, and
+    rows that stand several times), one narrow row each, in one join."""
     c = tgm_join.join_documents(docs)
-    alone = F.col("component_id").isNull() & (F.col("cls").isNull() | (F.col("cls") == F.col("component")))
-    kept = (c.where((F.col("doc_id") == F.col("component_id")) | alone)
-            .select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_text")).distinct())
-    same = docs["doc_id"].eqNullSafe(kept["kept_id"]) & (F.xxhash64(docs["text"]) == kept["kept_text"])
-    return docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    named = (F.col("doc_id") == F.col("component_id")) | F.col("component_id").isNull()
+    best = F.min(F.when(named, F.struct("cls", "text_key"))).alias("best")
+    chosen = c.where("cls is not null").groupBy("component").agg(best).select("component", "best.*")
+    chosen = chosen.select(F.col("component").alias("of"), F.col("cls").alias("best_cls"), F.col("text_key").alias("best_key"))
+    stays = named & (F.col("cls") == F.col("best_cls")) & (F.col("text_key") == F.col("best_key"))
+    rows = (c.join(chosen, F.col("component") == F.col("of"), "left")
+            .select("doc_id", "text_key", F.when(F.col("cls").isNull(), F.lit(True)).otherwise(F.coalesce(stays, F.lit(False))).alias("stays")))
+    decided = rows.groupBy("doc_id", "text_key").agg(F.max("stays").alias("stays"), F.count(F.lit(1)).alias("times"))
+    odd = decided.where("not stays or times > 1").select(F.col("doc_id").alias("odd_id"), F.col("text_key").alias("odd_key"), "stays")
+
+    whole = docs.select(F.struct(*[docs[x] for x in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"),
+                        F.xxhash64(F.col("text").cast("string")).alias("key"))
+    met = whole.join(odd, whole["id"].eqNullSafe(odd["odd_id"]) & (whole["key"] == odd["odd_key"]), "left")
+    others = F.to_json(F.struct(*[F.col(f"row.`{x}`").alias(x) for x in docs.columns if x != "text"]))
+    again = met.where("stays").groupBy("id", "key").agg(F.min_by("row", others).alias("row"))
+    return met.where("stays is null").select("row.*").unionByName(again.select("row.*"))
 
 
 def pii_stage(spark, docs, sf_dir):
