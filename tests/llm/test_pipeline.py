@@ -1,6 +1,8 @@
 import corpus_pipeline as P
 from starmart.llm import forced_bpe, nbsvm, pii, raking
-from tests.llm.conftest import SF
+from pyspark.sql import functions as F
+
+from tests.llm.conftest import DOC, SF
 from tests.llm.test_tgm import brute, null_id_rows
 
 NAMES = ["quality", "near_duplicates", "pii", "mixing", "bpe"]
@@ -66,3 +68,24 @@ def test_near_copies_with_a_null_id_go(spark):
     assert sorted(r.doc_id for r in kept if r.doc_id is not None) == [1, 5, 7]
     texts = [r.text for r in kept if r.doc_id is None]
     assert len(texts) == 2 and rows[8][1] in texts and (rows[5][1] in texts) != (rows[6][1] in texts)
+
+
+def test_near_copies_and_repeated_rows_of_one_id(spark):
+    """One row a group: near copies that share an id, copies with other columns, null ids."""
+    words = " ".join(f"w{i}" for i in range(200))
+    near, spaced = words + " tail", words.replace("w5 ", "w5  ")
+    rows = [(1, words, "en", "b", 1), (1, near, "en", "a", 2), (1, spaced, "en", "a", 3), (2, words, "en", "a", 4),
+            (3, "quite another text of its own " * 3, "de", "y", 5), (3, "quite another text of its own " * 3, "de", "x", 6),
+            (3, "quite another text of its own " * 3, "de", "x", 6), (None, words, "en", "n", 7),
+            (None, "a null id alone with some words of its own", "fr", "n", 8), (None, "a null id alone with some words of its own", "fr", "m", 9),
+            (5, "", None, None, 0), (5, None, None, None, None), (5, "", None, None, 0)]
+    docs = spark.createDataFrame(rows, DOC)
+    for df in (docs, docs.repartition(5), docs.orderBy(F.desc("n_chars"))):
+        out = sorted(map(tuple, P.near_duplicate_stage(spark, df, SF).collect()), key=repr)
+        one = [r for r in out if r[0] in (1, 2) or r[0] is None and r[1] != rows[8][1]]
+        assert len(one) == 1 and one[0][0] == 1 and one[0] in rows
+        assert [r for r in out if r[0] == 3] == [(3, rows[4][1], "de", "x", 6)]
+        assert [r[3:] for r in out if r[0] is None] == [("m", 9)]
+        assert sorted(repr(r[1]) for r in out if r[0] == 5) == ["''", "None"]
+    first = {tuple(r) for r in P.near_duplicate_stage(spark, docs, SF).collect()}
+    assert first == {tuple(r) for r in P.near_duplicate_stage(spark, docs.repartition(3), SF).collect()}
