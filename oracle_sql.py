@@ -592,6 +592,16 @@ FROM (SELECT date_id, shipping_time_hours AS hours, shipment_value AS value FROM
   UNION ALL SELECT date_id, shipping_time_hours, shipment_value FROM sfact WHERE date_id // 10000 <> 1995)
 GROUP BY 1, 2""")
     q["shipment_summary_view"] = q["shipment_summary"]
+    q["tables_exist"] = _with(SUPPLY, body="\nUNION ALL\n".join(
+        f"SELECT '{n}' AS table_name, true AS table_exists, COUNT(*) AS row_count FROM {t}" for n, t in (
+            ("dim_time", "stime"), ("dim_products", "sproducts"), ("dim_suppliers", "ssuppliers"), ("dim_warehouses", "swarehouses"),
+            ("dim_orders", "sorders"), ("fact_shipments", "sfact"))) + "\nUNION ALL SELECT 'dim_carriers', false, NULL")
+    q["reset_tables"] = _with(SUPPLY, body="""
+SELECT 'supply.dim_products' AS table_name, COUNT(*) AS row_count, true AS schema_kept FROM sproducts
+UNION ALL SELECT 'supply.dim_orders', 0, true UNION ALL SELECT 'supply.fact_shipments', 0, true""")
+    q["default_stamps"] = _with(RAW, SUPPLY, CHANGES, body="""
+SELECT 'bronze' AS table_name, COUNT(*) AS row_count, CAST(1 AS BIGINT) AS stamps, true AS well_formed, true AS recent FROM bronze
+UNION ALL SELECT 'audit', COUNT(*), 1, true, true FROM audit""")
     q["delete_keys"] = _with(SUPPLY, CHANGES, body=f"SELECT {FACT_COLS} FROM f3")
     q["audit_update"] = _with(SUPPLY, CHANGES, body=f"SELECT {AUDIT_COLS} FROM audit WHERE operation = 'UPDATE'")
     q["audit_delete"] = _with(SUPPLY, CHANGES, body=f"SELECT {AUDIT_COLS} FROM audit WHERE operation = 'DELETE'")

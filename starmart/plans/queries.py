@@ -598,6 +598,52 @@ def q_shipment_summary_view(spark, sf_dir):
     return as_double(spark.table("shipment_summary"))
 
 
+def q_tables_exist(spark, sf_dir):
+    """Which tables of the star exist after a load, and the rows of those that do."""
+    root = scratch_path(spark, "supply-live")
+    SP.load_star(spark, sf_dir, root, natural_ids=True)
+    parts = []
+    for name in (*SP.DIMS, "fact_shipments", "dim_carriers"):
+        there = files.table_exists(spark, f"{root}/{name}")
+        df = None if not there else SP.shipments(spark, root) if name == "fact_shipments" else spark.read.parquet(f"{root}/{name}")
+        rows = df.agg(F.count(F.lit(1)).alias("row_count")) if there else spark.range(1).select(F.lit(None).cast("long").alias("row_count"))
+        parts.append(rows.select(F.lit(name).alias("table_name"), F.lit(there).alias("table_exists"), "row_count"))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def q_reset_tables(spark, sf_dir):
+    """Tables emptied by a reset keep their schema; the others keep their rows."""
+    root = scratch_path(spark, "supply-live")
+    star = SP.build_star(spark, sf_dir)
+    names = {f"supply.{n}": getattr(star, n) for n in ("dim_orders", "dim_products", "fact_shipments")}
+    for name, df in names.items():
+        files.write_replace(df, f"{root}/{name}")
+    files.reset_tables(spark, root, ["supply.fact_shipments", "supply.dim_orders"])
+    files.assert_tables(spark, root, list(names))
+    parts = []
+    for name in names:
+        df = spark.read.parquet(f"{root}/{name}")
+        same = sorted(df.columns) == sorted(f.name for f in schemas.SCHEMAS[name].fields)
+        parts.append(df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count", F.lit(same).alias("schema_kept")))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def q_default_stamps(spark, sf_dir):
+    """S3/U6 defaults: one generated batch id and load time for all rows of a run, one
+    change time and the session's user for all rows of a change batch."""
+    at = F.current_timestamp().cast("timestamp_ntz")
+    near = lambda c: F.abs(F.unix_timestamp(at) - F.unix_timestamp(c)) < 24 * 3600
+    rows = files.stamp_batch(TB.bronze(spark, sf_dir))
+    a = rows.agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct("batch_id", "load_timestamp").alias("stamps"),
+                 F.bool_and(F.col("batch_id").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")).alias("well_formed"),
+                 F.bool_and(near("load_timestamp")).alias("recent")).select(F.lit("bronze").alias("table_name"), "*")
+    log = U.stamp_audit(SP.apply_change_batch_one_pass(SP.fact_with_ids(spark, sf_dir))[1])
+    b = log.agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct("changed_at", "changed_by").alias("stamps"),
+                F.bool_and(F.length("changed_by") > 0).alias("well_formed"),
+                F.bool_and(near("changed_at")).alias("recent")).select(F.lit("audit").alias("table_name"), "*")
+    return a.unionByName(b)
+
+
 def q_audit_update(spark, sf_dir):
     return as_double(_batch(spark, sf_dir).audit.filter(F.col("operation") == "UPDATE"))
 
@@ -665,6 +711,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "change_batches_audit": q_change_batches_audit,
     "change_one_year": q_change_one_year,
     "shipment_summary_view": q_shipment_summary_view,
+    "tables_exist": q_tables_exist,
+    "reset_tables": q_reset_tables,
+    "default_stamps": q_default_stamps,
     # supply star
     "dim_time": q_dim_time,
     "quantity_by_category": q_quantity_by_category,

@@ -106,9 +106,21 @@ def shared_root(spark: SparkSession) -> str:
         return local
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder of written intermediates."""
+    return f"{shared_root(spark)}/starmart/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared root for one written intermediate."""
-    return f"{shared_root(spark)}/starmart/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all intermediates of this application. Call it when the results that read
+    them are written; a lazy result still needs its intermediates."""
+    from starmart.sources.versions import drop_path
+    drop_path(spark, scratch_root(spark))
 
 
 @contextmanager
