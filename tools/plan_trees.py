@@ -31,12 +31,14 @@ def tree(df) -> str:
 
 def main():
     from starmart.operators import clean as C
+    from starmart.operators import joins as J
+    from starmart.operators import quality as Q
     from starmart.plans import retail as R
     from starmart.plans import retail_job as RP
     from starmart.plans import supply as SR
     from starmart.plans import supply_job as SP
     from starmart.session import build_session
-    from starmart.sources import files, versions
+    from starmart.sources import files, keyed, versions
     from starmart.sources import testbed as TB
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
@@ -56,14 +58,25 @@ def main():
     s = f"{work}/supply"
     sf = spark.read.parquet(f"{s}/fact_shipments/v=1")
     after, audit = SP.apply_change_batch_one_pass(sf)
+    facts = SP.facts_path(s)
+    now = versions.read_current(spark, facts)
     shown = {
         "Bronze -> Silver transactions (cleaning with step counts, as the job runs it)": C.silver_transactions(C.clean_observed(bronze)[0]),
-        "Fact key resolution (two lookups, sentinel salted)": R.fact_sales(tx, dp, dc),
+        "Fact key resolution (two lookups, measured heavy keys salted)": R.fact_sales(
+            tx, dp, dc, heavy=J.heavy_keys(tx, ["stock_code", "raw_customer_id"])),
         "revenue_by_country over Gold": R.revenue_by_country(fact, dc),
         "supplier_yoy over the supply star": SR.supplier_yoy(
-            versions.read_current(spark, f"{s}/fact_shipments"), spark.read.parquet(f"{s}/dim_suppliers"),
+            SP.shipments(spark, s), spark.read.parquet(f"{s}/dim_suppliers"),
             spark.read.parquet(f"{s}/dim_time")),
         "change batch: fact rewrite (one join)": after,
+        "change batch: audit rows": audit,
+        "live batch: years touched (ids of the fact, semi-join)": now.select("shipment_id", SP.YEAR).join(
+            sf.where("shipment_id % 60 = 0").select("shipment_id"), "shipment_id", "left_semi").select(SP.YEAR).distinct(),
+        "live batch: the rows of one touched year (other years are not listed)": versions.read_commit(
+            spark, facts, versions.latest(spark, facts), [f"{SP.YEAR}=1995"]).where("quantity > 0"),
+        "load: fact with the rules counted by its write": Q.ObservedRules(SP.build_star(spark, sf_dir).fact_shipments, "supply.fact_shipments").rows,
+        "keys of a new day against a stored filter": keyed.probes(sf.select("shipment_id"), "shipment_id").join(
+            keyed.key_filter(sf.where("shipment_id % 2 = 0"), "shipment_id"), "word"),
     }
     print(f"\n## Operator trees ({os.path.basename(sf_dir)}, tables written by the jobs)\n")
     for title, df in shown.items():
