@@ -46,6 +46,7 @@ from starmart.llm.components import components, stored
 
 NUM, DEN = 80, 100             # link: DEN * intersection >= NUM * union
 CHUNK = 64                     # members of a group
+SLICE = 1000                   # queries of a group that one worker takes
 BAND = 0.1                     # sizes of a group's sets lie within a factor e**BAND
 HASHES = 4
 WORDS = 1 << 22                # bound of the word counts sent to workers, 16 bytes each
@@ -199,10 +200,10 @@ def folded(bits: np.ndarray, size: int) -> np.ndarray:
 
 
 def allow_batches(batches):
-    """Worker over partitions sorted by (gid, kind): members (kind 0) and queries (kind 1)
+    """Worker over partitions sorted by (part, kind): members (kind 0) and queries (kind 1)
     as bitmaps. Returns (gid, kind, cls) of the queries whose bitmaps allow a link with a
     member and of the members that some query may link with, not their pairs."""
-    gid, members, out, met = None, [], [], None
+    part, gid, members, out, met = None, None, [], [], None
     stack: dict = {}
 
     def close():
@@ -213,10 +214,10 @@ def allow_batches(batches):
         return pa.record_batch([pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.int64()))], names=["gid", "kind", "cls"])
 
     for b in batches:
-        for g, kind, c, grp, n, bits in zip(*(b.column(x).to_pylist() for x in ("gid", "kind", "cls", "grp", "n", "bits"))):
-            if g != gid:
+        for p, g, kind, c, grp, n, bits in zip(*(b.column(x).to_pylist() for x in ("part", "gid", "kind", "cls", "grp", "n", "bits"))):
+            if p != part:
                 close()
-                gid, members, stack, met = g, [], {}, None
+                part, gid, members, stack, met = p, g, [], {}, None
             row = np.frombuffer(bits, np.uint8)[None, :]
             if kind == 0:
                 members.append((c, grp, n, row))
@@ -245,11 +246,11 @@ def allow_batches(batches):
 
 
 def open_batches(batches):
-    """Worker over partitions sorted by (gid, kind): members (kind 0) of a group come
-    first, then its queries (kind 1). Returns (a, b) links of queries to members: those
-    that connect two components (``grp``) which the group's earlier links do not, so never
+    """Worker over partitions sorted by (part, kind): members (kind 0) of a slice of a group
+    come first, then its queries (kind 1). Returns (a, b) links of queries to members: those
+    that connect two components (``grp``) which the slice's earlier links do not, so never
     more than its members and queries."""
-    gid, names, owners, sets, union = None, [], [], [], None
+    part, names, owners, sets, union = None, [], [], [], None
     owner = tokens = sizes = None
     links: list[tuple[int, int]] = []
     parent: dict[int, int] = {}
@@ -263,10 +264,10 @@ def open_batches(batches):
     for b in batches:
         flat = b.column("tokens")
         values, offs = flat.values.to_numpy().view(np.uint64), flat.offsets.to_numpy()
-        for i, (g, kind, c, grp) in enumerate(zip(*(b.column(n).to_pylist() for n in ("gid", "kind", "cls", "grp")))):
+        for i, (p, kind, c, grp) in enumerate(zip(*(b.column(n).to_pylist() for n in ("part", "kind", "cls", "grp")))):
             s = values[offs[i]:offs[i + 1]]
-            if g != gid:
-                gid, names, owners, sets, union = g, [], [], [], None
+            if p != part:
+                part, names, owners, sets, union = p, [], [], [], None
                 parent.clear()
             if kind == 0:
                 names.append(c)
@@ -302,22 +303,30 @@ def open_batches(batches):
         yield pa.record_batch([pa.array(x, pa.int64()) for x in zip(*links)], names=["a", "b"])
 
 
+def dealt(members: DataFrame, queries: DataFrame, payload: DataFrame, *columns: str) -> DataFrame:
+    """Members (kind 0) and queries (kind 1) of groups with their payload by class, sorted
+    for a worker: a group's queries are dealt to slices of about ``SLICE``, and its members,
+    at most CHUNK or so, copied to each, so that a group many ask is not one task's. ``part``
+    names a slice of a group."""
+    many = queries.groupBy("gid").agg(F.ceil(F.count(F.lit(1)) / SLICE).cast("int").alias("slices")).where("slices > 1")
+    n = F.coalesce("slices", F.lit(1))
+    q = queries.join(many, "gid", "left").withColumn("slice", F.pmod(F.xxhash64("cls", F.lit(9)), n).cast("int")).withColumn("kind", F.lit(1))
+    m = members.join(many, "gid", "left").withColumn("slice", F.explode(F.sequence(F.lit(0), n - 1))).withColumn("kind", F.lit(0))
+    rows = (m.drop("slices").unionByName(q.drop("slices")).withColumn("part", F.xxhash64("gid", "slice"))
+            .join(payload, "cls").select("part", "gid", "kind", "cls", "grp", *columns))
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, "part").sortWithinPartitions("part", "kind")
+
+
 def opened(members: DataFrame, queries: DataFrame, sets: DataFrame) -> DataFrame:
     """Links between queries (gid, cls, grp) and the members (gid, cls, grp) of their groups."""
-    rows = (members.withColumn("kind", F.lit(0)).unionByName(queries.withColumn("kind", F.lit(1)))
-            .join(sets, "cls").select("gid", "kind", "cls", "grp", "tokens"))
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartition(parts, "gid").sortWithinPartitions("gid", "kind")
-    return K.arrow_map(dealt, "starmart.llm.tgm_join:open_batches", "a long, b long")
+    return K.arrow_map(dealt(members, queries, sets, "tokens"), "starmart.llm.tgm_join:open_batches", "a long, b long")
 
 
 def allowed(members: DataFrame, queries: DataFrame, bits: DataFrame) -> DataFrame:
-    """(gid, kind, cls): members and queries whose bitmaps allow a link."""
-    rows = (members.withColumn("kind", F.lit(0)).unionByName(queries.withColumn("kind", F.lit(1)))
-            .join(bits, "cls").select("gid", "kind", "cls", "grp", "n", "bits"))
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartition(parts, "gid").sortWithinPartitions("gid", "kind")
-    return K.arrow_map(dealt, "starmart.llm.tgm_join:allow_batches", "gid long, kind int, cls long")
+    """(gid, kind, cls): members and queries whose bitmaps allow a link, each once."""
+    rows = dealt(members, queries, bits, "n", "bits")
+    return K.arrow_map(rows, "starmart.llm.tgm_join:allow_batches", "gid long, kind int, cls long").distinct()
 
 
 def prefix_rows(batch):

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from starmart.llm import textkit as K
 from starmart.llm import tgm_join as J
@@ -74,13 +75,36 @@ def made_rows():
     return rows
 
 
-def test_against_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize("slice_", [J.SLICE, 3])
+def test_against_brute_force(spark, monkeypatch, slice_):
+    """Also with the queries of a group dealt to many slices."""
     monkeypatch.setattr(J, "CHUNK", 16)
+    monkeypatch.setattr(J, "SLICE", slice_)
     rows = made_rows()
     out = J.join_documents(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in out.collect()), key=repr) == brute(rows)
 
 
+def test_a_group_many_ask_is_dealt_to_slices(spark, monkeypatch):
+    """2,000 near copies of one text: no task has more than 3 times the median of the rows."""
+    monkeypatch.setattr(J, "SLICE", 50)
+    rng = random.Random(1)
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(words[:50] + [rng.choice(words) + str(rng.randrange(50)) for _ in range(2)])) for i in range(2000)]
+    seen = []
+    real = J.dealt
+
+    def watch(*args):
+        df = real(*args)
+        seen.append(sorted(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()))
+        return df
+    monkeypatch.setattr(J, "dealt", watch)
+    out = J.join_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.component_id for r in out} == {0}
+    first = seen[0]
+    assert sum(first) > 1500 and first[-1] <= 3 * first[len(first) // 2] and len(first) >= 6
+
+
 def null_id_rows():
     """Near copies with null ids, a bridge through one, and a group of null ids only."""
     rng = random.Random(11)
