@@ -117,7 +117,7 @@ def test_query_against_sql_with_rare_sources(spark, tmp_path):
     from starmart.llm.queries import op1_raking
     from starmart.llm.sql import LLM_SQL
     from tests.oracle_check import compare
-    rows = [(i, "word " * (3 + i % 7), "en" if i % 3 else "de", f"s{i % 300}", 20) for i in range(900)]
+    rows = [(i, "word " * (3 + i % 7), "en" if (i // 300 + i) % 3 else "de", f"s{i % 300}", 20) for i in range(900)]
     rows += [(i, "word " * 90, "en" if i % 3 else "de", "big", 500) for i in range(900, 960)]
     spark.createDataFrame(rows, DOC).write.parquet(f"{tmp_path}/documents.parquet")
     df = op1_raking(spark, str(tmp_path))
