@@ -16,7 +16,7 @@ from starmart import schemas
 from starmart.functions.text import na_to_null
 from starmart.sources import files
 
-_BAD, _FILE, _REASON = "_corrupt_line", "_source_file", "_reject_reason"
+LINE, FILE, REASON = "_corrupt_line", "_source_file", "_reject_reason"
 #: Commas outside quoted fields separate fields.
 _COMMA = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
@@ -31,13 +31,13 @@ def read_with_reasons(spark: SparkSession, path: str, columns: list[str] | None
     record is malformed, and why it is rejected (null: it is not)."""
     cols = columns or schemas.RAW_CSV_COLUMNS
     header = files.csv_header(spark, path, encoding)
-    schema = ", ".join([*(f"`{c}` STRING" for c in header), f"{_BAD} STRING"])
+    schema = ", ".join([*(f"`{c}` STRING" for c in header), f"{LINE} STRING"])
     df = (spark.read.schema(schema).option("header", True).option("encoding", encoding)
           .option("quote", '"').option("escape", '"').option("enforceSchema", False).option("multiLine", multi_line)
-          .option("columnPruning", False).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _BAD).csv(path))
-    named = df.select(*[na_to_null(F.col(f"`{c}`")).alias(n) for c, n in files.by_header(header, cols).items()], F.col(_BAD),
-                      F.col("_metadata.file_path").alias(_FILE))
-    return named.withColumn(_REASON, reason(F.col(_BAD), len(header)))
+          .option("columnPruning", False).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", LINE).csv(path))
+    named = df.select(*[na_to_null(F.col(f"`{c}`")).alias(n) for c, n in files.by_header(header, cols).items()], F.col(LINE),
+                      F.col("_metadata.file_path").alias(FILE))
+    return named.withColumn(REASON, reason(F.col(LINE), len(header)))
 
 
 def reason(bad: Column, fields: int) -> Column:
@@ -54,15 +54,15 @@ def reason(bad: Column, fields: int) -> Column:
 
 def accepted(rows: DataFrame) -> DataFrame:
     """The records to load."""
-    return rows.where(F.col(_REASON).isNull()).drop(_BAD, _FILE, _REASON)
+    return rows.where(F.col(REASON).isNull()).drop(LINE, FILE, REASON)
 
 
 def rejected(rows: DataFrame) -> DataFrame:
     """(file, line, reason) of the others; a record whose fields are sound but not its
     values is written again as a line."""
-    fields = [c for c in rows.columns if c not in (_BAD, _FILE, _REASON)]
-    line = F.coalesce(F.col(_BAD), F.to_csv(F.struct(*fields)))
-    return rows.where(F.col(_REASON).isNotNull()).select(F.element_at(F.split(_FILE, "/"), -1).alias("file"), line.alias("line"), F.col(_REASON).alias("reason"))
+    fields = [c for c in rows.columns if c not in (LINE, FILE, REASON)]
+    line = F.coalesce(F.col(LINE), F.to_csv(F.struct(*fields)))
+    return rows.where(F.col(REASON).isNotNull()).select(F.element_at(F.split(FILE, "/"), -1).alias("file"), line.alias("line"), F.col(REASON).alias("reason"))
 
 
 class CountedLoad:
@@ -71,7 +71,7 @@ class CountedLoad:
     def __init__(self, rows: DataFrame, tolerance: float):
         self.source, self.tolerance = rows, tolerance
         self.seen = Observation("records")
-        bad = F.col(_REASON).isNotNull()
+        bad = F.col(REASON).isNotNull()
         self.rows = accepted(rows.observe(self.seen, F.count(F.lit(1)).alias("records"), F.count_if(bad).alias("rejected")))
 
     def finish(self, reject_path: str) -> dict:

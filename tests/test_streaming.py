@@ -41,3 +41,20 @@ def test_short_rows_fail_and_a_fresh_checkpoint_is_refused(spark, tmp_root):
     with pytest.raises(Exception):
         ingest_landing(spark, land, bronze, ck)
     assert spark.read.parquet(bronze).count() == 1
+
+
+def test_bad_records_of_a_stream_are_set_aside(spark, tmp_root):
+    land, bronze, ck, bad = f"{tmp_root}/landing", f"{tmp_root}/bronze", f"{tmp_root}/ck", f"{tmp_root}/rejects"
+    os.makedirs(land)
+    good = [f"{i},A,Mug,2,2010-12-01,1.50,17850.0,France\n" for i in range(8)]
+    write(f"{land}/day1.csv", good + ["90,B\n", "91,C,d,many,2010-12-01,1,1,UK\n"])
+    assert ingest_landing(spark, land, bronze, ck, tolerate_rejects=0.2, reject_dir=bad) == 1
+    assert spark.read.parquet(bronze).count() == 8
+    got = {(r.file, r.line, r.reason) for r in spark.read.parquet(bad).collect()}
+    assert got == {("day1.csv", "90,B", "too few fields: 2 of 8"), ("day1.csv", "91,C,d,many,2010-12-01,1,1,UK", "quantity is no whole number: many")}
+    write(f"{land}/day2.csv", ["3,C,Cup,1,2010-12-02,3.00,12,Spain\n", "4\n"])
+    with pytest.raises(Exception, match="1 of 2 records rejected"):
+        ingest_landing(spark, land, bronze, ck, tolerate_rejects=0.2, reject_dir=bad)
+    assert spark.read.parquet(bronze).count() == 8
+    assert ingest_landing(spark, land, bronze, ck, tolerate_rejects=0.5, reject_dir=bad) == 1      # the same files, a wider tolerance
+    assert spark.read.parquet(bronze).count() == 9 and spark.read.parquet(bad).count() == 3
