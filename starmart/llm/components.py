@@ -16,9 +16,10 @@ from starmart.session import scratch_path
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The frame written once to the shared folder and read back: later jobs do not
-    recompute it and a lost executor costs no lineage."""
+    recompute it and a lost executor costs no lineage. Digests and texts take less room
+    under zstd than under the session's default."""
     where = scratch_path(df.sparkSession, name)
-    df.write.parquet(where)
+    df.write.option("compression", "zstd").parquet(where)
     return df.sparkSession.read.schema(df.schema).parquet(where)
 
 
