@@ -8,7 +8,8 @@ the ids of fragments and pre-tokens it has met, up to a fixed number of entries.
 
 Defined results: a null or empty text has no ids and decodes to the empty text; the
 string of an added token in a text becomes its one id, as the tokenizers library does;
-repeated rows repeat their result; texts of any length are encoded whole.
+repeated rows repeat their result; texts of any length are encoded whole; an empty table
+gives an empty result; further columns are kept as they are.
 """
 
 from __future__ import annotations

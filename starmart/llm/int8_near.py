@@ -16,7 +16,8 @@ label only has more tiles.
 Defined results: vectors that are null, zero, of no component, or hold a null or
 non-finite component, and rows with a null label, link with nothing; vectors of unequal
 lengths do not link. Repeated rows are vectors of their own and link with each other. A
-row with a null id is kept; it counts as a link and never names a component.
+row with a null id is kept; it counts as a link and never names a component. An empty
+table gives an empty result; further columns are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -16,7 +16,9 @@ a broadcast of ``16 * FEATURES`` bytes.
 Defined results: a null or empty text has no indicator and gets the model's bias; a label
 row with a null id or label, and a second label of one id, is not used; without any label
 of one class every score is the share of label 1 (0.5 without labels). Repeated documents
-repeat their score. Labels, language, source and id never enter a score.
+repeat their score. Long texts are scored whole; an empty table gives an empty result;
+further columns are kept, but one named score is replaced. Labels, language, source and id
+never enter a score.
 """
 
 from __future__ import annotations

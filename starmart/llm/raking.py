@@ -22,7 +22,8 @@ Everything is DataFrame functions. Defined results: a null source, language or t
 the value ``(none)`` or the empty text; an empty text weighs 0 tokens and is drawn like
 its cell; a value without a target gets none of the weight (probability 0); a target of a
 value that no document has is dropped and the others fill it; equal ids draw alike, and a
-null id draws by its text. An empty table gives an empty result. Clashing extra columns
+null id draws by its text. Long texts are counted whole. An empty table gives an empty
+result. Clashing extra columns
 are kept as they are: the operator's own live under the names it returns.
 """
 

@@ -31,7 +31,9 @@ with the square of a group of copies. Workers hold one group and one query at a
 Defined results: a null, empty or blank text has an empty set and is its own component;
 with fewer than five words the whole sequence is the one token; repeated rows and equal
 sets share a component; a null id links like any other and is only left out of naming (a
-component of null ids only has a null id). Other columns are not read.
+component of null ids only has a null id). A long text is hashed whole, in a slice of its
+own; an empty table gives an empty result. Other columns are not read, whatever their
+names.
 """
 
 from __future__ import annotations

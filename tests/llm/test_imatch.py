@@ -21,11 +21,11 @@ def brute(rows):
 
 
 @pytest.mark.parametrize("parts", [1, 5])
-def test_edited_texts_follow_the_next_document(spark, small_docs, edge, parts):
+def test_edited_texts_follow_the_next_document(spark, small_docs, edge, clashing, parts):
     old = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", parts)
     try:
-        for docs in (small_docs, edge, edge.limit(1)):
+        for docs in (small_docs, edge, clashing, edge.limit(1)):
             rows = [(r.doc_id, r.text) for r in docs.collect()]
             out = I.fingerprint_documents(docs).collect()
             assert sorted(((r.doc_id, r.n_chars, r.edited_sha256) for r in out), key=repr) == brute(rows)
