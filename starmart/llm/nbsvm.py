@@ -184,9 +184,9 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS):
               .groupBy("doc_id").agg(F.min("quality").alias("label")))
     text = F.col("text").cast("string")
     rows = (docs.select("doc_id", text.alias("text"), F.xxhash64(F.col("doc_id").cast("string"), text).alias("h"))
-            .where(F.length(F.coalesce("text", F.lit(""))) <= FIT_CHARS).join(usable, "doc_id"))
-    # the keys first, without texts; then the texts of the chosen ones, each once
-    chosen = rows.select("doc_id", "h").distinct().orderBy("h", "doc_id").limit(fit_rows)
+            .where(F.length(F.coalesce("text", F.lit(""))) <= FIT_CHARS))
+    # the keys with their labels first, without texts; then the texts of the chosen ones, each once
+    chosen = rows.select("doc_id", "h").join(usable, "doc_id").distinct().orderBy("h", "doc_id").limit(fit_rows)
     rows = rows.join(F.broadcast(chosen), ["doc_id", "h"]).groupBy("doc_id", "h").agg(F.min("text").alias("text"), F.min("label").alias("label"))
     t = K.arrow_map(rows.select("doc_id", "text", F.col("label").cast("int").alias("label")),
                     "starmart.llm.nbsvm:feature_batches", "doc_id long, label int, columns array<int>").toArrow()
