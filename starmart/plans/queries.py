@@ -122,7 +122,7 @@ def q_rejected_records(spark, sf_dir):
     """Short and long records and unreadable values planted in the feed; each is set
     aside with its line and reason, the others are loaded."""
     root = scratch_path(spark, "rejects")
-    TB.feed_with_bad_records(TB.raw_source(spark, sf_dir)).write.text(f"{root}/landing")
+    TB.write_lines(TB.feed_with_bad_records(TB.raw_source(spark, sf_dir)), f"{root}/landing")
     RP.ingest(spark, f"{root}/landing", root, "batch-1", STAMP_TIME, SNAPSHOT_DAY, in_place=True, tolerate_rejects=0.2)
     loaded = RP.bronze(spark, root, SNAPSHOT_DAY, in_place=True)
     return (RP.rejects(spark, root).select("line", "reason", F.lit(1).alias("records"))

@@ -228,8 +228,8 @@ def shipments_with_idle_years(fact: DataFrame) -> DataFrame:
 
 
 def feed_with_bad_records(raw: DataFrame) -> DataFrame:
-    """The retail feed as CSV lines under a header of each file, of which some are short,
-    long, or hold a quantity or price that is no number."""
+    """The retail feed as CSV lines in one column, named by their header, of which some are
+    short, long, or hold a quantity or price that is no number."""
     cols = ["InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDate", "UnitPrice", "CustomerID", "Country"]
     n = F.abs(F.col("Quantity").cast("int"))
     f = {c: F.coalesce(F.trim(c), F.lit("")) for c in cols}
@@ -237,5 +237,11 @@ def feed_with_bad_records(raw: DataFrame) -> DataFrame:
     f["UnitPrice"] = F.when(n == 47, F.lit("cheap")).otherwise(f["UnitPrice"])
     line = F.concat_ws(",", *[f[c] for c in cols])
     line = F.when(n == 50, F.concat_ws(",", f["InvoiceNo"], f["StockCode"])).when(n == 46, F.concat(line, F.lit(",till 7"))).otherwise(line)
-    head = raw.sparkSession.createDataFrame([(",".join(cols),)], "value string")
-    return head.unionByName(raw.select(line.alias("value"))).coalesce(1)
+    return raw.select(line.alias(",".join(cols)))
+
+
+def write_lines(lines: DataFrame, path: str) -> None:
+    """Write a column of text lines as they are, under its name as the first line of every
+    file: each task writes its own file, and no line has to come before another's."""
+    (lines.write.option("header", True).option("sep", "\u0001").option("quote", "")
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
