@@ -58,9 +58,18 @@ def retail_silver(spark: SparkSession, sf_dir: str):
     return C.silver_transactions(cleaned), C.silver_products(cleaned), C.silver_customers(cleaned)
 
 
+def staged_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned rows, cleaned and written once, for what reads them several times."""
+    return C.stage_cleaned(C.clean(TB.bronze(spark, sf_dir)), scratch_path(spark, "cleaned"))
+
+
+def staged_silver(spark: SparkSession, sf_dir: str):
+    cleaned = staged_cleaned(spark, sf_dir)
+    return C.silver_transactions(cleaned), C.silver_products(cleaned), C.silver_customers(cleaned)
+
+
 def retail_star(spark: SparkSession, sf_dir: str) -> R.RetailStar:
-    tx, products, customers = retail_silver(spark, sf_dir)
-    return R.build_star(tx, products, customers)
+    return R.build_star(*staged_silver(spark, sf_dir))
 
 
 def q_top_products(spark, sf_dir):
@@ -274,7 +283,7 @@ def q_resolve_keys(spark, sf_dir):
 
 def q_resolve_keys_measured(spark, sf_dir):
     """J3 with the heavy keys of both columns measured, not declared."""
-    tx, products, customers = retail_silver(spark, sf_dir)
+    tx, products, customers = staged_silver(spark, sf_dir)
     heavy = J.heavy_keys(tx, ["stock_code", "raw_customer_id"])
     return as_double(R.fact_sales(tx, R.dim_products(products), R.dim_customers(customers), heavy=heavy))
 
@@ -350,8 +359,8 @@ def _ruled_tables(spark, sf_dir):
     """Every table with declared rules, as the jobs build it; Bronze and the shipment fact
     with planted breaks."""
     bronze = TB.bronze(spark, sf_dir)
-    r = retail_star(spark, sf_dir)
-    tx, products, customers = retail_silver(spark, sf_dir)
+    tx, products, customers = staged_silver(spark, sf_dir)
+    r = R.build_star(tx, products, customers)
     s = SP.build_star(spark, sf_dir)
     return {
         "bronze.raw_transactions": TB.bronze_with_long_text(bronze),
@@ -383,12 +392,9 @@ def q_declared_keys(spark, sf_dir):
 
 
 def _layers(spark, sf_dir):
-    bronze = TB.bronze(spark, sf_dir)
-    cleaned = C.clean(bronze)
-    tx = C.silver_transactions(cleaned)
-    fact = R.fact_sales(tx, R.dim_products(C.silver_products(cleaned)),
-                        R.dim_customers(C.silver_customers(cleaned)))
-    return QC.layer_counts(bronze, tx, fact)
+    tx, products, customers = staged_silver(spark, sf_dir)
+    fact = R.fact_sales(tx, R.dim_products(products), R.dim_customers(customers))
+    return QC.layer_counts(TB.bronze(spark, sf_dir), tx, fact)
 
 
 def q_layer_counts(spark, sf_dir):

@@ -43,12 +43,14 @@ def fact_sales(silver_tx: DataFrame, products: DataFrame, customers: DataFrame,
                hot_customers: tuple = (CUSTOMER_SENTINEL,), heavy: dict | None = None) -> DataFrame:
     """J3 twice, then P12 (fact column order). Left joins keep unresolved rows visible.
     ``heavy``: measured heavy keys of both columns instead of the declared sentinel."""
+    # customers first: their salt is a hash of the row, taken in the scan; after another join
+    # every column would cross that join's exchange for it, also those a report never reads
     if heavy is not None:
-        f = resolve_keys(silver_tx, products, "stock_code", "product_id", salts=heavy["stock_code"])
-        f = resolve_keys(f, customers, "raw_customer_id", "customer_id", salts=heavy["raw_customer_id"])
+        f = resolve_keys(silver_tx, customers, "raw_customer_id", "customer_id", salts=heavy["raw_customer_id"])
+        f = resolve_keys(f, products, "stock_code", "product_id", salts=heavy["stock_code"])
         return f.select(*FACT_COLUMNS)
-    f = resolve_keys(silver_tx, products, "stock_code", "product_id")
-    f = resolve_keys(f, customers, "raw_customer_id", "customer_id", hot_values=hot_customers)
+    f = resolve_keys(silver_tx, customers, "raw_customer_id", "customer_id", hot_values=hot_customers)
+    f = resolve_keys(f, products, "stock_code", "product_id")
     return f.select(*FACT_COLUMNS)
 
 

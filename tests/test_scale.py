@@ -27,3 +27,42 @@ def test_every_file_of_a_feed_with_bad_records_has_the_header(spark, tmp_root):
     assert got == {"records": 110, "rejected": 50}
     reasons = RP.rejects(spark, tmp_root).groupBy(F.split("reason", ":")[0].alias("r")).count().collect()
     assert {r["r"]: r["count"] for r in reasons} == {"too few fields": 10, "too many fields": 10, "price is no number": 10, "quantity is no whole number": 20}
+
+
+def tables(spark, path, orders=40, lines=3):
+    """Driver tables of own rows: every order has ``lines`` lines."""
+    put = lambda name, rows, schema: spark.createDataFrame(rows, schema).write.parquet(f"{path}/{name}.parquet")
+    put("nation", [(0, "A", 0), (1, "B", 0)], "n_nationkey int, n_name string, n_regionkey int")
+    put("customer", [(c, c % 2) for c in range(10)], "c_custkey long, c_nationkey int")
+    put("orders", [(o, o % 10) for o in range(orders)], "o_orderkey long, o_custkey long")
+    put("part", [(p, f"thing {p}", 1.5 + p) for p in range(20)], "p_partkey long, p_name string, p_retailprice double")
+    put("lineitem", [(o, (o * 7 + n) % 20, 1.0 + n, "R" if o % 9 == 0 else "N", f"199{o % 9}-03-01") for o in range(orders) for n in range(lines)],
+        "l_orderkey long, l_partkey long, l_quantity double, l_returnflag string, l_shipdate string")
+    return path
+
+
+def test_a_star_cleans_its_source_once(spark, tmp_root):
+    from starmart.plans.queries import retail_silver, retail_star
+    from starmart.plans import retail as R
+    sf = tables(spark, f"{tmp_root}/sf")
+    fact = retail_star(spark, sf).fact_sales
+    assert "lineitem" not in fact._jdf.queryExecution().toString()        # a scan of the stored cleaned rows
+    lazy = R.build_star(*retail_silver(spark, sf)).fact_sales
+    assert sorted(map(str, fact.collect())) == sorted(map(str, lazy.collect())) and fact.count() > 0
+
+
+def test_a_report_carries_only_its_own_columns_through_the_key_joins(spark, tmp_root):
+    from starmart.plans.queries import retail_star
+    s = retail_star(spark, tables(spark, f"{tmp_root}/sf"))
+    df = s.fact_sales.groupBy("product_id").agg(F.sum("total_value"))
+    text = df._jdf.queryExecution().optimizedPlan().toString()
+    top = text[:text.index("xxhash64")]                                   # above the salt
+    assert "invoice_no" not in top and "unit_price" not in top
+
+
+def test_partitions_of_the_wide_rows_are_not_merged(spark, tmp_root):
+    """Memory of a task follows its rows, not the size of the narrow rows they are built of."""
+    df = TB.raw_source(spark, tables(spark, f"{tmp_root}/sf"))
+    text = df._jdf.queryExecution().executedPlan().toString()
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert f"hashpartitioning(o_orderkey" in text and f", {n}), REPARTITION_BY_NUM" in text
