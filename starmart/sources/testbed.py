@@ -32,6 +32,7 @@ CUSTOMER_NULL_MOD = 4    # customer id missing
 DUPLICATE_MOD = 97       # whole order lines delivered twice
 REVISED_MOD = 5          # description revised from a date on
 REVISED_FROM = "1998-01-01"
+TASKS_A_SPLIT = 8       # partitions of the wide rows for each split of the scanned lines
 WAREHOUSES = 25          # shipments spread over the 25 nations as warehouses
 
 
@@ -56,10 +57,10 @@ def raw_source(spark: SparkSession, sf_dir: str) -> DataFrame:
                      .select("o_orderkey", "o_custkey", "n_name"))
     # The last join's tasks also build the wide rows and start their dedup. AQE would merge
     # its partitions by the size of the narrow, compressed rows, to millions of rows a task;
-    # partitions by number are left as they are, and the other side follows them.
-    order_country = order_country.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "o_orderkey")
-    j = (li.join(part, li.l_partkey == part.p_partkey)
-         .join(order_country, li.l_orderkey == order_country.o_orderkey))
+    # partitions by number are left as they are.
+    n = min(int(spark.conf.get("spark.sql.shuffle.partitions")), TASKS_A_SPLIT * li.rdd.getNumPartitions())
+    j = (li.join(part, li.l_partkey == part.p_partkey).repartition(n, "l_orderkey")
+         .join(order_country.repartition(n, "o_orderkey"), li.l_orderkey == order_country.o_orderkey))
 
     pk = F.col("l_partkey")
     is_return = F.col("l_returnflag") == "R"
