@@ -262,7 +262,7 @@ def change_table(adjustments: DataFrame, updates: DataFrame, deletes: DataFrame,
 
 def staged(df: DataFrame, path: str) -> DataFrame:
     """The frame written under ``path`` and read back."""
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -318,12 +318,15 @@ def apply_changes(fact: DataFrame, changes: DataFrame, key: str = "shipment_id",
 
 
 def audit_batch(fact: DataFrame, changes: DataFrame, needs: OrderNeeds, adjustments: DataFrame, updates: DataFrame, deletes: DataFrame,
-                key: str = "shipment_id", value: str = "shipment_value") -> DataFrame:
+                key: str = "shipment_id", value: str = "shipment_value", stage: str | None = None) -> DataFrame:
     """The audit rows (U6) of a batch with ``step`` 1/2/3. The current values of the touched
-    ids are all it needs of the fact. Where an id has very many updates, their chain is cut
+    ids are all it needs of the fact: written once under ``stage`` if given, else found in
+    the fact by each of the steps. Where an id has very many updates, their chain is cut
     into slices (:func:`lag_within_key`); otherwise a window by id follows it."""
     dtype = dict(fact.dtypes)[value]
     current = fact.select(key, value).join(changes.select(key), key, "left_semi")
+    if stage:
+        current = staged(current, stage)
     a1 = audit_updates(current, adjustments.select(key, "seq")).withColumn("step", F.lit(1))
     if needs.updates <= FEW:
         t = updates.join(current, key).withColumn("_new", F.col("new_value").cast(dtype))

@@ -257,7 +257,7 @@ def apply_to_live(spark: SparkSession, root: str, batch_id: str, feed_seq: int,
     def change(now: versions.Commit) -> int:
         if now is None:
             raise FileNotFoundError(f"no shipments loaded under {root}")
-        with scratch(spark, "changes") as stage:
+        with scratch(spark, "changes") as stage, scratch(spark, "touched") as touched:
             fact = versions.read_commit(spark, facts, now)
             table = U.staged(U.change_table(adjustments, updates, deletes, dict(fact.dtypes)["shipment_value"]), stage)
             parts = touched_parts(fact, table.select("shipment_id"))
@@ -268,7 +268,7 @@ def apply_to_live(spark: SparkSession, root: str, batch_id: str, feed_seq: int,
 
             def guard(v):
                 seen = rules.check()
-                audit = U.stamp_audit(U.audit_batch(fact, table, needs, adjustments, updates, deletes), changed_at, changed_by)
+                audit = U.stamp_audit(U.audit_batch(fact, table, needs, adjustments, updates, deletes, stage=touched), changed_at, changed_by)
                 written = U.staged(with_serial(audit, "audit_id", audit_end(now) + 1), f"{log}/attempt={v}")
                 return {**seen, "audit_to": written.agg(F.max("audit_id")).first()[0] or audit_end(now), "years": len(parts)}
 
