@@ -203,7 +203,7 @@ def q_fact_append_rerun_empty(spark, sf_dir):
 
 def _job(spark, feed, root, day):
     csv = f"{root}/csv-{day}"
-    files.write_csv(feed, csv)
+    files.write_csv(feed, csv, compression="gzip")
     return RP.run_retail(spark, csv, f"{root}/wh", day, f"batch-{day}")
 
 

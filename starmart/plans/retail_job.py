@@ -126,9 +126,8 @@ def transform(spark: SparkSession, root: str, run_date: date | None = None,
     # Parquet table in the shared folder (compressed and columnar, so each Silver scan
     # reads only its columns), removed at the end, also on failure.
     with scratch(spark, "cleaned") as staged:
-        cleaned.write.mode("overwrite").parquet(staged)
+        rows = C.stage_cleaned(cleaned, staged)
         metrics = obs.check()       # before anything of Silver is replaced
-        rows = spark.read.parquet(staged)
         # the three writes are independent jobs; submitted together, the two small dimension
         # writes fill the gaps the large transactions write leaves on the cluster
         run_concurrently([

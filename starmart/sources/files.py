@@ -64,10 +64,10 @@ def by_header(header: list[str], expected: list[str]) -> dict[str, str]:
     return {seen[standard_name(c)]: c for c in expected}
 
 
-def write_csv(df: DataFrame, path: str, encoding: str = "ISO-8859-1") -> None:
+def write_csv(df: DataFrame, path: str, encoding: str = "ISO-8859-1", compression: str = "none") -> None:
     """Write a frame as a headered CSV folder, keeping blanks inside fields and doubling
-    quotes inside quoted ones."""
-    (df.write.mode("overwrite")
+    quotes inside quoted ones. A gzip file is read by one task: one file a writing task."""
+    (df.write.mode("overwrite").option("compression", compression)
      .option("header", True)
      .option("encoding", encoding)
      .option("quote", '"').option("escape", '"')
@@ -130,7 +130,7 @@ def stamp_batch(df: DataFrame, load_timestamp: datetime | None = None,
 def write_replace(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Truncate-and-reload sink (S4, S8): the folder holds exactly this frame afterwards,
     whatever the session's partition overwrite mode is."""
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "zstd")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

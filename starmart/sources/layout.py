@@ -28,7 +28,7 @@ def write_fact_by_year(df: DataFrame, path: str, date_id_column: str = "date_id"
     (with_sale_year(df, date_id_column)
      .hint("rebalance", "sale_year")
      .sortWithinPartitions("sale_year", date_id_column)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if dynamic else "static").option("compression", "zstd")
      .partitionBy("sale_year").parquet(path))
 
 

@@ -66,3 +66,31 @@ def test_partitions_of_the_wide_rows_are_not_merged(spark, tmp_root):
     text = df._jdf.queryExecution().executedPlan().toString()
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert text.count("REPARTITION_BY_NUM") == 2 and f", {n}), REPARTITION_BY_NUM" in text
+
+
+def test_audit_finds_the_touched_rows_once(spark, tmp_root):
+    from starmart.operators import changes as U
+    fact = spark.createDataFrame([(i, i * 1.0, 10) for i in range(30)], "shipment_id long, shipment_value double, shipping_time_hours int") \
+        .selectExpr("shipment_id", "cast(shipment_value as decimal(12,2)) shipment_value", "shipping_time_hours")
+    fact.write.parquet(f"{tmp_root}/fact")
+    fact = spark.read.parquet(f"{tmp_root}/fact")
+    adj = spark.createDataFrame([(1, 2, 1), (2, 3, 1)], "shipment_id long, added_hours int, seq int")
+    upd = spark.createDataFrame([(2, 7, 1), (2, 9, 2), (99, 1, 1)], "shipment_id long, new_value int, seq int")
+    dele = spark.createDataFrame([(2, 1), (5, 1)], "shipment_id long, seq int")
+    table = U.staged(U.change_table(adj, upd, dele, "decimal(12,2)"), f"{tmp_root}/changes")
+    needs = U.OrderNeeds.of(table)
+    lazy = U.audit_batch(fact, table, needs, adj, upd, dele)
+    once = U.audit_batch(fact, table, needs, adj, upd, dele, stage=f"{tmp_root}/touched")
+    assert sorted(map(str, once.collect())) == sorted(map(str, lazy.collect())) and once.count() == 6
+    assert spark.read.parquet(f"{tmp_root}/touched").count() == 3
+    assert f"{tmp_root}/fact" not in str(once.inputFiles()) and f"{tmp_root}/fact" in str(lazy.inputFiles())
+
+
+def test_a_compressed_feed_loads_the_same(spark, tmp_root):
+    from starmart.sources import files
+    raw = feed(spark, [(o, o % 7, 1 + o % 11) for o in range(50)]).repartition(3)
+    files.write_csv(raw, f"{tmp_root}/plain")
+    files.write_csv(raw, f"{tmp_root}/gz", compression="gzip")
+    assert sum(f.endswith(".csv.gz") for f in os.listdir(f"{tmp_root}/gz")) == 3
+    rows = lambda p: sorted(map(str, files.read_raw_csv(spark, p).collect()))
+    assert rows(f"{tmp_root}/gz") == rows(f"{tmp_root}/plain") and len(rows(f"{tmp_root}/gz")) == 50
