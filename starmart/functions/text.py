@@ -22,10 +22,14 @@ def strip_unicode(col: Column | str) -> Column:
     """Remove leading and trailing Unicode blanks, like Python's ``str.strip()``.
 
     ``F.trim`` only removes ASCII spaces, so a value wrapped in a no-break space or a tab
-    would survive it.
+    would survive it. It is tried first, as the expression costs ten times as much: a text
+    whose edges are then visible ASCII characters is stripped, any other is left to the
+    expression.
     """
     c = F.col(col) if isinstance(col, str) else col
-    return F.regexp_replace(c, _EDGE_BLANKS, "")
+    t = F.trim(c)
+    visible = F.substring(t, 1, 1).between("!", "~") & F.substring(t, -1, 1).between("!", "~")
+    return F.when(visible, t).otherwise(F.regexp_replace(c, _EDGE_BLANKS, ""))
 
 
 def na_to_null(col: Column | str, tokens: list[str] | None = None) -> Column:

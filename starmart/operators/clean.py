@@ -195,6 +195,13 @@ def stage_cleaned(cleaned: DataFrame, path: str) -> DataFrame:
     return cleaned.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def stage_members(members: DataFrame, path: str) -> DataFrame:
+    """A Silver dimension source (one row a key) written once under ``path`` and read back:
+    what ranges, keys and checks its rows repeats no aggregate over the cleaned rows."""
+    members.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    return members.sparkSession.read.schema(members.schema).parquet(path)
+
+
 def silver_transactions(cleaned: DataFrame) -> DataFrame:
     """Fact rows with natural keys."""
     return cleaned.select("invoice_no", "stock_code",
@@ -209,9 +216,10 @@ def first_per_key(df: DataFrame, key: str, value_columns: list[str],
     Implemented as ``min(struct(order..., values...))`` per key: an aggregate with a
     map-side partial step (a sort aggregate, as a struct of strings has no fixed-width
     buffer), so a key holding a third of all rows is reduced inside each map task before
-    the shuffle and never lands whole in one task.
+    the shuffle and never lands whole in one task. The key itself, the same in all rows of
+    a group, is no part of the struct.
     """
-    order = [c for c in (order_columns or FIRST_ROW_ORDER) if c in df.columns]
+    order = [c for c in (order_columns or FIRST_ROW_ORDER) if c in df.columns and c != key]
     fields = order + [c for c in value_columns if c not in order]
     picked = df.groupBy(key).agg(F.min(F.struct(*[F.col(c) for c in fields])).alias("_first"))
     return picked.select(key, *[F.col(f"_first.{c}").alias(c) for c in value_columns])

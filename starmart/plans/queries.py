@@ -58,14 +58,18 @@ def retail_silver(spark: SparkSession, sf_dir: str):
     return C.silver_transactions(cleaned), C.silver_products(cleaned), C.silver_customers(cleaned)
 
 
-def staged_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+def staged_cleaned(spark: SparkSession, sf_dir: str, bronze: DataFrame | None = None) -> DataFrame:
     """The cleaned rows, cleaned and written once, for what reads them several times."""
-    return C.stage_cleaned(C.clean(TB.bronze(spark, sf_dir)), scratch_path(spark, "cleaned"))
+    rows = TB.bronze(spark, sf_dir) if bronze is None else bronze
+    return C.stage_cleaned(C.clean(rows), scratch_path(spark, "cleaned"))
 
 
-def staged_silver(spark: SparkSession, sf_dir: str):
-    cleaned = staged_cleaned(spark, sf_dir)
-    return C.silver_transactions(cleaned), C.silver_products(cleaned), C.silver_customers(cleaned)
+def staged_silver(spark: SparkSession, sf_dir: str, bronze: DataFrame | None = None):
+    """The Silver tables over stored cleaned rows; products and customers are stored too."""
+    cleaned = staged_cleaned(spark, sf_dir, bronze)
+    members = [C.stage_members(df, scratch_path(spark, name)) for name, df in
+               (("products", C.silver_products(cleaned)), ("customers", C.silver_customers(cleaned)))]
+    return C.silver_transactions(cleaned), *members
 
 
 def retail_star(spark: SparkSession, sf_dir: str) -> R.RetailStar:

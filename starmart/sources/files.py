@@ -99,16 +99,18 @@ def to_bronze_types(df: DataFrame) -> DataFrame:
     ``unit_price`` becomes NUMERIC(10,2) here, so sub-cent prices are rounded HALF_UP
     before any later ``> 0`` test. A customer id written as ``17850.0`` (a float column in
     a spreadsheet export) keeps its integer text, and so a quantity ``6.0`` is 6; a
-    quantity that is no whole number (``6.5``) or no number fails the job.
+    quantity that is no whole number (``6.5``) or no number fails the job. Only fields that
+    hold a point meet the expressions.
     """
-    whole = F.regexp_replace("quantity", r"^([+-]?\d+)\.0*$", "$1")
+    whole = F.regexp_replace("quantity", r"^([+-]?\d+)\.0*$", "$1").try_cast("int")
+    wrong = F.when(F.col("quantity").isNotNull(), F.raise_error(F.concat(F.lit("quantity is no whole number: "), "quantity")).cast("int"))
     return df.select(
         F.col("invoice_no"), F.col("stock_code"), F.col("description"),
-        F.when(F.col("quantity").isNull() | whole.try_cast("int").isNotNull(), whole.try_cast("int"))
-        .otherwise(F.raise_error(F.concat(F.lit("quantity is no whole number: "), "quantity")).cast("int")).alias("quantity"),
+        F.coalesce(F.col("quantity").try_cast("int"), whole, wrong).alias("quantity"),
         F.col("invoice_date"),
         F.col("unit_price").cast("decimal(10,2)").alias("unit_price"),
-        F.regexp_replace("customer_id", r"^(\d+)\.0+$", "$1").alias("customer_id"),
+        F.when(F.col("customer_id").contains(".0"), F.regexp_replace("customer_id", r"^(\d+)\.0+$", "$1"))
+        .otherwise(F.col("customer_id")).alias("customer_id"),
         F.col("country"),
     )
 

@@ -50,6 +50,13 @@ def raw_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
     nation = table(spark, sf_dir, "nation", ["n_nationkey", "n_name"])
     part = table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_retailprice"])
+    # the price text is made once a part, not once a line
+    pk = F.col("p_partkey")
+    price = (F.when(pk % PRICE_ZERO_MOD == 0, F.lit(0.0))
+             .when(pk % PRICE_NEG_MOD == 0, F.lit(-1.0))
+             .when(pk % PRICE_NULL_MOD == 0, F.lit(None))
+             .otherwise(F.col("p_retailprice"))).cast("decimal(10,2)")
+    part = part.select("p_partkey", "p_name", price.cast("string").alias("_price"))
 
     # nation has a fixed 25 rows: a proven bound, so the hint is safe.
     order_country = (orders.join(customer, orders.o_custkey == customer.c_custkey)
@@ -65,10 +72,6 @@ def raw_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     pk = F.col("l_partkey")
     is_return = F.col("l_returnflag") == "R"
     qty = F.col("l_quantity").cast("int")
-    price = (F.when(pk % PRICE_ZERO_MOD == 0, F.lit(0.0))
-             .when(pk % PRICE_NEG_MOD == 0, F.lit(-1.0))
-             .when(pk % PRICE_NULL_MOD == 0, F.lit(None))
-             .otherwise(F.col("p_retailprice"))).cast("decimal(10,2)")
     rows = j.select(
         F.when(is_return, F.concat(F.lit("C"), F.col("l_orderkey").cast("string")))
          .otherwise(F.col("l_orderkey").cast("string")).alias("InvoiceNo"),
@@ -80,7 +83,7 @@ def raw_source(spark: SparkSession, sf_dir: str) -> DataFrame:
                              .otherwise(F.lit("")), F.lit(" "))).alias("Description"),
         F.when(is_return, -qty).otherwise(qty).cast("string").alias("Quantity"),
         F.col("l_shipdate").cast("date").cast("string").alias("InvoiceDate"),
-        price.cast("string").alias("UnitPrice"),
+        F.col("_price").alias("UnitPrice"),
         F.when(F.col("o_custkey") % CUSTOMER_NULL_MOD == 0, F.lit(None).cast("string"))
          .otherwise(F.col("o_custkey").cast("string")).alias("CustomerID"),
         F.col("n_name").alias("Country"),
