@@ -177,8 +177,10 @@ def declared_keys(df: DataFrame, name: str) -> DataFrame:
     parts = []
     for key in schemas.KEYS.get(name, []):
         cols = list(key)
-        dup = (df.where(" and ".join(f"{c} is not null" for c in cols)).groupBy(*cols).agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-        parts.append(dup.agg(F.count(F.lit(1)).alias("duplicated_keys"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows_involved"))
+        # nulls are looked at after the grouping: a filter would compute a derived key twice
+        dup = F.expr(" and ".join(["n > 1", *[f"{c} is not null" for c in cols]]))
+        parts.append(df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
+                     .agg(F.count_if(dup).alias("duplicated_keys"), F.coalesce(F.sum(F.when(dup, F.col("n"))), F.lit(0)).alias("rows_involved"))
                      .select(F.lit(name).alias("table_name"), F.lit(", ".join(cols)).alias("key_columns"), "duplicated_keys", "rows_involved"))
     out = parts[0]
     for p in parts[1:]:

@@ -390,7 +390,7 @@ def q_declared_keys(spark, sf_dir):
     tables = _ruled_tables(spark, sf_dir)
     for name, key, n in (("supply.dim_products", "product_id", 31), ("gold.dim_date", "date_id", 17),
                          ("supply.fact_shipments", "shipment_id", 40), ("gold.dim_products", "product_id", 53)):
-        tables[name] = tables[name].unionByName(tables[name].where(F.col(key) % n == 0))
+        tables[name] = TB.with_copies(tables[name], F.col(key) % n == 0)
     parts = [QC.declared_keys(tables[name], name) for name in schemas.KEYS if name in tables and name != "gold.fact_sales"]
     return functools.reduce(DataFrame.unionByName, parts)
 
