@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _SALT = "_salt"
 
@@ -141,32 +142,72 @@ def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     return child.filter(F.col(fk).isNotNull()).join(p, F.col(fk) == F.col("_pk"), "left_anti")
 
 
+def _repeated(parents: list[tuple[DataFrame, str]]) -> list[int]:
+    """Positions of the parents that hold a key value more than once; one job."""
+    found = None
+    for i, (parent, pk) in enumerate(parents):
+        again = (parent.groupBy(F.col(pk).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+                 .agg(F.count_if((F.col("_n") > 1) & F.col("_v").isNotNull()).alias("_again")).select(F.lit(i).alias("_k"), "_again"))
+        found = again if found is None else found.unionByName(again)
+    return [r["_k"] for r in found.collect() if r["_again"]]
+
+
 def fk_report(checks: list[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
     """One row per foreign key with the number of orphan child rows.
 
-    The keys of one child frame are checked in a single pass over it: one left join to the
-    key column of each parent (unique, as a primary key is; a small one is broadcast by its
-    size) and one summed flag per key."""
+    The keys of one child frame are checked in a single pass over it, by their values: each
+    task counts its rows by (key, value), and the counts meet the parents' values in one
+    aggregate. Child rows cross no exchange, and a value that a third of them hold is a
+    count a task. A child row counts once for every combination of parent rows it meets (a
+    primary key has one): the values that repeat in a parent weigh the rows they match.
+    Keys that are no whole numbers are checked by a left join to each parent."""
     children: dict[int, list] = {}
     for check in checks:
         children.setdefault(id(check[1]), []).append(check)
-    parts = []
-    for group in children.values():
-        child = group[0][1]
-        j = child.select(*dict.fromkeys(fk for _, _, fk, _, _ in group))
-        flags = []
-        for i, (_, _, fk, parent, pk) in enumerate(group):
-            p = parent.select(F.col(pk).alias(f"_pk{i}"))
-            j = j.join(p, F.col(fk) == F.col(f"_pk{i}"), "left")
-            flags.append(F.coalesce(F.sum((F.col(fk).isNotNull() & F.col(f"_pk{i}").isNull()).cast("long")), F.lit(0)).alias(f"_n{i}"))
-        pairs = ", ".join(f"'{name}', _n{i}" for i, (name, *_) in enumerate(group))
-        parts.append(j.agg(*flags).selectExpr(f"stack({len(group)}, {pairs}) as (foreign_key, orphan_rows)"))
+    parts = [_fk_by_value(g) if all(_is_whole(df, c) for _, child, fk, parent, pk in g for df, c in ((child, fk), (parent, pk)))
+             else _fk_by_join(g) for g in children.values()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+def _is_whole(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, T.IntegralType)
+
+
+def _fk_rows(wide: DataFrame, group: list) -> DataFrame:
+    pairs = ", ".join(f"'{name}', _n{i}" for i, (name, *_) in enumerate(group))
+    return wide.selectExpr(f"stack({len(group)}, {pairs}) as (foreign_key, orphan_rows)")
+
+
+def _fk_by_value(group: list) -> DataFrame:
+    child = group[0][1].select(*dict.fromkeys(fk for _, _, fk, _, _ in group))
+    weight = F.lit(1).cast("long")
+    for i in _repeated([(parent, pk) for *_, parent, pk in group]):
+        _, _, fk, parent, pk = group[i]
+        times = (parent.groupBy(F.col(pk).alias(f"_pk{i}")).agg(F.count(F.lit(1)).alias(f"_w{i}")).where(f"_w{i} > 1"))
+        child = child.join(times, F.col(fk) == F.col(f"_pk{i}"), "left")
+        weight = weight * F.coalesce(f"_w{i}", F.lit(1))
+    values = F.array(*[F.struct(F.lit(i).alias("k"), F.col(fk).cast("long").alias("v")) for i, (_, _, fk, _, _) in enumerate(group)])
+    seen = (child.select(F.explode(values).alias("_"), weight.alias("n")).select("_.k", "_.v", "n", F.lit(False).alias("known"))
+            .where("v is not null"))
+    for i, (_, _, _, parent, pk) in enumerate(group):
+        seen = seen.unionByName(parent.select(F.lit(i).alias("k"), F.col(pk).cast("long").alias("v"), F.lit(0).cast("long").alias("n"), F.lit(True).alias("known")))
+    values = seen.groupBy("k", "v").agg(F.sum("n").alias("n"), F.max("known").alias("known")).where("not known")
+    return _fk_rows(values.agg(*[F.coalesce(F.sum(F.when(F.col("k") == i, F.col("n"))), F.lit(0)).alias(f"_n{i}") for i in range(len(group))]), group)
+
+
+def _fk_by_join(group: list) -> DataFrame:
+    j = group[0][1].select(*dict.fromkeys(fk for _, _, fk, _, _ in group))
+    flags = []
+    for i, (_, _, fk, parent, pk) in enumerate(group):
+        p = parent.select(F.col(pk).alias(f"_pk{i}"))
+        j = j.join(p, F.col(fk) == F.col(f"_pk{i}"), "left")
+        flags.append(F.coalesce(F.sum((F.col(fk).isNotNull() & F.col(f"_pk{i}").isNull()).cast("long")), F.lit(0)).alias(f"_n{i}"))
+    return _fk_rows(j.agg(*flags), group)
+
+
 def value_mismatch(fact: DataFrame, dim_products: DataFrame, tolerance: float = 0.01) -> DataFrame:
     """Shipments whose value differs from ``round(quantity * unit_price, 2)``."""
     p = dim_products.select("product_id", "unit_price")
