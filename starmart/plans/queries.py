@@ -359,15 +359,13 @@ def q_duplicate_keys(spark, sf_dir):
     return QC.check_unique(tx, ["invoice_no", "stock_code"])
 
 
-def _ruled_tables(spark, sf_dir):
-    """Every table with declared rules, as the jobs build it; Bronze and the shipment fact
-    with planted breaks."""
-    bronze = TB.bronze(spark, sf_dir)
-    tx, products, customers = staged_silver(spark, sf_dir)
+def _ruled_tables(spark, sf_dir, bronze):
+    """Every table with declared rules after ``bronze``, as the jobs build it; the shipment
+    fact with planted breaks."""
+    tx, products, customers = staged_silver(spark, sf_dir, bronze)
     r = R.build_star(tx, products, customers)
     s = SP.build_star(spark, sf_dir)
     return {
-        "bronze.raw_transactions": TB.bronze_with_long_text(bronze),
         "silver.products": products, "silver.customers": customers, "silver.transactions": tx,
         "gold.dim_customers": r.dim_customers, "gold.dim_products": r.dim_products, "gold.dim_date": r.dim_date,
         "gold.fact_sales": r.fact_sales,
@@ -377,17 +375,29 @@ def _ruled_tables(spark, sf_dir):
     }
 
 
+def _counted_bronze(spark, sf_dir):
+    """Bronze rows for the tables built of them, and the rules of Bronze with planted breaks,
+    counted by the job that reads the rows, so that their source is joined once."""
+    bronze = TB.bronze(spark, sf_dir)
+    columns = bronze.columns
+    planted = TB.bronze_with_long_text(bronze.withColumns({f"_{c}": F.col(c) for c in columns}))
+    counted = QC.ObservedRules(planted, "bronze.raw_transactions", columns)
+    return counted.rows.select(*[F.col(f"_{c}").alias(c) for c in columns]), counted
+
+
 def q_row_rule_violations(spark, sf_dir):
     """Q1: every NOT NULL, VARCHAR and CHECK rule of every table."""
-    parts = [QC.check_rows(df, rules, name) for name, df in _ruled_tables(spark, sf_dir).items()
-             if (rules := QC.table_rules(name, df.columns))]
+    bronze, counted = _counted_bronze(spark, sf_dir)
+    tables = _ruled_tables(spark, sf_dir, bronze)
+    parts = [counted.report(spark)] + [QC.check_rows(df, rules, name) for name, df in tables.items()
+                                       if (rules := QC.table_rules(name, df.columns))]
     return functools.reduce(DataFrame.unionByName, parts)
 
 
 def q_declared_keys(spark, sf_dir):
     """Q2/K2: every PRIMARY KEY and UNIQUE column; some products, dates and shipments were
     loaded twice."""
-    tables = _ruled_tables(spark, sf_dir)
+    tables = _ruled_tables(spark, sf_dir, TB.bronze(spark, sf_dir))
     for name, key, n in (("supply.dim_products", "product_id", 31), ("gold.dim_date", "date_id", 17),
                          ("supply.fact_shipments", "shipment_id", 40), ("gold.dim_products", "product_id", 53)):
         tables[name] = TB.with_copies(tables[name], F.col(key) % n == 0)
