@@ -19,12 +19,14 @@ from pyspark.sql import types as T
 from starmart.functions.dates import date_id, parse_timestamp
 from starmart.functions.money import line_value
 from starmart.functions.text import strip_unicode
+from starmart.operators import slices
 from starmart.schemas import BUSINESS_COLUMNS, VARCHAR_LIMITS
 
 # Fixed values of the reference cleaning rules.
 MANDATORY = ["invoice_no", "stock_code", "unit_price"]
 CUSTOMER_SENTINEL = "UNKNOWN"
 DESCRIPTION_SENTINEL = "NO DESCRIPTION"
+DEDUP_SLICES = 4         # exchanges of the job's dedup, at most
 # Order that defines the "first" row of a key (the reference relies on table order).
 FIRST_ROW_ORDER = ["invoice_ts", "invoice_no", "stock_code", "country"]
 
@@ -154,18 +156,22 @@ def clean_observed(bronze: DataFrame, formats: list[str] | None = None
     )
     s = fill_blank(fill_sentinel(require(counted)))
     s = with_date_id(strip_strings(s).withColumnRenamed("_ts", "invoice_ts"))
-    return with_total_value(valid_price(s)), CleaningMetrics(seen, obs)
+    return with_total_value(valid_price(s)), CleaningMetrics((seen, obs))
 
 
 class CleaningMetrics:
-    """Step counts observed while the cleaned rows are materialised."""
+    """Step counts observed while the cleaned rows are materialised (S5, Q3), added up over
+    the slices of the batch (one pair of observations each)."""
 
-    def __init__(self, seen: Observation, steps: Observation):
-        self._seen, self._steps = seen, steps
+    def __init__(self, *parts: tuple[Observation, Observation]):
+        self.parts = parts
 
     @property
     def get(self) -> dict:
-        m = {**self._seen.get, **self._steps.get}
+        m: dict = {}
+        for seen, steps in self.parts:
+            for k, v in {**seen.get, **steps.get}.items():
+                m[k] = m.get(k, 0) + v
         m["duplicates_dropped"] = m["bronze_rows"] - m["after_dedup"]
         m["silver_rows"] = m["after_dedup"] - m["null_mandatory_dropped"] - m["bad_price_dropped"]
         return m
@@ -195,6 +201,20 @@ def stage_cleaned(cleaned: DataFrame, path: str) -> DataFrame:
     return cleaned.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def stage_observed(bronze: DataFrame, path: str, n: int | None = None) -> tuple[DataFrame, CleaningMetrics]:
+    """:func:`clean_observed` staged under ``path``, the exact dedup in ``n`` slices of the
+    stored Bronze rows (by default as many as their size is worth): copies of a row are in
+    one slice, so the rows and counts are those of one run."""
+    cols = [c for c in BUSINESS_COLUMNS if c in bronze.columns]
+    staged, parts = [], []
+    for i, rows in enumerate(slices.split(bronze, n or slices.number(bronze, DEDUP_SLICES), cols)):
+        cleaned, seen = clean_observed(rows)
+        staged.append(stage_cleaned(cleaned, f"{path}/slice-{i}"))
+        parts += seen.parts
+    rows = bronze.sparkSession.read.schema(staged[0].schema).parquet(*[f"{path}/slice-{i}" for i in range(len(staged))])
+    return rows, CleaningMetrics(*parts)
+
+
 def stage_members(members: DataFrame, path: str) -> DataFrame:
     """A Silver dimension source (one row a key) written once under ``path`` and read back:
     what ranges, keys and checks its rows repeats no aggregate over the cleaned rows."""

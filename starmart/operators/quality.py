@@ -202,19 +202,27 @@ class ObservedRules:
     :func:`check_rows` does, with no pass of its own over a costly frame."""
 
     def __init__(self, df: DataFrame, name: str, columns: list[str] | None = None):
-        self.name, self.rules = name, table_rules(name, columns)
-        self.seen = Observation(f"rules of {name}")
+        self.name, self.rules, self.seen = name, table_rules(name, columns), []
+        self.rows = self.over(df)
+
+    def over(self, df: DataFrame) -> DataFrame:
+        """Further rows of the table, written by a job of their own; the counts add up."""
+        self.seen.append(Observation(f"rules of {self.name}"))
         counts = [F.count_if(~rule).alias(f"r{i}") for i, rule in enumerate(self.rules.values())]
-        self.rows = df.observe(self.seen, F.count(F.lit(1)).alias("rows"), *counts)
+        return df.observe(self.seen[-1], F.count(F.lit(1)).alias("rows"), *counts)
+
+    def _counts(self) -> dict:
+        seen = [o.get for o in self.seen]
+        return {k: sum(s[k] for s in seen) for k in seen[0]}
 
     def check(self) -> dict:
-        got = self.seen.get
+        got = self._counts()
         if found := [f"{rule} ({got[f'r{i}']} rows)" for i, rule in enumerate(self.rules) if got[f"r{i}"]]:
             raise ConstraintError(f"{self.name}: " + "; ".join(found))
         return {"rows": got["rows"]}
 
     def report(self, spark: SparkSession) -> DataFrame:
-        got = self.seen.get
+        got = self._counts()
         return spark.createDataFrame([(self.name, rule, got[f"r{i}"]) for i, rule in enumerate(self.rules)],
                                      "table_name string, rule string, violations long")
 

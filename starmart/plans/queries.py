@@ -28,7 +28,7 @@ from starmart.plans import retail_job as RP
 from starmart.plans import run_log
 from starmart.plans import supply as SR
 from starmart.plans import supply_job as SP
-from starmart.session import scratch_path
+from starmart.session import scratch_path, shuffles_dropped
 from starmart.sources import files, keyed, layout, snapshots, versions
 from starmart.sources import testbed as TB
 
@@ -206,15 +206,18 @@ def q_fact_append_rerun_empty(spark, sf_dir):
 # --- retail: the whole job ------------------------------------------------------------------
 
 def _job(spark, feed, root, day):
+    """One day's run of the job; ``feed`` is given in slices, which are written in turn."""
     csv = f"{root}/csv-{day}"
-    files.write_csv(feed, csv, compression="gzip")
+    with shuffles_dropped(spark):
+        for i, part in enumerate(feed):
+            files.write_csv(part, csv, compression="gzip", append=i > 0)
     return RP.run_retail(spark, csv, f"{root}/wh", day, f"batch-{day}")
 
 
 def q_retail_job_fact(spark, sf_dir):
     """R1 from the CSV to the published fact."""
     root = scratch_path(spark, "retail-job")
-    _job(spark, TB.raw_source(spark, sf_dir), root, SNAPSHOT_DAY)
+    _job(spark, TB.raw_slices(spark, sf_dir), root, SNAPSHOT_DAY)
     fact = versions.read_current(spark, RP.paths(f"{root}/wh")["fact_sales"])
     return as_double(fact.drop("sales_id", "sale_year", "load_timestamp"))
 
@@ -222,7 +225,7 @@ def q_retail_job_fact(spark, sf_dir):
 def q_retail_job_counts(spark, sf_dir):
     """The step counts observed by the job itself."""
     root = scratch_path(spark, "retail-job")
-    counts = _job(spark, TB.raw_source(spark, sf_dir), root, SNAPSHOT_DAY)["cleaning"]
+    counts = _job(spark, TB.raw_slices(spark, sf_dir), root, SNAPSHOT_DAY)["cleaning"]
     return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{k} long" for k in counts)) \
         .drop("after_dedup")
 
@@ -231,8 +234,8 @@ def q_retail_job_dims(spark, sf_dir):
     """R1 on two days: first the invoices before a date with other descriptions, then the
     whole feed. Members keep their keys and take the new descriptions; new ones follow."""
     root = scratch_path(spark, "retail-job")
-    feed = TB.raw_source(spark, sf_dir)
-    early = feed.where(F.col("InvoiceDate") < JOB_EARLY_BEFORE).withColumn("Description", F.concat(F.lit("old "), "Description"))
+    feed = TB.raw_slices(spark, sf_dir)
+    early = [part.where(F.col("InvoiceDate") < JOB_EARLY_BEFORE).withColumn("Description", F.concat(F.lit("old "), "Description")) for part in feed]
     _job(spark, early, root, SNAPSHOT_DAY)
     _job(spark, feed, root, SNAPSHOT_NEXT_DAY)
     p = RP.paths(f"{root}/wh")
@@ -247,10 +250,10 @@ def q_retail_job_dims(spark, sf_dir):
 def q_run_log(spark, sf_dir):
     """What the log keeps of a run and of one that failed (an empty rerun of the day)."""
     root = scratch_path(spark, "retail-job")
-    feed = TB.raw_source(spark, sf_dir)
+    feed = TB.raw_slices(spark, sf_dir)
     _job(spark, feed, root, SNAPSHOT_DAY)
     empty = f"{root}/csv-empty"
-    files.write_csv(feed.limit(0), empty)
+    files.write_csv(feed[0].limit(0), empty)
     try:
         RP.run_retail(spark, empty, f"{root}/wh", SNAPSHOT_DAY, "rerun")
     except ValueError:

@@ -19,14 +19,19 @@ from starmart.operators import changes as U
 from starmart.operators import clean as C
 from starmart.operators import joins as J
 from starmart.operators import quality as Q
+from starmart.operators import slices
 from starmart.operators.dims import dim_date_from_facts
 from starmart.plans import retail as R
 from starmart.plans import run_log
-from starmart.session import run_concurrently, scratch
+from starmart.session import run_concurrently, scratch, shuffles_dropped
 from starmart.sources import files, layout, snapshots, versions
 from starmart.sources.rejects import CountedLoad, read_with_reasons
 
 
+FACT_SLICES = 8         # exchanges of the fact, at most
+SLICE_IDS = 1 << 58     # first sales_id of the second slice; a task has 2 ** 33 ids
+
+
 def paths(root: str) -> dict[str, str]:
     return {
         "bronze": f"{root}/bronze/raw_transactions",
@@ -121,20 +126,17 @@ def transform(spark: SparkSession, root: str, run_date: date | None = None,
     rows = bronze(spark, root, run_date, in_place)
     if rows.isEmpty():      # also a day that holds no file, whose counts no job would observe
         raise ValueError("the batch has no Bronze rows")
-    cleaned, obs = C.clean_observed(rows)
     # One materialisation of the cleaned rows feeds all three Silver tables: a staged
     # Parquet table in the shared folder (compressed and columnar, so each Silver scan
     # reads only its columns), removed at the end, also on failure.
     with scratch(spark, "cleaned") as staged:
-        rows = C.stage_cleaned(cleaned, staged)
+        rows, obs = C.stage_observed(rows, staged)
         metrics = obs.check()       # before anything of Silver is replaced
-        # the three writes are independent jobs; submitted together, the two small dimension
-        # writes fill the gaps the large transactions write leaves on the cluster
-        run_concurrently([
-            lambda: files.write_replace(C.silver_transactions(rows), p["silver_tx"]),
-            lambda: files.write_replace(C.silver_products(rows), p["silver_products"]),
-            lambda: files.write_replace(C.silver_customers(rows), p["silver_customers"]),
-        ])
+        # one after the other: the members' exchanges are gone before the next write starts,
+        # the transactions, a large table without an exchange, come last
+        files.write_replace(C.silver_products(rows), p["silver_products"])
+        files.write_replace(C.silver_customers(rows), p["silver_customers"])
+        files.write_replace(C.silver_transactions(rows), p["silver_tx"])
     return metrics
 
 
@@ -173,12 +175,26 @@ def load(spark: SparkSession, root: str, batch_id: str | None = None) -> None:
     # write job without a global ordering; load columns are one literal per batch.
     # the keys that salting splits are measured on the batch itself
     heavy = J.heavy_keys(tx, ["stock_code", "raw_customer_id"])
-    fact = files.stamp_batch(R.fact_sales(tx, dp, dc, heavy=heavy), batch_id=batch_id)
-    fact = fact.select(F.monotonically_increasing_id().alias("sales_id"), *fact.columns)
-    rules = Q.ObservedRules(fact, "gold.fact_sales")
-    versions.write_version(rules.rows, p["fact_sales"], batch_id or "", guard=lambda v: rules.check(),
-                           check=lambda t: Q.require_unique(t, "gold.fact_sales"),
-                           write=lambda d, path: layout.write_fact_by_year(d, path, dynamic=False))
+    stamp, said = datetime.now(), batch_id or ""
+    batch_id = batch_id or str(uuid.uuid4())
+
+    # rows of the fact do not depend on each other: the two key joins and the exchange by
+    # year, each as wide as the fact, run once a slice of a large one
+    def rows_of(part, i):
+        fact = files.stamp_batch(R.fact_sales(part, dp, dc, heavy=heavy), stamp, batch_id)
+        key = F.monotonically_increasing_id()
+        return fact.select((key + F.lit(i * SLICE_IDS) if i else key).alias("sales_id"), *fact.columns)
+
+    first, *others = [rows_of(part, i) for i, part in enumerate(slices.split(tx, slices.number(tx, FACT_SLICES)))]
+    rules = Q.ObservedRules(first, "gold.fact_sales")
+
+    def write(d, path):
+        layout.write_fact_by_year(d, path, dynamic=False)
+        for f in others:
+            layout.write_fact_by_year(rules.over(f), path, append=True)
+
+    versions.write_version(rules.rows, p["fact_sales"], said, guard=lambda v: rules.check(),
+                           check=lambda t: Q.require_unique(t, "gold.fact_sales"), write=write)
     for name in ("dim_products", "dim_customers", "dim_date", "fact_sales"):
         versions.vacuum(spark, p[name], keep=2)
 
@@ -204,13 +220,14 @@ def run_retail(spark: SparkSession, csv_path: str, root: str, run_date: date | N
     batch_id = batch_id or str(uuid.uuid4())
 
     def work() -> dict:
-        create_tables(spark, root)
-        loaded = ingest(spark, csv_path, root, batch_id, run_date=run_date, in_place=snapshot_in_place, tolerate_rejects=tolerate_rejects)
-        if not snapshot_in_place:
-            take_snapshot(spark, root, run_date)
-        metrics = transform(spark, root, run_date, snapshot_in_place)
-        load(spark, root, batch_id)
-        return {"ingest": loaded, "cleaning": metrics, "audit": monitor(spark, root, run_date, snapshot_in_place)}
+        with shuffles_dropped(spark):       # every step writes its tables
+            create_tables(spark, root)
+            loaded = ingest(spark, csv_path, root, batch_id, run_date=run_date, in_place=snapshot_in_place, tolerate_rejects=tolerate_rejects)
+            if not snapshot_in_place:
+                take_snapshot(spark, root, run_date)
+            metrics = transform(spark, root, run_date, snapshot_in_place)
+            load(spark, root, batch_id)
+            return {"ingest": loaded, "cleaning": metrics, "audit": monitor(spark, root, run_date, snapshot_in_place)}
 
     def checks(out: dict) -> list[tuple]:
         return ([(f"ingest.{k}", v, None) for k, v in out["ingest"].items()]

@@ -64,10 +64,11 @@ def by_header(header: list[str], expected: list[str]) -> dict[str, str]:
     return {seen[standard_name(c)]: c for c in expected}
 
 
-def write_csv(df: DataFrame, path: str, encoding: str = "ISO-8859-1", compression: str = "none") -> None:
+def write_csv(df: DataFrame, path: str, encoding: str = "ISO-8859-1", compression: str = "none", append: bool = False) -> None:
     """Write a frame as a headered CSV folder, keeping blanks inside fields and doubling
-    quotes inside quoted ones. A gzip file is read by one task: one file a writing task."""
-    (df.write.mode("overwrite").option("compression", compression)
+    quotes inside quoted ones. A gzip file is read by one task: one file a writing task.
+    ``append``: further files of a folder that is written in slices."""
+    (df.write.mode("append" if append else "overwrite").option("compression", compression)
      .option("header", True)
      .option("encoding", encoding)
      .option("quote", '"').option("escape", '"')

@@ -18,17 +18,18 @@ def with_sale_year(df: DataFrame, date_id_column: str = "date_id") -> DataFrame:
 
 
 def write_fact_by_year(df: DataFrame, path: str, date_id_column: str = "date_id",
-                       dynamic: bool = True) -> None:
+                       dynamic: bool = True, append: bool = False) -> None:
     """Write the fact partitioned by year. ``dynamic``: only the years present in ``df``
     are replaced (reloading some years of a live table); otherwise the folder is replaced
-    as a whole (a fresh version folder, where a failed attempt's files must not stay)."""
+    as a whole (a fresh version folder, where a failed attempt's files must not stay).
+    ``append``: further rows of a folder that is written in slices."""
     # rebalanced by year: AQE merges the small partitions and splits a hot year into files
     # of the advisory size, where writing the scan's own tasks would leave one file per
     # task and year; each file is sorted by date_id for row-group skipping
     (with_sale_year(df, date_id_column)
      .hint("rebalance", "sale_year")
      .sortWithinPartitions("sale_year", date_id_column)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if dynamic else "static").option("compression", "zstd")
+     .write.mode("append" if append else "overwrite").option("partitionOverwriteMode", "dynamic" if dynamic else "static").option("compression", "zstd")
      .partitionBy("sale_year").parquet(path))
 
 

@@ -17,11 +17,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.functions.dates import date_id
+from starmart.operators import slices
 
 LINEITEM_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                     "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
                     "l_shipdate"]
 
+FEED_COLUMNS = ["l_orderkey", "l_partkey", "l_quantity", "l_returnflag", "l_shipdate"]
+FEED_SLICES = 4         # exchanges of the feed's joins, at most
+
 # Residues that plant defects in the derived retail feed.
 DESC_NULL_MOD = 29       # description missing
 DESC_BLANK_MOD = 31      # description of three blanks
@@ -42,11 +46,14 @@ def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None
     return df.select(*columns) if columns else df
 
 
-def raw_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The retail feed with the CSV's original headers, every field a string."""
-    li = table(spark, sf_dir, "lineitem",
-               ["l_orderkey", "l_partkey", "l_quantity", "l_returnflag", "l_shipdate"])
+def raw_source(spark: SparkSession, sf_dir: str, part_of: tuple[int, int] | None = None) -> DataFrame:
+    """The retail feed with the CSV's original headers, every field a string. ``part_of``
+    (i, n): the i-th of n slices of its orders."""
+    li = table(spark, sf_dir, "lineitem", FEED_COLUMNS)
     orders = table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"])
+    if part_of:
+        i, n = part_of
+        li, orders = (df.where(F.pmod(F.xxhash64(k), F.lit(n)) == i) for df, k in ((li, "l_orderkey"), (orders, "o_orderkey")))
     customer = table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
     nation = table(spark, sf_dir, "nation", ["n_nationkey", "n_name"])
     part = table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_retailprice"])
@@ -93,6 +100,13 @@ def raw_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.drop("_copy")
 
 
+def raw_slices(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The retail feed in as many slices as the lines are worth, for a write that runs them
+    one after the other."""
+    n = slices.number(table(spark, sf_dir, "lineitem", FEED_COLUMNS), FEED_SLICES)
+    return [raw_source(spark, sf_dir, (i, n) if n > 1 else None) for i in range(n)]
+
+
 # --- supply-chain star -------------------------------------------------------------
 
 def created_at():

@@ -1,10 +1,15 @@
 """Shapes that larger tables need: no single writer, no source computed twice."""
 
 import os
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
+from starmart import session
+from starmart.operators import slices
 from starmart.plans import retail_job as RP
+from starmart.sources import files, versions
 from starmart.sources import testbed as TB
 
 RAW = "InvoiceNo string, StockCode string, Description string, Quantity string, InvoiceDate string, UnitPrice string, CustomerID string, Country string"
@@ -202,3 +207,68 @@ def test_bronze_rules_are_counted_where_its_rows_are_read(spark, tmp_root):
     planted = TB.bronze_with_long_text(TB.bronze(spark, sf))
     own = QC.check_rows(planted, QC.table_rules("bronze.raw_transactions", planted.columns), "bronze.raw_transactions")
     assert rows(found.where("table_name = 'bronze.raw_transactions'")) == rows(own) and own.where("violations > 0").count() > 0
+
+
+def shuffle_files(spark):
+    dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f for d in dirs for _, _, names in os.walk(d.getPath()) for f in names if f.startswith("shuffle_") and f.endswith(".data")}
+
+
+def test_a_job_leaves_no_shuffle_files(spark, tmp_root):
+    """Those of its steps would add up on the disk until the driver collects its garbage."""
+    files.write_csv(feed(spark, [(o, o % 7, 1 + o % 5) for o in range(200)]).repartition(3), f"{tmp_root}/csv")
+    held, before = spark.conf.get(session._DROP_SHUFFLES), shuffle_files(spark)
+    RP.run_retail(spark, f"{tmp_root}/csv", f"{tmp_root}/wh", "2026-02-22", "b")
+    end = time.time() + 20                                                # removed by a message to the executors
+    while shuffle_files(spark) - before and time.time() < end:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    assert spark.conf.get(session._DROP_SHUFFLES) == held
+
+
+def test_a_job_in_slices_gives_the_rows_and_counts_of_one_run(spark, tmp_root, monkeypatch):
+    """Copies meet in their slice, slices without rows are left out, keys do not repeat."""
+    lines = [(o, p, 1 + o % 5) for o in range(60) for p in range(2)]
+    raw = feed(spark, lines + lines[:50] + [(7, 3, 2)] * 40)
+    few = feed(spark, [(1, 1, 2)] * 9 + [(2, 1, 3)])
+    for name, df in (("many", raw), ("few", few)):
+        files.write_csv(df.repartition(4), f"{tmp_root}/{name}")
+        seen = {}
+        for size in (1 << 40, 1):
+            monkeypatch.setattr(slices, "SLICE_BYTES", size)
+            wh = f"{tmp_root}/wh-{name}-{size}"
+            out = RP.run_retail(spark, f"{tmp_root}/{name}", wh, "2026-02-22", "b")
+            p = RP.paths(wh)
+            fact = versions.read_current(spark, p["fact_sales"])
+            assert fact.select("sales_id").distinct().count() == fact.count() > 0
+            assert fact.select("load_timestamp").distinct().count() == 1
+            assert versions.latest(spark, p["fact_sales"]).info["rows"] == str(fact.count())
+            silver = [sorted(map(str, spark.read.parquet(p[t]).collect())) for t in ("silver_tx", "silver_products", "silver_customers")]
+            seen[size] = out, silver, sorted(map(str, fact.drop("sales_id", "load_timestamp").collect()))
+            if size == 1 and name == "many":
+                assert fact.agg(F.max("sales_id")).first()[0] >= RP.SLICE_IDS
+        assert seen[1] == seen[1 << 40]
+
+
+def test_a_feed_in_slices_has_the_rows_of_the_whole(spark, tmp_root, monkeypatch):
+    sf = tables(spark, f"{tmp_root}/sf", orders=97 + 3)
+    monkeypatch.setattr(slices, "SLICE_BYTES", 1)
+    parts = TB.raw_slices(spark, sf)
+    assert len(parts) == TB.FEED_SLICES
+    for i, part in enumerate(parts):
+        files.write_csv(part, f"{tmp_root}/csv", append=i > 0)
+    got = sorted(map(str, files.read_raw_csv(spark, f"{tmp_root}/csv").collect()))
+    files.write_csv(TB.raw_source(spark, sf), f"{tmp_root}/whole")
+    assert got == sorted(map(str, files.read_raw_csv(spark, f"{tmp_root}/whole").collect())) and len(got) > 300
+
+
+def test_broken_rules_are_counted_over_all_slices(spark):
+    from starmart.operators import quality as Q
+    from starmart.schemas import SCHEMAS
+    rows = spark.createDataFrame([(1, None, 10), (2, 5, 10), (3, None, 10)], "sales_id long, quantity int, date_id int")
+    df = rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit("1999-01-01" if f.name == "load_timestamp" else "1")).cast(f.dataType).alias(f.name) for f in SCHEMAS["gold.fact_sales"].fields])
+    rules = Q.ObservedRules(df.where("sales_id < 3"), "gold.fact_sales")
+    rules.rows.collect()
+    rules.over(df.where("sales_id = 3")).collect()
+    with pytest.raises(Q.ConstraintError, match="2 rows"):
+        rules.check()
